@@ -41,9 +41,9 @@ from rivulet.llm.common import settle
 #: Periods and residues of perfect difference sets: fixed values.
 COVERS = {7: (1, 2, 4), 13: (0, 1, 3, 9), 31: (1, 5, 11, 24, 25, 27), 57: (0, 1, 3, 13, 32, 36, 43, 52), 73: (0, 1, 3, 7, 15, 31, 36, 54, 63)}
 
-BLOCK_BYTES = 4 << 20  # of text in a packed block, and in a slice of a longer text
-BUCKET_KEYS = 1 << 20  # sampled suffixes in a bucket, about
-BUCKET_BYTES = 6 << 20  # of dealt text in a bucket, about
+BLOCK_BYTES = 2 << 20  # of text in a packed block, and in a slice of a longer text
+BUCKET_KEYS = 1 << 19  # sampled suffixes in a bucket, about
+BUCKET_BYTES = 3 << 20  # of dealt text in a bucket, about
 
 ROOT = np.uint64(0x9E3779B97F4A7C15)
 UNROOT = np.uint64(pow(int(ROOT), -1, 1 << 64))
@@ -84,7 +84,7 @@ class Grams:
 
     def __init__(self, buf: np.ndarray):
         n = len(buf)
-        size = 1 << max(16, (n + 1).bit_length())
+        size = (n // (1 << 19) + 1) << 19
         up, self.down = _powers(size)
         self.sums = np.zeros(n + 1, np.uint64)
         np.cumsum(_bytes_table()[buf] * up[:n], out=self.sums[1:])
