@@ -10,10 +10,13 @@ similarity, concentrated as for t independent hashes.
    unseen with probability (1 - 0.8**4)**32, about 5e-8.
 3. Each member of a band is verified against the smallest id of the band, on the full sets: as many pairs as rows,
    never all pairs. Verified links are joined into components.
-4. Where a band still holds several components, pairs across components, and only these, are compared: within tasks by
-   their sketches, and those whose agreement a link could have, on the full sets. Such bands are cut into chunks of
-   bounded size, so a large band is spread over tasks; pairs inside the largest component are not needed and not made.
-5. Components of all links.
+4. Where a band still holds several components, each member is verified against its most promising partner in another
+   component, by the sketches, and the components are joined again.
+5. What is still apart is compared in full: in bands of several components, members whose sketch allows a link across
+   components come with their texts, and tasks verify such pairs on the full sets, all that their links so far do not
+   connect, and return a forest. Bands are cut into chunks of bounded size for steps 4 and 5, so a large one is spread
+   over tasks; pairs inside the largest component are not needed and not made, and no step emits pairs by the square.
+6. Components of all links.
 
 Edge cases: null and empty texts, and texts without words, have no shingles and link with nothing; fewer words than a
 shingle takes make one shingle of them all; rows that repeat a doc_id count as one document with the links of all its
@@ -40,6 +43,7 @@ ROWS = 4
 LINK = 80  # hundredths of similarity
 #: A link's sketches agree in 102 coordinates on average, with a deviation of 4.5; less than this is 7 deviations off.
 AGREE = 71
+FEW, AGREE_FEW = 32, 10  # the same bound for the first coordinates alone
 CHUNK = 1024
 CACHED_WORDS = 500_000
 
@@ -142,30 +146,90 @@ def _verified(width: int, link: int):
     return run
 
 
-def _across(link: int):
-    """Members of one chunk, or of two: pairs across components whose sizes and sketches allow a link."""
+def _partners(m: pd.DataFrame, link: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each row i of a chunk, or of two: the later rows j of other components whose sizes and sketches allow a link
+    with i, and in how many coordinates they agree. A few coordinates are compared first."""
+    comp, n, largest = m["comp"].to_numpy(), m["n_shingles"].to_numpy(), m["largest"].to_numpy()
+    sk = np.stack([np.frombuffer(s, np.uint16) for s in m["sketch"]])
+    for i in range(len(m) - 1):
+        j = np.arange(i + 1, len(m))
+        lo, hi = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
+        j = j[(comp[j] != comp[i]) & (100 * lo >= link * hi) & ~(largest[i] & largest[j])]
+        if len(j):
+            j = j[(sk[j, :FEW] == sk[i, :FEW]).sum(axis=1) >= AGREE_FEW]
+            agree = (sk[j] == sk[i]).sum(axis=1)
+            j, agree = j[agree >= AGREE], agree[agree >= AGREE]
+            if len(j):
+                yield i, j, agree
+
+
+def _best_partners(link: int):
+    """A chunk's most promising pair for each member: as many pairs as members."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         m = pdf.sort_values("id").drop_duplicates("id")
-        ids, comp, n = m["id"].to_numpy(), m["comp"].to_numpy(), m["n_shingles"].to_numpy()
-        largest = m["largest"].to_numpy()
-        sk = np.stack([np.frombuffer(s, np.uint16) for s in m["sketch"]])
+        ids = m["id"].to_numpy()
+        best, agreed = np.full(len(m), -1), np.zeros(len(m), np.int64)
+        for i, j, agree in _partners(m, link):
+            top = int(agree.argmax())
+            if agree[top] > agreed[i]:
+                best[i], agreed[i] = j[top], agree[top]
+            better = agree > agreed[j]
+            best[j[better]], agreed[j[better]] = i, agree[better]
+        has = np.flatnonzero(best >= 0)
+        pairs = np.stack([ids[has], ids[best[has]]])
+        return pd.DataFrame({"a": pairs.min(axis=0), "b": pairs.max(axis=0)})
+
+    return run
+
+
+def _with_partners(link: int):
+    """Members of a chunk pair that have any partner across components: only their texts are needed."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        m = pdf.sort_values("id").drop_duplicates("id")
+        has = np.zeros(len(m), bool)
+        for i, j, _ in _partners(m, link):
+            has[i] = True
+            has[j] = True
+        return m.loc[has, ["key", "g", "id", "comp", "largest", "n_shingles", "sketch"]]
+
+    return run
+
+
+def _linked_across(width: int, link: int):
+    """Exact links across components of a chunk pair, as a forest: pairs that it connects already are passed over."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        shingles = Shingles(width)
+        m = pdf.sort_values("id", kind="stable").reset_index(drop=True)
+        ids, sets = m["id"].to_numpy(), [shingles(t) for t in m["text"]]
+        root = {c: c for c in m["comp"]}
+
+        def find(c: int) -> int:
+            while root[c] != c:
+                root[c] = root[root[c]]
+                c = root[c]
+            return c
+
+        comp = m["comp"].tolist()
         out = []
-        for i in range(len(ids) - 1):
-            j = np.arange(i + 1, len(ids))
-            lo, hi = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
-            j = j[(comp[j] != comp[i]) & (100 * lo >= link * hi) & ~(largest[i] & largest[j])]
-            if len(j):
-                j = j[(sk[j] == sk[i]).sum(axis=1) >= AGREE]
-                out.append(np.stack([np.full(len(j), ids[i]), ids[j]]))
-        pairs = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
-        return pd.DataFrame({"a": pairs[0], "b": pairs[1]})
+        for i, j, agree in _partners(m, link):
+            for k in j[np.argsort(-agree, kind="stable")].tolist():
+                x, y = find(comp[i]), find(comp[k])
+                if x == y:
+                    continue
+                both = len(np.intersect1d(sets[i], sets[k], assume_unique=True))
+                if 100 * both >= link * (len(sets[i]) + len(sets[k]) - both):
+                    out.append((ids[i], ids[k]))
+                    root[x] = y
+        return pd.DataFrame(out, columns=["a", "b"])
 
     return run
 
 
-def _candidates_across(members: DataFrame, comps: DataFrame, reps: DataFrame, link: int) -> DataFrame:
-    """Pairs (a, b) across components of bands that hold several components."""
+def _chunk_pairs(members: DataFrame, comps: DataFrame, reps: DataFrame) -> DataFrame:
+    """Members of bands that hold several components, once for each pair of chunks (key, g) to compare."""
     m = members.join(comps.select(F.col("node").alias("id"), "component"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("comp"))
     parts = m.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("h"))
     bands = parts.groupBy("key").agg(
@@ -180,8 +244,7 @@ def _candidates_across(members: DataFrame, comps: DataFrame, reps: DataFrame, li
     with_tops = F.transform(tops, lambda t: F.struct(F.lit(0).alias("kind"), t.alias("x"), F.col("c").alias("y")))
     inside = F.transform(rests, lambda r: F.struct(F.lit(1).alias("kind"), F.least(r, F.col("c")).alias("x"), F.greatest(r, F.col("c")).alias("y")))
     m = m.select("key", "id", "comp", "largest", F.explode(F.when(F.col("largest"), with_rests).otherwise(F.concat(with_tops, inside))).alias("g"))
-    m = m.join(reps.select("id", "n_shingles", "sketch"), "id")
-    return m.groupBy("key", "g").applyInPandas(_across(link), "a long, b long").distinct()
+    return m.join(reps.select("id", "n_shingles", "sketch"), "id")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, link: int = LINK) -> DataFrame:
@@ -211,10 +274,17 @@ def near_duplicates(docs: DataFrame, width: int = 5, link: int = LINK) -> DataFr
         return settle(both.select("a", "ta", "b", "tb").mapInPandas(_verified(width, link), "a long, b long"))
 
     first = links(pairs)
-    comps = connected_components(first)
-    more = links(_candidates_across(members.select("key", "id"), comps, reps.select("id", "n_shingles", "sketch"), link))
+    sketches = reps.select("id", "n_shingles", "sketch")
+    bands = members.select("key", "id")
+    chunks = _chunk_pairs(bands, connected_components(first), sketches)
+    second = links(chunks.groupBy("key", "g").applyInPandas(_best_partners(link), "a long, b long").distinct())
+    chunks = _chunk_pairs(bands, connected_components(first.unionByName(second)), sketches)
+    schema = "key long, g struct<kind:int,x:int,y:int>, id long, comp long, largest boolean, n_shingles long, sketch binary"
+    open_ = settle(chunks.groupBy("key", "g").applyInPandas(_with_partners(link), schema))
+    with_text = open_.join(texts.withColumnRenamed("doc_id", "id"), "id")
+    third = settle(with_text.groupBy("key", "g").applyInPandas(_linked_across(width, link), "a long, b long"))
     drop_folder(spark, folder)
-    comps = connected_components(first.unionByName(more).unionByName(copies))
+    comps = connected_components(first.unionByName(second).unionByName(third).unionByName(copies))
     out = all_.select("doc_id", "n_shingles").join(comps.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), (component == F.col("doc_id")).alias("kept"))
