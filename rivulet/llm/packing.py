@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -31,7 +32,8 @@ from rivulet.llm.common import settle
 CAPACITY = 2048
 GRAIN = 64
 END_ID = 1
-CACHED_WORDS = 400_000
+CACHED_WORDS = 600_000
+SIGNS = ".,;:!?"
 
 
 def default_tokenizer() -> str:
@@ -41,29 +43,72 @@ def default_tokenizer() -> str:
 
 
 class WordIds:
-    """Ids of white-space separated strings as bytes. The vocabulary's splitting never crosses white space, so a text's
-    ids are those of its strings one after the other; frequent strings are looked up, new ones go through the library."""
+    """Ids of texts as bytes, by their white-space separated strings.
+
+    The vocabulary's splitting never crosses white space, and parts letters from signs, so a text's ids are those of its
+    strings one after the other, and those of a word with signs behind it are the word's and the signs'. Ids of strings
+    met before are looked up; new words go through the library many at a time, and are told apart by their last ids,
+    which mark the ends of words.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.known: dict[str, bytes] = {"": b""}
+        self.parts: dict[str, bytes] = {"": b""}
+
+    def _learn(self, parts: list[str]) -> None:
+        """Ids of strings without white space."""
+        words = [p for p in parts if p.isalpha()]
+        for k in range(0, len(words), 2000):
+            some = words[k : k + 2000]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) == len(some):
+                data, begin = ids.tobytes(), 0
+                for p, end in zip(some, (4 * ends).tolist(), strict=True):
+                    self.parts[p] = data[begin:end]
+                    begin = end
+        rest = [p for p in parts if p not in self.parts]
+        for p, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            self.parts[p] = np.array(e.ids, "<u4").tobytes()
+
+    def _some(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list({w for words in split for w in words if w not in self.known})
-        if len(self.known) + len(new) > CACHED_WORDS:
-            self.known.clear()
-            new = list({w for words in split for w in words})
-        for k in range(0, len(new), 8192):
-            part = new[k : k + 8192]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
-        get = self.known.__getitem__
+        known = self.known
+        new = {w for words in split for w in words if w not in known}
+        if len(known) + len(new) > CACHED_WORDS:
+            known.clear()
+            new = {w for words in split for w in words}
+        if new:
+            apart = {}
+            for w in new:
+                low = w.lower()
+                core = low.rstrip(SIGNS)
+                apart[w] = (core, low[len(core) :]) if core.isalpha() and "Σ" not in w and len(low) == len(w) else (w, "")
+            if len(self.parts) > 1.5 * CACHED_WORDS:
+                self.parts = {"": b""}
+            self._learn(list({p for both in apart.values() for p in both if p not in self.parts}))
+            parts = self.parts
+            for w, (core, signs) in apart.items():
+                known[w] = parts[core] + parts[signs]
+        get = known.__getitem__
         return [b"".join(map(get, words)) for words in split]
 
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        return [ids for k in range(0, len(texts), 128) for ids in self._some(texts[k : k + 128])]
+
+
+@lru_cache(maxsize=2)
+def word_ids(path: str) -> WordIds:
+    """One for each worker process, whatever number of tasks it runs."""
+    return WordIds(path)
+
 
 def cuts(n: int, capacity: int = CAPACITY, grain: int = GRAIN) -> list[int]:
     """Lengths of a document's pieces, in order."""
@@ -83,14 +128,15 @@ def _cut(path: str, capacity: int, grain: int, end_id: int, with_ids: bool):
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids_of = WordIds(path)
+        ids_of = word_ids(path)
         worker = TaskContext.get().partitionId()
         placed: dict[int, int] = {}
         row = 0
         for pdf in batches:
             out: list[tuple] = []
             texts = [t if isinstance(t, str) else "" for t in pdf["text"]]
-            for doc_id, ids in zip(pdf["doc_id"].tolist(), ids_of(texts), strict=True):
+            all_ids = (ids for k in range(0, len(texts), 128) for ids in ids_of(texts[k : k + 128]))
+            for doc_id, ids in zip(pdf["doc_id"].tolist(), all_ids, strict=True):
                 ids += end
                 n, start = len(ids) // 4, 0
                 for size in cuts(n, capacity, grain):

@@ -4,7 +4,7 @@ from collections import defaultdict
 import numpy as np
 from tokenizers import Tokenizer
 
-from rivulet.llm.packing import cuts, default_tokenizer, pack
+from rivulet.llm.packing import WordIds, cuts, default_tokenizer, pack
 
 SCHEMA = "doc_id long, text string, offset string"
 
@@ -55,3 +55,10 @@ def test_edges(spark):
     check(pack(df, with_ids=True).collect(), rows)
     assert pack(spark.createDataFrame([], SCHEMA)).collect() == []
     assert pack(df).columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+
+
+def test_ids_by_words_are_those_of_the_whole_text():
+    t = Tokenizer.from_file(default_tokenizer())
+    t.encode_special_tokens = True
+    texts = ["İstanbul, ΣΑΣ. ǅ don't can't, it's 've... éa, ﬁn A.B.C! ½ x²y ª º ñandú; Ünder: ẞ ß!", "a b\tc\x0bd  e ,.; !? 1,2. 3! ɐ ʰ ᵃ 中文, 日本。 ꙮ 𝐀 👩‍👩‍👧", "<|startoftext|> <|endoftext|>, K Å ſ"]
+    assert [np.frombuffer(x, "<u4").tolist() for x in WordIds(default_tokenizer())(texts)] == [t.encode(x, add_special_tokens=False).ids for x in texts]
