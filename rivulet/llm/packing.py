@@ -32,7 +32,7 @@ from rivulet.llm.common import settle
 CAPACITY = 2048
 GRAIN = 64
 END_ID = 1
-CACHED_WORDS = 600_000
+CACHED_WORDS = 900_000
 SIGNS = ".,;:!?"
 
 
@@ -81,24 +81,26 @@ class WordIds:
     def _some(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
         known = self.known
-        new = {w for words in split for w in words if w not in known}
-        if len(known) + len(new) > CACHED_WORDS:
+        if len(known) > CACHED_WORDS:
             known.clear()
-            new = {w for words in split for w in words}
+        found = [list(map(known.get, words)) for words in split]
+        open_ = [k for k, ids in enumerate(found) if None in ids]
+        new = {w for k in open_ for w, ids in zip(split[k], found[k], strict=True) if ids is None}
         if new:
             apart = {}
             for w in new:
                 low = w.lower()
                 core = low.rstrip(SIGNS)
                 apart[w] = (core, low[len(core) :]) if core.isalpha() and "Σ" not in w and len(low) == len(w) else (w, "")
-            if len(self.parts) > 1.5 * CACHED_WORDS:
+            if len(self.parts) > CACHED_WORDS:
                 self.parts = {"": b""}
             self._learn(list({p for both in apart.values() for p in both if p not in self.parts}))
             parts = self.parts
             for w, (core, signs) in apart.items():
                 known[w] = parts[core] + parts[signs]
-        get = known.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        for k in open_:
+            found[k] = map(known.__getitem__, split[k])
+        return [b"".join(ids) for ids in found]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         return [ids for k in range(0, len(texts), 128) for ids in self._some(texts[k : k + 128])]
