@@ -17,6 +17,7 @@ are ignored.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -52,6 +53,7 @@ class WordIds:
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallel unit
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -84,8 +86,13 @@ class WordIds:
         if len(known) > CACHED_WORDS:
             known.clear()
         found = [list(map(known.get, words)) for words in split]
-        open_ = [k for k, ids in enumerate(found) if None in ids]
-        new = {w for k in open_ for w, ids in zip(split[k], found[k], strict=True) if ids is None}
+        open_: list[tuple[list[bytes | None], int, str]] = []
+        for words, ids in zip(split, found, strict=True):
+            at = -1
+            for _ in range(ids.count(None)):
+                at = ids.index(None, at + 1)
+                open_.append((ids, at, words[at]))
+        new = {w for _, _, w in open_}
         if new:
             apart = {}
             for w in new:
@@ -98,8 +105,8 @@ class WordIds:
             parts = self.parts
             for w, (core, signs) in apart.items():
                 known[w] = parts[core] + parts[signs]
-        for k in open_:
-            found[k] = map(known.__getitem__, split[k])
+        for ids, at, w in open_:
+            ids[at] = known[w]
         return [b"".join(ids) for ids in found]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
