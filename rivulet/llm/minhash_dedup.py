@@ -10,13 +10,12 @@ similarity, concentrated as for t independent hashes.
    unseen with probability (1 - 0.8**4)**32, about 5e-8.
 3. Each member of a band is verified against the smallest id of the band, on the full sets: as many pairs as rows,
    never all pairs. Verified links are joined into components.
-4. Where a band still holds several components, each member is verified against its most promising partner in another
-   component, by the sketches, and the components are joined again.
-5. What is still apart is compared in full: in bands of several components, members whose sketch allows a link across
-   components come with their texts, and tasks verify such pairs on the full sets, all that their links so far do not
-   connect, and return a forest. Bands are cut into chunks of bounded size for steps 4 and 5, so a large one is spread
-   over tasks; pairs inside the largest component are not needed and not made, and no step emits pairs by the square.
-6. Components of all links.
+4. Where a band still holds several components, its members are compared across components, by their sketches: each pair
+   once, in the first band that it shares. Members that have a partner come with their texts, and tasks verify such
+   pairs on the full sets, all that their links so far do not connect, and return a forest. Bands are cut into chunks of
+   bounded size, so a large one is spread over tasks; pairs inside the largest component are not needed and not made,
+   and no step emits pairs by the square.
+5. Components of all links.
 
 Edge cases: null and empty texts, and texts without words, have no shingles and link with nothing; fewer words than a
 shingle takes make one shingle of them all; rows that repeat a doc_id count as one document with the links of all its
@@ -146,41 +145,34 @@ def _verified(width: int, link: int):
     return run
 
 
-def _partners(m: pd.DataFrame, link: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each row i of a chunk, or of two: the later rows j of other components whose sizes and sketches allow a link
-    with i, and in how many coordinates they agree. A few coordinates are compared first."""
+def _partners(m: pd.DataFrame, band: int, link: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows i < j of a chunk, or of two, and in how many coordinates they agree: pairs of different components whose
+    sizes and sketches allow a link, and that share no band before this one. A few coordinates are compared first."""
     comp, n, largest = m["comp"].to_numpy(), m["n_shingles"].to_numpy(), m["largest"].to_numpy()
     sk = np.stack([np.frombuffer(s, np.uint16) for s in m["sketch"]])
-    for i in range(len(m) - 1):
-        j = np.arange(i + 1, len(m))
-        lo, hi = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
-        j = j[(comp[j] != comp[i]) & (100 * lo >= link * hi) & ~(largest[i] & largest[j])]
-        if len(j):
-            j = j[(sk[j, :FEW] == sk[i, :FEW]).sum(axis=1) >= AGREE_FEW]
-            agree = (sk[j] == sk[i]).sum(axis=1)
-            j, agree = j[agree >= AGREE], agree[agree >= AGREE]
-            if len(j):
-                yield i, j, agree
-
-
-def _best_partners(link: int):
-    """A chunk's most promising pair for each member: as many pairs as members."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        m = pdf.sort_values("id").drop_duplicates("id")
-        ids = m["id"].to_numpy()
-        best, agreed = np.full(len(m), -1), np.zeros(len(m), np.int64)
-        for i, j, agree in _partners(m, link):
-            top = int(agree.argmax())
-            if agree[top] > agreed[i]:
-                best[i], agreed[i] = j[top], agree[top]
-            better = agree > agreed[j]
-            best[j[better]], agreed[j[better]] = i, agree[better]
-        has = np.flatnonzero(best >= 0)
-        pairs = np.stack([ids[has], ids[best[has]]])
-        return pd.DataFrame({"a": pairs.min(axis=0), "b": pairs.max(axis=0)})
-
-    return run
+    few = np.ascontiguousarray(sk[:, :FEW].T)
+    every = np.arange(len(m))
+    found_i, found_j = [], []
+    for at in range(0, len(m), 64):
+        rows = every[at : at + 64]
+        agree = np.zeros((len(rows), len(m) - at), np.uint8)
+        for c in few:
+            agree += c[rows, None] == c[None, at:]
+        i, j = np.nonzero(agree >= AGREE_FEW)
+        i, j = i + at, j + at
+        ok = (i < j) & (comp[i] != comp[j]) & (100 * np.minimum(n[i], n[j]) >= link * np.maximum(n[i], n[j])) & ~(largest[i] & largest[j])
+        found_i.append(i[ok])
+        found_j.append(j[ok])
+    i, j = np.concatenate(found_i), np.concatenate(found_j)
+    keep, agreed = [], []
+    for at in range(0, len(i), 1 << 14):
+        same = sk[i[at : at + (1 << 14)]] == sk[j[at : at + (1 << 14)]]
+        earlier = same[:, : ROWS * band].reshape(len(same), band, ROWS).all(axis=2).any(axis=1)
+        count = same.sum(axis=1)
+        keep.append((count >= AGREE) & ~earlier)
+        agreed.append(count)
+    ok = np.concatenate(keep) if keep else np.zeros(0, bool)
+    return i[ok], j[ok], np.concatenate(agreed)[ok] if agreed else np.zeros(0, np.int64)
 
 
 def _with_partners(link: int):
@@ -189,10 +181,10 @@ def _with_partners(link: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         m = pdf.sort_values("id").drop_duplicates("id")
         has = np.zeros(len(m), bool)
-        for i, j, _ in _partners(m, link):
-            has[i] = True
-            has[j] = True
-        return m.loc[has, ["key", "g", "id", "comp", "largest", "n_shingles", "sketch"]]
+        i, j, _ = _partners(m, int(m["band"].iloc[0]), link)
+        has[i] = True
+        has[j] = True
+        return m.loc[has, ["key", "g", "band", "id", "comp", "largest", "n_shingles", "sketch"]]
 
     return run
 
@@ -214,15 +206,16 @@ def _linked_across(width: int, link: int):
 
         comp = m["comp"].tolist()
         out = []
-        for i, j, agree in _partners(m, link):
-            for k in j[np.argsort(-agree, kind="stable")].tolist():
-                x, y = find(comp[i]), find(comp[k])
-                if x == y:
-                    continue
-                both = len(np.intersect1d(sets[i], sets[k], assume_unique=True))
-                if 100 * both >= link * (len(sets[i]) + len(sets[k]) - both):
-                    out.append((ids[i], ids[k]))
-                    root[x] = y
+        ii, jj, agree = _partners(m, int(m["band"].iloc[0]), link)
+        order = np.argsort(-agree, kind="stable")
+        for i, j in zip(ii[order].tolist(), jj[order].tolist(), strict=True):
+            x, y = find(comp[i]), find(comp[j])
+            if x == y:
+                continue
+            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            if 100 * both >= link * (len(sets[i]) + len(sets[j]) - both):
+                out.append((ids[i], ids[j]))
+                root[x] = y
         return pd.DataFrame(out, columns=["a", "b"])
 
     return run
@@ -230,12 +223,13 @@ def _linked_across(width: int, link: int):
 
 def _chunk_pairs(members: DataFrame, comps: DataFrame, reps: DataFrame) -> DataFrame:
     """Members of bands that hold several components, once for each pair of chunks (key, g) to compare."""
-    m = members.join(comps.select(F.col("node").alias("id"), "component"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("comp"))
-    parts = m.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("h"))
-    bands = parts.groupBy("key").agg(
+    m = members.join(comps.select(F.col("node").alias("id"), "component"), "id", "left").select("key", "band", "id", F.coalesce("component", "id").alias("comp"))
+    parts = m.groupBy("key", "band", "comp").agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("h"))
+    bands = parts.groupBy("key", "band").agg(
         F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n"), F.sum("h").alias("h"), F.max(F.struct("n", "comp")).alias("top")
     ).where("parts > 1")
-    bands = bands.groupBy("n", "h").agg(F.min(F.struct("key", "top")).alias("b")).select("b.key", F.col("b.top.comp").alias("top"), F.col("b.top.n").alias("in_top"), (F.col("n") - F.col("b.top.n")).alias("others"))
+    # Of bands with the same members the first one is enough.
+    bands = bands.groupBy("n", "h").agg(F.min(F.struct("band", "key", "top")).alias("b")).select("b.key", F.col("b.top.comp").alias("top"), F.col("b.top.n").alias("in_top"), (F.col("n") - F.col("b.top.n")).alias("others"))
     bands = bands.withColumn("tops", F.ceil(F.col("in_top") / CHUNK).cast("int")).withColumn("rests", F.ceil(F.col("others") / CHUNK).cast("int"))
     m = m.join(bands, "key").withColumn("largest", F.col("comp") == F.col("top"))
     m = m.withColumn("c", F.pmod(F.xxhash64("id"), F.when(F.col("largest"), F.col("tops")).otherwise(F.col("rests"))).cast("int"))
@@ -243,7 +237,7 @@ def _chunk_pairs(members: DataFrame, comps: DataFrame, reps: DataFrame) -> DataF
     with_rests = F.transform(rests, lambda r: F.struct(F.lit(0).alias("kind"), F.col("c").alias("x"), r.alias("y")))
     with_tops = F.transform(tops, lambda t: F.struct(F.lit(0).alias("kind"), t.alias("x"), F.col("c").alias("y")))
     inside = F.transform(rests, lambda r: F.struct(F.lit(1).alias("kind"), F.least(r, F.col("c")).alias("x"), F.greatest(r, F.col("c")).alias("y")))
-    m = m.select("key", "id", "comp", "largest", F.explode(F.when(F.col("largest"), with_rests).otherwise(F.concat(with_tops, inside))).alias("g"))
+    m = m.select("key", "band", "id", "comp", "largest", F.explode(F.when(F.col("largest"), with_rests).otherwise(F.concat(with_tops, inside))).alias("g"))
     return m.join(reps.select("id", "n_shingles", "sketch"), "id")
 
 
@@ -257,7 +251,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, link: int = LINK) -> DataFr
     copies = some.select("same", F.col("doc_id").alias("a")).join(one, "same").where("a != id").select("a", F.col("id").alias("b"))
     copies = settle(copies.distinct())
     reps = some.join(one.select("same", F.col("id").alias("doc_id")), ["same", "doc_id"], "left_semi").select(F.col("doc_id").alias("id"), "n_shingles", "same", "sketch", "bands")
-    banded = reps.select("id", F.explode("bands").alias("key")).distinct()
+    banded = reps.select("id", F.posexplode("bands").alias("band", "key")).distinct()
     low = banded.groupBy("key").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     members = settle(banded.join(low, "key"))
     pairs = members.where("id != low").select(F.col("low").alias("a"), F.col("id").alias("b")).distinct()
@@ -275,16 +269,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, link: int = LINK) -> DataFr
 
     first = links(pairs)
     sketches = reps.select("id", "n_shingles", "sketch")
-    bands = members.select("key", "id")
-    chunks = _chunk_pairs(bands, connected_components(first), sketches)
-    second = links(chunks.groupBy("key", "g").applyInPandas(_best_partners(link), "a long, b long").distinct())
-    chunks = _chunk_pairs(bands, connected_components(first.unionByName(second)), sketches)
-    schema = "key long, g struct<kind:int,x:int,y:int>, id long, comp long, largest boolean, n_shingles long, sketch binary"
+    chunks = _chunk_pairs(members.select("key", "band", "id"), connected_components(first), sketches)
+    schema = "key long, g struct<kind:int,x:int,y:int>, band int, id long, comp long, largest boolean, n_shingles long, sketch binary"
     open_ = settle(chunks.groupBy("key", "g").applyInPandas(_with_partners(link), schema))
     with_text = open_.join(texts.withColumnRenamed("doc_id", "id"), "id")
-    third = settle(with_text.groupBy("key", "g").applyInPandas(_linked_across(width, link), "a long, b long"))
+    second = settle(with_text.groupBy("key", "g").applyInPandas(_linked_across(width, link), "a long, b long"))
     drop_folder(spark, folder)
-    comps = connected_components(first.unionByName(second).unionByName(third).unionByName(copies))
+    comps = connected_components(first.unionByName(second).unionByName(copies))
     out = all_.select("doc_id", "n_shingles").join(comps.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), (component == F.col("doc_id")).alias("kept"))
