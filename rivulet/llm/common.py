@@ -24,6 +24,13 @@ def use_checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Texts reach Python ``rows`` at a time, so that a worker holds few of them at once; a smaller setting stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name, "10000")) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder; a lost executor loses nothing of it."""
     use_checkpoint_dir(df.sparkSession)

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import drop_folder, settle, use_checkpoint_dir
+from rivulet.llm.common import drop_folder, settle, small_batches, use_checkpoint_dir
 from rivulet.llm.graph import connected_components
 
 COORDINATES = 128
@@ -44,7 +44,7 @@ LINK = 80  # hundredths of similarity
 AGREE = 71
 FEW, AGREE_FEW = 32, 10  # the same bound for the first coordinates alone
 CHUNK = 1024
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 
 A, B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 SEEDS = np.random.default_rng(1207).integers(1, 2**63, 2 * COORDINATES, dtype=np.uint64)
@@ -244,6 +244,7 @@ def _chunk_pairs(members: DataFrame, comps: DataFrame, reps: DataFrame) -> DataF
 def near_duplicates(docs: DataFrame, width: int = 5, link: int = LINK) -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id (smallest doc_id reachable by links) and kept."""
     spark = docs.sparkSession
+    small_batches(spark)
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     all_ = settle(read.mapInPandas(_sketched(width), "doc_id long, n_shingles long, same binary, sketch binary, bands array<long>"))
     some = all_.where("n_shingles > 0")

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import settle
+from rivulet.llm.common import settle, small_batches
 
 CAPACITY = 2048
 GRAIN = 64
@@ -191,6 +191,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
 
     Sequence ids: class plus (capacity + 1) times the bin's number, with class 0 for what is fitted at the end.
     """
+    small_batches(docs.sparkSession)
     path = tokenizer or default_tokenizer()
     schema = "doc_id long, row long, start long, length long, ids_crc32 long, doc_tokens long, worker int, k int, at long" + (", ids binary" if with_ids else "")
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

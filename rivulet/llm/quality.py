@@ -28,6 +28,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rivulet.llm.common import small_batches
+
 BITS = 31
 SAMPLE = 12_000
 KEEP = 0.4
@@ -36,7 +38,7 @@ LEAST_SHARE = 0.0015  # of the sample
 PRIOR = 40  # documents at the overall rate that each grade's rates are smoothed with
 LEAST_RATIO = 1.6
 STEPS = 100
-CACHED_WORDS = 400_000
+CACHED_WORDS = 150_000
 PREFIX = 5
 PLAIN = ".,;:!?'\"()-"
 
@@ -155,6 +157,7 @@ def fit(docs: DataFrame, grades: DataFrame, sample: int = SAMPLE) -> Model | Non
     The chosen ids are broadcast: at most ``sample`` pairs of numbers. The model has at most the features that
     LEAST_SHARE of the sample's documents hold.
     """
+    small_batches(docs.sparkSession)
     chosen = grades.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
     rows = rows.select("doc_id", "text", "grade").mapInPandas(_featured, "doc_id long, grade int, features array<int>")

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import settle
+from rivulet.llm.common import settle, small_batches
 
 #: Periods and residues of perfect difference sets: fixed values.
 COVERS = {7: (1, 2, 4), 13: (0, 1, 3, 9), 31: (1, 5, 11, 24, 25, 27), 57: (0, 1, 3, 13, 32, 36, 43, 52), 73: (0, 1, 3, 7, 15, 31, 36, 54, 63)}
@@ -390,6 +390,7 @@ def dedup_substrings(docs: DataFrame, length: int = 100, keep_text: bool = False
 
     keep_text adds ``spans`` ("start:end" in bytes, comma-joined) and ``kept``, the bytes that are left.
     """
+    small_batches(docs.sparkSession)
     period = cover_for(length)
     blocks = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     blocks = blocks.mapInPandas(_pack, "block long, ids binary, sizes binary, n_bytes long, blob binary")
