@@ -98,11 +98,11 @@ def attribute_modes(spark, d):
     )
 
 
-@query("SELECT event_id, round(value * 35.3146667, 6) AS cfs, round(value - 273.15, 6) AS celsius, round(value - 272.15, 6) AS celsius_compat, round(value / 25.4, 6) AS inches, round(value * 25.4, 6) AS mm FROM events")
+@query("SELECT event_id, round(value * 35.3146667, 3) AS cfs, round(value - 273.15, 3) AS celsius, round(value - 272.15, 3) AS celsius_compat, round(value / 25.4, 3) AS inches, round(value * 25.4, 3) AS mm FROM events")
 def unit_conversions(spark, d):
     v, find = F.col("value"), units.find_conversion
     out = {"cfs": find("M3 S-1", "cfs"), "celsius": find("K", "C"), "celsius_compat": find("K", "C", compat=True), "inches": find("mm", "in"), "mm": find("in", "mm")}
-    return _t(spark, d, "events").select("event_id", *[F.round(c(v), 6).alias(n) for n, c in out.items()])
+    return _t(spark, d, "events").select("event_id", *[F.round(c(v), 3).alias(n) for n, c in out.items()])
 
 
 @query("SELECT event_id, CAST(value * 3600.0 AS FLOAT) AS total FROM events")
