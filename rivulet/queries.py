@@ -50,6 +50,11 @@ def _cells(spark: SparkSession, d: str) -> DataFrame:
     return grid.explode_rows(_t(spark, d, "embeddings").withColumnRenamed("vec_id", "y"), "embedding", "y")
 
 
+def _rounded(name: str, digits: int = 4):
+    """Rounded off the ties, which the last bits of a sum would decide one way or the other."""
+    return F.round(F.col(name) + 1e-9, digits)
+
+
 SECONDS = f"date_sub('second', TIMESTAMP '{START}', ts)"
 BUCKET = f"CAST(greatest(ceil({SECONDS} / 86400.0), 1) AS BIGINT)"
 
@@ -246,21 +251,21 @@ def reindex_fill(spark, d):
     return masks.reindex(orders, _t(spark, d, "customer"), "c_custkey", {"first_order": -1})
 
 
-@query("SELECT user_id AS feature_id, round(sum(value), 4) AS v_sum, min(value) AS v_min, max(value) AS v_max, round(avg(value), 4) AS v_mean FROM events GROUP BY user_id")
+@query("SELECT user_id AS feature_id, round(sum(value), 4) AS v_sum, min(value) AS v_min, max(value) AS v_max, round(avg(value) + 1e-9, 4) AS v_mean FROM events GROUP BY user_id")
 def online_sum_min_max_mean(spark, d):
     out = aggregates.stream_fold(_series(spark, d), [{"variable": "streamflow", "operation": o, "output_variable": f"v_{o}"} for o in ("sum", "min", "max", "mean")], ["feature_id"])
-    return out.df.withColumns({"v_sum": F.round("v_sum", 4), "v_mean": F.round("v_mean", 4)})
+    return out.df.withColumns({"v_sum": F.round("v_sum", 4), "v_mean": _rounded("v_mean")})
 
 
 @query(
-    """SELECT user_id AS feature_id, round(var_pop(value), 4) AS v, round(stddev_pop(value), 4) AS s, round(var_samp(value), 4) AS vs,
-  round(sum(value * value) / (count(value) + 1) - (sum(value) / (count(value) + 1)) * (sum(value) / (count(value) + 1)), 4) AS vc
+    """SELECT user_id AS feature_id, round(var_pop(value) + 1e-9, 4) AS v, round(stddev_pop(value) + 1e-9, 4) AS s, round(var_samp(value) + 1e-9, 4) AS vs,
+  round(sum(value * value) / (count(value) + 1) - (sum(value) / (count(value) + 1)) * (sum(value) / (count(value) + 1)) + 1e-9, 4) AS vc
 FROM events GROUP BY user_id HAVING count(value) > 1"""
 )
 def online_variance(spark, d):
     folds = [("streamflow", "variance", "v"), ("streamflow", "std", "s"), ("streamflow", "variance_sample", "vs"), ("streamflow", "variance_compat", "vc")]
     out = aggregates.fold_cells(_series(spark, d).df, ["feature_id"], folds).where("v is not null")
-    return out.select("feature_id", *[F.round(o, 4).alias(o) for _, _, o in folds])
+    return out.select("feature_id", *[_rounded(o).alias(o) for _, _, o in folds])
 
 
 @query("SELECT user_id AS feature_id, round(median(value), 6) AS v FROM events GROUP BY user_id")
@@ -274,25 +279,25 @@ def duplicate_ids(spark, d):
 
 
 @query(
-    """SELECT event_type, user_id, max(value) AS max_duration, min(value) AS min_duration, count(value) AS calls, round(avg(value), 4) AS mean_duration, round(sum(value), 4) AS total_duration
+    """SELECT event_type, user_id, max(value) AS max_duration, min(value) AS min_duration, count(value) AS calls, round(avg(value) + 1e-9, 4) AS mean_duration, round(sum(value), 4) AS total_duration
 FROM events GROUP BY 1, 2 HAVING min(value) >= 1 ORDER BY max(value) DESC, avg(value) DESC, event_type, user_id LIMIT 15"""
 )
 def timing_stats_topk(spark, d):
     out = aggregates.timing_statistics(_t(spark, d, "events"), ["event_type", "user_id"], "value", 1.0)
-    return out.withColumns({"mean_duration": F.round("mean_duration", 4), "total_duration": F.round("total_duration", 4)})
+    return out.withColumns({"mean_duration": _rounded("mean_duration"), "total_duration": F.round("total_duration", 4)})
 
 
 @query(
     f"""
 WITH e AS (SELECT user_id, value, ts, {SECONDS} AS lead, {BUCKET} AS bucket FROM events),
 b AS (SELECT bucket, max(lead) AS last, min(ts) - INTERVAL 1 HOUR AS bound_low, max(ts) AS bound_high FROM e GROUP BY 1)
-SELECT e.bucket, e.user_id AS feature_id, round(avg(value), 4) AS mean_flow, any_value(bound_high) AS bound_high,
+SELECT e.bucket, e.user_id AS feature_id, round(avg(value) + 1e-9, 4) AS mean_flow, any_value(bound_high) AS bound_high,
   any_value(CASE WHEN last >= 86400 AND last % 86400 = 0 THEN 'day' || (last // 86400) ELSE (last // 3600) || 'hours' END) AS "group", any_value(bound_low) AS bound_low
 FROM e JOIN b USING (bucket) GROUP BY 1, 2"""
 )
 def group_by_lead_mean(spark, d):
     out = aggregates.group_by_lead(_series(spark, d).df, "lead_seconds", 86400, ["feature_id"], [("streamflow", "mean", "mean_flow")], "time")
-    return out.withColumn("mean_flow", F.round("mean_flow", 4))
+    return out.withColumn("mean_flow", _rounded("mean_flow"))
 
 
 @query("SELECT o_orderkey, CAST(dayofyear(o_orderdate) + CASE WHEN dayofyear(o_orderdate) > 59 AND NOT ((year(o_orderdate) % 4 = 0 AND year(o_orderdate) % 100 <> 0) OR year(o_orderdate) % 400 = 0) THEN 1 ELSE 0 END AS INTEGER) AS day FROM orders")
@@ -521,7 +526,7 @@ def masked_divide(spark, d):
     f"""
 WITH e AS (SELECT user_id, value, {SECONDS} AS lead, {BUCKET} AS bucket FROM events),
 b AS (SELECT bucket, max(lead) AS last FROM e GROUP BY 1)
-SELECT e.user_id AS feature_id, round(avg(value * 35.3146667), 4) AS mean_flow,
+SELECT e.user_id AS feature_id, round(avg(value * 35.3146667) + 1e-9, 4) AS mean_flow,
   CASE WHEN last >= 86400 AND last % 86400 = 0 THEN 'day' || (last // 86400) ELSE (last // 3600) || 'hours' END AS "group"
 FROM e JOIN b USING (bucket) GROUP BY 1, 3"""
 )
@@ -537,4 +542,4 @@ def flagship_forecast_profile(spark, d):
         }
     )
     out = profile.run(_series(spark, d)).df
-    return out.select("feature_id", "group", F.round("mean_flow", 4).alias("mean_flow"))
+    return out.select("feature_id", "group", _rounded("mean_flow").alias("mean_flow"))
