@@ -79,7 +79,7 @@ class Shingles:
         n = max(1, len(h) - self.width + 1)
         out = np.full(n, np.uint64(min(self.width, len(h))))
         for k in range(min(self.width, len(h))):
-            out = (out ^ _mix(h[k : k + n] + np.uint64(k) * B)) * A
+            out = (out ^ _mix(h[k : k + n] + np.uint64(k * int(B) % 2**64))) * A
         return np.unique(_mix(out))
 
 
