@@ -1,9 +1,10 @@
 """Mixing sources to target weights in DataFrame functions only: a low-discrepancy schedule of equal-token blocks.
 
-Each source's documents are shuffled by a hash and laid on a tape, at most ``most`` laps of it, and the tape is cut
-into blocks of equally many tokens. A schedule has one slot a block of the whole mix; slot i takes the point i * phi
-mod 1 (golden ratio, in 32-bit whole numbers), which the sources' cumulative targets map to a source. The r-th slot of
-a source takes its r-th block, so any stretch of the schedule has the sources near their shares.
+Each source's documents are shuffled by a hash and laid on a tape, at most ``most`` laps of it. The tape is cut at the
+source's target, to the nearest word, and into blocks of equally many tokens, of which the last may be shorter: a source
+below a block has one short block. A schedule has one slot a block of the whole mix. The points i * phi mod 1 (golden
+ratio, in 32-bit whole numbers) of the slots i, ranked, are dealt to the sources in order, to each as many as it has
+blocks. The r-th slot of a source takes its r-th block, so any stretch of the schedule has the sources near their shares.
 
 Targets: a source's share of all tokens by its weight, stopped at ``most`` times its size, the excess shared again by
 weight until none is above. Prefix sums are dealt by (source, hash bucket), so no task holds a whole source.
@@ -22,10 +23,10 @@ from rivulet.llm.common import running_sum, settle
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
-SLOTS = 1 << 17  # blocks in the mix, about, until blocks have BLOCK_TOKENS
+SLOTS = 1 << 17  # full blocks in the mix, about, until blocks have BLOCK_TOKENS
 BLOCK_TOKENS = 1 << 16
 PHI32 = 2654435769  # 2**32 divided by the golden ratio: a fixed value
-CELL = 1 << 20
+CELL = 1 << 10
 
 
 def words(text: Column) -> Column:
@@ -62,24 +63,26 @@ def mix(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST,
     targets = settle(source_targets(sizes, weights, most))
     total = targets.agg(F.coalesce(F.sum("source_size"), F.lit(0)).alias("n")).first()["n"]
     block = max(1, min(BLOCK_TOKENS, total // SLOTS), -(-total // (1 << 31)))
-    slots = -(-total // block)
+    quotas = targets.withColumn("words", F.round("target").cast("long")).where("words > 0")
+    quotas = quotas.withColumn("blocks", F.floor((F.col("words") + block - 1) / block))
+    slots = quotas.agg(F.coalesce(F.sum("blocks"), F.lit(0)).alias("n")).first()["n"]
 
     cumulative = Window.orderBy("sid").rowsBetween(Window.unboundedPreceding, 0)
-    edge = F.round(F.sum("target").over(cumulative) / max(total, 1) * 2**32).cast("long")
-    ranges = targets.where("target > 0").withColumn("hi", edge)
-    ranges = ranges.withColumn("lo", F.lag("hi", 1, 0).over(Window.orderBy("sid"))).where("hi > lo")
+    ranges = quotas.withColumn("hi", F.sum("blocks").over(cumulative)).withColumn("lo", F.col("hi") - F.col("blocks"))
     ranges = ranges.select("sid", "lo", "hi", F.explode(F.sequence(F.floor(F.col("lo") / CELL), F.floor((F.col("hi") - 1) / CELL))).alias("cell"))
 
-    points = sizes.sparkSession.range(slots).select(F.col("id").alias("slot"), ((F.col("id") * F.lit(PHI32)) % F.lit(1 << 32)).alias("point"))
-    points = points.withColumn("cell", F.floor(F.col("point") / CELL))
-    schedule = points.join(ranges, "cell").where("point >= lo and point < hi").select("sid", "slot", F.lit(1).alias("one"))
+    points = sizes.sparkSession.range(slots).select(F.col("id").alias("slot"), ((F.col("id") * F.lit(PHI32)) % F.lit(1 << 32)).alias("point"), F.lit(1).alias("one"))
+    points = running_sum(points, [], ["point"], "one", "rank", F.floor(F.col("point") / (1 << 23)))
+    points = points.withColumn("cell", F.floor(F.col("rank") / CELL))
+    schedule = points.join(ranges, "cell").where("rank >= lo and rank < hi").select("sid", "slot", "one")
     schedule = running_sum(schedule, ["sid"], ["slot"], "one", "block", F.floor(F.col("slot") / max(1, -(-slots // 512))))
 
-    own = sizes.alias("d").join(targets.alias("t"), F.col("d.source").eqNullSafe(F.col("t.source"))).where("d.size > 0")
-    own = own.select("t.sid", "t.source_size", "d.doc_id", "d.size", F.xxhash64(F.lit(seed), "d.doc_id").alias("h"))
+    own = sizes.alias("d").join(quotas.alias("t"), F.col("d.source").eqNullSafe(F.col("t.source"))).where("d.size > 0")
+    own = own.select("t.sid", "t.source_size", "t.words", "d.doc_id", "d.size", F.xxhash64(F.lit(seed), "d.doc_id").alias("h"))
     own = running_sum(own, ["sid"], ["h", "doc_id", "size"], "size", "begin", F.pmod("h", F.lit(512)))
     laps = own.select("*", F.explode(F.sequence(F.lit(0), F.lit(most - 1))).alias("lap"))
-    laps = laps.withColumn("a", F.col("begin") + F.col("lap") * F.col("source_size")).withColumn("b", F.col("a") + F.col("size"))
+    laps = laps.withColumn("a", F.col("begin") + F.col("lap") * F.col("source_size")).where("a < words")
+    laps = laps.withColumn("b", F.least(F.col("a") + F.col("size"), F.col("words")))
     cut = laps.select("*", F.explode(F.sequence(F.floor(F.col("a") / block), F.floor((F.col("b") - 1) / block))).alias("block"))
     start = F.greatest(F.col("a"), F.col("block") * block)
     cut = cut.select("sid", "block", "doc_id", "size", "begin", (start - F.col("a")).alias("start"), (F.least(F.col("b"), (F.col("block") + 1) * block) - start).alias("length"))

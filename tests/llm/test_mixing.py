@@ -1,6 +1,8 @@
 import re
 from collections import Counter, defaultdict
 
+import pytest
+
 from rivulet.llm.mixing import mix, resample, sized, taken
 
 SCHEMA = "doc_id long, text string, source string, size string"
@@ -70,3 +72,17 @@ def test_real_documents_schedule_and_resample(spark, small):
     n = Counter(r.doc_id for r in out.collect())
     t = {r.doc_id: r for r in taken(df).collect()}
     assert all(n[d] == int(r.taken / max(1, r.size) + 0.5) for d, r in t.items())
+
+
+@pytest.mark.parametrize("total", [80_000_000, 5_000_000_000])
+def test_small_sources_meet_their_targets_in_large_corpora(spark, total):
+    rows = [(k, f"s{k % 3}", total // 900) for k in range(900)]
+    for k, n in enumerate((1, 7, 100, 500, 5000, 20_000)):
+        rows += [(1000 + 10 * k + j, f"tiny{k}", m) for j, m in enumerate((n - n // 3, n // 3)) if m]
+    targets, pieces = mix(spark.createDataFrame(rows, "doc_id long, source string, size long"))
+    got = Counter({r.sid: r.n for r in pieces.groupBy("sid").agg({"length": "sum"}).withColumnRenamed("sum(length)", "n").collect()})
+    for r in targets.collect():
+        assert abs(got[r.sid] - r.target) <= 0.5, (r, got[r.sid])
+    assert pieces.where("start < 0 or length < 1 or start + length > size").count() == 0
+    slots = pieces.select("slot", "sid").distinct()
+    assert slots.count() == slots.agg({"slot": "max"}).first()[0] + 1
