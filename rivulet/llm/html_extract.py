@@ -1,8 +1,11 @@
 """Main-text extraction from raw HTML by scoring the element tree.
 
 Each page is read once into a tree of elements and text blocks; boilerplate elements (menus, headers and footers of
-the page, sidebars, notices, adverts, forms, comments, scripts, styles) are cut by element name, role, or class and id
-words. Each remaining paragraph-like block passes points to its ancestors, one plus one a comma plus one a hundred
+the page, forms, scripts, styles) are cut by element name or role. Elements named as boilerplate by the head word of a
+class or id (sidebars, notices, adverts, comments) score less, and are cut if most of their text is links, or if all
+elements of that name hold at most half of the page's unlinked text; more is cut only as a discussion beside an article.
+Names of states (has-sidebar) and ids of headings and sections, which are slugs of their titles (but for the id
+"comments" outside an article), cut nothing, and a name of content beside that of boilerplate keeps the element. Each remaining paragraph-like block passes points to its ancestors, one plus one a comma plus one a hundred
 characters (three at most): all to the parent, half to the grandparent, a third and less further up. An ancestor's
 score is discounted by its link density, the share of its text inside links. The best container is kept together with
 those siblings that score near it or hold a long, comma-rich, link-poor paragraph. Its blocks, in page order, are the
@@ -22,6 +25,7 @@ from __future__ import annotations
 import html as entities
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -56,16 +60,25 @@ NOISE = frozenset(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs combx comment comments commentlist community consent cookie cookies copyright disqus disclaimer dialog foot footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted promotion recommended related remark replies reply search share sharing shoutbox sidebar side signup skip social sponsor sponsored subscribe tags toolbar widget widgets".split()
 )
 CONTENT = frozenset("article articlebody body content entry hentry main maincontent page post story text".split())
+#: Words before which a name's head does not matter, and those that may follow its head.
+STATES = frozenset("no has have with without hide show is".split())
+TAILS = frozenset("area areas articles bar block blocks bottom box button buttons card center column container content count footer form group holder icons inner item items label left line link links list main module outer panel posts region right row section slot stories text title toggle top unit wrap wrapper zone".split())
+TALK = frozenset("combx comment comments commentlist disqus remark replies reply shoutbox".split())
+ARTICLE = 250  # characters of unlinked text
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar alert alertdialog dialog note toolbar".split())
 WORD = re.compile(r"[A-Z]?[a-z0-9]+|[A-Z]+")
 
 
+NONE: frozenset[str] = frozenset()
+
+
 class Node:
-    __slots__ = ("children", "links", "name", "parent", "score", "size", "weight")
+    __slots__ = ("children", "links", "name", "noise", "parent", "score", "size", "weight")
 
     def __init__(self, name: str, parent: Node | None, weight: float = 0.0):
         self.name, self.parent, self.weight = name, parent, weight
         self.children: list[Node | str] = []
+        self.noise: frozenset[str] = NONE
         self.score = 0.0
         self.size = self.links = 0
 
@@ -79,16 +92,42 @@ def _boilerplate(name: str, attrs: dict[str, str], inside: set[str]) -> bool:
         return True
     if name == "header":
         return "article" not in inside and "main" not in inside
-    if attrs.get("role", "").lower() in ROLES:
-        return True
-    if name in ("html", "body", "article", "main", "p", "b", "i", "em", "strong", "span", "a", "h1", "h2"):
-        return name == "span" and bool(NOISE & _names(attrs))
-    names = _names(attrs)
-    return bool(names & NOISE) and not names & CONTENT or bool(names & {"comments", "comment", "sidebar", "ad", "ads", "cookie"})
+    return name not in ("html", "body", "article", "main") and attrs.get("role", "").lower() in ROLES
+
+
+@lru_cache(maxsize=4096)
+def _names(classes: str, id_: str) -> tuple[frozenset[str], frozenset[str], bool]:
+    """Boilerplate words that are the heads of classes, those of the id, and whether a class or the id names content."""
+
+    def head(name: str) -> str:
+        words = [w.lower() for w in WORD.findall(name)]
+        if STATES & set(words[:-1]):
+            return ""
+        while len(words) > 1 and (words[-1] in TAILS or words[-1].isdigit()) and words[-1] not in NOISE:
+            words.pop()
+        if len(words) > 1 and words[-1] in TAILS & NOISE and words[-2] in NOISE:
+            words.pop()
+        return words[-1] if words else ""
 
+    def content(name: str) -> bool:
+        words = {w.lower() for w in WORD.findall(name)}
+        return bool(words & CONTENT) and head(name) not in NOISE
 
-def _names(attrs: dict[str, str]) -> set[str]:
-    return {w.lower() for w in WORD.findall(attrs.get("class", "") + " " + attrs.get("id", ""))}
+    of_class = frozenset(head(c) for c in classes.split()) & NOISE
+    return of_class, frozenset([head(id_)]) & NOISE, any(content(x) for x in [*classes.split(), id_])
+
+
+def _noise(name: str, attrs: dict[str, str], inside: bool) -> tuple[frozenset[str], float]:
+    """The boilerplate words that may cut an element, and the points its names give it."""
+    of_class, of_id, content = _names(attrs.get("class", ""), attrs.get("id", ""))
+    heading = name in ("h1", "h2", "h3", "h4", "h5", "h6")
+    points = 25.0 * content - 25.0 * bool(of_class or of_id and not heading)
+    if content or name in ("html", "body", "article", "main", "p", "b", "i", "em", "strong", "a", "h1", "h2"):
+        return NONE, points
+    slug = heading or name == "section" or "section" in attrs.get("class", "").split()
+    if slug and not heading and not inside and attrs.get("id", "").lower() in TALK:
+        slug = False
+    return of_class if slug else of_class | of_id, points
 
 
 def tree(html: str) -> Node:
@@ -140,12 +179,14 @@ def tree(html: str) -> Node:
                         break
                 node = open_[-1]
             a = _attributes(attrs) if attrs.strip() else {}
-            if _boilerplate(name, a, {k for k in ("article", "main") if inside.get(k)}):
+            within = {k for k in ("article", "main") if inside.get(k)}
+            if _boilerplate(name, a, within):
                 dropping = [name]
                 continue
-            names = _names(a) if a else set()
-            weight = 25.0 * (bool(names & CONTENT) + (a.get("role") == "main") + 2 * (name in ("article", "main")) + (a.get("itemprop") == "articleBody")) - 25.0 * bool(names & NOISE)
+            noise, points = _noise(name, a, bool(within)) if a else (NONE, 0.0)
+            weight = 25.0 * ((a.get("role") == "main") + 2 * (name in ("article", "main")) + (a.get("itemprop") == "articleBody")) + points
             child = Node(name, node, weight)
+            child.noise = noise
             node.children.append(child)
             open_.append(child)
             inside[name] = inside.get(name, 0) + 1
@@ -207,18 +248,52 @@ def _blocks(node: Node) -> list[str]:
     return out
 
 
-def main_text(html: str | None) -> str:
-    if not html:
-        return ""
-    root = tree(html)
+def _measured(root: Node) -> list[Node]:
+    """All elements, parents first, with the sizes of their texts and of the links in these."""
     nodes = _walk(root)
     for x in reversed(nodes):
+        x.size = x.links = 0
         for c in x.children:
             if isinstance(c, Node):
                 x.size += c.size
                 x.links += c.size if c.name == "a" else c.links
             else:
                 x.size += len(c.strip())
+    return nodes
+
+
+def _without_noise(root: Node, nodes: list[Node]) -> list[Node]:
+    """Cuts the elements that are named as boilerplate and whose sizes agree; the page as it is if nothing else is there."""
+    under: dict[int, frozenset[str]] = {id(root): NONE}
+    total: dict[str, int] = {}  # unlinked text in the outermost elements of a name
+    for x in nodes[1:]:
+        above = under[id(x.parent)]
+        for w in x.noise - above:
+            total[w] = total.get(w, 0) + x.size - x.links
+        under[id(x)] = above | x.noise if x.noise else above
+    if not total:
+        return nodes
+    page = root.size - root.links
+    cut = {w for w, n in total.items() if 2 * n <= page or w in TALK and page - n >= max(ARTICLE, page // 10)}
+    gone: list[tuple[Node, list[Node | str]]] = []
+    for x in nodes:
+        left = [c for c in x.children if not (isinstance(c, Node) and c.noise and (c.noise & cut or 2 * c.links > c.size))]
+        if len(left) < len(x.children):
+            gone.append((x, x.children))
+            x.children = left
+    now = _measured(root)
+    if not root.size:
+        for x, children in gone:
+            x.children = children
+        now = _measured(root)
+    return now
+
+
+def main_text(html: str | None) -> str:
+    if not html:
+        return ""
+    root = tree(html)
+    nodes = _without_noise(root, _measured(root))
     scored: list[Node] = []
     for x in nodes:
         own = x.name in PARAGRAPHS or (x.name not in ("a", "#root") and any(isinstance(c, str) and len(c.strip()) > 24 for c in x.children) and x.name in BLOCKS)

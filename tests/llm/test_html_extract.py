@@ -56,3 +56,27 @@ def test_edges(spark):
     assert out[3].text == "plain <text> here" and out[4].text == "a" and out[5].text == "" and out[6].text == ""
     assert out[7].n_chars == 6 * 200_000 - 1 and out[8].text == "x y z w v u t a < b" and out[9].text == "deep words, here, and there"
     assert extract(df.where("false")).collect() == []
+
+
+ARTICLE = f"<p>{P1}</p><p>{P2}</p><p>{P3}</p>"
+
+
+@pytest.mark.parametrize("attrs", ['class="content no-sidebar"', 'id="page" class="site has-sidebar"', 'class="layout with-sidebar"', 'class="content sidebar"', 'class="widget"', 'class="comment"', 'id="ad"'])
+def test_names_of_noise_do_not_delete_an_article(attrs):
+    assert main_text(f"<body><div {attrs}>{ARTICLE}</div></body>") == f"{P1} {P2} {P3}"
+
+
+@pytest.mark.parametrize("part", ['<section id="related-work">{}</section>', '<section id="search">{}</section>', '<div id="search-algorithms">{}</div>', '<h3 id="share-price">Price</h3>{}', '<div class="social-science">{}</div>'])
+def test_slugs_of_headings_and_sections_stay(part):
+    text = f"{'Price ' if 'h3' in part else ''}{P2}"
+    assert main_text(f"<body><article><p>{P1}</p>{part.replace('{}', f'<p>{P2}</p>')}<p>{P3}</p></article></body>") == f"{P1} {text} {P3}"
+
+
+def test_parts_of_one_name_and_long_discussions():
+    parts = "".join(f'<div class="x-widget x-widget-text"><p>{p}</p></div>' for p in (P1, P2, P3))
+    assert main_text(f"<body><div>{parts}</div></body>") == f"{P1} {P2} {P3}"
+    talk = "".join(f'<li class="comment"><div class="comment-body"><p>{P2} {P1} No {k}.</p></div></li>' for k in range(9))
+    for page in (f"<div>{ARTICLE}<ol class='comment-list'>{talk}</ol></div>", f"<article>{ARTICLE}</article><div id='comments' class='comments-area'><ol>{talk}</ol></div>"):
+        assert main_text(f"<body>{page}</body>") == f"{P1} {P2} {P3}"
+    menu = "".join(f"<li><a href=/{k}>Another story, with a long title, number {k}</a></li>" for k in range(40))
+    assert main_text(f"<body><div>{ARTICLE}<div class='related-posts'><ul>{menu}</ul></div></div></body>") == f"{P1} {P2} {P3}"
