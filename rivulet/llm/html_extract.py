@@ -12,8 +12,8 @@ those siblings that score near it or hold a long, comma-rich, link-poor paragrap
 text. White space within a block becomes one space, and blocks are joined by one space.
 
 This reader is a plain tokeniser with the parts of HTML's rules that matter here: void elements, implied ends of
-paragraphs, list items, table cells and options, raw text of scripts and styles, comments, and ends of elements that
-were never begun. It runs inside tasks, page by page; nothing is shuffled.
+the head, paragraphs, list items, parts of tables and options, raw text of scripts and styles, comments, and ends of
+elements that were never begun. Boilerplate elements end by the same rules as others. It runs inside tasks, page by page; nothing is shuffled.
 
 Edge cases: null, empty, or text-free html gives the empty text; html without any element is one block; unclosed and
 crossing elements are accepted; very long pages are read in linear time; repeated rows give repeated rows; extra
@@ -50,11 +50,14 @@ CLOSES = {
     "li": (("li", "p"), ("ul", "ol", "menu")),
     "dt": (("dt", "dd", "p"), ("dl",)),
     "dd": (("dt", "dd", "p"), ("dl",)),
-    "tr": (("tr", "td", "th", "p"), ("table",)),
+    **{k: (("caption", "colgroup", "tbody", "thead", "tfoot", "tr", "td", "th", "p"), ("table",)) for k in ("tbody", "thead", "tfoot")},
+    "tr": (("caption", "colgroup", "tr", "td", "th", "p"), ("table",)),
     "td": (("td", "th", "p"), ("tr", "table")),
     "th": (("td", "th", "p"), ("tr", "table")),
     "option": (("option",), ("select",)),
 }
+TABLE = frozenset("tbody thead tfoot tr td th".split())
+HEAD = frozenset("base bgsound head link meta noscript script style template title".split())  # do not end the head
 #: Words of a class or id, or roles, that mark boilerplate, and those that mark content.
 NOISE = frozenset(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs combx comment comments commentlist community consent cookie cookies copyright disqus disclaimer dialog foot footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted promotion recommended related remark replies reply search share sharing shoutbox sidebar side signup skip social sponsor sponsored subscribe tags toolbar widget widgets".split()
@@ -73,12 +76,13 @@ NONE: frozenset[str] = frozenset()
 
 
 class Node:
-    __slots__ = ("children", "links", "name", "noise", "parent", "score", "size", "weight")
+    __slots__ = ("children", "dropped", "links", "name", "noise", "parent", "score", "size", "weight")
 
     def __init__(self, name: str, parent: Node | None, weight: float = 0.0):
         self.name, self.parent, self.weight = name, parent, weight
         self.children: list[Node | str] = []
         self.noise: frozenset[str] = NONE
+        self.dropped = False  # open, but with all that is in it not part of the tree
         self.score = 0.0
         self.size = self.links = 0
 
@@ -137,21 +141,33 @@ def tree(html: str) -> Node:
     inside: dict[str, int] = {}
     at = skip = 0
     lower: str | None = None
-    dropping: list[str] = []  # open elements within a dropped one
     n = len(html)
+
+    def close(k: int) -> None:
+        for gone in open_[k:]:
+            inside[gone.name] -= 1
+        del open_[k:]
+
     while at < n:
         m = TOKEN.search(html, at)
         text = html[at : m.start() if m else n]
-        if text and not dropping:
-            node.children.append(text)
+        if text:
+            if node.name == "head" and text.strip():
+                close(len(open_) - 1)
+                node = open_[-1]
+            if not node.dropped:
+                node.children.append(text)
         if not m:
             break
         at = m.end()
         end, name, attrs = m[1], m[2], m[3]
         if name:
             name = name.lower()
+            if node.name == "head" and name not in HEAD:
+                close(len(open_) - 1)
+                node = open_[-1]
             if name in VOID:
-                if not dropping and name in ("br", "hr"):
+                if not node.dropped and name in ("br", "hr"):
                     node.children.append(Node(name, node))
                 continue
             if name in RAW:
@@ -161,51 +177,47 @@ def tree(html: str) -> Node:
                 skip = html.find(">", at)
                 at = n if skip < 0 or stop < 0 else skip + 1
                 continue
-            if dropping:
-                if name == dropping[0]:
-                    dropping.append(name)
-                continue
             if attrs.rstrip().endswith("/") and name in ("svg", "path"):
                 continue
             rule = CLOSES.get(name)
-            if rule:
+            if rule and any(inside.get(x) for x in rule[0]):
+                across = name in TABLE and inside.get("table")
+                last = 0
                 for k in range(len(open_) - 1, 0, -1):
                     if open_[k].name in rule[0]:
-                        for gone in open_[k:]:
-                            inside[gone.name] -= 1
-                        del open_[k:]
+                        last = k
+                    elif open_[k].name in rule[1] or not across and open_[k].name in ("div", "article", "section", "main", "body"):
                         break
-                    if open_[k].name in rule[1] or open_[k].name in ("div", "article", "section", "main", "body"):
-                        break
-                node = open_[-1]
-            a = _attributes(attrs) if attrs.strip() else {}
-            within = {k for k in ("article", "main") if inside.get(k)}
-            if _boilerplate(name, a, within):
-                dropping = [name]
-                continue
-            noise, points = _noise(name, a, bool(within)) if a else (NONE, 0.0)
-            weight = 25.0 * ((a.get("role") == "main") + 2 * (name in ("article", "main")) + (a.get("itemprop") == "articleBody")) + points
-            child = Node(name, node, weight)
-            child.noise = noise
-            node.children.append(child)
+                if last:
+                    close(last)
+                    node = open_[-1]
+            child = Node(name, node)
+            if node.dropped:
+                child.dropped = True
+            else:
+                a = _attributes(attrs) if attrs.strip() else {}
+                within = {k for k in ("article", "main") if inside.get(k)}
+                if _boilerplate(name, a, within):
+                    child.dropped = True
+                else:
+                    child.noise, points = _noise(name, a, bool(within)) if a else (NONE, 0.0)
+                    child.weight = 25.0 * ((a.get("role") == "main") + 2 * (name in ("article", "main")) + (a.get("itemprop") == "articleBody")) + points
+                    node.children.append(child)
             open_.append(child)
             inside[name] = inside.get(name, 0) + 1
             node = child
         elif end:
             end = end.lower()
-            if dropping:
-                if end == dropping[0]:
-                    dropping.pop()
-                elif end in ("body", "html"):
-                    dropping = []
-                continue
             if inside.get(end):
                 k = len(open_) - 1
                 while open_[k].name != end:
                     k -= 1
-                for gone in open_[k:]:
-                    inside[gone.name] -= 1
-                del open_[k:]
+                # The end of a stray inline element does not end a dropped block that it crosses.
+                if end in BLOCKS or open_[k].dropped or not node.dropped:
+                    close(k)
+                    node = open_[-1]
+            elif end in ("body", "html") and node.dropped:
+                close(next(k for k, x in enumerate(open_) if x.dropped))
                 node = open_[-1]
     return root
 

@@ -80,3 +80,29 @@ def test_parts_of_one_name_and_long_discussions():
         assert main_text(f"<body>{page}</body>") == f"{P1} {P2} {P3}"
     menu = "".join(f"<li><a href=/{k}>Another story, with a long title, number {k}</a></li>" for k in range(40))
     assert main_text(f"<body><div>{ARTICLE}<div class='related-posts'><ul>{menu}</ul></div></div></body>") == f"{P1} {P2} {P3}"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<html><head><title>T</title><meta charset=x><body>{ARTICLE}</body></html>",
+        f"<head><title>T</title>{ARTICLE}",
+        f"<head><title>T</title><p>{P1}<p>{P2}<p>{P3}",
+        f"<body><div><p hidden>Not, to, be, seen.{ARTICLE}</div></body>",
+        f"<body><div><ul><li hidden>Not, to, be, seen<p>at all.<li><p>{P1}<li><p>{P2}<li><p>{P3}</ul></div></body>",
+        f"<body><table><tr><td class=nav aria-hidden=true><p>Not, to, be<td><p>{P1}<p>{P2}<p>{P3}</table></body>",
+        f"<body><table><tr hidden><td>Not, to, be<tr><td><p>{P1}<p>{P2}<p>{P3}</table></body>",
+        f"<body><table><thead hidden><tr><td>Not, to, be<tbody><tr><td><p>{P1}<p>{P2}<p>{P3}</table></body>",
+        f"<body><div><table><tr><td class=nav><a href=/>Not, to, be</tr></table><p>{P1}<p>{P2}<p>{P3}</div></body>",
+        f"<body><div><ul><li class=share>Not, to, be</ul><p>{P1}<p>{P2}<p>{P3}</div></body>",
+        f"<body><div><div><nav>Not, to, be<b>this</b></i></div>{ARTICLE}</div></body>",
+        f"<body><nav>Not, to, be</body>{ARTICLE}",
+    ],
+)
+def test_dropped_elements_end_where_html_lets_their_end_tags_be_omitted(page):
+    assert main_text(page) == f"{P1} {P2} {P3}"
+
+
+def test_tags_within_dropped_elements_stay_dropped():
+    assert main_text(f"<body><div><b><nav><ul><li>x, y</b><li>z, u</ul>More, of, the menu</nav></b>{ARTICLE}</div></body>") == f"{P1} {P2} {P3}"
+    assert main_text(f"<body><div><select><option>a<option>b</select><nav><div><nav>x</nav>y</div>z</nav>{ARTICLE}</div></body>") == f"{P1} {P2} {P3}"
