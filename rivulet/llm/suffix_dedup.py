@@ -10,12 +10,15 @@ bytes always have one common shift, below the period, at which both are sampled
    bucket is sorted at a time; its ties are the cover samples that do not have a rank of their own across blocks.
 3. Only suffixes with a tied sample inside their window can tie for ``length`` bytes, and only these are dealt again,
    as short stretches of text: all suffixes of a stretch share their smallest inner fingerprint, which is their
-   bucket. Each bucket is sorted by its suffixes' first ``length`` bytes, ties are compared byte by byte, and all but
+   bucket. The dealt bytes of each such fingerprint are counted first: suffixes of a frequent one (of a line that many
+   documents have among different neighbours) are dealt one by one, by the fingerprint of their first ``length`` bytes,
+   which only equal strings share. Each bucket is sorted by its suffixes' first ``length`` bytes, ties are compared byte by byte, and all but
    the first of a class by (doc_id, start) are reported to their block.
 4. Blocks turn reported and local starts into byte spans.
 
-Within a block only the first of equal suffixes is sent anywhere, so a group of copies costs a bucket at most one
-entry a block, however many rows it has. Memory is bounded by the block and by the bucket; both counts grow with the
+Within a block only the first of equal suffixes is sent anywhere, so a string of full length, however many rows have
+it, costs a bucket at most one entry a block. Strings that only share a part of it are kept from meeting in one bucket by
+the count, at the cost of ``length`` bytes for each suffix of a frequent fingerprint. Memory is bounded by the block and by the bucket; both counts grow with the
 input. Results are those of the input as given: overlaps count.
 
 Edge cases: null text is empty; an empty text has zero bytes and spans and the hash of no bytes; texts shorter than
@@ -44,6 +47,7 @@ COVERS = {7: (1, 2, 4), 13: (0, 1, 3, 9), 31: (1, 5, 11, 24, 25, 27), 57: (0, 1,
 BLOCK_BYTES = 2 << 20  # of text in a packed block, and in a slice of a longer text
 BUCKET_KEYS = 1 << 19  # sampled suffixes in a bucket, about
 BUCKET_BYTES = 3 << 20  # of dealt text in a bucket, about
+HOT = 4  # buckets' worth of dealt text that makes a smallest fingerprint a frequent one
 
 ROOT = np.uint64(0x9E3779B97F4A7C15)
 UNROOT = np.uint64(pow(int(ROOT), -1, 1 << 64))
@@ -261,45 +265,88 @@ def _tied_across(pdf: pd.DataFrame) -> pd.DataFrame:
     return pdf[["block", "slice", "bucket"]].assign(marks=marks)[some]
 
 
-def _stretches(bits: int, buckets: int, length: int, period: int):
-    """For each block: its own later starts, and stretches of text with starts that other blocks may share."""
+def _opened(r, by_slice: dict, bits: int, length: int, period: int):
+    """A block's slices with their own later starts, and, where other blocks may share starts, these (or None) in runs
+    that have one smallest inner fingerprint each: first positions, lengths and fingerprints."""
     inner = length - period + 1
+    for s in _slices(r.ids, r.sizes, r.blob, length, period):
+        keys, inverse, counts = s.sorted_keys(bits)
+        later = s.locally_later(inverse, counts)
+        mine = by_slice.get(s.number)
+        if mine is None:
+            yield s, later, None
+            continue
+        bounds = np.searchsorted(keys, np.arange((1 << bits) + 1, dtype=np.uint64) << np.uint64(32))
+        tied = np.zeros(len(keys), bool)
+        for m in mine.itertuples():
+            a, b = bounds[m.bucket], bounds[m.bucket + 1]
+            tied[a:b] = np.unpackbits(np.frombuffer(m.marks, np.uint8), count=b - a).astype(bool)
+        open_ = _near(s.sample[tied[inverse]], len(s.buf), period) & s.whole
+        open_[later] = False
+        at = np.flatnonzero(open_)
+        if not len(at):
+            yield s, later, None
+            continue
+        low = s.grams.all(inner)
+        width = 1
+        while width < period:  # the smallest fingerprint among the next ``period``, by doubling
+            step = min(width, period - width)
+            low = np.minimum(low[:-step], low[step:])
+            width += step
+        least = low[at]
+        p, n = _runs(at, np.r_[True, (least[1:] != least[:-1]) | (np.diff(s.part[at]) != 0)])
+        yield s, later, (p, n, low[p])
+
+
+def _counted(bits: int, length: int, period: int, least: float):
+    """For each block: bytes and starts to deal for each smallest fingerprint that has at least so many bytes in it."""
+
+    def run(key: tuple, blocks: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
+        by_slice = dict(tuple(marks.groupby("slice")))
+        low, starts, size = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for r in blocks.itertuples():
+            for _, _, found in _opened(r, by_slice, bits, length, period):
+                if found is not None:
+                    low.append(found[2])
+                    starts.append(found[1])
+                    size.append(found[1] + length - 1)
+        values, inverse = np.unique(np.concatenate(low), return_inverse=True)
+        n, held = (np.bincount(inverse, np.concatenate(x), len(values)).astype(np.int64) for x in (starts, size))
+        some = held >= least
+        return pd.DataFrame({"low": values[some].view(np.int64), "bytes": held[some], "starts": n[some]})
+
+    return run
+
+
+def _stretches(bits: int, buckets: int, length: int, period: int, hot: np.ndarray):
+    """For each block: its own later starts, and stretches of text with starts that other blocks may share.
+
+    hot: the frequent smallest fingerprints, sorted.
+    """
 
     def run(key: tuple, blocks: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple] = []
         by_slice = dict(tuple(marks.groupby("slice")))
         for r in blocks.itertuples():
             ids = np.frombuffer(r.ids, np.int64)
-            for s in _slices(r.ids, r.sizes, r.blob, length, period):
-                keys, inverse, counts = s.sorted_keys(bits)
-                later = s.locally_later(inverse, counts)
+            for s, later, found in _opened(r, by_slice, bits, length, period):
                 if len(later):
                     p, n = _runs(later, np.r_[True, np.diff(s.part[later]) != 0])
                     part = s.part[p]
                     rows = np.stack([s.doc[part], p - s.begins[part] + s.offset[part], n])
                     out.append((int(r.block % buckets), r.block, True, rows.astype(np.int64).tobytes(), b""))
-                mine = by_slice.get(s.number)
-                if mine is None:
-                    continue
-                bounds = np.searchsorted(keys, np.arange((1 << bits) + 1, dtype=np.uint64) << np.uint64(32))
-                tied = np.zeros(len(keys), bool)
-                for m in mine.itertuples():
-                    a, b = bounds[m.bucket], bounds[m.bucket + 1]
-                    tied[a:b] = np.unpackbits(np.frombuffer(m.marks, np.uint8), count=b - a).astype(bool)
-                open_ = _near(s.sample[tied[inverse]], len(s.buf), period) & s.whole
-                open_[later] = False
-                at = np.flatnonzero(open_)
-                if not len(at):
+                if found is None:
                     continue
-                low = s.grams.all(inner)
-                width = 1
-                while width < period:  # the smallest fingerprint among the next ``period``, by doubling
-                    step = min(width, period - width)
-                    low = np.minimum(low[:-step], low[step:])
-                    width += step
-                least = low[at]
-                p, n = _runs(at, np.r_[True, (least[1:] != least[:-1]) | (np.diff(s.part[at]) != 0)])
-                to = (_mixed(low[p].copy()) % np.uint64(buckets)).astype(np.int64)
+                p, n, least = found
+                key_ = least
+                if len(hot):
+                    frequent = hot[np.minimum(np.searchsorted(hot, least), len(hot) - 1)] == least
+                    fp, fn = p[frequent], n[frequent]
+                    one = np.repeat(fp, fn) + np.arange(fn.sum()) - np.repeat(np.cumsum(fn) - fn, fn)
+                    p = np.r_[p[~frequent], one]
+                    n = np.r_[n[~frequent], np.ones(len(one), np.int64)]
+                    key_ = np.r_[least[~frequent], s.grams.at(one, length)]
+                to = (_mixed(key_.copy()) % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(to, kind="stable")
                 p, n, to = p[order], n[order], to[order]
                 part = s.part[p]
@@ -385,11 +432,8 @@ def _cut(length: int, keep_text: bool):
     return run
 
 
-def dedup_substrings(docs: DataFrame, length: int = 100, keep_text: bool = False) -> DataFrame:
-    """One row a document: doc_id, n_bytes, n_removed, n_spans (maximal removed runs) and kept_sha256.
-
-    keep_text adds ``spans`` ("start:end" in bytes, comma-joined) and ``kept``, the bytes that are left.
-    """
+def _dealt(docs: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+    """The packed blocks, and what each of them sends to the buckets."""
     small_batches(docs.sparkSession)
     period = cover_for(length)
     blocks = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -400,10 +444,26 @@ def dedup_substrings(docs: DataFrame, length: int = 100, keep_text: bool = False
     bits = max(3, (sampled // BUCKET_KEYS).bit_length())
     if bits > 31:
         raise ValueError("more suffix buckets than a block can address")
-    buckets = max(8, total // BUCKET_BYTES)
     keys = blocks.mapInPandas(_suffix_keys(bits, length, period), "bucket int, block long, slice int, keys binary")
     marks = keys.where(F.length("keys") > 0).groupBy("bucket").applyInPandas(_tied_across, "block long, slice int, bucket int, marks binary")
-    dealt = blocks.groupBy("block").cogroup(marks.groupBy("block")).applyInPandas(_stretches(bits, buckets, length, period), "bucket long, block long, local boolean, starts binary, texts binary")
+    marks = settle(marks)  # read twice
+    together = blocks.groupBy("block").cogroup(marks.groupBy("block"))
+    # Of a fingerprint with HOT buckets' worth, blocks with less than half an equal share hold less than half.
+    many = HOT * BUCKET_BYTES / 2
+    counts = together.applyInPandas(_counted(bits, length, period, many / max(1, blocks.count())), "low long, bytes long, starts long")
+    frequent = counts.groupBy("low").agg(F.sum("bytes").alias("bytes"), F.sum("starts").alias("starts")).where(F.col("bytes") >= many).collect()
+    hot = np.sort(np.array([r.low for r in frequent], np.int64).view(np.uint64))
+    buckets = max(8, (total + length * sum(r.starts for r in frequent)) // BUCKET_BYTES)
+    dealt = together.applyInPandas(_stretches(bits, buckets, length, period, hot), "bucket long, block long, local boolean, starts binary, texts binary")
+    return blocks, dealt
+
+
+def dedup_substrings(docs: DataFrame, length: int = 100, keep_text: bool = False) -> DataFrame:
+    """One row a document: doc_id, n_bytes, n_removed, n_spans (maximal removed runs) and kept_sha256.
+
+    keep_text adds ``spans`` ("start:end" in bytes, comma-joined) and ``kept``, the bytes that are left.
+    """
+    blocks, dealt = _dealt(docs, length)
     starts = dealt.groupBy("bucket").applyInPandas(_later_across(length), "block long, starts binary")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", spans string, kept binary" if keep_text else "")
     return blocks.groupBy("block").cogroup(starts.groupBy("block")).applyInPandas(_cut(length, keep_text), schema)

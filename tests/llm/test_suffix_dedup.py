@@ -1,5 +1,8 @@
 import hashlib
+import random
+from collections import Counter
 
+import numpy as np
 import pytest
 
 from rivulet.llm import suffix_dedup
@@ -76,3 +79,23 @@ def test_repeated_rows_and_empty_table(spark):
     df = spark.createDataFrame([(1, text), (1, text)], SCHEMA)
     assert sorted(r.n_removed for r in dedup_substrings(df).collect()) == [100, 110]
     assert dedup_substrings(df.where("false")).collect() == []
+
+
+def test_a_common_line_among_different_neighbours_is_spread(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", 4000)
+    rng = random.Random(3)
+    line = "This line, of eighty bytes, is that of a licence which many of the documents hold."[:80]
+    rows = [(k, "".join(rng.choices("abcdefgh ", k=150)) + line + "".join(rng.choices("abcdefgh ", k=150))) for k in range(400)]
+    rows += [(1000 + k, "x" + rows[k][1][100:300] + "y") for k in range(20)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(8)
+
+    def largest():
+        starts = Counter()
+        for r in suffix_dedup._dealt(df, 100)[1].where("not local").collect():
+            starts[r.bucket] += sum(np.frombuffer(r.starts, np.int64).reshape(4, -1)[3])
+        return max(starts.values()) / sum(starts.values())
+
+    assert largest() < 0.1
+    assert got(dedup_substrings(df)) == brute(rows, 100)
+    monkeypatch.setattr(suffix_dedup, "HOT", 1 << 40)  # without the count
+    assert largest() > 0.2
