@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -27,7 +28,6 @@ def got(df, asked):
 @pytest.mark.parametrize("block", [40, 8192])
 def test_against_brute_force(spark, monkeypatch, block):
     monkeypatch.setattr(topk, "BLOCK", block)
-    monkeypatch.setattr(topk, "POSSIBLE", 10)
     monkeypatch.setattr(topk, "QUERIES", 7)
     rng = np.random.default_rng(3)
     v = np.r_[rng.standard_normal((200, 12)) / 3, np.repeat(rng.standard_normal((1, 12)), 30, axis=0), np.zeros((5, 12))]
@@ -50,15 +50,38 @@ def test_real_vectors(spark, small):
     assert got(df, df.where("vec_id % 50 = 0")) == brute(rows, {i for i, _ in rows if i % 50 == 0})
 
 
-def test_stops_on_proof_only():
-    rng = np.random.default_rng(1)
-    v = np.floor(rng.standard_normal((3000, 16)) * 60).astype(np.int64)
-    v[7] = v[0] * 4
-    early = 0
-    for q in range(20):
-        index = ImpactIndex(np.arange(3000), v)
-        rows, scores, done = index.search(v[q], q, 5)
-        want = sorted(((-int(v[q] @ v[j])), j) for j in range(3000) if j != q)[:5]
+def test_repeated_rows_and_huge_numbers(spark):
+    rows = [(1, [0.5, 0.25]), (1, [0.5, -0.25]), (2, [1.0, 1.0]), (2, [1.0, 1.0]), (50, [1e30, 1.0]), (51, [-1e30, 0.0]), (52, [1e12, 1e12])]
+    df = spark.createDataFrame([(*r, 0) for r in rows], SCHEMA)
+    lo, hi = -(2**63), 2**63 - 1
+    whole = [(i, [min(max(math.floor(256 * x), lo), hi) for x in v]) for i, v in rows]
+    asked = {i: min(v for j, v in whole if j == i) for i, _ in whole}
+    want = []
+    for i, q in asked.items():
+        best = sorted((-min(max(sum(a * b for a, b in zip(q, v)), lo), hi), j) for j, v in whole if j != i)[:5]
+        want += [(i, n, j, -s) for n, (s, j) in enumerate(best, 1)]
+    assert got(df, df) == sorted(want)
+
+
+def vectors(path):
+    read = pq.read_table(path, columns=["embedding"]).column(0).to_pylist()
+    return np.floor(256 * np.array([v for v in read if v is not None], float)).astype(np.int64)
+
+
+@pytest.mark.parametrize("name, most", [("sf0.1", 0.5), ("sf0.01", 0.6)])
+def test_proof_stops_on_real_vectors(name, most):
+    v = vectors(f"/root/testdata/{name}/embeddings.parquet")[:4096]
+    index = ImpactIndex(np.arange(len(v)), v)
+    shares = []
+    for q in range(0, len(v), 50):
+        rows, scores, share = index.search(v[q], q, 5)
+        want = sorted((-int(s), j) for j, s in enumerate(v @ v[q]) if j != q)[:5]
         assert [(-s, int(index.ids[r])) for r, s in zip(rows, scores)] == want
-        early += done < len(index.segments) - 100
-    assert early > 0
+        shares.append(share)
+    assert np.mean(shares) < most and max(shares) < 1
+
+
+def test_without_proof_all_segments_are_processed():
+    v = np.ones((300, 8), np.int64)
+    rows, scores, share = ImpactIndex(np.arange(300), v).search(v[0], 0, 5)
+    assert share == 1 and rows.tolist() == [1, 2, 3, 4, 5] and scores.tolist() == [8] * 5
