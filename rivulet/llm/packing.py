@@ -49,7 +49,8 @@ class WordIds:
     The vocabulary's splitting never crosses white space, and parts letters from signs, so a text's ids are those of its
     strings one after the other, and those of a word with signs behind it are the word's and the signs'. Ids of strings
     met before are looked up; new words go through the library many at a time, and are told apart by their last ids,
-    which mark the ends of words.
+    which mark the ends of words. A text that holds an added token of the vocabulary, such as <|endoftext|>, goes
+    through the library as a whole, which gives the token's own id.
     """
 
     def __init__(self, path: str):
@@ -57,7 +58,7 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -110,7 +111,11 @@ class WordIds:
         return [b"".join(ids) for ids in found]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        return [ids for k in range(0, len(texts), 128) for ids in self._some(texts[k : k + 128])]
+        out = [ids for k in range(0, len(texts), 128) for ids in self._some(texts[k : k + 128])]
+        for k, text in enumerate(texts):
+            if any(s in text for s in self.special):
+                out[k] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return out
 
 
 @lru_cache(maxsize=2)

@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import defaultdict
 
@@ -11,7 +12,6 @@ SCHEMA = "doc_id long, text string, offset string"
 
 def check(out, rows, capacity=2048):
     t = Tokenizer.from_file(default_tokenizer())
-    t.encode_special_tokens = True
     want = sorted((d, tuple([*t.encode(x or "", add_special_tokens=False).ids, 1])) for d, x in rows)
     by_seq, by_doc = defaultdict(list), defaultdict(list)
     for r in out:
@@ -50,7 +50,7 @@ def test_real_documents(spark, small):
 
 
 def test_edges(spark):
-    rows = [(1, None), (2, ""), (3, "a"), (4, "é b\x1cC\x85d <|endoftext|> ｆｕｌｌ é İ"), (5, "word, it's 123! " * 4000), (6, "x" * 30000), (7, "same"), (7, "same"), (8, " \n\t ")]
+    rows = [(1, None), (2, ""), (3, "a"), (4, "é b\x1cC\x85d <|endoftext|> ｆｕｌｌ é İ"), (5, "word, it's 123! " * 4000), (6, "x" * 30000), (7, "same"), (7, "same"), (8, " \n\t "), (9, "<|endoftext|>"), (10, "long " * 3000 + "<|startoftext|>end <|ENDOFTEXT|>")]
     df = spark.createDataFrame([(*r, "o") for r in rows], SCHEMA).repartition(3)
     check(pack(df, with_ids=True).collect(), rows)
     assert pack(spark.createDataFrame([], SCHEMA)).collect() == []
@@ -59,6 +59,13 @@ def test_edges(spark):
 
 def test_ids_by_words_are_those_of_the_whole_text():
     t = Tokenizer.from_file(default_tokenizer())
-    t.encode_special_tokens = True
     texts = ["İstanbul, ΣΑΣ. ǅ don't can't, it's 've... éa, ﬁn A.B.C! ½ x²y ª º ñandú; Ünder: ẞ ß!", "a b\tc\x0bd  e ,.; !? 1,2. 3! ɐ ʰ ᵃ 中文, 日本。 ꙮ 𝐀 👩‍👩‍👧", "<|startoftext|> <|endoftext|>, K Å ſ"]
     assert [np.frombuffer(x, "<u4").tolist() for x in WordIds(default_tokenizer())(texts)] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+
+
+def test_fuzzed_texts_with_added_tokens():
+    t = Tokenizer.from_file(default_tokenizer())
+    rng = random.Random(5)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|", "|>", "endoftext", "word", "İ", " ", "\n", ", ", "it's", "12", "é"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 12))) for _ in range(2000)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in WordIds(default_tokenizer())(texts)] == [t.encode(x, add_special_tokens=False).ids for x in texts]
