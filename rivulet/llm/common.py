@@ -12,6 +12,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that none of the frame's columns has, whatever their case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def use_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder that the session names in spark.checkpoint.dir; only where none is named (tests), one of our own."""
     sc = spark.sparkContext

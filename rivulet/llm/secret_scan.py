@@ -9,20 +9,26 @@ threshold give a span from the first to the last of them; the allow-list suppres
 as plain words, plain numbers and UUIDs. It never suppresses a base span.
 
 Positions are code points: a text is split at a pattern's matches, and the lengths of gaps and matches add up to the
-starts. All work is per row; nothing is shuffled.
+starts. Sums over a text's matches are made in chunks of about the square root of their number, so a text with very
+many matches costs little more than their number. A window's counts are packed twelve to a number. All work is per row;
+nothing is shuffled.
 
 Edge cases: null text counts as empty and has no spans; empty texts have none; spans of different kinds may overlap;
 repeated rows give repeated rows; every input column but doc_id and text is ignored by ``scan``, while ``redact`` keeps
-them all and changes text and n_chars only.
+them all, whatever their names, and changes text and n_chars only.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rivulet.llm.common import fresh
+
 #: The base patterns (kind, pattern, least length, group whose length counts) in their order.
 BASE = (
     ("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 6, 2),
@@ -48,91 +54,114 @@ ALLOW = (
 )
 WINDOW = 20
 SPAN = "array<struct<start:int,rank:int,kind:string,end:int>>"
+PER_NUMBER, BITS = 12, 5  # counts in a long, and bits of each: a window holds less than 32 characters
+NO_INTS = "array<int>"
+
+
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once; lambdas would compute a repeated expression for each element."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
+def _running(values: Column, op: Callable[[Column, Column], Column]) -> Column:
+    """For each element of an array of whole numbers the op over those before it, 0 for the first."""
+    zero = F.struct(F.lit(0).alias("acc"), F.array().cast(NO_INTS).alias("out"))
+
+    def grown(a: Column, x: Column) -> Column:
+        return F.struct(op(a["acc"], x).alias("acc"), F.concat(a["out"], F.array(a["acc"])).alias("out"))
+
+    def chunked(v: Column) -> Column:
+        return _let(F.ceil(F.sqrt(F.size(v))).cast("int"), lambda c: F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / c).cast("int")), lambda k: F.slice(v, k * c + 1, c)))
+
+    def joined(parts: Column) -> Column:
+        bases = F.aggregate(parts, zero, lambda a, p: grown(a, p["acc"]), lambda a: a["out"])
+        return F.flatten(F.zip_with(parts, bases, lambda p, b: F.transform(p["out"], lambda x: op(x, b))))
+
+    whole = _let(values, lambda v: F.when(F.size(v) > 0, _let(F.transform(chunked(v), lambda c: F.aggregate(c, zero, grown)), joined)).otherwise(F.array().cast(NO_INTS)))
+    return whole
 
 
 def _matches(text: Column, pattern: str) -> Column:
-    """All matches as (start, text), code points from 0."""
+    """All matches as (start, m), code points from 0."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    step = F.transform(found, lambda m, i: F.struct((F.length(F.element_at(gaps, i + 1)) + F.length(m)).alias("n"), m.alias("m")))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,m:string>>").alias("out"))
-    return F.aggregate(
-        step,
-        zero,
-        lambda a, s: F.struct((a["at"] + s["n"]).alias("at"), F.concat(a["out"], F.array(F.struct((a["at"] + s["n"] - F.length(s["m"])).alias("start"), s["m"].alias("m")))).alias("out")),
-        lambda a: a["out"],
-    )
+    both = F.zip_with(F.split(text, pattern, -1), found, lambda g, m: F.struct(F.length(g).alias("gap"), F.length(m).alias("n"), m.alias("m")))
+
+    def placed(items: Column) -> Column:
+        ends = _running(F.transform(items, lambda x: x["gap"] + x["n"]), lambda a, b: a + b)
+        return F.zip_with(items, ends, lambda x, at: F.struct((at + x["gap"]).alias("start"), x["m"].alias("m")))
+
+    return _let(F.filter(both, lambda x: x["m"].isNotNull()), placed)
 
 
 def _base_spans(text: Column, rank: int) -> Column:
     kind, pattern, least, group = BASE[rank]
-    found = _matches(text, pattern)
-    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else F.transform(found, lambda x: x["m"])
-    long_enough = F.filter(F.arrays_zip(found.alias("f"), values.alias("v")), lambda z: F.length(z["v"]) >= least)
-    spans = F.transform(
-        long_enough,
-        lambda z: F.struct(z["f"]["start"].alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), (z["f"]["start"] + F.length(z["f"]["m"])).alias("end")),
-    )
-    none = F.array().cast(SPAN)
+    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+    found = F.zip_with(_matches(text, pattern), values, lambda f, v: F.struct(f["start"].alias("start"), (f["start"] + F.length(f["m"])).alias("end"), F.length(v).alias("n")))
+    spans = F.transform(F.filter(found, lambda z: z["n"] >= least), lambda z: F.struct(z["start"].alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), z["end"].alias("end")))
+    test = text.rlike(pattern)
     needs = NEEDS.get(kind)
-    if not needs:
-        return F.when(text.rlike(pattern), spans).otherwise(none)
-    low = F.lower(text) if kind == "assign" else text
-    test = F.lit(False)
-    for n in needs:
-        test = test | low.contains(n)
-    return F.when(test & text.rlike(pattern), spans).otherwise(none)
+    if needs:
+        low = F.lower(text) if kind == "assign" else text
+        test = reduce(lambda a, b: a | b, [low.contains(n) for n in needs]) & test
+    return F.when(test, spans).otherwise(F.array().cast(SPAN))
 
 
-def _window_range(candidate: str, alphabet: str, least: float, fold: bool) -> str:
-    """SQL for the first start and the last end (from 0) of the candidate's windows with enough entropy; end 0: none.
+def _entropy_range(candidate: Column, alphabet: str, least: float, fold: bool) -> Column:
+    """The first start and the last end (from 0) of the candidate's windows with enough entropy; end 0: none.
 
-    State: counts of the window's characters and f, their sum of c * log2(c); entropy = log2(W) - f / W.
+    State: counts of the window's characters and f, their sum of c * log2(c); entropy = log2(W) - f / W. Each step
+    takes one character in and one out.
     """
     w = WINDOW
-    g = ",".join(f"{x * math.log2(x) if x else 0.0!r}D" for x in range(w + 2))
+    g = F.array(*[F.lit(x * math.log2(x) if x else 0.0) for x in range(w + 2)])
     most = (math.log2(w) - least) * w
-    text = f"lower({candidate})" if fold else candidate
-    return f"""
-    aggregate(
-      transform(split({text}, ''), c -> instr('{alphabet}', c)),
-      named_struct('i', 0, 'c', array_repeat(0, {len(alphabet)}), 'f', 0D, 'seen', cast(array() as array<int>), 'lo', -1, 'hi', 0),
-      (a, x) -> aggregate(
-        array(named_struct(
-          'y', if(a.i >= {w}, a.seen[pmod(a.i, {w})], 0),
-          'f1', a.f + array({g})[a.c[x - 1] + 1] - array({g})[a.c[x - 1]])),
-        cast(null as struct<i:int,c:array<int>,f:double,seen:array<int>,lo:int,hi:int>),
-        (_, s) -> named_struct(
-          'i', a.i + 1,
-          'c', transform(a.c, (v, k) -> v + if(k = x - 1, 1, 0) - if(k = s.y - 1, 1, 0)),
-          'f', s.f1 + if(s.y = 0, 0D, array({g})[a.c[s.y - 1] + if(s.y = x, 1, 0) - 1] - array({g})[a.c[s.y - 1] + if(s.y = x, 1, 0)]),
-          'seen', if(a.i < {w}, concat(a.seen, array(x)), transform(a.seen, (v, k) -> if(k = pmod(a.i, {w}), x, v))),
-          'lo', a.lo, 'hi', a.hi),
-        s -> named_struct('i', s.i, 'c', s.c, 'f', s.f, 'seen', s.seen,
-          'lo', if(s.i >= {w} and s.f <= {most!r}D and s.lo < 0, s.i - {w}, s.lo),
-          'hi', if(s.i >= {w} and s.f <= {most!r}D, s.i, s.hi))),
-      a -> named_struct('lo', a.lo, 'hi', a.hi))"""
-
-
-def _entropy_spans() -> str:
-    """SQL over the column ``__candidates``: spans of candidates whose windows have enough entropy."""
-    allowed = " or ".join(f"""x.m rlike r'{p}'""" for p in ALLOW)
-    parts = []
-    for rank, (kind, whole, alphabet, least) in enumerate(CLASSES, len(BASE)):
-        fold = kind == "entropy_hex"
-        not_before = "" if rank == len(BASE) else f" and not x.m rlike r'{CLASSES[0][1]}'"
-        mine = f"filter(__candidates, x -> x.m rlike r'{whole}'{not_before} and not ({allowed}))"
-        ranges = f"transform({mine}, x -> named_struct('start', x.start, 'w', {_window_range('x.m', alphabet, least, fold)}))"
-        parts.append(f"transform(filter({ranges}, r -> r.w.hi > 0), r -> named_struct('start', r.start + r.w.lo, 'rank', {rank}, 'kind', '{kind}', 'end', r.start + r.w.hi))")
-    return f"concat({', '.join(parts)})"
-
-
-def find_spans(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Adds ``__spans``: all spans (start, rank, kind, end), by start, then kind in the listed order."""
+    number = lambda x: F.floor((x - 1) / PER_NUMBER).cast("int")
+    bits = lambda x: ((x - 1) % PER_NUMBER * BITS).cast("int")
+    one = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), bits(x))
+    count = lambda c, x: F.call_function("shiftright", c[number(x)], bits(x)).bitwiseAND(F.lit((1 << BITS) - 1)).cast("int")
+
+    symbols = F.transform(F.split(F.lower(candidate) if fold else candidate, ""), lambda c: F.instr(F.lit(alphabet), c))
+    moves = _let(symbols, lambda s: F.slice(F.zip_with(s, F.concat(F.array_repeat(F.lit(0), w), s), lambda x, y: F.struct(x.alias("x"), y.alias("y"))), F.lit(1), F.size(s)))
+
+    def step(a: Column, p: Column) -> Column:
+        x, y, c = p["x"], p["y"], a["c"]
+        out = F.when(y > 0, _let(count(c, y), lambda n: g[n] - g[n - 1])).otherwise(F.lit(0.0))
+        into = _let(count(c, x) - F.when(x == y, 1).otherwise(0), lambda n: g[n + 1] - g[n])
+        counts = F.transform(c, lambda v, k: v + F.when(k == number(x), one(x)).otherwise(F.lit(0).cast("long")) - F.when((y > 0) & (k == number(y)), one(y)).otherwise(F.lit(0).cast("long")))
+
+        def state(f: Column) -> Column:
+            i = a["i"] + 1
+            hit = (i >= w) & (f <= most)
+            return F.struct(i.alias("i"), counts.alias("c"), f.alias("f"), F.when(hit & (a["lo"] < 0), i - w).otherwise(a["lo"]).alias("lo"), F.when(hit, i).otherwise(a["hi"]).alias("hi"))
+
+        return _let(a["f"] - out + into, state)
+
+    numbers = -(-len(alphabet) // PER_NUMBER)
+    zero = F.struct(F.lit(0).alias("i"), F.array_repeat(F.lit(0).cast("long"), numbers).alias("c"), F.lit(0.0).alias("f"), F.lit(-1).alias("lo"), F.lit(0).alias("hi"))
+    return F.aggregate(moves, zero, step, lambda a: F.struct(a["lo"].alias("lo"), a["hi"].alias("hi")))
+
+
+def _entropy_spans(text: Column) -> Column:
+    """Spans of candidates whose windows have enough entropy."""
+
+    def of(candidates: Column) -> Column:
+        parts = []
+        allowed = lambda m: reduce(lambda a, b: a | b, [m.rlike(p) for p in ALLOW])
+        for rank, (kind, whole, alphabet, least) in enumerate(CLASSES, len(BASE)):
+            earlier = [c[1] for c in CLASSES[: rank - len(BASE)]]
+            mine = F.filter(candidates, lambda x: reduce(lambda a, b: a & b, [x["m"].rlike(whole), *[~x["m"].rlike(e) for e in earlier], ~allowed(x["m"])]))  # noqa: B023
+            ranges = F.transform(mine, lambda x: F.struct(x["start"].alias("start"), _entropy_range(x["m"], alphabet, least, kind == "entropy_hex").alias("w")))  # noqa: B023
+            some = F.filter(ranges, lambda r: r["w"]["hi"] > 0)
+            parts.append(F.transform(some, lambda r: F.struct((r["start"] + r["w"]["lo"]).alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), (r["start"] + r["w"]["hi"]).alias("end"))))  # noqa: B023
+        return F.concat(*parts)
+
+    return F.when(text.rlike(CANDIDATE), _let(_matches(text, CANDIDATE), of)).otherwise(F.array().cast(SPAN))
+
+
+def find_spans(docs: DataFrame, into: str, text: str = "text") -> DataFrame:
+    """Adds ``into``: all spans (start, rank, kind, end), by start, then kind in the listed order."""
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    base = F.concat(*[_base_spans(t, k) for k in range(len(BASE))])
-    with_base = docs.withColumn("__base", base).withColumn("__candidates", F.when(t.rlike(CANDIDATE), _matches(t, CANDIDATE)).otherwise(F.array().cast("array<struct<start:int,m:string>>")))
-    return with_base.withColumn("__spans", F.array_sort(F.concat("__base", F.expr(_entropy_spans()).cast(SPAN)))).drop("__candidates", "__base")
+    return docs.withColumn(into, F.array_sort(F.concat(*[_base_spans(t, k) for k in range(len(BASE))], _entropy_spans(t))))
 
 
 def _listed(spans: Column) -> Column:
@@ -141,28 +170,47 @@ def _listed(spans: Column) -> Column:
 
 def scan(docs: DataFrame) -> DataFrame:
     """One row a document: counts of the base kinds, ``base_sha256`` over the base spans, and all ``spans``."""
-    d = find_spans(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    count = lambda rank: F.size(F.filter("__spans", lambda s: s["rank"] == rank)).cast("long")
+    d = find_spans(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "found")
+    count = lambda rank: F.size(F.filter("found", lambda s: s["rank"] == rank)).cast("long")
     return d.select(
         "doc_id",
         *[count(k).alias(f"n_{kind}") for k, (kind, *_) in enumerate(BASE)],
-        F.size(F.filter("__spans", lambda s: s["rank"] >= len(BASE))).cast("long").alias("n_entropy"),
-        F.sha2(_listed(F.filter("__spans", lambda s: s["rank"] < len(BASE))), 256).alias("base_sha256"),
-        _listed(F.col("__spans")).alias("spans"),
+        F.size(F.filter("found", lambda s: s["rank"] >= len(BASE))).cast("long").alias("n_entropy"),
+        F.sha2(_listed(F.filter("found", lambda s: s["rank"] < len(BASE))), 256).alias("base_sha256"),
+        _listed(F.col("found")).alias("spans"),
     )
 
 
+def _without(text: Column, spans: Column, mark: str) -> Column:
+    """The text with each run of overlapping or touching spans replaced by ``mark``."""
+
+    def gaps(all_: Column) -> Column:
+        # A run of spans begins where none before reaches; what lies between is kept.
+        before = _running(F.transform(all_, lambda s: s["end"]), lambda a, b: F.greatest(a, b))
+        both = F.zip_with(all_, before, lambda s, e: F.struct(e.alias("a"), s["start"].alias("b")))
+        return F.filter(F.transform(both, lambda x, i: F.struct(x["a"].alias("a"), x["b"].alias("b"), i.alias("i"))), lambda x: (x["i"] == 0) | (x["b"] > x["a"]))
+
+    def kept(parts: Column) -> Column:
+        size = F.ceil(F.sqrt(F.size(parts))).cast("int")
+        chunks = _let(size, lambda c: F.transform(F.sequence(F.lit(0), F.floor((F.size(parts) - 1) / c).cast("int")), lambda k: F.slice(parts, k * c + 1, c)))
+        return F.array_join(F.transform(chunks, piece), "")
+
+    def piece(chunk: Column) -> Column:
+        # Positions are counted from the text's begin, so a chunk's part of the text is taken out first.
+        base = F.element_at(chunk, 1)["a"]
+        part = F.substring(text, base + 1, F.element_at(chunk, -1)["b"] - base)
+        return _let(F.struct(part.alias("t"), base.alias("z"), chunk.alias("c")), lambda p: F.array_join(F.transform(p["c"], lambda x: F.concat(F.substring(p["t"], x["a"] - p["z"] + 1, x["b"] - x["a"]), F.lit(mark))), ""))
+
+    rest = F.substring(text, F.array_max(F.transform(spans, lambda s: s["end"])) + 1, F.length(text))
+    return F.concat(_let(gaps(spans), kept), rest)
+
+
 def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     """Replaces every span, overlapping ones as one, by ``mark``; all columns stay, n_chars follows the new text."""
-    merged = """aggregate(__spans, cast(array() as array<struct<a:int,b:int>>), (m, s) ->
-      if(size(m) > 0 and s.start <= m[size(m) - 1].b,
-         concat(slice(m, 1, size(m) - 1), array(named_struct('a', m[size(m) - 1].a, 'b', greatest(m[size(m) - 1].b, s.end)))),
-         concat(m, array(named_struct('a', s.start, 'b', s.end)))))"""
-    d = find_spans(docs).withColumn("__merged", F.expr(merged))
-    pieces = F.transform("__merged", lambda m, i: F.concat(F.expr("''"), F.substring(F.col("text"), F.when(i == 0, F.lit(1)).otherwise(F.element_at("__merged", F.greatest(i, F.lit(1)))["b"] + 1), m["a"] - F.when(i == 0, F.lit(0)).otherwise(F.element_at("__merged", F.greatest(i, F.lit(1)))["b"])), F.lit(mark)))
-    rest = F.substring(F.col("text"), F.element_at("__merged", -1)["b"] + 1, F.length("text"))
-    text = F.when(F.size("__merged") > 0, F.concat(F.array_join(pieces, ""), rest)).otherwise(F.col("text"))
+    spans = fresh(docs, "spans")
+    d = find_spans(docs, spans)
+    text = F.when(F.size(spans) > 0, _without(F.col("text").cast("string"), F.col(spans), mark)).otherwise(F.col("text"))
     d = d.withColumn("text", text)
     if "n_chars" in docs.columns:
-        d = d.withColumn("n_chars", F.when(F.size("__merged") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return d.select(*docs.columns)
+        d = d.withColumn("n_chars", F.when(F.size(spans) > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return d.select(*[F.col(f"`{c}`") for c in docs.columns])
