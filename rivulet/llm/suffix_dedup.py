@@ -1,25 +1,33 @@
 """Suffix-array deduplication: remove every byte covered by a long string that also starts earlier in the corpus.
 
-Method: blockwise suffix sorting with a difference cover. Let ``length`` be the shortest string that counts. A
-position is sampled if its residue modulo the period lies in a difference cover, so two equal strings of ``length``
-bytes always have one common shift, below the period, at which both are sampled and still agree on
-``length - period + 1`` bytes.
+Method: blockwise suffix sorting with difference covers. Let ``length`` be the shortest string that counts. A position
+is sampled if its residue modulo a period lies in a difference cover, so any two positions have a common shift, below
+the period, at which both are sampled.
 
 1. Documents are packed, in document order, into compressed blocks that are written to the checkpoint folder.
-2. The sampled suffixes of each block are cut to their first bytes, fingerprinted and dealt by suffix bucket. One
-   bucket is sorted at a time; its ties are the cover samples that do not have a rank of their own across blocks.
-3. Only suffixes with a tied sample inside their window can tie for ``length`` bytes, and only these are dealt again,
-   as short stretches of text: all suffixes of a stretch share their smallest inner fingerprint, which is their
-   bucket. The dealt bytes of each such fingerprint are counted first: suffixes of a frequent one (of a line that many
-   documents have among different neighbours) are dealt one by one, by the fingerprint of their first ``length`` bytes,
-   which only equal strings share. Each bucket is sorted by its suffixes' first ``length`` bytes, ties are compared byte by byte, and all but
-   the first of a class by (doc_id, start) are reported to their block.
-4. Blocks turn reported and local starts into byte spans.
+2. A wide cover over all text rules out suffixes that tie with none. Two equal strings of ``length`` bytes are both
+   sampled at some shift and still agree on ``length - period + 1`` bytes there. The sampled suffixes of each block are cut
+   to these bytes, fingerprinted and dealt by fingerprint bucket; one bucket is sorted at a time, and samples that no
+   other block shares are unique. Only suffixes with a shared sample inside their window can tie for ``length`` bytes.
+3. Within a block, suffixes near repeated samples are sorted, and all but the first of equal ones are found there.
+4. The rest is dealt by suffix bucket, as short stretches of text: all suffixes of a stretch share their smallest inner
+   fingerprint, which is their bucket. The bytes of each such fingerprint are counted first: suffixes of a frequent one
+   (of a line that many documents have among different neighbours) are dealt one by one, by the fingerprint of their
+   first ``length`` bytes, which only equal strings share.
+5. Each bucket's suffixes are sorted. Equal ones are neighbours, and all but the first of them by (doc_id, start) are
+   reported to their block.
+6. Blocks turn reported and local starts into byte spans.
+
+Sorting (steps 3 and 5, ``suffix_order``): the suffixes at a narrow cover's positions of the block's or bucket's text get
+their ranks first, by doubling, to any depth. Then suffixes are sorted by their first eight bytes, and ties, however
+long, are resolved by the ranks: each residue class is ordered by the rank at its next sampled position, and two classes
+merge by the ranks at their common shift. Fingerprints only deal suffixes to buckets; order and equality are by bytes.
 
 Within a block only the first of equal suffixes is sent anywhere, so a string of full length, however many rows have
 it, costs a bucket at most one entry a block. Strings that only share a part of it are kept from meeting in one bucket by
-the count, at the cost of ``length`` bytes for each suffix of a frequent fingerprint. Memory is bounded by the block and by the bucket; both counts grow with the
-input. Results are those of the input as given: overlaps count.
+the count, at the cost of ``length`` bytes for each suffix of a frequent fingerprint. Memory is bounded by the block and
+by the bucket; the numbers of both, and of tasks, grow with the input. Results are those of the input as given: overlaps
+count.
 
 Edge cases: null text is empty; an empty text has zero bytes and spans and the hash of no bytes; texts shorter than
 ``length`` keep all bytes; rows that repeat a doc_id are ordered among themselves by their place in the packed blocks;
@@ -30,7 +38,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
@@ -45,8 +53,10 @@ from rivulet.llm.common import settle, small_batches
 COVERS = {7: (1, 2, 4), 13: (0, 1, 3, 9), 31: (1, 5, 11, 24, 25, 27), 57: (0, 1, 3, 13, 32, 36, 43, 52), 73: (0, 1, 3, 7, 15, 31, 36, 54, 63)}
 
 BLOCK_BYTES = 2 << 20  # of text in a packed block, and in a slice of a longer text
+NARROW = 7  # period of the cover whose ranks order the suffixes of a block or bucket
 BUCKET_KEYS = 1 << 19  # sampled suffixes in a bucket, about
 BUCKET_BYTES = 3 << 20  # of dealt text in a bucket, about
+TASK_BYTES = 16 << 20  # of the corpus for each task of a shuffle, about
 HOT = 4  # buckets' worth of dealt text that makes a smallest fingerprint a frequent one
 
 ROOT = np.uint64(0x9E3779B97F4A7C15)
@@ -130,26 +140,98 @@ def _same_text(buf: np.ndarray, a: np.ndarray, b: np.ndarray, length: int) -> np
     return out
 
 
-def _later(buf: np.ndarray, grams: np.ndarray, where: np.ndarray, rank: np.ndarray | None, length: int) -> np.ndarray:
-    """Of the suffixes at ``where`` (with fingerprints), those that share their first bytes with one of lower rank.
+def cover_ranks(buf: np.ndarray, words: np.ndarray, period: int = NARROW) -> np.ndarray:
+    """For each position of a difference cover the rank of its suffix among them, from 1; 0 for the end and all others.
 
-    rank None: the order of ``where`` itself. A fingerprint shared by different strings is resolved by their bytes.
+    Suffixes are sorted by eight bytes, and tied groups by the ranks a period further on, then twice as far, and so on.
     """
-    order = np.argsort(grams, kind="stable") if rank is None else np.lexsort((rank, grams))
-    g = grams[order]
-    new = np.r_[True, g[1:] != g[:-1]] if len(g) else np.zeros(0, bool)
-    head = order[np.flatnonzero(new)][np.cumsum(new) - 1] if len(g) else order
-    again = np.flatnonzero(~new)
-    ok = _same_text(buf, where[order[again]], where[head[again]], length)
+    n = len(buf)
+    residue = np.zeros(period, bool)
+    residue[list(COVERS[period])] = True
+    sample = np.flatnonzero(np.resize(residue, n))
+    ranks = np.zeros(n + 1, np.int64)
+    first = words[sample]
+    order = np.argsort(first, kind="stable")
+    sample, first = sample[order], first[order]
+    new = np.r_[True, first[1:] != first[:-1]] if len(first) else np.zeros(0, bool)
+    at = np.flatnonzero(new)
+    ranks[sample] = (at + 1)[np.cumsum(new) - 1]
+    tied = np.flatnonzero(~(new & np.r_[new[1:], True]))
+    shift = period
+    while len(tied):
+        p = sample[tied]
+        q = p + shift
+        # Of suffixes that reach the end the shorter one, which goes further beyond it, is less.
+        further = np.where(q < n, ranks[np.minimum(q, n)] + n, np.maximum(2 * n - q, 0))
+        key = ranks[p] * (2 * n + 2) + further
+        order = np.argsort(key, kind="stable")
+        p, key = p[order], key[order]
+        sample[tied] = p  # groups keep their places
+        new = np.r_[True, key[1:] != key[:-1]]
+        ranks[p] = (tied[new] + 1)[np.cumsum(new) - 1]
+        tied = tied[~(new & np.r_[new[1:], True])]
+        shift *= 2
+    return ranks
+
+
+def suffix_order(buf: np.ndarray, where: np.ndarray, period: int = NARROW) -> tuple[np.ndarray, np.ndarray]:
+    """The order of the suffixes at ``where``, as places in it, and whether each begins like the one before (eight bytes).
+
+    At least ``period`` bytes must follow each position.
+    """
+    n = len(buf)
+    padded = np.zeros(n + 8, np.uint8)
+    padded[:n] = buf
+    words = np.ndarray((n,), ">u8", padded, strides=(1,)).astype(np.uint64)
+    first = words[where]
+    order = np.argsort(first, kind="stable")
+    first = first[order]
+    new = np.r_[True, first[1:] != first[:-1]] if len(first) else np.zeros(0, bool)
+    tied = np.flatnonzero(~(new & np.r_[new[1:], True])) if len(first) else np.zeros(0, np.int64)
+    if not len(tied):
+        return order, ~new
+    ranks = cover_ranks(buf, words, period)
+    del words
+    cover = set(COVERS[period])
+    places = order[tied]
+    group = np.cumsum(new)[tied] * (n + 2)
+    residue = where[places] % period
+    classes = []
+    for r in range(period):
+        mine = np.flatnonzero(residue == r)
+        shift = next(d for d in range(period) if (r + d) % period in cover)
+        key = group[mine] + ranks[np.minimum(where[places[mine]] + shift, n)]
+        classes.append(mine[np.argsort(key, kind="stable")])
+    to = [np.arange(len(c)) for c in classes]
+    for r in range(period):
+        for q in range(r):
+            a, b = classes[r], classes[q]
+            if not len(a) or not len(b):
+                continue
+            shift = next(d for d in range(period) if (r + d) % period in cover and (q + d) % period in cover)
+            key_a = group[a] + ranks[np.minimum(where[places[a]] + shift, n)]
+            key_b = group[b] + ranks[np.minimum(where[places[b]] + shift, n)]
+            less = np.searchsorted(key_b, key_a)  # ranks differ, so no two keys are equal
+            to[r] = to[r] + less
+            to[q] = to[q] + np.cumsum(np.bincount(less, minlength=len(b) + 1))[: len(b)]
+    out = np.empty(len(tied), np.int64)
+    for c, at in zip(classes, to, strict=True):
+        out[at] = places[c]
+    order[tied] = out
+    return order, ~new
+
+
+def _later(buf: np.ndarray, where: np.ndarray, rank: np.ndarray, length: int) -> np.ndarray:
+    """Of the suffixes at ``where``, those that share their first ``length`` bytes with one of lower rank."""
+    order, like = suffix_order(buf, where)
+    again = np.flatnonzero(like)
+    same = np.zeros(len(where), bool)
+    same[again] = _same_text(buf, where[order[again]], where[order[again - 1]], length)
     out = np.zeros(len(where), bool)
-    out[order[again[ok]]] = True
-    clash = again[~ok]
-    if len(clash):  # different strings under one fingerprint: compare those among themselves
-        seen: dict[bytes, bool] = {}
-        for k in clash:
-            text = bytes(buf[where[order[k]] : where[order[k]] + length]) + int(g[k]).to_bytes(8, "little")
-            out[order[k]] = text in seen
-            seen[text] = True
+    if same.any():
+        begin = np.flatnonzero(~same)
+        own = rank[order]
+        out[order] = own != np.minimum.reduceat(own, begin)[np.cumsum(~same) - 1]
     return out
 
 
@@ -158,31 +240,44 @@ class Slice:
 
     def __init__(self, number: int, parts: list[tuple[int, int, bytes]], length: int, period: int):
         self.number, self.length, self.period = number, length, period
-        sizes = np.array([len(p[2]) for p in parts], np.int64)
-        self.begins = np.cumsum(sizes) - sizes
+        self.sizes = np.array([len(p[2]) for p in parts], np.int64)
+        self.begins = np.cumsum(self.sizes) - self.sizes
         self.doc = np.array([p[0] for p in parts], np.int64)
         self.offset = np.array([p[1] for p in parts], np.int64)
         self.buf = np.frombuffer(b"".join(p[2] for p in parts), np.uint8)
-        self.part = np.repeat(np.arange(len(parts)), sizes)
+        self.part = np.repeat(np.arange(len(parts)), self.sizes)
+
+    @cached_property
+    def grams(self) -> Grams:
+        return Grams(self.buf)
+
+    def sample(self) -> None:
+        """Sets ``samples``, the wide cover's positions, their fingerprints ``keys``, and ``whole``, where a string of
+        full length begins."""
         at = np.arange(len(self.buf)) - self.begins[self.part]
-        left = sizes[self.part] - at
-        self.whole = left >= length  # a string of full length begins here
-        prefix = length - period + 1
-        residue = np.zeros(period, bool)
-        residue[list(COVERS[period])] = True
-        self.grams = Grams(self.buf)
-        self.sample = np.flatnonzero(residue[(at + self.offset[self.part]) % period] & (left >= prefix))
-        self.keys = self.grams.at(self.sample, prefix)
+        left = self.sizes[self.part] - at
+        self.whole = left >= self.length
+        prefix = self.length - self.period + 1
+        residue = np.zeros(self.period, bool)
+        residue[list(COVERS[self.period])] = True
+        self.samples = np.flatnonzero(residue[(at + self.offset[self.part]) % self.period] & (left >= prefix))
+        self.keys = self.grams.at(self.samples, prefix)
 
     def sorted_keys(self, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct cut fingerprints, the number of each sample's, and how many samples have it."""
+        self.sample()
         cut = self.keys >> np.uint64(32 - bits)
         return np.unique(cut, return_inverse=True, return_counts=True)[0:3]
 
     def locally_later(self, inverse: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        near = _near(self.sample[counts[inverse] > 1], len(self.buf), self.period) & self.whole
+        near = _near(self.samples[counts[inverse] > 1], len(self.buf), self.period) & self.whole
         where = np.flatnonzero(near)
-        return where[_later(self.buf, self.grams.at(where, self.length), where, None, self.length)]
+        return where[_later(self.buf, where, where, self.length)]
+
+    def rows(self, p: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Runs of positions as (document's number, place in it, length)."""
+        part = self.part[p]
+        return np.stack([self.doc[part], p - self.begins[part] + self.offset[part], n]).astype(np.int64)
 
 
 def _slices(ids: bytes, sizes: bytes, blob: bytes, length: int, period: int) -> Iterator[Slice]:
@@ -235,6 +330,8 @@ def _pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _suffix_keys(bits: int, length: int, period: int):
+    """For each slice its sampled suffixes by bucket; buckets without any have no row."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for r in pdf.itertuples():
@@ -242,10 +339,10 @@ def _suffix_keys(bits: int, length: int, period: int):
                     keys = s.sorted_keys(bits)[0]
                     if not len(keys):
                         continue
-                    cuts = np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << np.uint64(32))
+                    buckets, cuts = np.unique(keys >> np.uint64(32), return_index=True)
                     low = (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32)
                     parts = [low[a:b].tobytes() for a, b in zip(cuts, [*cuts[1:], len(low)], strict=True)]
-                    yield pd.DataFrame({"bucket": np.arange(1 << bits, dtype=np.int32), "block": r.block, "slice": s.number, "keys": parts})
+                    yield pd.DataFrame({"bucket": buckets.astype(np.int32), "block": r.block, "slice": s.number, "keys": parts})
 
     return run
 
@@ -265,134 +362,131 @@ def _tied_across(pdf: pd.DataFrame) -> pd.DataFrame:
     return pdf[["block", "slice", "bucket"]].assign(marks=marks)[some]
 
 
-def _opened(r, by_slice: dict, bits: int, length: int, period: int):
-    """A block's slices with their own later starts, and, where other blocks may share starts, these (or None) in runs
-    that have one smallest inner fingerprint each: first positions, lengths and fingerprints."""
+def _runs_as_bytes(p: np.ndarray, n: np.ndarray, low: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(b"".join(x.astype("<u4").tobytes() for x in (np.diff(p, prepend=0), n, low)))
+
+
+def _runs_from_bytes(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    p, n, low = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), "<u4").reshape(3, -1).astype(np.int64)
+    return np.cumsum(p), n, low.astype(np.uint64)
+
+
+def _found(bits: int, length: int, period: int):
+    """For each slice of a block: its own later starts, and the starts that other blocks may share, in runs that have one
+    smallest inner fingerprint each: first positions, lengths and the fingerprints' upper halves."""
     inner = length - period + 1
-    for s in _slices(r.ids, r.sizes, r.blob, length, period):
-        keys, inverse, counts = s.sorted_keys(bits)
-        later = s.locally_later(inverse, counts)
-        mine = by_slice.get(s.number)
-        if mine is None:
-            yield s, later, None
-            continue
-        bounds = np.searchsorted(keys, np.arange((1 << bits) + 1, dtype=np.uint64) << np.uint64(32))
-        tied = np.zeros(len(keys), bool)
-        for m in mine.itertuples():
-            a, b = bounds[m.bucket], bounds[m.bucket + 1]
-            tied[a:b] = np.unpackbits(np.frombuffer(m.marks, np.uint8), count=b - a).astype(bool)
-        open_ = _near(s.sample[tied[inverse]], len(s.buf), period) & s.whole
-        open_[later] = False
-        at = np.flatnonzero(open_)
-        if not len(at):
-            yield s, later, None
-            continue
-        low = s.grams.all(inner)
-        width = 1
-        while width < period:  # the smallest fingerprint among the next ``period``, by doubling
-            step = min(width, period - width)
-            low = np.minimum(low[:-step], low[step:])
-            width += step
-        least = low[at]
-        p, n = _runs(at, np.r_[True, (least[1:] != least[:-1]) | (np.diff(s.part[at]) != 0)])
-        yield s, later, (p, n, low[p])
-
-
-def _counted(bits: int, length: int, period: int, least: float):
-    """For each block: bytes and starts to deal for each smallest fingerprint that has at least so many bytes in it."""
 
     def run(key: tuple, blocks: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
+        out: list[tuple] = []
         by_slice = dict(tuple(marks.groupby("slice")))
-        low, starts, size = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for r in blocks.itertuples():
-            for _, _, found in _opened(r, by_slice, bits, length, period):
-                if found is not None:
-                    low.append(found[2])
-                    starts.append(found[1])
-                    size.append(found[1] + length - 1)
-        values, inverse = np.unique(np.concatenate(low), return_inverse=True)
-        n, held = (np.bincount(inverse, np.concatenate(x), len(values)).astype(np.int64) for x in (starts, size))
-        some = held >= least
-        return pd.DataFrame({"low": values[some].view(np.int64), "bytes": held[some], "starts": n[some]})
+            for s in _slices(r.ids, r.sizes, r.blob, length, period):
+                keys, inverse, counts = s.sorted_keys(bits)
+                later = s.locally_later(inverse, counts)
+                p, n = _runs(later, np.r_[True, np.diff(s.part[later]) != 0])
+                mine, runs, size = s.rows(p, n).tobytes(), b"", 0
+                if s.number in by_slice:
+                    bounds = np.searchsorted(keys, np.arange((1 << bits) + 1, dtype=np.uint64) << np.uint64(32)) if bits < 16 else None
+                    tied = np.zeros(len(keys), bool)
+                    for m in by_slice[s.number].itertuples():
+                        a, b = (bounds[m.bucket], bounds[m.bucket + 1]) if bounds is not None else np.searchsorted(keys, np.array([m.bucket, m.bucket + 1], np.uint64) << np.uint64(32))
+                        tied[a:b] = np.unpackbits(np.frombuffer(m.marks, np.uint8), count=b - a).astype(bool)
+                    open_ = _near(s.samples[tied[inverse]], len(s.buf), period) & s.whole
+                    open_[later] = False
+                    at = np.flatnonzero(open_)
+                    if len(at):
+                        low = s.grams.all(inner)
+                        width = 1
+                        while width < period:  # the smallest fingerprint among the next ``period``, by doubling
+                            step = min(width, period - width)
+                            low = np.minimum(low[:-step], low[step:])
+                            width += step
+                        least = low[at]
+                        p, n = _runs(at, np.r_[True, (least[1:] != least[:-1]) | (np.diff(s.part[at]) != 0)])
+                        runs, size = _runs_as_bytes(p, n, _mixed(low[p]) >> np.uint64(32)), int((n + length - 1).sum())
+                if len(mine) or size:
+                    out.append((r.block, s.number, mine, runs, size))
+        return pd.DataFrame(out, columns=["block", "slice", "starts", "runs", "dealt"])
 
     return run
 
 
-def _stretches(bits: int, buckets: int, length: int, period: int, hot: np.ndarray):
-    """For each block: its own later starts, and stretches of text with starts that other blocks may share.
+def _counted(length: int, least: float):
+    """For each slice: bytes and starts to deal for each smallest fingerprint that has at least so many bytes in it."""
 
-    hot: the frequent smallest fingerprints, sorted.
-    """
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for data in pdf["runs"]:
+                _, n, low = _runs_from_bytes(data)
+                values, inverse = np.unique(low, return_inverse=True)
+                starts = np.bincount(inverse, n, len(values)).astype(np.int64)
+                held = np.bincount(inverse, n + length - 1, len(values)).astype(np.int64)
+                some = held >= least
+                yield pd.DataFrame({"low": values[some].astype(np.int64), "bytes": held[some], "starts": starts[some]})
 
-    def run(key: tuple, blocks: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
+    return run
+
+
+def _stretches(buckets: int, length: int, period: int, hot: np.ndarray):
+    """For each block: stretches of text with the starts that other blocks may share. hot: frequent fingerprints, sorted."""
+
+    def run(key: tuple, blocks: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple] = []
-        by_slice = dict(tuple(marks.groupby("slice")))
+        by_slice = dict(zip(found["slice"], found["runs"], strict=True))
         for r in blocks.itertuples():
             ids = np.frombuffer(r.ids, np.int64)
-            for s, later, found in _opened(r, by_slice, bits, length, period):
-                if len(later):
-                    p, n = _runs(later, np.r_[True, np.diff(s.part[later]) != 0])
-                    part = s.part[p]
-                    rows = np.stack([s.doc[part], p - s.begins[part] + s.offset[part], n])
-                    out.append((int(r.block % buckets), r.block, True, rows.astype(np.int64).tobytes(), b""))
-                if found is None:
+            for s in _slices(r.ids, r.sizes, r.blob, length, period):
+                if not by_slice.get(s.number):
                     continue
-                p, n, least = found
-                key_ = least
+                p, n, to = _runs_from_bytes(by_slice[s.number])
                 if len(hot):
-                    frequent = hot[np.minimum(np.searchsorted(hot, least), len(hot) - 1)] == least
+                    frequent = hot[np.minimum(np.searchsorted(hot, to), len(hot) - 1)] == to
                     fp, fn = p[frequent], n[frequent]
                     one = np.repeat(fp, fn) + np.arange(fn.sum()) - np.repeat(np.cumsum(fn) - fn, fn)
-                    p = np.r_[p[~frequent], one]
-                    n = np.r_[n[~frequent], np.ones(len(one), np.int64)]
-                    key_ = np.r_[least[~frequent], s.grams.at(one, length)]
-                to = (_mixed(key_.copy()) % np.uint64(buckets)).astype(np.int64)
+                    p, n = np.r_[p[~frequent], one], np.r_[n[~frequent], np.ones(len(one), np.int64)]
+                    to = np.r_[to[~frequent], s.grams.at(one, length)]
+                to = (_mixed(to) % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(to, kind="stable")
                 p, n, to = p[order], n[order], to[order]
-                part = s.part[p]
-                rows = np.stack([ids[s.doc[part]], s.doc[part], p - s.begins[part] + s.offset[part], n])
+                rows = np.concatenate([ids[s.doc[s.part[p]]][None, :], s.rows(p, n)])
                 cuts = np.flatnonzero(np.r_[True, to[1:] != to[:-1]])
                 for a, b in zip(cuts, [*cuts[1:], len(to)], strict=True):
                     text = b"".join(s.buf[x : x + k + length - 1].tobytes() for x, k in zip(p[a:b].tolist(), n[a:b].tolist(), strict=True))
-                    out.append((int(to[a]), r.block, False, rows[:, a:b].tobytes(), zstandard.ZstdCompressor(level=3).compress(text)))
-        return pd.DataFrame(out, columns=["bucket", "block", "local", "starts", "texts"])
+                    out.append((int(to[a]), r.block, rows[:, a:b].tobytes(), zstandard.ZstdCompressor(level=3).compress(text)))
+        return pd.DataFrame(out, columns=["bucket", "block", "starts", "texts"])
 
     return run
 
 
 def _later_across(length: int):
-    """One bucket: sort its suffixes by their first bytes; report the starts that are not the first of their class."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        passed = pdf[pdf["local"]]
-        out = [(b, s) for b, s in zip(passed["block"], passed["starts"], strict=True)]
-        dealt = pdf[~pdf["local"]]
-        if len(dealt):
-            rows = np.concatenate([np.frombuffer(s, np.int64).reshape(4, -1) for s in dealt["starts"]], axis=1)
-            block = np.repeat(dealt["block"].to_numpy(), [len(s) // 32 for s in dealt["starts"]])
-            un = zstandard.ZstdDecompressor()
-            text = b"".join(un.decompress(t, max_output_size=int(np.frombuffer(s, np.int64).reshape(4, -1)[3].sum()) + (length - 1) * (len(s) // 32)) for t, s in zip(dealt["texts"], dealt["starts"], strict=True))
-            buf = np.frombuffer(text, np.uint8)
-            doc_id, doc, start, n = rows
-            begin = np.cumsum(n + length - 1) - (n + length - 1)
-            owner = np.repeat(np.arange(len(n)), n)
-            step = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
-            where = begin[owner] + step
-            place = np.lexsort((start, doc, block, doc_id))  # stretches of one document do not overlap in their starts
-            rank = np.empty(len(n), np.int64)
-            rank[place] = np.arange(len(n))
-            later = _later(buf, Grams(buf).at(where, length), where, rank[owner] * (int(n.max()) + 1) + step, length)
-            hit = np.flatnonzero(later)
-            if len(hit):
-                first = np.r_[True, (np.diff(hit) != 1) | (owner[hit[1:]] != owner[hit[:-1]])]
-                at = np.flatnonzero(first)
-                run_n = np.diff(np.r_[at, len(hit)])
-                o = owner[hit[at]]
-                order = np.argsort(block[o], kind="stable")
-                o, run_n, first_step = o[order], run_n[order], step[hit[at]][order]
-                res = np.stack([doc[o], start[o] + first_step, run_n])
-                cuts = np.flatnonzero(np.r_[True, block[o][1:] != block[o][:-1]])
-                out += [(block[o[a]], res[:, a:b].tobytes()) for a, b in zip(cuts, [*cuts[1:], len(o)], strict=True)]
+    """One bucket: sort its suffixes; report the starts that are not the first of their class."""
+
+    def run(dealt: pd.DataFrame) -> pd.DataFrame:
+        counts = [len(s) // 32 for s in dealt["starts"]]
+        rows = np.concatenate([np.frombuffer(s, np.int64).reshape(4, -1) for s in dealt["starts"]], axis=1)
+        block = np.repeat(dealt["block"].to_numpy(), counts)
+        un = zstandard.ZstdDecompressor()
+        buf = np.frombuffer(b"".join(un.decompress(t) for t in dealt["texts"]), np.uint8)
+        doc_id, doc, start, n = rows
+        begin = np.cumsum(n + length - 1) - (n + length - 1)
+        owner = np.repeat(np.arange(len(n)), n)
+        step = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
+        place = np.lexsort((start, doc, block, doc_id))  # stretches of one document do not overlap in their starts
+        rank = np.empty(len(n), np.int64)
+        rank[place] = np.arange(len(n))
+        later = _later(buf, begin[owner] + step, rank[owner] * (int(n.max()) + 1) + step, length)
+        hit = np.flatnonzero(later)
+        if not len(hit):
+            return pd.DataFrame({"block": block[:0], "starts": []})
+        first = np.r_[True, (np.diff(hit) != 1) | (owner[hit[1:]] != owner[hit[:-1]])]
+        at = np.flatnonzero(first)
+        run_n = np.diff(np.r_[at, len(hit)])
+        o = owner[hit[at]]
+        order = np.argsort(block[o], kind="stable")
+        o, run_n, first_step = o[order], run_n[order], step[hit[at]][order]
+        res = np.stack([doc[o], start[o] + first_step, run_n])
+        cuts = np.flatnonzero(np.r_[True, block[o][1:] != block[o][:-1]])
+        out = [(block[o[a]], res[:, a:b].tobytes()) for a, b in zip(cuts, [*cuts[1:], len(o)], strict=True)]
         return pd.DataFrame(out, columns=["block", "starts"])
 
     return run
@@ -432,30 +526,41 @@ def _cut(length: int, keep_text: bool):
     return run
 
 
-def _dealt(docs: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
-    """The packed blocks, and what each of them sends to the buckets."""
+def _blocks(docs: DataFrame) -> tuple[DataFrame, int]:
+    """The packed blocks, and how many bytes of text they hold."""
     small_batches(docs.sparkSession)
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    blocks = settle(read.mapInPandas(_pack, "block long, ids binary, sizes binary, n_bytes long, blob binary"))
+    return blocks, blocks.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
+
+
+def _dealt(blocks: DataFrame, total: int, tasks: int, length: int) -> tuple[DataFrame, DataFrame, int]:
+    """What each slice of a block found by itself, the stretches that blocks send to the buckets, and how many these are."""
     period = cover_for(length)
-    blocks = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    blocks = blocks.mapInPandas(_pack, "block long, ids binary, sizes binary, n_bytes long, blob binary")
-    blocks = settle(blocks)
-    total = blocks.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     sampled = total * len(COVERS[period]) // period
     bits = max(3, (sampled // BUCKET_KEYS).bit_length())
     if bits > 31:
         raise ValueError("more suffix buckets than a block can address")
+    by_block = blocks.repartition(tasks, "block").groupBy("block")
+
     keys = blocks.mapInPandas(_suffix_keys(bits, length, period), "bucket int, block long, slice int, keys binary")
-    marks = keys.where(F.length("keys") > 0).groupBy("bucket").applyInPandas(_tied_across, "block long, slice int, bucket int, marks binary")
-    marks = settle(marks)  # read twice
-    together = blocks.groupBy("block").cogroup(marks.groupBy("block"))
-    # Of a fingerprint with HOT buckets' worth, blocks with less than half an equal share hold less than half.
+    marks = keys.repartition(tasks, "bucket").groupBy("bucket").applyInPandas(_tied_across, "block long, slice int, bucket int, marks binary")
+    found = by_block.cogroup(marks.repartition(tasks, "block").groupBy("block"))
+    found = settle(found.applyInPandas(_found(bits, length, period), "block long, slice int, starts binary, runs binary, dealt long"))
+
+    about = found.agg(F.count(F.lit(1)).alias("slices"), F.coalesce(F.sum("dealt"), F.lit(0)).alias("dealt")).first()
+    # Of a fingerprint with HOT buckets' worth, slices with less than half an equal share hold less than half.
     many = HOT * BUCKET_BYTES / 2
-    counts = together.applyInPandas(_counted(bits, length, period, many / max(1, blocks.count())), "low long, bytes long, starts long")
+    runs = found.where("dealt > 0").select("block", "slice", "runs")
+    counts = runs.select("runs").mapInPandas(_counted(length, many / max(1, about["slices"])), "low long, bytes long, starts long")
+    # At most dealt / many rows: one for each fingerprint with several buckets' worth of text.
     frequent = counts.groupBy("low").agg(F.sum("bytes").alias("bytes"), F.sum("starts").alias("starts")).where(F.col("bytes") >= many).collect()
-    hot = np.sort(np.array([r.low for r in frequent], np.int64).view(np.uint64))
-    buckets = max(8, (total + length * sum(r.starts for r in frequent)) // BUCKET_BYTES)
-    dealt = together.applyInPandas(_stretches(bits, buckets, length, period, hot), "bucket long, block long, local boolean, starts binary, texts binary")
-    return blocks, dealt
+    hot = np.sort(np.array([r.low for r in frequent], np.int64)).astype(np.uint64)
+    buckets = max(8, (about["dealt"] + length * sum(r.starts for r in frequent)) // BUCKET_BYTES)
+
+    dealt = by_block.cogroup(runs.repartition(tasks, "block").groupBy("block"))
+    dealt = dealt.applyInPandas(_stretches(buckets, length, period, hot), "bucket long, block long, starts binary, texts binary")
+    return found, dealt, buckets
 
 
 def dedup_substrings(docs: DataFrame, length: int = 100, keep_text: bool = False) -> DataFrame:
@@ -463,7 +568,10 @@ def dedup_substrings(docs: DataFrame, length: int = 100, keep_text: bool = False
 
     keep_text adds ``spans`` ("start:end" in bytes, comma-joined) and ``kept``, the bytes that are left.
     """
-    blocks, dealt = _dealt(docs, length)
-    starts = dealt.groupBy("bucket").applyInPandas(_later_across(length), "block long, starts binary")
+    blocks, total = _blocks(docs)
+    tasks = max(8, total // TASK_BYTES)
+    found, dealt, buckets = _dealt(blocks, total, tasks, length)
+    across = dealt.repartition(max(tasks, buckets // 4), "bucket").groupBy("bucket").applyInPandas(_later_across(length), "block long, starts binary")
+    starts = across.unionByName(found.where(F.length("starts") > 0).select("block", "starts")).repartition(tasks, "block")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", spans string, kept binary" if keep_text else "")
-    return blocks.groupBy("block").cogroup(starts.groupBy("block")).applyInPandas(_cut(length, keep_text), schema)
+    return blocks.repartition(tasks, "block").groupBy("block").cogroup(starts.groupBy("block")).applyInPandas(_cut(length, keep_text), schema)

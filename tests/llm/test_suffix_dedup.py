@@ -91,7 +91,7 @@ def test_a_common_line_among_different_neighbours_is_spread(spark, monkeypatch):
 
     def largest():
         starts = Counter()
-        for r in suffix_dedup._dealt(df, 100)[1].where("not local").collect():
+        for r in suffix_dedup._dealt(*suffix_dedup._blocks(df), 8, 100)[1].collect():
             starts[r.bucket] += sum(np.frombuffer(r.starts, np.int64).reshape(4, -1)[3])
         return max(starts.values()) / sum(starts.values())
 
@@ -99,3 +99,23 @@ def test_a_common_line_among_different_neighbours_is_spread(spark, monkeypatch):
     assert got(dedup_substrings(df)) == brute(rows, 100)
     monkeypatch.setattr(suffix_dedup, "HOT", 1 << 40)  # without the count
     assert largest() > 0.2
+
+
+def test_suffixes_are_in_order_of_their_bytes():
+    rng = np.random.default_rng(7)
+    texts = [rng.integers(0, k, n).astype(np.uint8) for k, n in ((1, 40), (2, 300), (2, 2000), (4, 3000), (256, 500), (1, 1000))]
+    texts.append(np.frombuffer(b"banana split " * 60 + b"\0" * 30 + b"banana split " * 3, np.uint8))
+    for buf in texts:
+        whole = buf.tobytes()
+        where = np.arange(len(buf) - 8)
+        order, like = suffix_dedup.suffix_order(buf, where)
+        assert where[order].tolist() == sorted(where.tolist(), key=lambda p: whole[p:])
+        assert like.tolist() == [k > 0 and whole[order[k] :][:8] == whole[order[k - 1] :][:8] for k in range(len(order))]
+        some = rng.permutation(where)[: len(where) // 3]
+        order, _ = suffix_dedup.suffix_order(buf, some)
+        assert some[order].tolist() == sorted(some.tolist(), key=lambda p: whole[p:])
+        # Ranks of the cover's positions, the last ones too, follow the order of their suffixes.
+        words = np.ndarray((len(buf),), ">u8", np.r_[buf, np.zeros(8, np.uint8)], strides=(1,)).astype(np.uint64)
+        ranks = suffix_dedup.cover_ranks(buf, words)
+        cover = [p for p in range(len(buf)) if p % 7 in COVERS[7]]
+        assert sorted(cover, key=lambda p: ranks[p]) == sorted(cover, key=lambda p: whole[p:]) and len({ranks[p] for p in cover}) == len(cover)
