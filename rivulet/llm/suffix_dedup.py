@@ -19,8 +19,8 @@ the period, at which both are sampled.
 6. Blocks turn reported and local starts into byte spans.
 
 Sorting (steps 3 and 5, ``suffix_order``): the suffixes at a narrow cover's positions of the block's or bucket's text get
-their ranks first, by doubling, to any depth. Then suffixes are sorted by their first eight bytes, and ties, however
-long, are resolved by the ranks: each residue class is ordered by the rank at its next sampled position, and two classes
+their ranks first, by doubling, as deep as strings must agree. Then suffixes are sorted by their first eight bytes, and
+longer ties are resolved by the ranks: each residue class is ordered by the rank at its next sampled position, and two classes
 merge by the ranks at their common shift. Fingerprints only deal suffixes to buckets; order and equality are by bytes.
 
 Within a block only the first of equal suffixes is sent anywhere, so a string of full length, however many rows have
@@ -140,31 +140,32 @@ def _same_text(buf: np.ndarray, a: np.ndarray, b: np.ndarray, length: int) -> np
     return out
 
 
-def cover_ranks(buf: np.ndarray, words: np.ndarray, period: int = NARROW) -> np.ndarray:
+def cover_ranks(buf: np.ndarray, words: np.ndarray, depth: int, period: int = NARROW) -> np.ndarray:
     """For each position of a difference cover the rank of its suffix among them, from 1; 0 for the end and all others.
 
-    Suffixes are sorted by eight bytes, and tied groups by the ranks a period further on, then twice as far, and so on.
+    Suffixes are sorted by eight bytes, and tied groups by the ranks a period further on, then twice as far, and so on,
+    until they differ or agree on at least ``depth`` bytes; these have one rank.
     """
     n = len(buf)
     residue = np.zeros(period, bool)
     residue[list(COVERS[period])] = True
     sample = np.flatnonzero(np.resize(residue, n))
-    ranks = np.zeros(n + 1, np.int64)
+    ranks = np.zeros(n + 1, np.int32)
     first = words[sample]
-    order = np.argsort(first, kind="stable")
+    order = np.argsort(first)
     sample, first = sample[order], first[order]
     new = np.r_[True, first[1:] != first[:-1]] if len(first) else np.zeros(0, bool)
     at = np.flatnonzero(new)
     ranks[sample] = (at + 1)[np.cumsum(new) - 1]
     tied = np.flatnonzero(~(new & np.r_[new[1:], True]))
     shift = period
-    while len(tied):
+    while len(tied) and shift < depth:
         p = sample[tied]
         q = p + shift
         # Of suffixes that reach the end the shorter one, which goes further beyond it, is less.
         further = np.where(q < n, ranks[np.minimum(q, n)] + n, np.maximum(2 * n - q, 0))
-        key = ranks[p] * (2 * n + 2) + further
-        order = np.argsort(key, kind="stable")
+        key = ranks[p].astype(np.int64) * (2 * n + 2) + further
+        order = np.argsort(key)
         p, key = p[order], key[order]
         sample[tied] = p  # groups keep their places
         new = np.r_[True, key[1:] != key[:-1]]
@@ -174,64 +175,79 @@ def cover_ranks(buf: np.ndarray, words: np.ndarray, period: int = NARROW) -> np.
     return ranks
 
 
-def suffix_order(buf: np.ndarray, where: np.ndarray, period: int = NARROW) -> tuple[np.ndarray, np.ndarray]:
+def suffix_order(buf: np.ndarray, where: np.ndarray, depth: int, period: int = NARROW) -> tuple[np.ndarray, np.ndarray]:
     """The order of the suffixes at ``where``, as places in it, and whether each begins like the one before (eight bytes).
 
-    At least ``period`` bytes must follow each position.
+    Suffixes that agree on ``depth`` bytes are neighbours, in any order. At least ``period`` bytes must follow each
+    position.
     """
     n = len(buf)
     padded = np.zeros(n + 8, np.uint8)
     padded[:n] = buf
     words = np.ndarray((n,), ">u8", padded, strides=(1,)).astype(np.uint64)
     first = words[where]
-    order = np.argsort(first, kind="stable")
+    order = np.argsort(first)
     first = first[order]
     new = np.r_[True, first[1:] != first[:-1]] if len(first) else np.zeros(0, bool)
     tied = np.flatnonzero(~(new & np.r_[new[1:], True])) if len(first) else np.zeros(0, np.int64)
     if not len(tied):
         return order, ~new
-    ranks = cover_ranks(buf, words, period)
-    del words
+    ranks = cover_ranks(buf, words, depth, period)
+    del words, first
     cover = set(COVERS[period])
     places = order[tied]
-    group = np.cumsum(new)[tied] * (n + 2)
-    residue = where[places] % period
-    classes = []
+    at, group = where[places], np.cumsum(new)[tied] * (n + 2)
+    residue = at % period
+    own: list[np.ndarray] = []  # places in ``order`` of each residue class, in its order
+    keys: list[dict[int, np.ndarray]] = []  # of each class, by shift
     for r in range(period):
         mine = np.flatnonzero(residue == r)
         shift = next(d for d in range(period) if (r + d) % period in cover)
-        key = group[mine] + ranks[np.minimum(where[places[mine]] + shift, n)]
-        classes.append(mine[np.argsort(key, kind="stable")])
-    to = [np.arange(len(c)) for c in classes]
+        mine = mine[np.argsort(group[mine] + ranks[at[mine] + shift])]
+        here, base = at[mine], group[mine]
+        own.append(places[mine])
+        keys.append({d: base + ranks[here + d] for d in range(period) if (r + d) % period in cover})
+    to = [np.arange(len(c)) for c in own]
     for r in range(period):
         for q in range(r):
-            a, b = classes[r], classes[q]
-            if not len(a) or not len(b):
-                continue
-            shift = next(d for d in range(period) if (r + d) % period in cover and (q + d) % period in cover)
-            key_a = group[a] + ranks[np.minimum(where[places[a]] + shift, n)]
-            key_b = group[b] + ranks[np.minimum(where[places[b]] + shift, n)]
-            less = np.searchsorted(key_b, key_a)  # ranks differ, so no two keys are equal
-            to[r] = to[r] + less
-            to[q] = to[q] + np.cumsum(np.bincount(less, minlength=len(b) + 1))[: len(b)]
-    out = np.empty(len(tied), np.int64)
-    for c, at in zip(classes, to, strict=True):
-        out[at] = places[c]
-    order[tied] = out
+            shift = next(d for d in keys[r] if d in keys[q])
+            less = np.searchsorted(keys[q][shift], keys[r][shift])
+            to[r] += less
+            to[q] += np.cumsum(np.bincount(less, minlength=len(own[q]) + 1))[: len(own[q])]
+    # Suffixes that agree on ``depth`` bytes may have got one place; any order among them will do.
+    order[tied] = np.concatenate(own)[np.argsort(np.concatenate(to), kind="stable")]
     return order, ~new
 
 
-def _later(buf: np.ndarray, where: np.ndarray, rank: np.ndarray, length: int) -> np.ndarray:
-    """Of the suffixes at ``where``, those that share their first ``length`` bytes with one of lower rank."""
-    order, like = suffix_order(buf, where)
+def _later(pieces: list[bytes], n: np.ndarray, rank: np.ndarray, length: int) -> np.ndarray:
+    """For each start in stretches of text (``n`` starts each, every one with ``length`` bytes to go), whether its first
+    ``length`` bytes begin at a lower start too. Starts are ordered by their stretch's rank, then by place.
+
+    Of equal stretches only the first is sorted: each start in the others has one before it.
+    """
+    seen: set[bytes] = set()
+    first = np.ones(len(pieces), bool)
+    for k in np.argsort(rank, kind="stable").tolist():
+        first[k] = pieces[k] not in seen
+        seen.add(pieces[k])
+    out = np.repeat(~first, n)
+    some = np.flatnonzero(first)
+    buf = np.frombuffer(b"".join([pieces[k] for k in some.tolist()]), np.uint8)
+    m = n[some]
+    begin = np.cumsum(m + length - 1) - (m + length - 1)
+    owner = np.repeat(np.arange(len(m)), m)
+    step = np.arange(len(owner)) - np.repeat(np.cumsum(m) - m, m)
+    where = begin[owner] + step
+    order, like = suffix_order(buf, where, length)
     again = np.flatnonzero(like)
     same = np.zeros(len(where), bool)
     same[again] = _same_text(buf, where[order[again]], where[order[again - 1]], length)
-    out = np.zeros(len(where), bool)
     if same.any():
-        begin = np.flatnonzero(~same)
-        own = rank[order]
-        out[order] = own != np.minimum.reduceat(own, begin)[np.cumsum(~same) - 1]
+        at = np.flatnonzero(~same)
+        own = (rank[some][owner] * (int(m.max()) + 1) + step)[order]
+        later = np.zeros(len(where), bool)
+        later[order] = own != np.minimum.reduceat(own, at)[np.cumsum(~same) - 1]
+        out[np.repeat(first, n)] = later
     return out
 
 
@@ -272,7 +288,13 @@ class Slice:
     def locally_later(self, inverse: np.ndarray, counts: np.ndarray) -> np.ndarray:
         near = _near(self.samples[counts[inverse] > 1], len(self.buf), self.period) & self.whole
         where = np.flatnonzero(near)
-        return where[_later(self.buf, where, where, self.length)]
+        p, n = _runs(where, np.r_[True, np.diff(self.part[where]) != 0])
+        return where[_later(self.texts(p, n), n, p, self.length)] if len(p) else where
+
+    def texts(self, p: np.ndarray, n: np.ndarray) -> list[bytes]:
+        """The bytes that runs of starts reach."""
+        data = self.buf.tobytes()
+        return [data[x : x + k + self.length - 1] for x, k in zip(p.tolist(), n.tolist(), strict=True)]
 
     def rows(self, p: np.ndarray, n: np.ndarray) -> np.ndarray:
         """Runs of positions as (document's number, place in it, length)."""
@@ -374,7 +396,7 @@ def _runs_from_bytes(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _found(bits: int, length: int, period: int):
     """For each slice of a block: its own later starts, and the starts that other blocks may share, in runs that have one
     smallest inner fingerprint each: first positions, lengths and the fingerprints' upper halves."""
-    inner = length - period + 1
+    inner = max(4, length // 5)
 
     def run(key: tuple, blocks: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple] = []
@@ -397,8 +419,8 @@ def _found(bits: int, length: int, period: int):
                     if len(at):
                         low = s.grams.all(inner)
                         width = 1
-                        while width < period:  # the smallest fingerprint among the next ``period``, by doubling
-                            step = min(width, period - width)
+                        while width < length - inner + 1:  # the smallest fingerprint inside each string, by doubling
+                            step = min(width, length - inner + 1 - width)
                             low = np.minimum(low[:-step], low[step:])
                             width += step
                         least = low[at]
@@ -449,10 +471,9 @@ def _stretches(buckets: int, length: int, period: int, hot: np.ndarray):
                 order = np.argsort(to, kind="stable")
                 p, n, to = p[order], n[order], to[order]
                 rows = np.concatenate([ids[s.doc[s.part[p]]][None, :], s.rows(p, n)])
-                cuts = np.flatnonzero(np.r_[True, to[1:] != to[:-1]])
+                cuts, texts = np.flatnonzero(np.r_[True, to[1:] != to[:-1]]), s.texts(p, n)
                 for a, b in zip(cuts, [*cuts[1:], len(to)], strict=True):
-                    text = b"".join(s.buf[x : x + k + length - 1].tobytes() for x, k in zip(p[a:b].tolist(), n[a:b].tolist(), strict=True))
-                    out.append((int(to[a]), r.block, rows[:, a:b].tobytes(), zstandard.ZstdCompressor(level=3).compress(text)))
+                    out.append((int(to[a]), r.block, rows[:, a:b].tobytes(), zstandard.ZstdCompressor(level=3).compress(b"".join(texts[a:b]))))
         return pd.DataFrame(out, columns=["bucket", "block", "starts", "texts"])
 
     return run
@@ -466,16 +487,16 @@ def _later_across(length: int):
         rows = np.concatenate([np.frombuffer(s, np.int64).reshape(4, -1) for s in dealt["starts"]], axis=1)
         block = np.repeat(dealt["block"].to_numpy(), counts)
         un = zstandard.ZstdDecompressor()
-        buf = np.frombuffer(b"".join(un.decompress(t) for t in dealt["texts"]), np.uint8)
+        text = b"".join(un.decompress(t) for t in dealt["texts"])
         doc_id, doc, start, n = rows
-        begin = np.cumsum(n + length - 1) - (n + length - 1)
+        ends = np.cumsum(n + length - 1).tolist()
+        pieces = [text[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
         owner = np.repeat(np.arange(len(n)), n)
         step = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
         place = np.lexsort((start, doc, block, doc_id))  # stretches of one document do not overlap in their starts
         rank = np.empty(len(n), np.int64)
         rank[place] = np.arange(len(n))
-        later = _later(buf, begin[owner] + step, rank[owner] * (int(n.max()) + 1) + step, length)
-        hit = np.flatnonzero(later)
+        hit = np.flatnonzero(_later(pieces, n, rank, length))
         if not len(hit):
             return pd.DataFrame({"block": block[:0], "starts": []})
         first = np.r_[True, (np.diff(hit) != 1) | (owner[hit[1:]] != owner[hit[:-1]])]

@@ -108,14 +108,17 @@ def test_suffixes_are_in_order_of_their_bytes():
     for buf in texts:
         whole = buf.tobytes()
         where = np.arange(len(buf) - 8)
-        order, like = suffix_dedup.suffix_order(buf, where)
+        order, like = suffix_dedup.suffix_order(buf, where, len(buf))
         assert where[order].tolist() == sorted(where.tolist(), key=lambda p: whole[p:])
         assert like.tolist() == [k > 0 and whole[order[k] :][:8] == whole[order[k - 1] :][:8] for k in range(len(order))]
         some = rng.permutation(where)[: len(where) // 3]
-        order, _ = suffix_dedup.suffix_order(buf, some)
+        order, _ = suffix_dedup.suffix_order(buf, some, len(buf))
         assert some[order].tolist() == sorted(some.tolist(), key=lambda p: whole[p:])
+        order, _ = suffix_dedup.suffix_order(buf, some[some < len(buf) - 20], 20)
+        cut = [whole[p : p + 20] for p in some[some < len(buf) - 20][order]]
+        assert cut == sorted(cut)
         # Ranks of the cover's positions, the last ones too, follow the order of their suffixes.
         words = np.ndarray((len(buf),), ">u8", np.r_[buf, np.zeros(8, np.uint8)], strides=(1,)).astype(np.uint64)
-        ranks = suffix_dedup.cover_ranks(buf, words)
+        ranks = suffix_dedup.cover_ranks(buf, words, len(buf))
         cover = [p for p in range(len(buf)) if p % 7 in COVERS[7]]
         assert sorted(cover, key=lambda p: ranks[p]) == sorted(cover, key=lambda p: whole[p:]) and len({ranks[p] for p in cover}) == len(cover)
