@@ -8,8 +8,9 @@ Names of states (has-sidebar) and ids of headings and sections, which are slugs
 "comments" outside an article), cut nothing, and a name of content beside that of boilerplate keeps the element. Each remaining paragraph-like block passes points to its ancestors, one plus one a comma plus one a hundred
 characters (three at most): all to the parent, half to the grandparent, a third and less further up. An ancestor's
 score is discounted by its link density, the share of its text inside links. The best container is kept together with
-those siblings that score near it or hold a long, comma-rich, link-poor paragraph. Its blocks, in page order, are the
-text. White space within a block becomes one space, and blocks are joined by one space.
+those siblings that score near it, that have its name and class (sections of one article), or that are paragraphs,
+headings, lists, quotations or tables, if most of their text is not links; a title above is kept if there is no other.
+The blocks of all these, in page order, are the text. White space within a block becomes one space, and blocks are joined by one space.
 
 This reader is a plain tokeniser with the parts of HTML's rules that matter here: void elements, implied ends of
 the head, paragraphs, list items, parts of tables and options, raw text of scripts and styles, comments, and ends of
@@ -67,6 +68,10 @@ CONTENT = frozenset("article articlebody body content entry hentry main maincont
 STATES = frozenset("no has have with without hide show is".split())
 TAILS = frozenset("area areas articles bar block blocks bottom box button buttons card center column container content count footer form group holder icons inner item items label left line link links list main module outer panel posts region right row section slot stories text title toggle top unit wrap wrapper zone".split())
 TALK = frozenset("combx comment comments commentlist disqus remark replies reply shoutbox".split())
+#: Names of boilerplate that say where a heading or paragraph stands, not what it is.
+PLACES = frozenset("banner breadcrumb copyright disclaimer foot footer header masthead notice notices remark search side social tags".split())
+#: Elements that belong to the container beside them.
+PARTS = frozenset("p pre blockquote h1 h2 h3 h4 h5 h6 ul ol dl table figure".split())
 ARTICLE = 250  # characters of unlinked text
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar alert alertdialog dialog note toolbar".split())
 WORD = re.compile(r"[A-Z]?[a-z0-9]+|[A-Z]+")
@@ -76,7 +81,7 @@ NONE: frozenset[str] = frozenset()
 
 
 class Node:
-    __slots__ = ("children", "dropped", "links", "name", "noise", "parent", "score", "size", "weight")
+    __slots__ = ("children", "classes", "commas", "dropped", "links", "name", "noise", "parent", "score", "size", "weight")
 
     def __init__(self, name: str, parent: Node | None, weight: float = 0.0):
         self.name, self.parent, self.weight = name, parent, weight
@@ -84,7 +89,8 @@ class Node:
         self.noise: frozenset[str] = NONE
         self.dropped = False  # open, but with all that is in it not part of the tree
         self.score = 0.0
-        self.size = self.links = 0
+        self.classes = ""
+        self.size = self.links = self.commas = 0
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -126,10 +132,12 @@ def _noise(name: str, attrs: dict[str, str], inside: bool) -> tuple[frozenset[st
     of_class, of_id, content = _names(attrs.get("class", ""), attrs.get("id", ""))
     heading = name in ("h1", "h2", "h3", "h4", "h5", "h6")
     points = 25.0 * content - 25.0 * bool(of_class or of_id and not heading)
-    if content or name in ("html", "body", "article", "main", "p", "b", "i", "em", "strong", "a", "h1", "h2"):
+    if content or name in ("html", "body", "article", "main", "b", "i", "em", "strong", "a"):
         return NONE, points
-    slug = heading or name == "section" or "section" in attrs.get("class", "").split()
-    if slug and not heading and not inside and attrs.get("id", "").lower() in TALK:
+    if heading or name == "p":
+        return of_class - PLACES, points
+    slug = name == "section" or "section" in attrs.get("class", "").split()
+    if slug and not inside and attrs.get("id", "").lower() in TALK:
         slug = False
     return of_class if slug else of_class | of_id, points
 
@@ -200,6 +208,7 @@ def tree(html: str) -> Node:
                 if _boilerplate(name, a, within):
                     child.dropped = True
                 else:
+                    child.classes = a.get("class", "")
                     child.noise, points = _noise(name, a, bool(within)) if a else (NONE, 0.0)
                     child.weight = 25.0 * ((a.get("role") == "main") + 2 * (name in ("article", "main")) + (a.get("itemprop") == "articleBody")) + points
                     node.children.append(child)
@@ -261,16 +270,18 @@ def _blocks(node: Node) -> list[str]:
 
 
 def _measured(root: Node) -> list[Node]:
-    """All elements, parents first, with the sizes of their texts and of the links in these."""
+    """All elements, parents first, with the sizes of their texts, of the links in these, and their commas."""
     nodes = _walk(root)
     for x in reversed(nodes):
-        x.size = x.links = 0
+        x.size = x.links = x.commas = 0
         for c in x.children:
             if isinstance(c, Node):
                 x.size += c.size
                 x.links += c.size if c.name == "a" else c.links
+                x.commas += c.commas
             else:
                 x.size += len(c.strip())
+                x.commas += c.count(",")
     return nodes
 
 
@@ -311,8 +322,7 @@ def main_text(html: str | None) -> str:
         own = x.name in PARAGRAPHS or (x.name not in ("a", "#root") and any(isinstance(c, str) and len(c.strip()) > 24 for c in x.children) and x.name in BLOCKS)
         if not own or x.size < 10 or (x.parent and x.name not in ("p", "pre", "blockquote") and x.parent.name in PARAGRAPHS):
             continue
-        text = "".join(_blocks(x))
-        points = 1 + text.count(",") + min(len(text) // 100, 3)
+        points = 1 + x.commas + min(x.size // 100, 3)
         points *= 1 - x.links / max(x.size, 1)
         up, level = (x if x.name not in PARAGRAPHS else x.parent), 0
         while up is not None and level < 6:
@@ -325,19 +335,40 @@ def main_text(html: str | None) -> str:
         return " ".join(_blocks(root))
     value = {id(x): x.score * (1 - x.links / max(x.size, 1)) for x in scored}
     best = max(scored, key=lambda x: (value[id(x)], x.size))
-    if best.parent is None:
-        return " ".join(_blocks(best))
     least = max(10.0, 0.2 * value[id(best)])
+
+    def belongs(c: Node) -> bool:
+        if not c.size or 2 * c.links > c.size:
+            return False
+        return value.get(id(c), 0) >= least or c.name in PARTS or (c.name, c.classes) == (best.name, best.classes)
+
+    kept = {id(c) for c in best.parent.children if isinstance(c, Node) and belongs(c)} | {id(best)} if best.parent else {id(best)}
+    top = best.parent or best
+    if not any(x.name == "h1" for y in top.children if id(y) in kept for x in _walk(y)):
+        above = top
+        while above.parent is not None:
+            kept.add(id(above))
+            titles = [c for c in above.parent.children if isinstance(c, Node) and c.name == "h1" and c.size and 2 * c.links <= c.size]
+            above = above.parent
+            if titles:
+                kept.update(id(c) for c in titles)
+                top = above
+                break
+    return " ".join(_kept_blocks(top, kept))
+
+
+def _kept_blocks(node: Node, kept: set[int]) -> list[str]:
+    """Blocks of the kept elements, in page order; of a kept element without kept children all."""
     out: list[str] = []
-    for c in best.parent.children:
-        if c is best:
-            out += _blocks(c)
-        elif isinstance(c, Node):
-            density = c.links / max(c.size, 1)
-            near = value.get(id(c), 0) >= least
-            if near or c.name == "p" and (c.size > 80 and density < 0.25 or 0 < c.size and density == 0 and "." in "".join(_blocks(c))):
-                out += _blocks(c)
-    return " ".join(out)
+    todo = [node]
+    while todo:
+        x = todo.pop()
+        inner = [c for c in x.children if isinstance(c, Node) and id(c) in kept]
+        if inner:
+            todo.extend(reversed(inner))
+        else:
+            out += _blocks(x)
+    return out
 
 
 def _extracted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -335,7 +335,7 @@ def _pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             "ids": [np.array([d[0] for d in docs], np.int64).tobytes()],
             "sizes": [np.array([len(d[1]) for d in docs], np.int64).tobytes()],
             "n_bytes": [held],
-            "blob": [zstandard.ZstdCompressor(level=3).compress(b"".join(d[1] for d in docs))],
+            "blob": [zstandard.ZstdCompressor(level=6).compress(b"".join(d[1] for d in docs))],
         }
         return pd.DataFrame(data)
 

@@ -1,5 +1,6 @@
 import html as entities
 import re
+import time
 
 import pytest
 
@@ -106,3 +107,37 @@ def test_dropped_elements_end_where_html_lets_their_end_tags_be_omitted(page):
 def test_tags_within_dropped_elements_stay_dropped():
     assert main_text(f"<body><div><b><nav><ul><li>x, y</b><li>z, u</ul>More, of, the menu</nav></b>{ARTICLE}</div></body>") == f"{P1} {P2} {P3}"
     assert main_text(f"<body><div><select><option>a<option>b</select><nav><div><nav>x</nav>y</div>z</nav>{ARTICLE}</div></body>") == f"{P1} {P2} {P3}"
+
+
+def test_adverts_and_comments_in_any_element_go():
+    ads = ['<p class="advert">Buy now, cheap, good, and more.</p>', '<h3 class="sponsored">Sponsored, by us</h3>', '<div class="ad-box"><p>Buy, now.</p></div>', '<p class="comment">Nice, post.</p>', '<span class="ad">Buy</span>', '<p class="newsletter-signup">Sign up, now.</p>', '<table class="promo"><tr><td>Buy, now</td></tr></table>']
+    for ad in ads:
+        assert main_text(f"<body><article><p>{P1}</p>{ad}<p>{P2}</p><p>{P3}</p></article></body>") == f"{P1} {P2} {P3}", ad
+    for head in ('<h2 class="section-header">Head</h2>', '<h1 class="header">Head</h1>', '<p class="side note">Head</p>'):
+        assert main_text(f"<body><article>{head}{ARTICLE}</article></body>") == f"Head {P1} {P2} {P3}", head
+
+
+def test_sections_of_different_lengths_stay():
+    secs = "".join(f'<div class="sec"><h2>Part {k}</h2>{f"<p>{P1}</p>" * n}</div>' for k, n in enumerate((6, 1, 1, 1)))
+    want = " ".join(f"Part {k} " + " ".join([P1] * n) for k, n in enumerate((6, 1, 1, 1)))
+    assert main_text(f"<body><div class='wrap'>{secs}</div></body>") == want
+    plain = secs.replace(' class="sec"', "")
+    assert main_text(f"<body><div class='wrap'>{plain}</div></body>") == want
+    assert main_text(f"<body><section>{secs}</section><footer>x, y, z</footer></body>") == want
+
+
+def test_title_beside_and_closing_paragraph_stay():
+    assert main_text(f'<body><div><h1>Title</h1><div id="content">{ARTICLE}</div><p>End</p></div></body>') == f"Title {P1} {P2} {P3} End"
+    assert main_text(f'<body><h1>Title</h1><div class="x"><div id="content">{ARTICLE}</div></div></body>') == f"Title {P1} {P2} {P3}"
+    assert main_text(f'<body><h1><a href="/">The site</a></h1><div id="content">{ARTICLE}</div></body>') == f"{P1} {P2} {P3}"
+    assert main_text(f'<body><h1>The site</h1><div class="x"><div id="content"><h1>Title</h1>{ARTICLE}</div></div></body>') == f"Title {P1} {P2} {P3}"
+    assert main_text(f"<body><div><div>{ARTICLE}</div><ul><li>one, of, these</li></ul><ul><li><a href=/>a link</a></li></ul></div></body>") == f"{P1} {P2} {P3} one, of, these"
+
+
+def test_nested_texts_are_read_in_linear_time():
+    n = 4000
+    page = "<div>some words, of its own, here and there, to count " * n + "</div>" * n
+    assert len(page) > 200_000
+    began = time.perf_counter()
+    text = main_text(page)
+    assert time.perf_counter() - began < 2 and text.count("some words") == n
