@@ -39,6 +39,7 @@ def near_group(rng, n, dims, spread):
 @pytest.mark.parametrize("chunk", [16, 1024])
 def test_against_brute_force(spark, monkeypatch, chunk):
     monkeypatch.setattr(embedding_dedup, "CHUNK", chunk)
+    monkeypatch.setattr(embedding_dedup, "BUNDLE", 500)
     rng = np.random.default_rng(5)
     vs = [v for s in (0.05, 0.3, 0.33, 0.36) for _ in range(4) for v in near_group(rng, 25, 64, s)] + list(rng.standard_normal((200, 64)))
     rows = [(int(i) * 3, [float(np.float32(x)) for x in v]) for i, v in enumerate(vs)]
@@ -65,6 +66,35 @@ def test_edges(spark):
     assert near_vectors(df.where("false")).collect() == []
 
 
+def test_repeated_rows_and_large_groups_of_copies(spark):
+    rng = np.random.default_rng(8)
+    a, b = rng.standard_normal(64), rng.standard_normal(64)
+    near = a + 0.2 * rng.standard_normal(64)
+    rows = [(k, a) for k in range(10, 400)] + [(500, near), (501, b), (3, b), (7, 2 * a), (600, near)]
+    rows = [(i, [float(np.float32(x)) for x in v]) for i, v in rows]
+    df = spark.createDataFrame([(i, v, 1, "u") for i, v in rows], SCHEMA).repartition(4)
+    assert got(df) == brute(rows)
+    # Rows that repeat an id share the result, each counting as a vector.
+    twice = spark.createDataFrame([(1, [1.0, 0.0], 1, "u"), (1, [1.0, 0.0], 1, "u"), (2, [1.0, 0.1], 1, "u")], SCHEMA)
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in near_vectors(twice).collect()) == [(1, 4, 1), (1, 4, 1), (2, 2, 1)]
+
+
+@pytest.mark.parametrize("code", [6, 10, 24, 48])
+def test_recall_at_the_threshold(code):
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((800, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z = rng.standard_normal((800, 64))
+    z -= (z * x).sum(axis=1, keepdims=True) * x
+    y = 0.9 * x + np.sqrt(1 - 0.81) * z / np.linalg.norm(z, axis=1, keepdims=True)
+    both = zip(decode(x, 4, code, least=code + embedding_dedup.EXTRA), decode(y, 4, code, least=code + embedding_dedup.EXTRA))
+    assert np.mean([len(np.intersect1d(a, b)) > 0 for a, b in both]) >= 0.97
+
+
+def test_directions_grow_with_the_vectors():
+    assert [embedding_dedup.code_for(n) for n in (0, 2000, 51_282, 10**6, 10**9)] == [6, 6, 10, 21, 48]
+
+
 def test_decode_is_complete():
     rng = np.random.default_rng(2)
     x = rng.standard_normal((20, 16))
