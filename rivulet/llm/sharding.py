@@ -1,12 +1,20 @@
 """Sharding by size-tiered compaction, in DataFrame functions only.
 
 Arrivals are appended as small immutable shards, one folder of them an append. Shards are ranked into tiers by size,
-each tier holding sizes within a factor ``fan`` of each other. Where a tier holds ``fan`` shards or more, similarly
-sized shards are merged: dealt to as many output files as their bytes fill at the target size, in one pass that reads
-and writes each row once. What a reader sees is the newest manifest, a numbered file that lists the live shards with
-their rows and bytes. It is written under a temporary name and renamed, and the rename fails if that number exists, so
-of two writers one wins and the other starts again from the winner's manifest; a job that dies in between leaves only
-unreferenced files. Merged inputs are deleted after the commit, never before.
+each tier holding sizes within a factor ``fan`` of each other. Where a tier holds ``fan`` shards or more, its shards are
+laid end to end by size and dealt to output files at the target size, each tier to files of its own; one job reads the
+merged shards and writes each file in one task, with one shuffle by the file's number. Rounds go on until no tier has
+``fan`` shards.
+
+What a reader sees is the newest manifest, a numbered folder with a table of the live shards, their rows and bytes. It is
+written under another name, with a file that names its writer, and renamed. A rename onto a folder that exists fails or
+moves the new one inside it, so a writer has won if its own name is in the numbered folder; of several writers one wins,
+and the others start again from the winner's manifest. This needs what HDFS and local disks have, folder renames in one
+step; on object stores the path must be on a layer that has it. A job that dies leaves unreferenced files only. Merged
+inputs are deleted after the commit, never before.
+
+Manifests are tables, and places are planned by window functions over them; the driver handles one string a shard that
+is merged (as any reader lists its files) and one row a tier.
 
 Sizes are the rows' payload: UTF-8 bytes of the text plus eight bytes of id.
 
@@ -17,17 +25,17 @@ all appends have the same schema; compacting an empty store commits an empty man
 
 from __future__ import annotations
 
-import json
+import math
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from rivulet.llm.common import fresh
+
 TARGET = 64 << 20
 FAN = 4
-#: Name of the column that tells the shard a row came from or goes to; clashes with none of a corpus.
-SHARD = "__shard"
-UNION = "spark.sql.unionOutputPartitioning"
+MANIFEST = "shard string, tier int, n_rows long, n_bytes long"
 
 
 def row_bytes(text: Column) -> Column:
@@ -51,101 +59,92 @@ class ShardStore:
         if not self.fs.exists(folder):
             return 0
         names = [s.getPath().getName() for s in self.fs.listStatus(folder)]
-        return max([int(n[1:-5]) for n in names if n.startswith("v") and n.endswith(".json")], default=0)
+        return max([int(n[1:]) for n in names if n.startswith("v")], default=0)
 
-    def manifest(self, version: int | None = None) -> list[dict]:
+    def manifest(self, version: int | None = None) -> DataFrame:
         """Live shards of a version: shard (relative path), tier, n_rows, n_bytes."""
         version = self.version() if version is None else version
         if version == 0:
-            return []
-        rows = self.spark.read.text(str(self._at("manifests", f"v{version:08d}.json").toString()), wholetext=True).first()
-        return json.loads(rows[0])["shards"]
+            return self.spark.createDataFrame([], MANIFEST)
+        return self.spark.read.schema(MANIFEST).parquet(f"{self.path}/manifests/v{version:08d}")
 
-    def commit(self, shards: list[dict], after: int) -> bool:
+    def commit(self, shards: DataFrame, after: int) -> bool:
         """Publishes version after + 1; False if another writer has already."""
-        temporary = self._at("manifests", f".{uuid.uuid4()}.tmp")
-        out = self.fs.create(temporary, False)
-        out.write(bytearray(json.dumps({"version": after + 1, "shards": shards}).encode()))
-        out.close()
-        final = self._at("manifests", f"v{after + 1:08d}.json")
-        done = not self.fs.exists(final) and self.fs.rename(temporary, final)
-        if not done:
-            self.fs.delete(temporary, False)
-        return bool(done)
-
-    def tier(self, n_bytes: int) -> int:
+        me = str(uuid.uuid4())
+        temporary, final = self._at("manifests", f".{me}"), self._at("manifests", f"v{after + 1:08d}")
+        shards.select("shard", "tier", "n_rows", "n_bytes").coalesce(1).write.parquet(temporary.toString())
+        owner = f"_writer-{me}"
+        self.fs.create(self._at("manifests", f".{me}", owner), False).close()
+        if not self.fs.exists(final):
+            self.fs.rename(temporary, final)
+        if self.fs.exists(self._at("manifests", final.getName(), owner)):
+            return True
+        for lost in (temporary, self._at("manifests", final.getName(), f".{me}")):
+            if self.fs.exists(lost):
+                self.fs.delete(lost, True)
+        return False
+
+    def tier(self, n_bytes: Column) -> Column:
         """0: target size (at least half of it). Further tiers are ``fan`` times smaller each."""
-        t, size = 0, self.target // 2
-        while n_bytes < size and t < 12:
-            t, size = t + 1, size // self.fan
-        return t
+        half = self.target / 2
+        return F.when(n_bytes >= half, 0).otherwise(F.ceil(F.log(half / F.greatest(n_bytes, F.lit(1))) / math.log(self.fan))).cast("int")
 
-    def _write(self, df: DataFrame) -> list[dict]:
+    def _write(self, df: DataFrame) -> DataFrame:
         """Writes the rows' partitions as new shards; sizes are read back from what was written."""
         folder = f"shards/{uuid.uuid4()}"
         df.write.option("compression", "zstd").parquet(f"{self.path}/{folder}")
-        written = self.spark.read.parquet(f"{self.path}/{folder}")
-        sizes = written.groupBy(F.col("_metadata.file_name").alias("f")).agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(F.col("text"))).alias("b"))
-        return [{"shard": f"{folder}/{r['f']}", "tier": self.tier(r["b"]), "n_rows": r["n"], "n_bytes": r["b"]} for r in sizes.collect()]
+        written = self.spark.read.schema(df.schema).parquet(f"{self.path}/{folder}")
+        name = F.concat(F.lit(f"{folder}/"), F.col("_metadata.file_name"))
+        sizes = written.groupBy(name.alias("shard")).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(row_bytes(F.col("text"))).alias("n_bytes"))
+        return sizes.withColumn("tier", self.tier(F.col("n_bytes")))
 
     def append(self, df: DataFrame) -> None:
         """Adds an arrival as shards, one for each of its partitions that has rows."""
         new = self._write(df)
-        while not self.commit(self.manifest(v := self.version()) + new, v):
+        while not self.commit(self.manifest(v := self.version()).unionByName(new), v):
             pass
 
-    def read(self, version: int | None = None) -> DataFrame | None:
-        """The rows of a version, with the shard they are in; None if it has no shard."""
-        shards = self.manifest(version)
-        if not shards:
-            return None
-        df = self.spark.read.parquet(*[f"{self.path}/{s['shard']}" for s in shards])
-        return df.withColumn(SHARD, F.regexp_extract("_metadata.file_path", r"(shards/[^/]+/[^/]+)$", 1))
+    def _open(self, shards: list[str], into: str | None = None) -> DataFrame:
+        df = self.spark.read.parquet(*[f"{self.path}/{s}" for s in shards])
+        return df.withColumn(into, F.regexp_extract("_metadata.file_path", r"(shards/[^/]+/[^/]+)$", 1)) if into else df
+
+    def read(self, version: int | None = None, into: str | None = None) -> DataFrame | None:
+        """The rows of a version, in ``into`` the shard they are in; None if it has no shard."""
+        shards = [r.shard for r in self.manifest(version).select("shard").collect()]
+        return self._open(shards, into) if shards else None
 
     def compact(self) -> bool:
         """One round: merges every tier that has ``fan`` shards or more. False if there was nothing to merge."""
         version = self.version()
         live = self.manifest(version)
-        by_tier: dict[int, list[dict]] = {}
-        for s in live:
-            by_tier.setdefault(s["tier"], []).append(s)
-        merged = [s for t, shards in by_tier.items() if t > 0 and len(shards) >= self.fan for s in shards]
-        if not merged:
+        tiers = [r.tier for r in live.where("tier > 0").groupBy("tier").count().where(F.col("count") >= self.fan).collect()]
+        if not tiers:
             if version == 0:
-                self.commit([], 0)
+                self.commit(live, 0)
             return False
-        # Similarly sized runs go together: the k-th output file of a tier takes the next of its shards up to the target.
-        places, used, file = [], 0, 0
-        for s in sorted(merged, key=lambda s: (s["tier"], s["shard"])):
-            if used and used + s["n_bytes"] > self.target * 1.25:
-                used, file = 0, file + 1
-            places.append((s["shard"], file))
-            used += s["n_bytes"]
-        new: list[dict] = []
-        files = [[f"{self.path}/{shard}" for shard, f in places if f == k] for k in range(file + 1)]
-        # Files are read whole and written without a shuffle; a group of inputs is one output partition.
-        for at in range(0, len(files), 64):
-            parts = [self.spark.read.parquet(*group).coalesce(1) for group in files[at : at + 64]]
-            union = parts[0]
-            for p in parts[1:]:
-                union = union.unionByName(p)
-            kept = self.spark.conf.get(UNION, None)
-            self.spark.conf.set(UNION, "false")  # else single partitions become one
-            try:
-                new += self._write(union)
-            finally:
-                self.spark.conf.set(UNION, kept) if kept is not None else self.spark.conf.unset(UNION)
-        gone = {s["shard"] for s in merged}
-        if not self.commit([s for s in live if s["shard"] not in gone] + new, version):
-            return True  # another writer was first: the next round starts from its manifest
-        for s in gone:
-            self.fs.delete(self._at(s), False)
-        return True
+        # One row a shard: a tier's shards, smallest first, fill files of the target size.
+        chosen = live.where(F.col("tier").isin(tiers))
+        along = Window.partitionBy("tier").orderBy("n_bytes", "shard").rowsBetween(Window.unboundedPreceding, -1)
+        run = F.floor(F.coalesce(F.sum("n_bytes").over(along), F.lit(0)) / self.target)
+        placed = chosen.select("shard", F.struct("tier", run.alias("run")).alias("file"))
+        numbered = placed.select("file").distinct().withColumn("number", (F.row_number().over(Window.orderBy("file")) - 1).cast("int"))
+        placed = placed.join(numbered, "file").select("shard", "number")
+        plan = placed.collect()
+        merged, files = [r.shard for r in plan], max(r.number for r in plan) + 1
+        df = self._open(merged)
+        shard, number = fresh(df, "shard"), fresh(df, "number")
+        rows = self._open(merged, shard).join(placed.select(F.col("shard").alias(shard), F.col("number").alias(number)), shard)
+        new = self._write(rows.repartitionById(files, F.col(number)).select(*[F.col(f"`{c}`") for c in df.columns]))
+        left = live.join(placed.select("shard"), "shard", "left_anti").unionByName(new)
+        if self.commit(left, version):
+            for s in merged:
+                self.fs.delete(self._at(s), False)
+        return True  # if another writer was first, the next round starts from its manifest
 
     def compact_all(self) -> int:
-        """Rounds until no tier has ``fan`` shards; at most one per tier is needed."""
+        """Rounds until no tier has ``fan`` shards. Each merges ``fan`` shards of a tier into fewer, so there is an end."""
         rounds = 0
-        while rounds < 12 and self.compact():
+        while self.compact():
             rounds += 1
         return rounds
 
@@ -161,14 +160,11 @@ def shard_documents(docs: DataFrame, path: str, arrivals: int = 4, target: int =
 
 def assignments(store: ShardStore) -> DataFrame:
     """One row a document of the newest version, read back from its shards: doc_id, shard, n_bytes, shard_bytes, tier, version."""
-    spark = store.spark
     version = store.version()
-    schema = "doc_id long, shard string, n_bytes long, shard_bytes long, tier int, version long"
     rows = store.read(version)
     if rows is None:
-        return spark.createDataFrame([], schema)
-    manifest = spark.read.text(store._at("manifests", f"v{version:08d}.json").toString(), wholetext=True)
-    parsed = manifest.select(F.explode(F.from_json("value", "struct<version:long,shards:array<struct<shard:string,tier:int,n_rows:long,n_bytes:long>>>")["shards"]).alias("s"))
-    listed = parsed.select(F.col("s.shard").alias("shard"), F.col("s.n_bytes").alias("shard_bytes"), F.col("s.tier").alias("tier"))
-    out = rows.select("doc_id", F.col(SHARD).alias("shard"), row_bytes(F.col("text")).alias("n_bytes"))
+        return store.spark.createDataFrame([], "doc_id long, shard string, n_bytes long, shard_bytes long, tier int, version long")
+    shard = fresh(rows, "shard")
+    out = store.read(version, shard).select("doc_id", F.col(shard).alias("shard"), row_bytes(F.col("text")).alias("n_bytes"))
+    listed = store.manifest(version).select("shard", F.col("n_bytes").alias("shard_bytes"), "tier")
     return out.join(listed, "shard").select("doc_id", "shard", "n_bytes", "shard_bytes", "tier", F.lit(version).cast("long").alias("version"))
