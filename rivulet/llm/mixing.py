@@ -1,8 +1,8 @@
 """Mixing sources to target weights in DataFrame functions only: a low-discrepancy schedule of equal-token blocks.
 
 Each source's documents are shuffled by a hash and laid on a tape, at most ``most`` laps of it. The tape is cut at the
-source's target, to the nearest word, and into blocks of equally many tokens, of which the last may be shorter: a source
-below a block has one short block. A schedule has one slot a block of the whole mix. The points i * phi mod 1 (golden
+source's target, to the nearest word, and into blocks of ``block`` tokens, whatever the corpus, of which the last may be
+shorter: a source below a block has one short block. A schedule has one slot a block of the whole mix. The points i * phi mod 1 (golden
 ratio, in 32-bit whole numbers) of the slots i, ranked, are dealt to the sources in order, to each as many as it has
 blocks. The r-th slot of a source takes its r-th block, so any stretch of the schedule has the sources near their shares.
 
@@ -10,21 +10,24 @@ Targets: a source's share of all tokens by its weight, stopped at ``most`` times
 weight until none is above. Prefix sums are dealt by (source, hash bucket), so no task holds a whole source.
 
 Edge cases: null text has size 0; texts without words get nothing; a null source is a source of its own, the last one;
-repeated rows are taken each on its own; an empty table, or one without words, gives targets and takings of 0; extra
-columns are ignored.
+repeated rows are taken each on its own, and rows with a null id like any others; an empty table, or one without words,
+gives targets and takings of 0; extra columns are ignored, and ``resample`` keeps them, whatever their names. There,
+rows that repeat an id share what they take. On its source's tape each document lies whole, lap by lap, but for the
+one at the cut, so rounding to whole documents moves a source by half a document at most.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import running_sum, settle
+from rivulet.llm.common import fresh, running_sum, settle
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
-SLOTS = 1 << 17  # full blocks in the mix, about, until blocks have BLOCK_TOKENS
-BLOCK_TOKENS = 1 << 16
+BLOCK_TOKENS = 1 << 12
 PHI32 = 2654435769  # 2**32 divided by the golden ratio: a fixed value
 CELL = 1 << 10
 
@@ -54,15 +57,13 @@ def sized(docs: DataFrame) -> DataFrame:
     return settle(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), words(F.col("text").cast("string")).alias("size")))
 
 
-def mix(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, seed: int = 17) -> tuple[DataFrame, DataFrame]:
+def mix(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, seed: int = 17, block: int = BLOCK_TOKENS) -> tuple[DataFrame, DataFrame]:
     """(targets, pieces) for rows of (doc_id, source, size).
 
     A piece is a run of a document's words in a slot: slot, sid, doc_id, size, begin (of the document on its source's
     tape, which tells repeated rows apart), start (word in the document), length. Ordered by slot it is the mix.
     """
     targets = settle(source_targets(sizes, weights, most))
-    total = targets.agg(F.coalesce(F.sum("source_size"), F.lit(0)).alias("n")).first()["n"]
-    block = max(1, min(BLOCK_TOKENS, total // SLOTS), -(-total // (1 << 31)))
     quotas = targets.withColumn("words", F.round("target").cast("long")).where("words > 0")
     quotas = quotas.withColumn("blocks", F.floor((F.col("words") + block - 1) / block))
     slots = quotas.agg(F.coalesce(F.sum("blocks"), F.lit(0)).alias("n")).first()["n"]
@@ -71,8 +72,10 @@ def mix(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST,
     ranges = quotas.withColumn("hi", F.sum("blocks").over(cumulative)).withColumn("lo", F.col("hi") - F.col("blocks"))
     ranges = ranges.select("sid", "lo", "hi", F.explode(F.sequence(F.floor(F.col("lo") / CELL), F.floor((F.col("hi") - 1) / CELL))).alias("cell"))
 
-    points = sizes.sparkSession.range(slots).select(F.col("id").alias("slot"), ((F.col("id") * F.lit(PHI32)) % F.lit(1 << 32)).alias("point"), F.lit(1).alias("one"))
-    points = running_sum(points, [], ["point"], "one", "rank", F.floor(F.col("point") / (1 << 23)))
+    # Beyond 2**31 slots the points repeat, in slot order.
+    point = (F.col("id") % F.lit(1 << 31) * F.lit(PHI32)) % F.lit(1 << 32)
+    points = sizes.sparkSession.range(slots).select(F.col("id").alias("slot"), point.alias("point"), F.lit(1).alias("one"))
+    points = running_sum(points, [], ["point", "slot"], "one", "rank", F.floor(F.col("point") / (1 << 23)))
     points = points.withColumn("cell", F.floor(F.col("rank") / CELL))
     schedule = points.join(ranges, "cell").where("rank >= lo and rank < hi").select("sid", "slot", "one")
     schedule = running_sum(schedule, ["sid"], ["slot"], "one", "block", F.floor(F.col("slot") / max(1, -(-slots // 512))))
@@ -99,12 +102,16 @@ def taken(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST)
     used = used.withColumn("copy", F.row_number().over(Window.partitionBy("sid", "doc_id", "size").orderBy("begin"))).drop("begin")
     rows = sizes.withColumn("copy", F.row_number().over(Window.partitionBy("source", "doc_id", "size").orderBy(F.lit(1))))
     rows = rows.alias("d").join(targets.alias("t"), F.col("d.source").eqNullSafe(F.col("t.source"))).select("d.*", "t.sid", "t.source_size", "t.target")
-    joined = rows.join(used, ["sid", "doc_id", "size", "copy"], "left")
-    return joined.select("doc_id", "size", "source", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"u.{c}")) for c in ("sid", "doc_id", "size", "copy")]
+    joined = rows.alias("d").join(used.alias("u"), reduce(lambda a, b: a & b, same), "left")
+    return joined.select("d.doc_id", "d.size", "source", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
 def resample(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
     """The mix in whole documents: each row as often as its taken words fill it, to the nearest number; same columns."""
-    t = taken(docs, weights, most).groupBy("doc_id").agg(F.round(F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).cast("int").alias("__copies"))
-    kept = docs.join(t.where("__copies > 0"), "doc_id").select(*docs.columns, F.explode(F.sequence(F.lit(1), "__copies")).alias("__copy"))
-    return kept.select(*docs.columns)
+    copies, lap = fresh(docs, "copies"), fresh(docs, "lap")
+    times = F.round(F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).cast("int")
+    t = taken(docs, weights, most).groupBy("doc_id").agg(times.alias(copies)).where(F.col(copies) > 0).alias("t")
+    kept = docs.alias("d").join(t, F.col("d.doc_id").eqNullSafe(F.col("t.doc_id")))
+    columns = [F.col(f"d.`{c}`") for c in docs.columns]
+    return kept.select(*columns, F.explode(F.sequence(F.lit(1), F.col(f"t.{copies}"))).alias(lap)).drop(lap)

@@ -58,7 +58,7 @@ def test_real_documents_schedule_and_resample(spark, small):
     df = spark.read.parquet(f"{small}/documents.parquet")
     rows = [(r.doc_id, r.text, r.source) for r in df.collect()]
     check(spark, rows, 6)
-    targets, pieces = mix(sized(df))
+    targets, pieces = mix(sized(df), block=16)
     share = {r.sid: r.target for r in targets.collect()}
     ps = sorted(pieces.collect(), key=lambda r: r.slot)
     half = Counter()
@@ -86,3 +86,35 @@ def test_small_sources_meet_their_targets_in_large_corpora(spark, total):
     assert pieces.where("start < 0 or length < 1 or start + length > size").count() == 0
     slots = pieces.select("slot", "sid").distinct()
     assert slots.count() == slots.agg({"slot": "max"}).first()[0] + 1
+
+
+def test_null_ids_and_clashing_names(spark):
+    rows = [(None, "a b c", "s", 1, 2), (None, "d e", "s", 3, 4), (2, "x", None, 5, 6), (3, None, "t", 7, 8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, copies int, lap int")
+    size, target = want_targets([r[:3] for r in rows])
+    got = Counter()
+    for r in taken(df).collect():
+        got[r.source] += r.taken
+    assert all(abs(got[s] - target[s]) <= 1 for s in size)
+    out = resample(df)
+    assert out.columns == df.columns and {r.source for r in out.collect()} == {"s", None}
+    assert sum(len(r.text.split()) for r in out.collect()) == 6
+
+
+def test_resampled_sources_are_off_by_half_a_document_at_most(spark):
+    rows = [(k, "w " * (1 + k * 37 % 90), f"s{k % 5}") for k in range(400)]
+    size, target = want_targets(rows)
+    got, longest = Counter(), Counter()
+    for r in resample(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect():
+        got[r.source] += len(r.text.split())
+    for d, t, s in rows:
+        longest[s] = max(longest[s], len(t.split()))
+    assert all(abs(got[s] - target[s]) <= longest[s] / 2 + 1 for s in size)
+
+
+def test_blocks_have_one_length_whatever_the_corpus(spark):
+    for n in (50, 5000):
+        rows = [(k, f"s{k % 2}", 100) for k in range(n)]
+        _, pieces = mix(spark.createDataFrame(rows, "doc_id long, source string, size long"), block=256)
+        by_slot = [r.n for r in pieces.groupBy("slot", "sid").agg({"length": "sum"}).withColumnRenamed("sum(length)", "n").collect()]
+        assert max(by_slot) == 256 and sum(x < 256 for x in by_slot) <= 2
