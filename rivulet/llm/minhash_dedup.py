@@ -44,6 +44,8 @@ LINK = 80  # hundredths of similarity
 AGREE = 71
 FEW, AGREE_FEW = 32, 10  # the same bound for the first coordinates alone
 CHUNK = 1024
+SALTS = 16
+TASK_ROWS = 4096  # members of bands for each task that compares them, about
 CACHED_WORDS = 200_000
 
 A, B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -179,7 +181,7 @@ def _with_partners(link: int):
     """Members of a chunk pair that have any partner across components: only their texts are needed."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        m = pdf.sort_values("id").drop_duplicates("id")
+        m = pdf.sort_values(["id", "sketch"]).drop_duplicates(["id", "sketch"])
         has = np.zeros(len(m), bool)
         i, j, _ = _partners(m, int(m["band"].iloc[0]), link)
         has[i] = True
@@ -248,9 +250,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, link: int = LINK) -> DataFr
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     all_ = settle(read.mapInPandas(_sketched(width), "doc_id long, n_shingles long, same binary, sketch binary, bands array<long>"))
     some = all_.where("n_shingles > 0")
-    one = some.groupBy("same").agg(F.min("doc_id").alias("id"))
-    copies = some.select("same", F.col("doc_id").alias("a")).join(one, "same").where("a != id").select("a", F.col("id").alias("b"))
-    copies = settle(copies.distinct())
+    one = some.groupBy("same").agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("n"))
+    # Copies meet their smallest id in several tasks, so a large group is spread.
+    salted = one.where("n > 1").select("same", "id", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    dealt = some.select("same", F.col("doc_id").alias("a"), F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt"))
+    copies = settle(dealt.join(salted, ["same", "salt"]).where("a != id").select("a", F.col("id").alias("b")).distinct())
     reps = some.join(one.select("same", F.col("id").alias("doc_id")), ["same", "doc_id"], "left_semi").select(F.col("doc_id").alias("id"), "n_shingles", "same", "sketch", "bands")
     banded = reps.select("id", F.posexplode("bands").alias("band", "key")).distinct()
     low = banded.groupBy("key").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
@@ -272,8 +276,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, link: int = LINK) -> DataFr
     sketches = reps.select("id", "n_shingles", "sketch")
     chunks = _chunk_pairs(members.select("key", "band", "id"), connected_components(first), sketches)
     schema = "key long, g struct<kind:int,x:int,y:int>, band int, id long, comp long, largest boolean, n_shingles long, sketch binary"
-    open_ = settle(chunks.groupBy("key", "g").applyInPandas(_with_partners(link), schema))
-    with_text = open_.join(texts.withColumnRenamed("doc_id", "id"), "id")
+    tasks = max(8, members.count() // TASK_ROWS)
+    open_ = settle(chunks.repartition(tasks, "key", "g").groupBy("key", "g").applyInPandas(_with_partners(link), schema))
+    with_text = open_.join(texts.withColumnRenamed("doc_id", "id"), "id").repartition(tasks, "key", "g")
     second = settle(with_text.groupBy("key", "g").applyInPandas(_linked_across(width, link), "a long, b long"))
     drop_folder(spark, folder)
     comps = connected_components(first.unionByName(second).unionByName(copies))

@@ -84,3 +84,18 @@ def test_sketch_estimates_and_fills():
         y = np.r_[x[: -300 // 9 - 1], rng.integers(0, 2**63, 300 // 9 + 1, dtype=np.uint64)]
         agree.append((sketch(x) == sketch(y)).mean() - len(np.intersect1d(x, y)) / len(np.union1d(x, y)))
     assert abs(np.mean(agree)) < 0.02 and np.std(agree) < 0.06
+
+
+def test_rows_that_repeat_an_id_with_other_texts(spark):
+    base = [f"w{k}" for k in range(60)]
+    other = [f"v{k}" for k in range(60)]
+    rows = [(1, " ".join(base)), (1, " ".join(other)), (2, " ".join([*base[:-3], "x1", "x2", "x3"])), (3, " ".join([*other[:-3], "y1", "y2", "y3"])), (4, "alone it stands"), (1, " ".join(base))]
+    df = spark.createDataFrame([(*r, "k") for r in rows], SCHEMA)
+    assert got(df, 2) == brute(rows, 2)
+
+
+def test_large_groups_of_copies(spark):
+    rows = [(k, "one and the same text for all of these") for k in range(100, 1500)] + [(k, f"text number {k} is of its own kind {k * 7}") for k in range(60)]
+    df = spark.createDataFrame([(*r, "k") for r in rows], SCHEMA).repartition(6)
+    out = {r.doc_id: r.component_id for r in near_duplicates(df, 2).collect()}
+    assert all(out[k] == 100 for k in range(100, 1500)) and all(out[k] == k for k in range(60))
