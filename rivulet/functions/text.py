@@ -8,14 +8,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: The parts of a forecast file's name.
-FILE_PATTERN = r"^nwm\.t(\d{2})z\.([a-z0-9_]+?)\.([a-z]+(?:_[a-z]+)?)(?:_(\d+))?\.(f\d+|tm\d+)\.([a-z]+)\.nc$"
+FILE_PATTERN = r"^nwm\.t(\d{2})z\.([a-z0-9_]+?)\.([a-z]+(?:[._][a-z]+)*)(?:_(\d+))?\.(f\d+|tm\d+)\.([a-z]+)\.nc$"
 PARTS = ("cycle", "configuration", "output_type", "member", "frame", "region")
 #: River forecast centres by code.
 CENTERS = {
-    "ABRFC": "Arkansas-Red Basin River Forecast Center", "APRFC": "Alaska-Pacific River Forecast Center", "CBRFC": "Colorado Basin River Forecast Center", "CNRFC": "California-Nevada River Forecast Center", "LMRFC": "Lower Mississippi River Forecast Center",
-    "MARFC": "Middle Atlantic River Forecast Center", "MBRFC": "Missouri Basin River Forecast Center", "NCRFC": "North Central River Forecast Center", "NERFC": "Northeast River Forecast Center", "NWRFC": "Northwest River Forecast Center",
-    "OHRFC": "Ohio River Forecast Center", "SERFC": "Southeast River Forecast Center", "WGRFC": "West Gulf River Forecast Center",
+    "ABRFC": "Arkansas Red-Basin River Forecast Center", "APRFC": "Alaska Pacific River Forecast Center", "CBRFC": "Colorado Basin River Forecast Center", "CNRFC": "California Nevada River Forecast Center", "LMRFC": "Lower Mississippi River Forecast Center",
+    "MARFC": "Mid-Atlantic River Forecast Center", "MBRFC": "Missouri Basin River Forecast Center", "NCRFC": "North Central River Forecast Center", "NERFC": "Northeast River Forecast Center", "NWRFC": "Northwest River Forecast Center",
+    "OHRFC": "Ohio River Valley River Forecast Center", "SERFC": "Southeast River Forecast Center", "WGRFC": "West Gulf River Forecast Center",
 }
+#: Words of identifiers that have another form in descriptions, besides the centres' codes.
+WORDS = {"extend": "Extended", "conus": "CONUS", "rt": "Routing"}
+#: The parts of an output's name, of which date, member and frame may be missing.
+OUTPUT_PATTERN = r"^(\w+)\.t(\d{8})?(\d{2})z\.([a-zA-Z_]+)\.(channel_rt|forcing|land|reservoir|)(?:_(\d+))?\.(?:(tm\d+|f\d+)\.)?([a-zA-Z]+)\.(\w+)"
+OUTPUT_PARTS = ("model", "date", "cycle", "configuration", "output_type", "member", "frame", "domain", "output_format")
 #: Units of sizes in bytes.
 SIZES = ("B", "KB", "MB", "GB", "TB", "PB")
 #: NetCDF type names by alias, their code, group and width.
@@ -43,6 +48,21 @@ def render_file_name(cycle: Column, configuration: Column, output_type: Column,
     return F.format_string("nwm.t%sz.%s.%s.%s.%s.nc", F.lpad(cycle.cast("string"), 2, "0"), configuration, kind, F.when(lead_s < 0, back).otherwise(ahead), region)
 
 
+def parse_output_name(name: Column) -> dict[str, Column]:
+    """The parts of an output's name; null where a name has no such part or is no such name."""
+    return {p: F.nullif(F.regexp_extract(name, OUTPUT_PATTERN, k), F.lit("")) for k, p in enumerate(OUTPUT_PARTS, 1)}
+
+
+def one_of(value: Column, values: list[str]) -> Column:
+    """The value if it is one of these, exactly; else null."""
+    return F.when(value.isin(*values), value)
+
+
+def find_one_of(text: Column, values: list[str]) -> Column:
+    """The first of these values in a text, the first listed one at a place; null without any."""
+    return F.nullif(F.regexp_extract(text, "(" + "|".join(re.escape(v) for v in values) + ")", 1), F.lit(""))
+
+
 def frame_token(name: Column) -> Column:
     return F.nullif(F.regexp_extract(name, r"(?<=\.)((?:tm|f)\d+)(?=\.)", 1), F.lit(""))
 
@@ -65,6 +85,13 @@ def titled(name: Column) -> Column:
     return F.initcap(F.trim(spaced))
 
 
+def described(name: Column) -> Column:
+    """An identifier as a title, with known words and centres' codes spelled out."""
+    known = WORDS | {k.lower(): v for k, v in CENTERS.items()}
+    words = F.create_map(*[F.lit(x) for kv in known.items() for x in kv])
+    return F.array_join(F.transform(F.split(titled(name), " "), lambda w: F.coalesce(F.try_element_at(words, F.lower(w)), w)), " ")
+
+
 def center_code(name: Column) -> Column:
     """Code of a centre by its code or full name, whatever the case; null if unknown."""
     pairs = [x for code, full in CENTERS.items() for x in (F.lit(code), F.lit(code), F.lit(full.upper()), F.lit(code))]

@@ -8,6 +8,7 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rivulet.functions.calendar import universal_day
 from rivulet.model import Dataset
 
 #: How each operation folds a variable; nulls are skipped, and a cell without a value stays null.
@@ -94,6 +95,29 @@ def group_by_lead(df: DataFrame, lead: str, duration_s: float, keys: list[str],
     return folded.join(buckets.drop("last_lead"), "bucket")
 
 
+def lead_interval(lead_s: Column, duration_s: float) -> Column:
+    """The bucket of a lead as (floor, maximum], in seconds; that of the first bucket begins at 0."""
+    bucket = lead_bucket(lead_s, duration_s)
+    return F.struct(((bucket - 1) * duration_s).cast("double").alias("floor"), (bucket * duration_s).cast("double").alias("maximum"))
+
+
+def bounds(df: DataFrame, time: str, seconds: float, keys: list[str], low: str = "lower_bound", high: str = "upper_bound") -> DataFrame:
+    """(earliest time - duration, latest time) of each file: one row a file."""
+    return df.groupBy(*keys).agg((F.min(time) - F.make_dt_interval(secs=F.lit(seconds))).alias(low), F.max(time).alias(high))
+
+
+def day_range(df: DataFrame, time: str, keys: list[str] | None = None) -> DataFrame:
+    """The first and last universal day of the year: min_day, max_day."""
+    day = universal_day(F.col(time))
+    asked = [F.min(day).alias("min_day"), F.max(day).alias("max_day")]
+    return df.groupBy(*keys).agg(*asked) if keys else df.agg(*asked)
+
+
+def quantiles(df: DataFrame, variable: str, levels: dict[str, float], keys: list[str]) -> DataFrame:
+    """Exact quantiles by linear interpolation: one column a level."""
+    return df.groupBy(*keys).agg(*[F.percentile(variable, F.lit(p)).alias(n) for n, p in levels.items()])
+
+
 def time_bounds(data: Dataset, time: str = "time", amount: float = 1.0, unit: str = "hours", output: str = "time_bounds", dimension: str = "nv") -> Dataset:
     """[earliest time - duration, latest time] of each file, beside its cells."""
     data.need(time)

@@ -60,17 +60,30 @@ class Grid:
         return self.crs == other.crs and near(self.x, other.x) and near(self.y, other.y)
 
 
+def _axes(df: DataFrame, columns: list[str]) -> list[Axis]:
+    """Axes of coordinate columns, by one job: step = (max - min) / (distinct values - 1)."""
+    found = None
+    for c in columns:  # values first lose their copies; what is left to sort out is as long as an axis
+        one = df.select(F.col(c).cast("double").alias("v")).distinct().agg(F.lit(c).alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("v").alias("n"))
+        found = one if found is None else found.unionByName(one)
+    rows = {r["c"]: r for r in found.collect()}
+    out = []
+    for c in columns:
+        r = rows[c]
+        if not r["n"]:
+            raise ValueError(f"{c} has no values")
+        out.append(Axis(r["lo"], (r["hi"] - r["lo"]) / (r["n"] - 1) if r["n"] > 1 else 1.0, r["n"]))
+    return out
+
+
 def axis_of(df: DataFrame, column: str, north_up: bool = False) -> Axis:
-    """The axis of a coordinate column, by one aggregate: step = (max - min) / (distinct values - 1)."""
-    r = df.agg(F.min(column).alias("lo"), F.max(column).alias("hi"), F.count_distinct(column).alias("n")).first()
-    if not r["n"]:
-        raise ValueError(f"{column} has no values")
-    step = (r["hi"] - r["lo"]) / (r["n"] - 1) if r["n"] > 1 else 1.0
-    return Axis(float(r["hi"]), -float(step), r["n"]) if north_up else Axis(float(r["lo"]), float(step), r["n"])
+    """The axis of a coordinate column."""
+    a = _axes(df, [column])[0]
+    return Axis(a.origin + a.step * (a.size - 1), -a.step, a.size) if north_up else a
 
 
 def grid_of(df: DataFrame, x: str = "x", y: str = "y", crs: str = "") -> Grid:
-    return Grid(axis_of(df, x), axis_of(df, y), crs)
+    return Grid(*_axes(df, [x, y]), crs)
 
 
 def explode_rows(df: DataFrame, values: str, row: str, column: str = "x", value: str = "value") -> DataFrame:
@@ -78,12 +91,15 @@ def explode_rows(df: DataFrame, values: str, row: str, column: str = "x", value:
     return df.select(row, F.posexplode(values).alias(column, value))
 
 
-def target_cells(df: DataFrame, source: Grid, target: Grid) -> DataFrame:
-    """All cells of the target grid, with the source cell (row, col) under each one's centre; no data is read."""
-    cells = df.sparkSession.range(target.x.size * target.y.size)
-    cells = cells.select((F.col("id") % target.x.size).cast("int").alias("tx"), F.floor(F.col("id") / target.x.size).cast("int").alias("ty"))
+def target_cells(df: DataFrame, source: Grid, target: Grid, keys: DataFrame | None = None) -> DataFrame:
+    """All cells of the target grid, with the source cell (row, col) under each one's centre, for each row of ``keys``
+    or once; no data is read."""
+    n = target.x.size * target.y.size
+    by = keys.columns if keys is not None else []
+    cells = df.sparkSession.range(n) if keys is None else keys.select(*by, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))).alias("id"))
+    cells = cells.select(*by, (F.col("id") % target.x.size).cast("int").alias("tx"), F.floor(F.col("id") / target.x.size).cast("int").alias("ty"))
     x, y = target.x.centre(F.col("tx")), target.y.centre(F.col("ty"))
-    return cells.select(x.alias("x"), y.alias("y"), source.y.index(y).alias("row"), source.x.index(x).alias("col"))
+    return cells.select(*by, x.alias("__x"), y.alias("__y"), source.y.index(y).alias("__row"), source.x.index(x).alias("__col"))
 
 
 def reproject(data: Dataset, source: Grid, target: Grid, variables: list[str], x: str = "x", y: str = "y", by: list[str] | None = None, reproject_points=None) -> Dataset:
@@ -100,23 +116,28 @@ def reproject(data: Dataset, source: Grid, target: Grid, variables: list[str], x
     if source.crs != target.crs and reproject_points is None:
         raise ValueError("the grids' coordinate systems differ, and there is no way between them")
     by = by or []
-    cells = target_cells(data.df, source, target)
+    values = data.df.select(*by, source.y.index(F.col(y)).alias("__row"), source.x.index(F.col(x)).alias("__col"), *variables)
+    cells = target_cells(data.df, source, target, values.select(*by).distinct() if by else None)
     if reproject_points is not None and source.crs != target.crs:
 
         def moved(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
-                sx, sy = reproject_points(b["x"].to_numpy(), b["y"].to_numpy())
-                yield b.assign(row=np.floor((sy - source.y.edge) / source.y.step).astype("int32"), col=np.floor((sx - source.x.edge) / source.x.step).astype("int32"))
-
-        cells = cells.mapInPandas(moved, "x double, y double, row int, col int")
-    values = data.df.select(*by, source.y.index(F.col(y)).alias("row"), source.x.index(F.col(x)).alias("col"), *variables)
-    if by:
-        keys = values.select(*by).distinct()
-        cells = cells.withColumn("__one", F.lit(1)).join(keys.withColumn("__one", F.lit(1)), "__one").drop("__one")
-    out = cells.join(values, [*by, "row", "col"], "left").select(*by, F.col("y").alias(y), F.col("x").alias(x), *variables)
+                sx, sy = reproject_points(b["__x"].to_numpy(), b["__y"].to_numpy())
+                yield b.assign(__row=np.floor((sy - source.y.edge) / source.y.step).astype("int32"), __col=np.floor((sx - source.x.edge) / source.x.step).astype("int32"))
+
+        cells = cells.mapInPandas(moved, cells.schema)
+    out = cells.join(values, [*by, "__row", "__col"], "left").select(*by, F.col("__y").alias(y), F.col("__x").alias(x), *variables)
     return replace(data, df=out, attrs=attrs)
 
 
+def reproject_group(data: Dataset, source: Grid, target: Grid, x: str = "x", y: str = "y", by: list[str] | None = None, fill: dict[str, object] | None = None) -> Dataset:
+    """All variables over both axes on the target grid; the others stay as scalars or attributes say. ``fill`` gives
+    values, by variable, for cells without one; else they are null."""
+    spatial = [v for v in data.variables if {x, y} <= set(data.dims_of(v))]
+    out = reproject(data, source, target, spatial, x, y, by)
+    return out.pipe(lambda df: df.fillna({k: v for k, v in fill.items() if k in spatial})) if fill else out
+
+
 def update_references(data: Dataset, variables: list[str], crs_name: str, attributes: dict) -> Dataset:
     """Names a coordinate system in the variables' attributes; nothing else changes."""
     var_attrs = {**data.var_attrs, crs_name: dict(attributes)}

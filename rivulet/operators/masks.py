@@ -30,6 +30,19 @@ def missing_ids(df: DataFrame, mask: DataFrame, on: str, limit: int | None = Non
     return gone.orderBy(on).limit(limit) if limit else gone
 
 
+def shared_ids(df: DataFrame, mask: DataFrame, on: str, mask_id: str | None = None) -> DataFrame:
+    """Ids that both hold, each once."""
+    return mask.select(F.col(mask_id or on).alias(on)).distinct().join(df.select(on), on, "left_semi")
+
+
+def first_row(df: DataFrame, order: list[str], by: list[str], where: Column | None = None, last: bool = False) -> DataFrame:
+    """Of each group the first (or last) row in order that passes a test; groups without any have no row."""
+    rows = df.where(where) if where is not None else df
+    other = [c for c in df.columns if c not in by]
+    pick = F.max_by if last else F.min_by
+    return rows.groupBy(*by).agg(pick(F.struct(*other), F.struct(*order, *other)).alias("r")).select(*by, "r.*")
+
+
 def subset(data: Dataset, mask: DataFrame, on: list[str], keep: str = "keep", variables: list[str] | None = None) -> Dataset:
     """Variables become null outside a grid mask; no cell goes. A cell that the mask lacks is outside."""
     chosen = variables or [v for v in data.variables if set(on) <= set(data.dims_of(v))]
@@ -51,9 +64,9 @@ def half_open(column: str, start, stop) -> Column:
 
 
 def nearest(df: DataFrame, column: str, value, by: list[str] | None = None) -> DataFrame:
-    """For each group the row nearest to a label, ties to the smaller one: an aggregate, no sort."""
+    """For each group the row nearest to a label, ties to the smaller one, then to the other columns: an aggregate, no sort."""
     other = [c for c in df.columns if c not in (by or [])]
-    best = F.min_by(F.struct(*other), F.struct(F.abs(F.col(column) - F.lit(value)), F.col(column))).alias("r")
+    best = F.min_by(F.struct(*other), F.struct(F.abs(F.col(column) - F.lit(value)), F.col(column), *other)).alias("r")
     rows = df.groupBy(*by).agg(best) if by else df.agg(best)
     return rows.select(*(by or []), "r.*")
 

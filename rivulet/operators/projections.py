@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.functions.text import titled
@@ -161,6 +162,29 @@ def total_over_time(data: Dataset, rate: str, total: str, amount: float = 1.0, u
     return data.with_columns({total: value.cast("float")}, {total: attrs | dict(attributes or {})})
 
 
+def compute(data: Dataset, expressions: dict[str, str], attributes: dict[str, dict] | None = None) -> Dataset:
+    """Variables from SQL expressions over the others, one after the other, so later ones see earlier ones."""
+    out = data
+    for name, text in expressions.items():
+        if name in data.dims or name in data.coords:
+            raise ValueError(f"{name} is a coordinate")
+        out = out.with_columns({name: F.expr(text)}, {name: {**out.var_attrs.get(name, {}), **(attributes or {}).get(name, {})}})
+    return out
+
+
+def narrow(data: Dataset) -> Dataset:
+    """Double-precision variables in single precision; dimensions and coordinates stay."""
+    wide = [n for n, t in data.df.dtypes if t == "double" and n in data.variables]
+    return data.with_columns({n: F.col(n).cast("float") for n in wide}) if wide else data
+
+
+def flatten_values(df: DataFrame, column: str, unique: bool = False, where: Callable[[Column], Column] | None = None) -> DataFrame:
+    """An array of arrays as one array, one level less deep; maybe each value once, or those alone that pass a test."""
+    values = F.flatten(F.col(column))
+    values = F.filter(values, where) if where is not None else values
+    return df.withColumn(column, F.array_distinct(values) if unique else values)
+
+
 def uniform_collapse(data: Dataset, variables: list[str]) -> Dataset:
     """Variables with one value everywhere (or none) become scalars. One aggregate pass over the data."""
     data.need(*variables)
@@ -184,4 +208,4 @@ def derived_name(name: str, suffix: str) -> str:
     return " ".join(w.capitalize() for w in [*words, suffix])
 
 
-__all__ = ["adjust_dimensions", "attribute", "attribute_map", "combine", "derived_name", "drop", "drop_dimensions", "edit_attribute", "rename", "rename_dimensions", "reorder", "titled", "total_over_time", "uniform_collapse", "unit_conversion"]
+__all__ = ["adjust_dimensions", "attribute", "attribute_map", "combine", "compute", "flatten_values", "narrow", "derived_name", "drop", "drop_dimensions", "edit_attribute", "rename", "rename_dimensions", "reorder", "titled", "total_over_time", "uniform_collapse", "unit_conversion"]

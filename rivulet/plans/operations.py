@@ -41,6 +41,12 @@ class Context:
     output: str = "."
     saved: list[str] = field(default_factory=list)
     messages: list[str] = field(default_factory=list)
+    kept: list[DataFrame] = field(default_factory=list)
+
+    def release(self) -> None:
+        """Lets go of what operations have kept for others."""
+        while self.kept:
+            self.kept.pop().unpersist()
 
     def table(self, name: str) -> DataFrame:
         if name not in self.tables:
@@ -143,7 +149,10 @@ class Load(Operation):
     persist: bool = False
 
     def apply(self, data, context):
-        return data.pipe(lambda df: df.persist()) if self.persist else data
+        if self.persist:
+            data = data.pipe(lambda df: df.persist())
+            context.kept.append(data.df)
+        return data
 
 
 @register("drop")
@@ -254,15 +263,29 @@ class Combine(Operation):
         return "  " * depth + f"{self.operation_id} combine"
 
 
+@register("expression")
+@dataclass(kw_only=True)
+class Expression(Operation):
+    """Variables from SQL expressions over the others."""
+
+    expressions: dict[str, str]
+    attributes: dict[str, dict] = field(default_factory=dict)
+
+    def apply(self, data, context):
+        return projections.compute(data, self.expressions, self.attributes)
+
+
 @register("merge")
 @dataclass(kw_only=True)
 class Merge(Operation):
     """All files as one: the rows are together already, so only the key that parts them goes; ``collapse`` names
-    variables that become scalars if they have one value."""
+    variables that become scalars if they have one value, and ``narrow`` puts double variables in single precision."""
 
     collapse: list[str] = field(default_factory=list)
+    narrow: bool = False
 
     def apply(self, data, context):
+        data = projections.narrow(data) if self.narrow else data
         whole = replace(data, df=data.df.drop(*[c for c in data.file_key if c not in data.dims]), file_key=())
         return projections.uniform_collapse(whole, self.collapse) if self.collapse else whole
 
@@ -428,10 +451,11 @@ class FileFilter(Operation):
 @register("branch")
 @dataclass(kw_only=True)
 class Branch(Operation):
-    """Every branch gets the same data, kept for them meanwhile; the result is all their rows, told apart by ``branch``."""
+    """Every branch gets the same data; the result is all their rows, told apart by ``branch``. With ``persist`` the data
+    are kept until ``Context.release``, to be called when the sinks have run."""
 
     branches: dict[str, list]
-    persist: bool = True
+    persist: bool = False
 
     def check(self):
         if not self.branches:
@@ -442,7 +466,10 @@ class Branch(Operation):
         return [o for ops in self.branches.values() for o in ops]
 
     def apply(self, data, context):
-        shared = data.pipe(lambda df: df.persist()) if self.persist and len(self.branches) > 1 else data
+        shared = data
+        if self.persist and len(self.branches) > 1:
+            shared = data.pipe(lambda df: df.persist())
+            context.kept.append(shared.df)
         outs = []
         for name, ops in self.branches.items():
             inner = replace(context, values={**context.values, "branch": name}, saved=context.saved)

@@ -8,6 +8,7 @@ since the order of additions differs.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,7 @@ from rivulet.functions import calendar, text, units
 from rivulet.model import Dataset, from_table
 from rivulet.operators import aggregates, grid, masks, projections
 from rivulet.plans.operations import Context
-from rivulet.plans.profile import Profile
+from rivulet.plans.profile import Profile, select_profile
 from rivulet.sources import scan, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,9 +118,7 @@ def total_over_time(spark, d):
 
 @query("SELECT user_id AS feature_id, min(ts) - INTERVAL 1 HOUR AS lower_bound, max(ts) AS upper_bound FROM events GROUP BY user_id")
 def time_bounds(spark, d):
-    data = _series(spark, d)
-    out = aggregates.time_bounds(data.with_df(data.df, file_key=("feature_id",)))
-    return out.df.select("feature_id", F.col("time_bounds")[0].alias("lower_bound"), F.col("time_bounds")[1].alias("upper_bound")).distinct()
+    return aggregates.bounds(_series(spark, d).df, "time", 3600, ["feature_id"])
 
 
 @query("SELECT l_orderkey, l_linenumber, [l_quantity, l_discount, l_tax] AS stacked FROM lineitem")
@@ -167,7 +166,7 @@ def missing_mask_ids(spark, d):
 
 @query("SELECT c_custkey FROM customer INTERSECT SELECT o_custkey FROM orders")
 def mask_intersection(spark, d):
-    return _t(spark, d, "customer").select("c_custkey").intersect(_t(spark, d, "orders").select("o_custkey"))
+    return masks.shared_ids(_t(spark, d, "customer"), _t(spark, d, "orders"), "c_custkey", "o_custkey")
 
 
 @query(
@@ -190,9 +189,7 @@ def label_slice_half_open(spark, d):
 
 @query("SELECT user_id, arg_min(event_id, (abs(value - 50.0), value, event_id)) AS event_id, arg_min(value, (abs(value - 50.0), value, event_id)) AS value FROM events GROUP BY user_id")
 def nearest_label(spark, d):
-    df = _t(spark, d, "events").select("user_id", "event_id", "value")
-    best = F.min_by(F.struct("event_id", "value"), F.struct(F.abs(F.col("value") - 50.0), F.col("value"), F.col("event_id"))).alias("r")
-    return df.groupBy("user_id").agg(best).select("user_id", "r.event_id", "r.value")
+    return masks.nearest(_t(spark, d, "events").select("user_id", "event_id", "value"), "value", 50.0, ["user_id"])
 
 
 @query("SELECT o_orderkey, o_orderpriority FROM orders WHERE (o_orderstatus IS NULL OR o_orderstatus = 'O') AND (o_orderpriority IS NULL OR o_orderpriority = '1-URGENT')")
@@ -325,7 +322,8 @@ def anomaly_scores(spark, d):
 @query(f"SELECT user_id AS feature_id, round(p05, 6) AS p05, round(p25, 6) AS p25, round(p75, 6) AS p75, round(p95, 6) AS p95 FROM ({_CLIMATE})")
 def climatology_quantiles(spark, d):
     cols = {f"p{int(p * 100):02d}": p for p in (0.05, 0.25, 0.75, 0.95)}
-    return _series(spark, d).df.groupBy("feature_id").agg(*[F.round(F.percentile("streamflow", F.lit(p)), 6).alias(c) for c, p in cols.items()])
+    out = aggregates.quantiles(_series(spark, d).df, "streamflow", cols, ["feature_id"])
+    return out.select("feature_id", *[F.round(c, 6).alias(c) for c in cols])
 
 
 @query("SELECT vec_id AS y, CAST(unnest(range(0, len(embedding))) AS INTEGER) AS x, unnest(embedding) AS value FROM embeddings")
@@ -365,11 +363,13 @@ def affine_from_axes(spark, d):
     return spark.createDataFrame([(a, c, e, f)], "a double, c double, e double, f double")
 
 
-@query("SELECT user_id AS feature_id, ts AS time, value AS streamflow FROM events UNION ALL SELECT o_custkey, o_orderdate, o_totalprice FROM orders")
+@query("SELECT user_id AS feature_id, ts AS time, CAST(value AS FLOAT) AS streamflow FROM events UNION ALL SELECT o_custkey, o_orderdate, CAST(o_totalprice AS FLOAT) FROM orders")
 def merge_union(spark, d):
     e = _t(spark, d, "events").select(F.col("user_id").alias("feature_id"), F.col("ts").alias("time"), F.col("value").alias("streamflow"))
     o = _t(spark, d, "orders").select(F.col("o_orderdate").alias("time"), F.col("o_totalprice").alias("streamflow"), F.col("o_custkey").alias("feature_id"))
-    return e.unionByName(o, allowMissingColumns=True)
+    files = e.withColumn("file", F.lit("events")).unionByName(o.withColumn("file", F.lit("orders")), allowMissingColumns=True)
+    data = from_table(files, ("feature_id", "time"), file_key=("file",))
+    return Profile.from_dict({"operations": [{"operation": "merge", "narrow": True}]}).run(data).df
 
 
 @query("SELECT user_id, arg_max(event_type, event_id) AS event_type FROM events GROUP BY user_id")
@@ -467,9 +467,9 @@ def title_case(spark, d):
     return _t(spark, d, "part").select("p_type", text.titled(F.regexp_replace(F.lower("p_type"), " ", "_")).alias("title")).distinct()
 
 
-@query("SELECT n_nationkey, CASE n_nationkey % 3 WHEN 0 THEN 'NWRFC' WHEN 1 THEN 'OHRFC' END AS code, CASE n_nationkey % 3 WHEN 0 THEN 'Northwest River Forecast Center' WHEN 1 THEN 'Ohio River Forecast Center' END AS long_name FROM nation")
+@query("SELECT n_nationkey, CASE n_nationkey % 3 WHEN 0 THEN 'NWRFC' WHEN 1 THEN 'OHRFC' END AS code, CASE n_nationkey % 3 WHEN 0 THEN 'Northwest River Forecast Center' WHEN 1 THEN 'Ohio River Valley River Forecast Center' END AS long_name FROM nation")
 def center_lookup(spark, d):
-    given = F.when(F.col("n_nationkey") % 3 == 0, "nwrfc").when(F.col("n_nationkey") % 3 == 1, "ohio river forecast center").otherwise("nowhere")
+    given = F.when(F.col("n_nationkey") % 3 == 0, "nwrfc").when(F.col("n_nationkey") % 3 == 1, "ohio river valley river forecast center").otherwise("nowhere")
     return _t(spark, d, "nation").select("n_nationkey", text.center_code(given).alias("code")).withColumn("long_name", text.center_name(F.col("code")))
 
 
@@ -495,9 +495,15 @@ def point_series(spark, d):
     return scan.point_series(_series(spark, d), "feature_id", 7, ["streamflow"])
 
 
-@query("SELECT r_name, n_name FROM region JOIN nation ON n_regionkey = r_regionkey WHERE r_name = 'ASIA'")
+@query("SELECT event_id, event_type, value * 2 AS value FROM events WHERE event_type = 'click'")
 def profile_selection(spark, d):
-    return scan.select_label(_t(spark, d, "region").join(_t(spark, d, "nation"), F.col("n_regionkey") == F.col("r_regionkey")), {"r_name": "ASIA"}, ["r_name", "n_name"])
+    """Of several profiles the one for the files at hand, run on them."""
+    keep = lambda kind, times: [{"operation": "file_filter", "on": {"field": "event_type", "operator": "==", "value": kind}}, {"operation": "expression", "expressions": {"value": f"value * {times}"}}]
+    base = {"region": "conus", "configuration": "short_range", "output_type": "channel_rt"}
+    specs = [base | {"operations": keep("click", 2)}, base | {"region": "hawaii", "operations": keep("view", 3)}, base | {"output_type": "land", "operations": keep("view", 4)}, base | {"configuration": "medium_range", "member": "1", "operations": keep("click", 5)}]
+    profiles = {str(k): Profile.from_json(json.dumps(s)) for k, s in enumerate(specs)}
+    data = from_table(_t(spark, d, "events").select("event_id", "event_type", "value"), ("event_id",))
+    return select_profile(profiles, "conus", "short_range", "channel_rt").run(data).df
 
 
 @query("SELECT event_id, event_type, value FROM events WHERE event_type IN ('view', 'click') AND user_id = 3")
@@ -543,3 +549,6 @@ def flagship_forecast_profile(spark, d):
     )
     out = profile.run(_series(spark, d)).df
     return out.select("feature_id", "group", _rounded("mean_flow").alias("mean_flow"))
+
+
+from rivulet import queries_files  # noqa: E402, F401  registers the queries of sources, sinks, profiles and streams

@@ -28,7 +28,8 @@ def read_table(spark: SparkSession, paths: str | list[str], form: str = "parquet
 
 def with_identity(df: DataFrame, name: Column | None = None) -> DataFrame:
     """Adds what a file's name says: cycle, configuration, output_type, member, frame, region and lead_seconds."""
-    file = name if name is not None else F.regexp_extract("_metadata.file_name", r"^(.*?)(?:\.parquet)?$", 1)
+    # A file <name>.parquet, or a part in a folder of that name.
+    file = name if name is not None else F.regexp_extract("_metadata.file_path", r"([^/]+\.nc)(?:\.parquet)?(?:/[^/]*)?$", 1)
     out = df.withColumn("__file", file).withColumns(parse_file_name(F.col("__file")))
     return out.withColumn("lead_seconds", lead_seconds(F.col("frame"))).drop("__file")
 
@@ -38,6 +39,7 @@ def read_cycle(spark: SparkSession, folder: str, cycle: str, configuration: str,
     kind = output_type if member is None else f"{output_type}_{member}"
     pattern = f"nwm.t{cycle}z.{configuration}.{kind}.*.{region}.nc*"
     df = with_identity(spark.read.parquet(f"{folder.rstrip('/')}/{pattern}"))
+    df = df.where(F.col("output_type") == output_type)  # the pattern's star may stand for more of a dotted type
     if expected is not None and (n := df.select("frame").distinct().count()) != expected:
         raise ValueError(f"{n} files of this cycle, not {expected}")
     return df
@@ -155,5 +157,18 @@ def header_schema(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame([(n, t) for n, t in df.dtypes], "name string, type string")
 
 
+def metadata_table(spark: SparkSession, metadata: dict[str, object]) -> DataFrame:
+    """(name, value) of template variables, as a table."""
+    return spark.createDataFrame([(k, str(v)) for k, v in metadata.items()], "name string, value string")
+
+
+def recent_calls(log: DataFrame, since=None, without: list[str] | None = None, pid: int | None = None) -> DataFrame:
+    """Lines of a timing log from a time on, without some functions, of one process."""
+    tests = ([F.col("date") >= F.lit(since)] if since is not None else []) + ([~F.col("function").isin(*without)] if without else []) + ([F.col("pid") == pid] if pid is not None else [])
+    for t in tests:
+        log = log.where(t)
+    return log
+
+
 def glob_to_regex(glob: str) -> str:
     return "^" + re.escape(glob).replace(r"\*", ".*").replace(r"\?", ".") + "$"

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -75,6 +78,26 @@ def to_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).option("header", True).csv(path)
 
 
+def as_json(df: DataFrame, columns: list[str] | None = None, into: str = "json") -> DataFrame:
+    """Adds each row, or some of its columns, as JSON; nulls are left out."""
+    return df.withColumn(into, F.to_json(F.struct(*(columns or df.columns))))
+
+
+def rewrite(data: Dataset, function, path: str, mode: str = "errorifexists") -> None:
+    """A dataset through a function, and what comes of it written."""
+    function(data).df.write.mode(mode).option("compression", "zstd").parquet(path)
+
+
+def scratch_folder(spark) -> str:
+    """A new folder below the shared one that spark.checkpoint.dir names; without it only a local session has one."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return f"{named.rstrip('/')}/scratch-{uuid.uuid4()}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir names no folder")
+    return tempfile.mkdtemp(prefix="rivulet-scratch-")
+
+
 def peek(data: Dataset, show: int = 5) -> str:
     """What a dataset is, for the log: its description and plan; ``show`` rows of it if any."""
     text = data.describe()

@@ -118,3 +118,16 @@ def test_stream_folds_equal_the_batch(spark, tmp_path):
     assert got == [(1, datetime(2024, 1, 1, 0), 1.0), (1, datetime(2024, 1, 1, 1), 2.0), (1, datetime(2024, 1, 1, 2), 4.0), (2, datetime(2024, 1, 1, 1), 8.0)]
     with pytest.raises(KeyError):
         lead_windows(df, "ts", "1 hour", ["k"], [("v", "median", "m")])
+
+
+def test_dotted_output_types(spark, tmp_path):
+    df = spark.range(4)
+    for kind in ("reservoir", "reservoir.full", "reservoir.full_2"):
+        df.withColumn("kind", F.lit(kind)).coalesce(1).write.parquet(str(tmp_path / f"nwm.t00z.short_range.{kind}.f001.conus.nc.parquet"))
+    for kind, member in (("reservoir", None), ("reservoir.full", None), ("reservoir.full", "2")):
+        rows = scan.read_cycle(spark, str(tmp_path), "00", "short_range", kind, "conus", member=member).where(F.col("member").eqNullSafe(F.lit(member))).collect()
+        assert {(r.kind, r.output_type, r.frame) for r in rows} == {(kind + ("_" + member if member else ""), kind, "f001")} and len(rows) == 4
+
+
+def test_scratch_folder_is_shared_or_local(spark):
+    assert sinks.scratch_folder(spark) != sinks.scratch_folder(spark)

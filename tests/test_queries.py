@@ -14,7 +14,7 @@ SMALL = "/root/testdata/sf0.001"
 def duck():
     con = duckdb.connect()
     con.execute("SET TimeZone='UTC'")
-    for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "embeddings"):
+    for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "embeddings", "documents"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
     return con
 
