@@ -21,12 +21,14 @@ def fresh(df: DataFrame, name: str) -> str:
 
 
 def use_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder that the session names in spark.checkpoint.dir; only where none is named (tests), one of our own."""
+    """The shared folder that the session names in spark.checkpoint.dir; a local session without one gets a folder of our own."""
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return named or current.get()
+    if not named and not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir names no folder that executors share")
     folder = named or tempfile.mkdtemp(prefix="rivulet-checkpoints-")
     sc.setCheckpointDir(folder)
     return folder

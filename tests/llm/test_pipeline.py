@@ -41,8 +41,10 @@ def test_stages_against_brute_force(spark, small):
     for d, n in copies.items():
         assert n <= 3
         got[rows[3][d].source] += n * len(re.findall(r"[^\x20\x09-\x0D]+", rows[3][d].text or ""))
-    longest = max(len((r.text or "").split()) for r in rows[3].values())
-    assert all(abs(got[s] - target[s]) <= 0.35 * target[s] + longest for s in size)
+    longest = Counter()
+    for r in rows[3].values():
+        longest[r.source] = max(longest[r.source], len(re.findall(r"[^\x20\x09-\x0D]+", r.text or "")))
+    assert all(abs(got[s] - target[s]) <= longest[s] / 2 + 1 for s in size)
     ids = WordIds(default_tokenizer())
     pieces = defaultdict(list)
     for r in out[5].collect():
@@ -54,7 +56,7 @@ def test_stages_against_brute_force(spark, small):
 
 def test_run(spark, small):
     out = corpus_pipeline.run(spark, small)
-    assert out.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] and out.count() > 100
+    assert out.count() > 0 and out.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] and out.count() > 100
 
 
 def test_registered_queries_and_sql(spark, small):
@@ -75,3 +77,17 @@ def test_registered_queries_and_sql(spark, small):
 def test_native_plans_have_no_python(spark, small, name):
     plan = llm_queries.queries()[name](spark, small)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_stages_on_odd_rows_and_clashing_columns(spark, small):
+    """Nulls in any column, empty texts, repeated rows and columns with the operators' own names."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, spans string, copies int, lap int, shard string, found string"
+    words = " ".join(f"plain{k}" for k in range(40))
+    rows = [(1, words, "en", "a", 10, "s", 1, 1, "x", "f"), (1, words, "en", "a", 10, "s", 1, 1, "x", "f"), (None, words + " more", None, None, None, None, None, None, None, None), (3, None, "en", "a", 0, "", 1, 1, "", ""), (4, "", None, "b", 0, "", 1, 1, "", ""), (5, words + " token=abcdef123", "en", "b", 5, "", 1, 1, "", "")]
+    docs = spark.createDataFrame(rows, schema)
+    for table_ in (docs, docs.where("false")):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, table_, small)
+            n = out.count()
+            assert name == "packing" or out.columns == docs.columns
+            assert table_ is docs or n == 0
