@@ -9,7 +9,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rivulet.llm.common import table, use_checkpoint_dir
+from rivulet.llm.common import drop_folder, table, use_checkpoint_dir
 from rivulet.llm.minhash_dedup import keep_one
 from rivulet.llm.mixing import resample
 from rivulet.llm.packing import pack
@@ -49,11 +49,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; between stages the rows are written to the shared folder and read again."""
+    """All stages over ``documents``; between stages the rows are written to the shared folder and read again.
+
+    A stage's rows are deleted when the next one's are written; the last stage's stay, for the result to read. Null and
+    empty texts, repeated rows, extra columns and empty tables are handled as each stage's module says.
+    """
     folder = f"{use_checkpoint_dir(spark)}/pipeline-{uuid.uuid4()}"
     docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{k}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if k:
+            drop_folder(spark, f"{folder}/{k - 1}-{STAGES[k - 1][0]}")
     return docs
