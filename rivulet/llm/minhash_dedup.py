@@ -88,15 +88,17 @@ class Shingles:
 def sketch(s: np.ndarray, t: int = COORDINATES) -> np.ndarray:
     """Fast similarity sketch of a set of hashes: per coordinate the round (upper 16 bits) and the value below it."""
     best = np.full(t, np.iinfo(np.uint64).max, np.uint64)
-    for i in range(2 * t):
-        h = _mix(s ^ SEEDS[i])
-        value = (h >> np.uint64(16)) | (np.uint64(i) << np.uint64(48))
-        if i < t:
-            np.minimum.at(best, (h & np.uint64(t - 1)).astype(np.int64), value)
-        else:
-            best[i - t] = min(best[i - t], value.min())
-        if best.max() < (np.uint64(i + 1) << np.uint64(48)):
-            break
+    # Later rounds never displace earlier ones, so several are made at once: as many as fill all bins for most sets.
+    at_once = max(1, min(t, 8 * t // len(s)))
+    i = 0
+    while i < t and best.max() >= (np.uint64(i) << np.uint64(48)):
+        rounds = np.arange(i, min(i + at_once, t))
+        h = _mix(s[None, :] ^ SEEDS[rounds][:, None])
+        value = (h >> np.uint64(16)) | (rounds.astype(np.uint64) << np.uint64(48))[:, None]
+        np.minimum.at(best, (h & np.uint64(t - 1)).astype(np.int64).ravel(), value.ravel())
+        i += len(rounds)
+    for b in np.flatnonzero(best == np.iinfo(np.uint64).max).tolist():  # round t + b is bin b's alone
+        best[b] = ((_mix(s ^ SEEDS[t + b]) >> np.uint64(16)) | (np.uint64(t + b) << np.uint64(48))).min()
     return best
 
 
@@ -147,77 +149,118 @@ def _verified(width: int, link: int):
     return run
 
 
-def _partners(m: pd.DataFrame, band: int, link: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows i < j of a chunk, or of two, and in how many coordinates they agree: pairs of different components whose
-    sizes and sketches allow a link, and that share no band before this one. A few coordinates are compared first."""
-    comp, n, largest = m["comp"].to_numpy(), m["n_shingles"].to_numpy(), m["largest"].to_numpy()
-    sk = np.stack([np.frombuffer(s, np.uint16) for s in m["sketch"]])
-    few = np.ascontiguousarray(sk[:, :FEW].T)
-    every = np.arange(len(m))
-    found_i, found_j = [], []
-    for at in range(0, len(m), 64):
-        rows = every[at : at + 64]
-        agree = np.zeros((len(rows), len(m) - at), np.uint8)
-        for c in few:
-            agree += c[rows, None] == c[None, at:]
-        i, j = np.nonzero(agree >= AGREE_FEW)
-        i, j = i + at, j + at
-        ok = (i < j) & (comp[i] != comp[j]) & (100 * np.minimum(n[i], n[j]) >= link * np.maximum(n[i], n[j])) & ~(largest[i] & largest[j])
-        found_i.append(i[ok])
-        found_j.append(j[ok])
-    i, j = np.concatenate(found_i), np.concatenate(found_j)
-    keep, agreed = [], []
+def _groups(pdf: pd.DataFrame) -> Iterator[tuple[tuple[int, int, int, int], np.ndarray]]:
+    """(kind, x, y, band) and the rows of each pair of chunks in a bundle of them."""
+    columns = [pdf[c].to_numpy() for c in ("y", "x", "kind", "key")]
+    order = np.lexsort(columns)
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= c[order[1:]] != c[order[:-1]]
+    at = np.flatnonzero(new)
+    kind, x, y, band = (pdf[c].to_numpy() for c in ("kind", "x", "y", "band"))
+    for a, z in zip(at.tolist(), [*at[1:].tolist(), len(order)], strict=True):
+        k = order[a]
+        yield (int(kind[k]), int(x[k]), int(y[k]), int(band[k])), order[a:z]
+
+
+def _sketches(pdf: pd.DataFrame) -> np.ndarray:
+    return np.frombuffer(b"".join(pdf["sketch"].tolist()), np.uint16).reshape(len(pdf), -1)
+
+
+def _partners(g: tuple[int, int, int, int], sk: np.ndarray, comp: np.ndarray, n: np.ndarray, largest: np.ndarray, c: np.ndarray, link: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of rows of a chunk (i < j), or of one chunk and another, and in how many coordinates they agree: pairs of
+    different components whose sizes and sketches allow a link, and that share no band before this one. In large chunks
+    a few coordinates are compared first."""
+    kind, x, y, band = g
+    inside = kind == 1 and x == y
+    first = np.ones(len(sk), bool) if inside else largest if kind == 0 else c == x
+    left, right = np.flatnonzero(first), np.arange(len(sk)) if inside else np.flatnonzero(~first)
+    if len(left) * len(right) <= 4096:
+        i, j = np.repeat(left, len(right)), np.tile(right, len(left))
+    else:
+        few = np.ascontiguousarray(sk[right][:, :FEW].T)
+        found_i, found_j = [], []
+        for at in range(0, len(left), 64):
+            rows = left[at : at + 64]
+            agree = np.zeros((len(rows), len(right)), np.uint8)
+            for other, mine in zip(few, sk[rows][:, :FEW].T, strict=True):
+                agree += mine[:, None] == other[None, :]
+            i, j = np.nonzero(agree >= AGREE_FEW)
+            found_i.append(rows[i])
+            found_j.append(right[j])
+        i, j = np.concatenate(found_i), np.concatenate(found_j)
+    ok = (comp[i] != comp[j]) & (100 * np.minimum(n[i], n[j]) >= link * np.maximum(n[i], n[j]))
+    if inside:
+        ok &= i < j
+    i, j = i[ok], j[ok]
+    keep, agreed = [np.zeros(0, bool)], [np.zeros(0, np.int64)]
     for at in range(0, len(i), 1 << 14):
         same = sk[i[at : at + (1 << 14)]] == sk[j[at : at + (1 << 14)]]
         earlier = same[:, : ROWS * band].reshape(len(same), band, ROWS).all(axis=2).any(axis=1)
         count = same.sum(axis=1)
         keep.append((count >= AGREE) & ~earlier)
         agreed.append(count)
-    ok = np.concatenate(keep) if keep else np.zeros(0, bool)
-    return i[ok], j[ok], np.concatenate(agreed)[ok] if agreed else np.zeros(0, np.int64)
+    ok = np.concatenate(keep)
+    return i[ok], j[ok], np.concatenate(agreed)[ok]
 
 
 def _with_partners(link: int):
-    """Members of a chunk pair that have any partner across components: only their texts are needed."""
+    """A bundle of chunk pairs: members that have any partner across components. Only their texts are needed."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        m = pdf.sort_values(["id", "sketch"]).drop_duplicates(["id", "sketch"])
+        m = pdf.drop_duplicates(["key", "kind", "x", "y", "id", "sketch"])
+        sk, columns = _sketches(m), [m[c].to_numpy() for c in ("comp", "n_shingles", "largest", "c")]
         has = np.zeros(len(m), bool)
-        i, j, _ = _partners(m, int(m["band"].iloc[0]), link)
-        has[i] = True
-        has[j] = True
-        return m.loc[has, ["key", "g", "band", "id", "comp", "largest", "n_shingles", "sketch"]]
+        for g, rows in _groups(m):
+            if len(rows) > 1:
+                i, j, _ = _partners(g, sk[rows], *[c[rows] for c in columns], link)
+                has[rows[i]] = True
+                has[rows[j]] = True
+        return m[has]
 
     return run
 
 
 def _linked_across(width: int, link: int):
-    """Exact links across components of a chunk pair, as a forest: pairs that it connects already are passed over."""
+    """A bundle of chunk pairs: exact links across components, for each as a forest; pairs that it connects already are
+    passed over."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         shingles = Shingles(width)
-        m = pdf.sort_values("id", kind="stable").reset_index(drop=True)
-        ids, sets = m["id"].to_numpy(), [shingles(t) for t in m["text"]]
-        root = {c: c for c in m["comp"]}
-
-        def find(c: int) -> int:
-            while root[c] != c:
-                root[c] = root[root[c]]
-                c = root[c]
-            return c
-
-        comp = m["comp"].tolist()
+        m = pdf.sort_values(["id", "sketch"], kind="stable").reset_index(drop=True)
+        ids, texts, sk = m["id"].to_numpy(), m["text"].tolist(), _sketches(m)
+        comps, n, largest, c = (m[c].to_numpy() for c in ("comp", "n_shingles", "largest", "c"))
+        sets: dict[str, np.ndarray] = {}
         out = []
-        ii, jj, agree = _partners(m, int(m["band"].iloc[0]), link)
-        order = np.argsort(-agree, kind="stable")
-        for i, j in zip(ii[order].tolist(), jj[order].tolist(), strict=True):
-            x, y = find(comp[i]), find(comp[j])
-            if x == y:
-                continue
-            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            if 100 * both >= link * (len(sets[i]) + len(sets[j]) - both):
-                out.append((ids[i], ids[j]))
-                root[x] = y
+        for g, rows in _groups(m):
+            ii, jj, agree = _partners(g, sk[rows], comps[rows], n[rows], largest[rows], c[rows], link)
+            comp = comps[rows].tolist()
+            root = {x: x for x in comp}
+
+            def find(x: int) -> int:
+                while root[x] != x:  # noqa: B023
+                    root[x] = root[root[x]]  # noqa: B023
+                    x = root[x]  # noqa: B023
+                return x
+
+            if len(sets) > 512:
+                sets.clear()
+            order = np.argsort(-agree, kind="stable")
+            for i, j in zip(ii[order].tolist(), jj[order].tolist(), strict=True):
+                x, y = find(comp[i]), find(comp[j])
+                if x == y:
+                    continue
+                both_sets = []
+                for t in (texts[rows[i]], texts[rows[j]]):
+                    if t not in sets:
+                        sets[t] = shingles(t)
+                    both_sets.append(sets[t])
+                u, v = both_sets
+                both = len(np.intersect1d(u, v, assume_unique=True))
+                if 100 * both >= link * (len(u) + len(v) - both):
+                    out.append((ids[rows[i]], ids[rows[j]]))
+                    root[x] = y
         return pd.DataFrame(out, columns=["a", "b"])
 
     return run
@@ -239,7 +282,7 @@ def _chunk_pairs(members: DataFrame, comps: DataFrame, reps: DataFrame) -> DataF
     with_rests = F.transform(rests, lambda r: F.struct(F.lit(0).alias("kind"), F.col("c").alias("x"), r.alias("y")))
     with_tops = F.transform(tops, lambda t: F.struct(F.lit(0).alias("kind"), t.alias("x"), F.col("c").alias("y")))
     inside = F.transform(rests, lambda r: F.struct(F.lit(1).alias("kind"), F.least(r, F.col("c")).alias("x"), F.greatest(r, F.col("c")).alias("y")))
-    m = m.select("key", "band", "id", "comp", "largest", F.explode(F.when(F.col("largest"), with_rests).otherwise(F.concat(with_tops, inside))).alias("g"))
+    m = m.select("key", "band", "id", "comp", "largest", "c", F.explode(F.when(F.col("largest"), with_rests).otherwise(F.concat(with_tops, inside))).alias("g"))
     return m.join(reps.select("id", "n_shingles", "sketch"), "id")
 
 
@@ -275,11 +318,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, link: int = LINK) -> DataFr
     first = links(pairs)
     sketches = reps.select("id", "n_shingles", "sketch")
     chunks = _chunk_pairs(members.select("key", "band", "id"), connected_components(first), sketches)
-    schema = "key long, g struct<kind:int,x:int,y:int>, band int, id long, comp long, largest boolean, n_shingles long, sketch binary"
+    schema = "bundle int, key long, kind int, x int, y int, band int, id long, comp long, largest boolean, c int, n_shingles long, sketch binary"
+    # Most bands are small, so a task works through a bundle of them.
     tasks = max(8, members.count() // TASK_ROWS)
-    open_ = settle(chunks.repartition(tasks, "key", "g").groupBy("key", "g").applyInPandas(_with_partners(link), schema))
-    with_text = open_.join(texts.withColumnRenamed("doc_id", "id"), "id").repartition(tasks, "key", "g")
-    second = settle(with_text.groupBy("key", "g").applyInPandas(_linked_across(width, link), "a long, b long"))
+    bundle = F.pmod(F.xxhash64("key", "g"), F.lit(tasks)).cast("int")
+    chunks = chunks.select(bundle.alias("bundle"), "key", "g.*", "band", "id", "comp", "largest", "c", "n_shingles", "sketch")
+    open_ = settle(chunks.repartition(tasks, "bundle").groupBy("bundle").applyInPandas(_with_partners(link), schema))
+    with_text = open_.join(texts.withColumnRenamed("doc_id", "id"), "id").repartition(tasks, "bundle")
+    second = settle(with_text.groupBy("bundle").applyInPandas(_linked_across(width, link), "a long, b long"))
     drop_folder(spark, folder)
     comps = connected_components(first.unionByName(second).unionByName(copies))
     out = all_.select("doc_id", "n_shingles").join(comps.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
