@@ -146,6 +146,9 @@ def update_references(data: Dataset, variables: list[str], crs_name: str, attrib
     return replace(data, var_attrs=var_attrs, scalars={**data.scalars, crs_name: data.scalars.get(crs_name, "")})
 
 
+RASTER_ROWS = 1 << 16  # cells that a task holds before it hands them on
+
+
 def rasterize(polygons: DataFrame, grid: Grid, label: str = "label", ring: str = "ring", all_touched: bool = True) -> DataFrame:
     """Cells (label, row, col) of each polygon (a ring of struct x, y): touched ones, or those whose centre lies within.
 
@@ -154,6 +157,8 @@ def rasterize(polygons: DataFrame, grid: Grid, label: str = "label", ring: str =
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
+            names, rows, cells = [], [], []
+            held = 0
             for name, points in zip(b[label], b[ring], strict=True):
                 if points is None or len(points) < 3:
                     continue
@@ -162,13 +167,23 @@ def rasterize(polygons: DataFrame, grid: Grid, label: str = "label", ring: str =
                 r = (p[:, 1] - grid.y.edge) / grid.y.step
                 c0, c1 = max(0, int(np.floor(c.min()))), min(grid.x.size, int(np.floor(c.max())) + 1)
                 r0, r1 = max(0, int(np.floor(r.min()))), min(grid.y.size, int(np.floor(r.max())) + 1)
+                cols = np.arange(c0, c1)
                 for row in range(r0, r1):
-                    cols = np.arange(c0, c1)
                     hit = _inside(cols + 0.5, np.full(len(cols), row + 0.5), c, r)
                     if all_touched:
                         hit |= _touched(cols, row, c, r)
-                    if hit.any():
-                        yield pd.DataFrame({label: name, "row": np.int32(row), "col": cols[hit].astype("int32")})
+                    n = int(hit.sum())
+                    if not n:
+                        continue
+                    names += [name] * n
+                    rows.append(np.full(n, row, "int32"))
+                    cells.append(cols[hit].astype("int32"))
+                    held += n
+                    if held >= RASTER_ROWS:
+                        yield pd.DataFrame({label: names, "row": np.concatenate(rows), "col": np.concatenate(cells)})
+                        names, rows, cells, held = [], [], [], 0
+            if held:
+                yield pd.DataFrame({label: names, "row": np.concatenate(rows), "col": np.concatenate(cells)})
 
     kind = dict(polygons.dtypes)[label]
     return polygons.select(label, ring).mapInPandas(run, f"{label} {kind}, row int, col int")
