@@ -113,9 +113,9 @@ def _sketched(width: int):
                 if not len(s):
                     out.append((doc_id, 0, None, None, None))
                     continue
-                c = sketch(s)
-                bands = _mix((c.reshape(-1, ROWS) * weights).sum(axis=1, dtype=np.uint64) + np.arange(len(c) // ROWS, dtype=np.uint64) * B)
-                out.append((doc_id, len(s), xxhash.xxh3_128_digest(s.tobytes()), c.astype(np.uint16).tobytes(), bands.view(np.int64)))
+                c = sketch(s).astype(np.uint16)  # bands are made of what is stored, so that two rows tell which bands they share
+                bands = _mix((c.astype(np.uint64).reshape(-1, ROWS) * weights).sum(axis=1, dtype=np.uint64) + np.arange(len(c) // ROWS, dtype=np.uint64) * B)
+                out.append((doc_id, len(s), xxhash.xxh3_128_digest(s.tobytes()), c.tobytes(), bands.view(np.int64)))
             yield pd.DataFrame(out, columns=["doc_id", "n_shingles", "same", "sketch", "bands"])
 
     return run
