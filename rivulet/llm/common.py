@@ -41,6 +41,14 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(name, str(rows))
 
 
+def bounded_batches(spark: SparkSession, size: int = 32 << 20) -> None:
+    """As ``small_batches``, and no batch gets much larger than ``size`` bytes, however long texts are; smaller settings stay."""
+    small_batches(spark)
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(spark.conf.get(name, str(2**31 - 1))) <= size:
+        spark.conf.set(name, str(size))
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder; a lost executor loses nothing of it."""
     use_checkpoint_dir(df.sparkSession)

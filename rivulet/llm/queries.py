@@ -14,6 +14,7 @@ from rivulet.llm.html_extract import extract
 from rivulet.llm.minhash_dedup import near_duplicates
 from rivulet.llm.mixing import taken
 from rivulet.llm.packing import pack
+from rivulet.llm.periodic_runs import run_report
 from rivulet.llm.quality import classify
 from rivulet.llm.secret_scan import scan
 from rivulet.llm.sharding import assignments, shard_documents
@@ -63,10 +64,14 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
-    ops = (op1_secret_scan, op2_suffix_dedup, op3_minhash_dedup, op4_mixing, op5_embedding_dedup, op6_html_extract, op7_sharding, op8_packing, op9_topk, op10_quality)
+    ops = (op1_secret_scan, op2_suffix_dedup, op3_minhash_dedup, op4_mixing, op5_embedding_dedup, op6_html_extract, op7_sharding, op8_packing, op9_topk, op10_quality, op11_periodic_runs)
     return {f.__name__: f for f in ops} | {"pipeline": corpus_pipeline.run}
 
 
@@ -87,10 +92,53 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
 
+#: The table of CRC-32, by its rule, and one byte's step.
+_CRC_TABLE = """(SELECT list(c ORDER BY b) FROM (
+    SELECT b, list_reduce(list_prepend(b, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) t(b)))"""
+_CRC_STEP = "lambda c, b: xor(c >> 8, tab[1 + (xor(c, b) & 255)])"
+
+#: Runs: equal words at each distance, gaps and islands, the smallest period of each stretch.
+_RUNS = f"""
+WITH crc AS (SELECT {_CRC_TABLE} AS tab),
+d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
+         xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, [ascii(c)::BIGINT FOR c IN string_split(doc_id::VARCHAR, '')]), {_CRC_STEP})) AS h
+  FROM documents, crc
+), e AS (
+  SELECT r, doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS periodic, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a,
+         3 + (h // 10) % 8 AS parts
+  FROM d
+), f AS (
+  SELECT r, doc_id, n, CASE WHEN periodic THEN [w[CASE WHEN i < a THEN i + 1 ELSE a + (i - a) % (1 + (n - a) // parts) + 1 END] FOR i IN range(n)] ELSE w END AS w FROM e
+), t AS (
+  SELECT r, n, unnest(w) AS word, unnest(range(n)) AS i FROM f
+), pairs AS (
+  SELECT x.r, x.i, y.i - x.i AS q FROM t x JOIN t y ON x.r = y.r AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n
+), islands AS (
+  SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS g FROM pairs
+), stretches AS (
+  SELECT r, min(i) AS s, q + count(*) AS m, q FROM islands GROUP BY r, q, g HAVING q + count(*) >= greatest(6, 4 * q)
+), runs AS (
+  SELECT r, s, m, min(q) AS q FROM stretches GROUP BY r, s, m
+), lines AS (
+  SELECT r, count(*) AS n_runs, string_agg(s || ',' || m || ',' || q || chr(10), '' ORDER BY s, q) AS lines,
+         list({{'s': s, 'm': m, 'q': q}} ORDER BY m / q DESC, s, q)[1] AS top
+  FROM runs GROUP BY r
+), dropped AS (
+  SELECT DISTINCT r, unnest(range(s + q, s + m)) AS i FROM runs
+), kept AS (
+  SELECT t.r, string_agg(word, ' ' ORDER BY t.i) AS kept FROM t ANTI JOIN dropped ON t.r = dropped.r AND t.i = dropped.i GROUP BY t.r
+)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, top.s::BIGINT AS start, top.m::BIGINT AS length, top.q::BIGINT AS period,
+       (1000 * top.m // top.q)::BIGINT AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM f LEFT JOIN lines USING (r) LEFT JOIN kept USING (r)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     import corpus_pipeline
 
-    sql = {"op9_topk": _TOPK}
+    sql = {"op9_topk": _TOPK, "op11_periodic_runs": _RUNS}
     if corpus_pipeline.ORACLE_SQL:
         sql["pipeline"] = corpus_pipeline.ORACLE_SQL
     return sql
