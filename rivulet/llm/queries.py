@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from rivulet.llm.common import table, use_checkpoint_dir
 from rivulet.llm.embedding_dedup import near_vectors
 from rivulet.llm.html_extract import extract
+from rivulet.llm.importance_resampling import importance_report
 from rivulet.llm.minhash_dedup import near_duplicates
 from rivulet.llm.mixing import taken
 from rivulet.llm.packing import pack
@@ -68,10 +69,14 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_report(table(spark, sf_dir, "documents"))
 
 
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
-    ops = (op1_secret_scan, op2_suffix_dedup, op3_minhash_dedup, op4_mixing, op5_embedding_dedup, op6_html_extract, op7_sharding, op8_packing, op9_topk, op10_quality, op11_periodic_runs)
+    ops = (op1_secret_scan, op2_suffix_dedup, op3_minhash_dedup, op4_mixing, op5_embedding_dedup, op6_html_extract, op7_sharding, op8_packing, op9_topk, op10_quality, op11_periodic_runs, op13_importance_resampling)
     return {f.__name__: f for f in ops} | {"pipeline": corpus_pipeline.run}
 
 
@@ -135,10 +140,54 @@ FROM f LEFT JOIN lines USING (r) LEFT JOIN kept USING (r)
 """
 
 
+#: Importance: distinct n-grams get their CRC from that of the n-gram a word shorter.
+_IMPORTANCE = f"""
+WITH crc AS (SELECT {_CRC_TABLE} AS tab),
+d AS (
+  SELECT 'd' AS side, row_number() OVER () AS r, doc_id, text FROM documents UNION ALL SELECT 't', row_number() OVER (), NULL, text FROM benchmark
+), e AS (
+  SELECT side, r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM d
+), t AS (
+  SELECT side, r, unnest(w) AS a, unnest(range(len(w))) AS i FROM e
+), o AS (
+  SELECT side, r, a, lead(a) OVER p AS b, lead(a, 2) OVER p AS c FROM t WINDOW p AS (PARTITION BY side, r ORDER BY i)
+), words AS (
+  SELECT a AS w, hex(encode(a)) AS h FROM (SELECT DISTINCT a FROM o)
+), bytes AS (
+  SELECT w, [(16 * (instr('0123456789ABCDEF', substr(h, 2 * k + 1, 1)) - 1) + instr('0123456789ABCDEF', substr(h, 2 * k + 2, 1)) - 1)::BIGINT FOR k IN range(len(h) // 2)] AS y FROM words
+), one AS (
+  SELECT w AS a, list_reduce(list_prepend(4294967295::BIGINT, y), {_CRC_STEP}) AS st FROM bytes, crc
+), two AS (
+  SELECT g.a, g.b, list_reduce([one.st, 32::BIGINT] || y, {_CRC_STEP}) AS st
+  FROM (SELECT DISTINCT a, b FROM o WHERE b IS NOT NULL) g JOIN one USING (a) JOIN bytes ON w = g.b, crc
+), three AS (
+  SELECT g.a, g.b, g.c, list_reduce([two.st, 32::BIGINT] || y, {_CRC_STEP}) AS st
+  FROM (SELECT DISTINCT a, b, c FROM o WHERE c IS NOT NULL) g JOIN two USING (a, b) JOIN bytes ON w = g.c, crc
+), f AS (
+  SELECT side, r, st FROM o JOIN one USING (a) UNION ALL SELECT side, r, st FROM o JOIN two USING (a, b) UNION ALL SELECT side, r, st FROM o JOIN three USING (a, b, c)
+), g AS (
+  SELECT side, r, xor(st, 4294967295) % 10000 AS bucket FROM f
+), n AS (
+  SELECT bucket, count(*) FILTER (side = 'd') AS s, count(*) FILTER (side = 't') AS t FROM g GROUP BY bucket
+), gains AS (
+  SELECT bucket, floor(1000 * ln(((t + 1) * (sum(s) OVER () + 10000))::DOUBLE / ((s + 1) * (sum(t) OVER () + 10000))::DOUBLE))::BIGINT AS gain FROM n
+), weights AS (
+  SELECT r, count(*) AS n_features, sum(gain)::BIGINT AS weight FROM g JOIN gains USING (bucket) WHERE side = 'd' GROUP BY r
+), scored AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+         coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM e LEFT JOIN weights USING (r) WHERE side = 'd'
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id NULLS LAST) AS k, count(*) FILTER (n_words >= 20) OVER () AS n FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND k <= 5 * n // 100 THEN k END AS rank FROM ranked
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     import corpus_pipeline
 
-    sql = {"op9_topk": _TOPK, "op11_periodic_runs": _RUNS}
+    sql = {"op9_topk": _TOPK, "op11_periodic_runs": _RUNS, "op13_importance_resampling": _IMPORTANCE}
     if corpus_pipeline.ORACLE_SQL:
         sql["pipeline"] = corpus_pipeline.ORACLE_SQL
     return sql
