@@ -21,6 +21,7 @@ from rivulet.llm.secret_scan import scan
 from rivulet.llm.sharding import assignments, shard_documents
 from rivulet.llm.suffix_dedup import dedup_substrings
 from rivulet.llm.topk import top_k
+from rivulet.llm.toxicity import score_toxicity
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,6 +70,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_report(table(spark, sf_dir, "documents"))
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -76,7 +81,7 @@ def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
-    ops = (op1_secret_scan, op2_suffix_dedup, op3_minhash_dedup, op4_mixing, op5_embedding_dedup, op6_html_extract, op7_sharding, op8_packing, op9_topk, op10_quality, op11_periodic_runs, op13_importance_resampling)
+    ops = (op1_secret_scan, op2_suffix_dedup, op3_minhash_dedup, op4_mixing, op5_embedding_dedup, op6_html_extract, op7_sharding, op8_packing, op9_topk, op10_quality, op11_periodic_runs, op12_toxicity, op13_importance_resampling)
     return {f.__name__: f for f in ops} | {"pipeline": corpus_pipeline.run}
 
 
