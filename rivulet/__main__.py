@@ -12,10 +12,12 @@ import argparse
 import sys
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from rivulet.model import from_table
 from rivulet.plans.operations import REGISTRY, Context
 from rivulet.plans.profile import Profile, find_invalid
+from rivulet.sources.netcdf import read_netcdf
 from rivulet.sources.scan import read_table, with_identity
 
 
@@ -52,8 +54,9 @@ def main(args: list[str] | None = None) -> int:
         bad = find_invalid(spark, a.folder)
         print("\n".join(f"{p}: {why}" for p, why in bad.items()) or "all can be read")
         return int(bool(bad))
-    df = read_table(spark, a.input)
-    df = with_identity(df) if a.file_names else df
+    netcdf = all(p.endswith(".nc") for p in a.input)
+    df = read_netcdf(spark, ",".join(a.input)) if netcdf else read_table(spark, a.input)
+    df = with_identity(df, F.col("file") if netcdf else None) if a.file_names else df
     tables = {n: spark.read.parquet(p) for n, _, p in (t.partition("=") for t in a.table)}
     context = Context(tables=tables, values={n: v for n, _, v in (s.partition("=") for s in a.set)}, output=a.output)
     out = _profile(spark, a.profile).run(from_table(df, a.dims.split(","), [c for c in a.coords.split(",") if c]), context)

@@ -7,8 +7,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: The parts of a forecast file's name.
-FILE_PATTERN = r"^nwm\.t(\d{2})z\.([a-z0-9_]+?)\.([a-z]+(?:[._][a-z]+)*)(?:_(\d+))?\.(f\d+|tm\d+)\.([a-z]+)\.nc$"
+#: The parts of a forecast file's name; a region may name its forecast centre too.
+FILE_PATTERN = r"^nwm\.t(\d{2})z\.([a-z0-9_]+?)\.([a-z]+(?:[._][a-z]+)*)(?:_(\d+))?\.(f\d+|tm\d+)\.([a-z]+(?:\.[a-z]{2}rfc)?)\.nc$"
 PARTS = ("cycle", "configuration", "output_type", "member", "frame", "region")
 #: River forecast centres by code.
 CENTERS = {

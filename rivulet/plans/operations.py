@@ -18,7 +18,7 @@ from rivulet.functions.calendar import parse_duration
 from rivulet.functions.text import fill_template
 from rivulet.model import Dataset
 from rivulet.operators import aggregates, grid, masks, projections
-from rivulet.sources import scan, sinks
+from rivulet.sources import netcdf, scan, sinks
 
 log = logging.getLogger(__name__)
 REGISTRY: dict[str, type[Operation]] = {}
@@ -569,11 +569,16 @@ class Save(Operation):
     include_conditions: dict = field(default_factory=dict)
     pack_values: bool = False
     mode: str = "errorifexists"
+    file_format: str = "parquet"
 
     def apply(self, data, context):
         directory = context.fill(self.directory, data)
         if not directory.startswith("/") and ":" not in directory:
             directory = f"{context.output.rstrip('/')}/{directory}"
+        if self.file_format == "netcdf":
+            written = netcdf.write_files(data, directory, self.filename_pattern, self.include_conditions or None, self.pack_values, context.values)
+            context.saved += [f"{directory.rstrip('/')}/{r['target']}" for r in written.orderBy("target").toLocalIterator()]
+            return data
         context.saved += sinks.save(data, directory, self.filename_pattern, context.values, self.include_conditions or None, self.pack_values, self.mode)
         return data
 

@@ -551,4 +551,4 @@ def flagship_forecast_profile(spark, d):
     return out.select("feature_id", "group", _rounded("mean_flow").alias("mean_flow"))
 
 
-from rivulet import queries_files  # noqa: E402, F401  registers the queries of sources, sinks, profiles and streams
+from rivulet import queries_files, queries_formats  # noqa: E402, F401  registers the queries of sources, sinks, profiles, formats and streams

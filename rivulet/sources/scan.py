@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivulet.functions.calendar import date_parts, lead_seconds
-from rivulet.functions.text import parse_file_name
+from rivulet.functions.text import FILE_PATTERN, parse_file_name
 from rivulet.model import Dataset, from_table
 
 #: A line of the timing log, its fields in order.
@@ -34,17 +34,28 @@ def with_identity(df: DataFrame, name: Column | None = None) -> DataFrame:
     return out.withColumn("lead_seconds", lead_seconds(F.col("frame"))).drop("__file")
 
 
-def read_cycle(spark: SparkSession, folder: str, cycle: str, configuration: str, output_type: str, region: str, member: str | None = None, expected: int | None = None) -> DataFrame:
-    """All files of one cycle in a folder of <file name>.parquet folders or files, picked by name before anything is read."""
+def read_cycle(spark: SparkSession, folder: str, cycle: str, configuration: str, output_type: str, region: str, member: str | None = None, expected: int | None = None, form: str = "parquet", **options) -> DataFrame:
+    """All files of one cycle in a folder, picked by name before anything is read: <file name>.parquet folders or files, or
+    NetCDF files themselves. A region may name its centre (alaska.aprfc)."""
     kind = output_type if member is None else f"{output_type}_{member}"
-    pattern = f"nwm.t{cycle}z.{configuration}.{kind}.*.{region}.nc*"
-    df = with_identity(spark.read.parquet(f"{folder.rstrip('/')}/{pattern}"))
+    pattern = f"{folder.rstrip('/')}/nwm.t{cycle}z.{configuration}.{kind}.*.{region}.nc"
+    if form == "netcdf":
+        from rivulet.sources.netcdf import read_netcdf
+
+        df = with_identity(read_netcdf(spark, pattern, **options), F.col("file"))
+    else:
+        df = with_identity(spark.read.parquet(f"{pattern}*"))
     df = df.where(F.col("output_type") == output_type)  # the pattern's star may stand for more of a dotted type
     if expected is not None and (n := df.select("frame").distinct().count()) != expected:
         raise ValueError(f"{n} files of this cycle, not {expected}")
     return df
 
 
+def unknown_names(files: DataFrame, name: str = "file") -> DataFrame:
+    """(name, n): names that are no forecast file's, so that nothing goes unseen."""
+    return files.where(~F.col(name).rlike(FILE_PATTERN)).groupBy(name).agg(F.count(F.lit(1)).alias("n"))
+
+
 def select_label(df: DataFrame, criteria: dict[str, object], columns: list[str] | None = None) -> DataFrame:
     """Rows with given labels (values or lists of them), and maybe single columns: filters reach the files."""
     missing = [c for c in criteria if c not in df.columns]
