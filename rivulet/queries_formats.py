@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from rivulet.model import from_table
+from rivulet.plans.profile import one_identity
 from rivulet.queries import _cells, _t, query
 from rivulet.sources import netcdf, scan, sinks
+from rivulet.streaming import arrivals, folds
 
 
 def _event_files(spark, d, pack_values=False):
@@ -81,3 +85,44 @@ def unknown_file_names(spark, d):
     good = F.lit("nwm.t00z.short_range.land.f001.conus.nc")
     name = F.when(F.col("o_orderkey") % 2 == 0, good).otherwise(F.format_string("file%d.nc", F.col("o_orderkey") % 50))
     return scan.unknown_names(_t(spark, d, "orders").select(name.alias("file")))
+
+
+_FRAMES = ("f001", "f002", "f003", "f004")
+
+
+@query(
+    """
+WITH a AS (
+  SELECT CAST(ts AS DATE) AS day, user_id % 3 AS cycle, 'f00' || (event_id % 5 + 1) AS frame, min(ts) AS t0
+  FROM events WHERE event_id % 5 < 4 GROUP BY ALL
+), c AS (
+  SELECT day, cycle, min(t0) AS first, min(t0) + INTERVAL 8 HOUR AS deadline, count(*) AS n, max(t0) AS last FROM a GROUP BY ALL
+), e AS (SELECT max(ts) - INTERVAL 1 HOUR AS passed FROM events WHERE event_id % 5 < 4)
+SELECT day, CAST(cycle AS BIGINT) AS cycle, CASE WHEN n = 4 AND last <= deadline THEN 'complete' ELSE 'timed out' END AS status,
+  CAST(count(*) FILTER (t0 <= deadline) AS INTEGER) AS n_files,
+  coalesce((SELECT string_agg(f, ',' ORDER BY f) FROM (VALUES ('f001'), ('f002'), ('f003'), ('f004')) t(f) WHERE f NOT IN (SELECT frame FROM a x WHERE x.day = c.day AND x.cycle = c.cycle AND x.t0 <= c.deadline)), '') AS missing,
+  CASE WHEN n = 4 AND last <= deadline THEN last ELSE deadline END AS decided
+FROM c JOIN a USING (day, cycle), e WHERE n = 4 AND last <= deadline OR deadline < passed
+GROUP BY day, cycle, n, last, deadline"""
+)
+def cycle_completion(spark, d):
+    """Files that arrive in three lots, the query stopped and started again between them: complete and timed-out cycles."""
+    folder = sinks.scratch_folder(spark)
+    rows = _t(spark, d, "events").where("event_id % 5 < 4")
+    files = rows.select(F.col("ts").cast("date").alias("day"), (F.col("user_id") % 3).alias("cycle"), F.format_string("f00%d", F.col("event_id") % 5 + 1).alias("frame"), F.col("ts").cast("timestamp").alias("arrived"))
+    lots = [F.col("day") < "2024-01-10", F.col("day").between("2024-01-10", "2024-01-19"), F.col("day") > "2024-01-19"]
+    for lot in lots:
+        files.where(lot).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        stream = folds.read_stream(spark, f"{folder}/in", files.schema)
+        done = arrivals.complete_cycles(stream, ["day", "cycle"], list(_FRAMES), timedelta(hours=8), timedelta(days=400))
+        folds.write_stream(done, f"{folder}/out", f"{folder}/state").awaitTermination()
+    return spark.read.parquet(f"{folder}/out").withColumn("decided", F.col("decided").cast("timestamp_ntz"))
+
+
+@query("SELECT '06' AS cycle, 'short_range' AS configuration, 'channel_rt' AS output_type, '3' AS member, 'conus' AS region, count(*) AS n_files FROM orders")
+def manifest_identity(spark, d):
+    """What all files of a manifest share, from their names; their number."""
+    name = F.format_string("nwm.t06z.short_range.channel_rt_3.f%03d.conus.nc", F.col("o_orderkey") % 18 + 1)
+    files = scan.with_identity(_t(spark, d, "orders"), name)
+    same = {k: v for k, v in one_identity(files).items() if k != "frame"}
+    return files.agg(*[F.lit(same[k]).cast("string").alias(k) for k in ("cycle", "configuration", "output_type", "member", "region")], F.count(F.lit(1)).alias("n_files"))
