@@ -10,8 +10,8 @@ against a text: no amount of ordinary words makes up for bad ones, however long
 The model is fitted on a sample of labelled documents, bounded by ``sample`` (documents, taken in the order of a hash
 of their id, so the same ones each time), and then scores all documents where they are; nothing is shuffled.
 
-Edge cases: null text counts as empty; empty texts have no words and are rejected like any text with a low tail
-probability; repeated rows get equal scores; label rows with null grades or without a document are skipped; repeated
+Edge cases: null text counts as empty; a text without words (null, empty, blank) is rejected outright, with tail
+probabilities of 0; repeated rows get equal scores; label rows with null grades or without a document are skipped; repeated
 label rows of one document count once; without any usable label every document is kept with a tail probability of 1; an
 empty table gives an empty result; extra columns are ignored, and ``keep_good`` hands them on.
 """
@@ -178,6 +178,7 @@ def _scored(model: Model | None, columns: list[str]):
                 weights, cuts = model
                 s = np.array([sum(weights[f] for f in sorted(features(t))) for t in pdf["text"]], np.float64)
                 tails = 1 / (1 + np.exp(-np.clip(s[:, None] - cuts[None, :], -40, 40)))
+                tails[[not (isinstance(t, str) and t.split()) for t in pdf["text"]]] = 0  # without words nothing speaks for a text
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "expected_grade": tails.sum(axis=1), "p_good": tails[:, -1], "kept": tails[:, -1] >= KEEP})[columns]
 
     return run

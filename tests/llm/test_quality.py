@@ -42,6 +42,9 @@ def test_edges(spark):
     out = {r.doc_id: r for r in classify(docs, labels).collect()}
     assert len(out) == 124 and not out[102].kept and out[101].kept and out[202].kept and not out[203].kept
     assert 0 <= out[102].expected_grade < out[101].expected_grade <= 2
+    blank = spark.createDataFrame([(300, " \n\t", "x", "y")], docs.schema) if len(docs.columns) == 4 else None
+    assert all(not out[k].kept and out[k].p_good == 0 == out[k].expected_grade for k in (200, 201))
+    assert blank is None or not classify(docs.unionByName(blank), labels).where("doc_id = 300").first().kept
     kept = keep_good(docs, labels)
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in classify(docs, labels).where("kept").collect())
     assert classify(docs.where("false"), labels).collect() == [] and keep_good(docs.where("false"), labels).collect() == []
