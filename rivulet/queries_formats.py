@@ -7,6 +7,7 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from rivulet.model import from_table
+from rivulet.operators import states
 from rivulet.plans.profile import one_identity
 from rivulet.queries import _cells, _t, query
 from rivulet.sources import netcdf, scan, sinks
@@ -126,3 +127,41 @@ def manifest_identity(spark, d):
     files = scan.with_identity(_t(spark, d, "orders"), name)
     same = {k: v for k, v in one_identity(files).items() if k != "frame"}
     return files.agg(*[F.lit(same[k]).cast("string").alias(k) for k in ("cycle", "configuration", "output_type", "member", "region")], F.count(F.lit(1)).alias("n_files"))
+
+
+_KEPT = [("value", op, op) for op in ("count", "sum", "min", "max", "mean", "variance", "std", "variance_sample")]
+
+
+def _kept_lots(spark, d):
+    """Events in three lots, as files of a stream."""
+    folder = sinks.scratch_folder(spark)
+    e = _t(spark, d, "events").select("user_id", "event_id", F.when(F.col("event_id") % 7 != 0, F.col("value")).alias("value"))
+    for k in range(3):
+        e.where(F.col("event_id") % 3 == k).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        yield folder, e, k
+
+
+@query(
+    """SELECT user_id, count(v) AS count, round(sum(v) + 1e-9, 4) AS sum, min(v) AS min, max(v) AS max, round(avg(v) + 1e-9, 6) AS mean, round(CASE WHEN count(v) > 1 THEN var_pop(v) END + 1e-9, 4) AS variance,
+ round(CASE WHEN count(v) > 1 THEN stddev_pop(v) END + 1e-9, 6) AS std, round(var_samp(v) + 1e-9, 4) AS variance_sample FROM (SELECT user_id, CASE WHEN event_id % 7 <> 0 THEN value END AS v FROM events) GROUP BY user_id"""
+)
+def kept_state_folds(spark, d):
+    """Three lots of files, each folded into the kept state when it comes, equal one pass over all."""
+    store = None
+    for folder, e, _ in _kept_lots(spark, d):
+        store = store or states.StateStore(spark, f"{folder}/store", ["user_id"], _KEPT)
+        states.fold_stream(folds.read_stream(spark, f"{folder}/in", e.schema), store, f"{folder}/checkpoint").awaitTermination()
+    digits = {"sum": 4, "mean": 6, "variance": 4, "std": 6, "variance_sample": 4}
+    return store.result().select("user_id", *[F.round(F.col(o) + 1e-9, digits[o]).alias(o) if o in digits else o for _, _, o in _KEPT])
+
+
+@query("SELECT event_type, count(value) AS count, TRUE AS within FROM events WHERE event_id % 7 <> 0 GROUP BY event_type")
+def kept_state_median(spark, d):
+    """The median of a kept state, merged from three lots: its rank is within the sketch's stated error of the middle."""
+    e = _t(spark, d, "events").where("event_id % 7 <> 0").select("event_type", "event_id", "value")
+    wanted = [("value", "count", "count"), ("value", "median", "median")]
+    lots = [states.fold_state(e.where(F.col("event_id") % 3 == k), ["event_type"], wanted) for k in range(3)]
+    found = states.finish(states.merge_states(lots, ["event_type"], wanted), ["event_type"], wanted)
+    below = e.join(found, "event_type").groupBy("event_type", "count").agg(F.count_if(F.col("value") < F.col("median")).alias("less"), F.count_if(F.col("value") <= F.col("median")).alias("most"))
+    error = states.SKETCH_ERROR * F.col("count") + 1
+    return below.select("event_type", "count", ((F.col("less") <= F.col("count") / 2 + error) & (F.col("most") >= F.col("count") / 2 - error)).alias("within"))
