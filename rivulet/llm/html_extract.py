@@ -1,15 +1,17 @@
 """Main-text extraction from raw HTML by scoring the element tree.
 
 Each page is read once into a tree of elements and text blocks; boilerplate elements (menus, headers and footers of
-the page, forms, scripts, styles) are cut by element name or role. Elements named as boilerplate by the head word of a
+the page, controls of forms, scripts, styles) are cut by element name or role. Forms and objects, which some pages stand in whole, are
+cut like elements named as boilerplate. Elements named as boilerplate by the head word of a
 class or id (sidebars, notices, adverts, comments) score less, and are cut if most of their text is links, or if all
 elements of that name hold at most half of the page's unlinked text; more is cut only as a discussion beside an article.
 Names of states (has-sidebar) and ids of headings and sections, which are slugs of their titles (but for the id
 "comments" outside an article), cut nothing, and a name of content beside that of boilerplate keeps the element. Each remaining paragraph-like block passes points to its ancestors, one plus one a comma plus one a hundred
 characters (three at most): all to the parent, half to the grandparent, a third and less further up. An ancestor's
 score is discounted by its link density, the share of its text inside links. The best container is kept together with
-those siblings that score near it, that have its name and class (sections of one article), or that are paragraphs,
-headings, lists, quotations or tables, if most of their text is not links; a title above is kept if there is no other.
+those siblings that score near it, that have its name and class (sections of one article), that are paragraphs,
+headings, lists, quotations or tables, if most of their text is not links, or other sections without any link or name of
+boilerplate (leads, headlines), unless they are legal lines; a title above is kept if there is no other.
 The blocks of all these, in page order, are the text. White space within a block becomes one space, and blocks are joined by one space.
 
 This reader is a plain tokeniser with the parts of HTML's rules that matter here: void elements, implied ends of
@@ -43,7 +45,9 @@ RAW = frozenset("script style textarea title noscript template iframe noframes x
 BLOCKS = frozenset(
     "address article aside blockquote body br center dd details dialog div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul".split()
 )
-DROPPED = frozenset("aside audio button canvas datalist dialog embed footer form head iframe input map menu nav noframes noscript object option script select style svg template textarea title video".split())
+DROPPED = frozenset("aside audio button canvas datalist dialog embed footer head iframe input map menu nav noframes noscript option script select style svg template textarea title video".split())
+#: Cut like elements named as boilerplate, since pages may stand in them whole.
+WRAPPERS = frozenset("form object".split())
 PARAGRAPHS = frozenset("p pre td blockquote li dd h1 h2 h3 h4 h5 h6 figcaption".split())
 #: An element of the key closes an open element of the value, unless one of the third kind lies between.
 CLOSES = {
@@ -72,6 +76,8 @@ TALK = frozenset("combx comment comments commentlist disqus remark replies reply
 PLACES = frozenset("banner breadcrumb copyright disclaimer foot footer header masthead notice notices remark search side social tags".split())
 #: Elements that belong to the container beside them.
 PARTS = frozenset("p pre blockquote h1 h2 h3 h4 h5 h6 ul ol dl table figure".split())
+SECTIONS = frozenset("div section header hgroup figure center".split())
+LEGAL = re.compile(r"©|\bcopyright\b|\(c\)\s*\d{4}|all rights reserved", re.I)
 ARTICLE = 250  # characters of unlinked text
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar alert alertdialog dialog note toolbar".split())
 WORD = re.compile(r"[A-Z]?[a-z0-9]+|[A-Z]+")
@@ -98,10 +104,12 @@ def _attributes(text: str) -> dict[str, str]:
 
 
 def _boilerplate(name: str, attrs: dict[str, str], inside: set[str]) -> bool:
-    if name in DROPPED or "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in attrs.get("style", "").replace(" ", ""):
+    if name in DROPPED or name == "label" and "form" in inside or "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in attrs.get("style", "").replace(" ", ""):
         return True
     if name == "header":
         return "article" not in inside and "main" not in inside
+    if name == "form" and attrs.get("role", "").lower() == "form":
+        return False
     return name not in ("html", "body", "article", "main") and attrs.get("role", "").lower() in ROLES
 
 
@@ -204,12 +212,14 @@ def tree(html: str) -> Node:
                 child.dropped = True
             else:
                 a = _attributes(attrs) if attrs.strip() else {}
-                within = {k for k in ("article", "main") if inside.get(k)}
+                within = {k for k in ("article", "main", "form") if inside.get(k)}
                 if _boilerplate(name, a, within):
                     child.dropped = True
                 else:
                     child.classes = a.get("class", "")
-                    child.noise, points = _noise(name, a, bool(within)) if a else (NONE, 0.0)
+                    child.noise, points = _noise(name, a, bool(within - {"form"})) if a else (NONE, 0.0)
+                    if name in WRAPPERS:
+                        child.noise |= {name}
                     child.weight = 25.0 * ((a.get("role") == "main") + 2 * (name in ("article", "main")) + (a.get("itemprop") == "articleBody")) + points
                     node.children.append(child)
             open_.append(child)
@@ -340,7 +350,10 @@ def main_text(html: str | None) -> str:
     def belongs(c: Node) -> bool:
         if not c.size or 2 * c.links > c.size:
             return False
-        return value.get(id(c), 0) >= least or c.name in PARTS or (c.name, c.classes) == (best.name, best.classes)
+        if value.get(id(c), 0) >= least or c.name in PARTS or (c.name, c.classes) == (best.name, best.classes):
+            return True
+        # A lead, a headline or a picture's caption in an element of its own.
+        return c.name in SECTIONS and not c.links and not c.noise and not LEGAL.search("".join(_blocks(c)[:1]))
 
     kept = {id(c) for c in best.parent.children if isinstance(c, Node) and belongs(c)} | {id(best)} if best.parent else {id(best)}
     top = best.parent or best
@@ -348,15 +361,30 @@ def main_text(html: str | None) -> str:
         above = top
         while above.parent is not None:
             kept.add(id(above))
-            titles = [c for c in above.parent.children if isinstance(c, Node) and c.name == "h1" and c.size and 2 * c.links <= c.size]
+            titles = _titles(above)
             above = above.parent
             if titles:
-                kept.update(id(c) for c in titles)
+                for x in titles:
+                    while x is not above:
+                        kept.add(id(x))
+                        x = x.parent
                 top = above
                 break
     return " ".join(_kept_blocks(top, kept))
 
 
+def _titles(node: Node) -> list[Node]:
+    """First-level headings beside a node, or in an element before it."""
+    out: list[Node] = []
+    before = True
+    for c in node.parent.children:
+        if c is node:
+            before = False
+        elif isinstance(c, Node):
+            out += [x for x in (_walk(c) if before and c.name in SECTIONS and not c.noise else [c]) if x.name == "h1" and x.size and 2 * x.links <= x.size]
+    return out
+
+
 def _kept_blocks(node: Node, kept: set[int]) -> list[str]:
     """Blocks of the kept elements, in page order; of a kept element without kept children all."""
     out: list[str] = []

@@ -141,3 +141,35 @@ def test_nested_texts_are_read_in_linear_time():
     began = time.perf_counter()
     text = main_text(page)
     assert time.perf_counter() - began < 2 and text.count("some words") == n
+
+
+PROSE = "<p>This is a long paragraph of an article, with commas, and more words, so that it counts, as prose does, in fact.</p>"
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        f'<body><form id="aspnetForm"><input name=a><label>Search</label><select><option>x</select><div id="content">{PROSE * 5}</div><button>Go</button></form></body>',
+        f"<form role=form><article>{PROSE * 5}</article></form>",
+        f"<form>{PROSE * 5}</form>",
+        f"<object>{PROSE * 5}</object>",
+        f"<div id=w>{PROSE * 5}<form><p>Sign up, for news, now</p><input></form><object><p>No player here</p></object></div>",
+    ],
+)
+def test_pages_within_forms_and_objects(html):
+    assert main_text(html) == " ".join([PROSE[3:-4]] * 5)
+
+
+@pytest.mark.parametrize(
+    ("before", "first"),
+    [
+        ('<div id="main"><div class="lead">Short lead text here.</div><div class="story">', "Short lead text here."),
+        ('<div id="main"><div class="top"><h1>Head line</h1></div><div class="story">', "Head line"),
+        ('<div class="top"><h1>Head line</h1></div><div id="w"><div class="story">', "Head line"),
+        ('<div id="main"><div class="sidebar">Of the side</div><div class="story">', ""),
+        ('<div id="main"><div>&copy; 2024 A Firm</div><div class="story">', ""),
+        ('<div id="main"><div>See <a href=x>this</a></div><div class="story">', ""),
+    ],
+)
+def test_leads_and_headlines_in_sections_of_their_own(before, first):
+    assert main_text(f"{before}{PROSE * 4}</div></div>") == " ".join([*([first] if first else []), *[PROSE[3:-4]] * 4])
