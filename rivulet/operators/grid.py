@@ -60,8 +60,12 @@ class Grid:
         return self.crs == other.crs and near(self.x, other.x) and near(self.y, other.y)
 
 
+EVEN = 0.01  # of a step that a coordinate may be off its place
+
+
 def _axes(df: DataFrame, columns: list[str]) -> list[Axis]:
-    """Axes of coordinate columns, by one job: step = (max - min) / (distinct values - 1)."""
+    """Axes of coordinate columns, by two jobs: step = (max - min) / (distinct values - 1), and whether all values are in
+    their places. ValueError names a column whose steps are uneven; ``operators.nearest`` is for those."""
     found = None
     for c in columns:  # values first lose their copies; what is left to sort out is as long as an axis
         one = df.select(F.col(c).cast("double").alias("v")).distinct().agg(F.lit(c).alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("v").alias("n"))
@@ -73,6 +77,11 @@ def _axes(df: DataFrame, columns: list[str]) -> list[Axis]:
         if not r["n"]:
             raise ValueError(f"{c} has no values")
         out.append(Axis(r["lo"], (r["hi"] - r["lo"]) / (r["n"] - 1) if r["n"] > 1 else 1.0, r["n"]))
+    off = [F.max(F.abs((F.col(c) - a.origin) / a.step - F.rint((F.col(c) - a.origin) / a.step))).alias(f"off{k}") for k, (c, a) in enumerate(zip(columns, out, strict=True))]
+    far = df.select(*[F.col(c).cast("double").alias(c) for c in dict.fromkeys(columns)]).agg(*off).first()
+    uneven = [c for k, c in enumerate(columns) if far[k] > EVEN]
+    if uneven:
+        raise ValueError(f"the steps of {', '.join(uneven)} are uneven")
     return out
 
 

@@ -64,7 +64,9 @@ def half_open(column: str, start, stop) -> Column:
 
 
 def nearest(df: DataFrame, column: str, value, by: list[str] | None = None) -> DataFrame:
-    """For each group the row nearest to a label, ties to the smaller one, then to the other columns: an aggregate, no sort."""
+    """For each group the row nearest to a label, ties to the smaller one, then to the other columns.
+
+    One aggregate by group; as whole rows are compared, each task sorts its rows by group first."""
     other = [c for c in df.columns if c not in (by or [])]
     best = F.min_by(F.struct(*other), F.struct(F.abs(F.col(column) - F.lit(value)), F.col(column), *other)).alias("r")
     rows = df.groupBy(*by).agg(best) if by else df.agg(best)

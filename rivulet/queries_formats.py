@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from rivulet.model import from_table
-from rivulet.operators import states
+from rivulet.operators import nearest, states
 from rivulet.plans.profile import one_identity
 from rivulet.queries import _cells, _t, query
 from rivulet.sources import netcdf, scan, sinks
@@ -165,3 +165,24 @@ def kept_state_median(spark, d):
     below = e.join(found, "event_type").groupBy("event_type", "count").agg(F.count_if(F.col("value") < F.col("median")).alias("less"), F.count_if(F.col("value") <= F.col("median")).alias("most"))
     error = states.SKETCH_ERROR * F.col("count") + 1
     return below.select("event_type", "count", ((F.col("less") <= F.col("count") / 2 + error) & (F.col("most") >= F.col("count") / 2 - error)).alias("within"))
+
+
+# Uneven axes
+
+
+@query("SELECT c_custkey, (SELECT min_by(s_acctbal, struct_pack(d := abs(s_acctbal - c_acctbal), v := s_acctbal)) FROM supplier) AS nearest FROM customer")
+def nearest_on_uneven_axis(spark, d):
+    """Each customer's balance on the axis that the suppliers' balances make."""
+    axis = _t(spark, d, "supplier").select("s_acctbal")
+    return nearest.nearest_on_axis(_t(spark, d, "customer"), axis, "c_acctbal", "s_acctbal").select("c_custkey", "nearest")
+
+
+@query(
+    """WITH q AS (SELECT p_partkey, (p_size - 25) / 50.0 AS x, (p_retailprice - 1400) / 1000 AS y FROM part), s AS (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings)
+SELECT p_partkey, min_by(vec_id, struct_pack(d := (q.x - s.x) * (q.x - s.x) + (q.y - s.y) * (q.y - s.y), v := vec_id)) AS nearest FROM q, s GROUP BY p_partkey"""
+)
+def nearest_place(spark, d):
+    """Scattered places, some outside the others' box, each with the nearest of scattered sources."""
+    places = _t(spark, d, "part").select("p_partkey", ((F.col("p_size") - 25) / 50.0).alias("x"), ((F.col("p_retailprice") - 1400) / 1000).alias("y"))
+    sources = _t(spark, d, "embeddings").select("vec_id", F.col("embedding")[0].alias("sx"), F.col("embedding")[1].alias("sy"))
+    return nearest.nearest_places(places, sources, ("x", "y"), ("sx", "sy"), "vec_id").select("p_partkey", "nearest")
