@@ -7,9 +7,10 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rivulet.functions.crs import UnknownSystem, between
 from rivulet.model import Dataset
 
 #: Names under which axes and coordinate systems are looked for, in this order.
@@ -114,20 +115,28 @@ def target_cells(df: DataFrame, source: Grid, target: Grid, keys: DataFrame | No
 def reproject(data: Dataset, source: Grid, target: Grid, variables: list[str], x: str = "x", y: str = "y", by: list[str] | None = None, reproject_points=None) -> Dataset:
     """Variables on the target grid, each cell with the value of the source cell that holds its centre, or null.
 
-    Equal grids change attributes only. ``reproject_points(xs, ys) -> (xs, ys)`` maps target coordinates to the
-    source's system where these differ; it works on whole arrays inside tasks. ``by`` are further keys, such as time:
-    the target's cells are made for each of their values.
+    Equal grids change attributes only. Where the systems differ, target coordinates go to the source's one by column
+    expressions, as both texts say; ``reproject_points(xs, ys) -> (xs, ys)`` takes their place for other systems, on whole
+    arrays inside tasks. ``by`` are further keys, such as time: the target's cells are made for each of their values.
     """
     data.need(*variables)
     attrs = {**data.attrs, "grid_mapping": target.crs} if target.crs else data.attrs
     if source.matches(target):
         return replace(data, attrs=attrs)
-    if source.crs != target.crs and reproject_points is None:
-        raise ValueError("the grids' coordinate systems differ, and there is no way between them")
+    moving = source.crs != target.crs
+    way = None
+    if moving and reproject_points is None:
+        try:
+            way = between(target.crs, source.crs)
+        except UnknownSystem as e:
+            raise ValueError(f"the grids' coordinate systems differ, and there is no way between them: {e}") from e
     by = by or []
     values = data.df.select(*by, source.y.index(F.col(y)).alias("__row"), source.x.index(F.col(x)).alias("__col"), *variables)
     cells = target_cells(data.df, source, target, values.select(*by).distinct() if by else None)
-    if reproject_points is not None and source.crs != target.crs:
+    if way is not None:
+        sx, sy = way(F.col("__x"), F.col("__y"))
+        cells = cells.withColumns({"__row": source.y.index(sy), "__col": source.x.index(sx)})
+    elif moving:
 
         def moved(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
@@ -155,69 +164,72 @@ def update_references(data: Dataset, variables: list[str], crs_name: str, attrib
     return replace(data, var_attrs=var_attrs, scalars={**data.scalars, crs_name: data.scalars.get(crs_name, "")})
 
 
-RASTER_ROWS = 1 << 16  # cells that a task holds before it hands them on
-
-
 def rasterize(polygons: DataFrame, grid: Grid, label: str = "label", ring: str = "ring", all_touched: bool = True) -> DataFrame:
     """Cells (label, row, col) of each polygon (a ring of struct x, y): touched ones, or those whose centre lies within.
 
-    A polygon looks only at the cells of its bounding box, and its output rows are cells of the grid.
+    Rows of one label are one polygon: further rings are parts apart, or holes.
     """
+    return rasterize_rings(polygons, grid, label, ring, all_touched)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            names, rows, cells = [], [], []
-            held = 0
-            for name, points in zip(b[label], b[ring], strict=True):
-                if points is None or len(points) < 3:
-                    continue
-                p = np.array([(q["x"], q["y"]) for q in points], float)
-                c = (p[:, 0] - grid.x.edge) / grid.x.step
-                r = (p[:, 1] - grid.y.edge) / grid.y.step
-                c0, c1 = max(0, int(np.floor(c.min()))), min(grid.x.size, int(np.floor(c.max())) + 1)
-                r0, r1 = max(0, int(np.floor(r.min()))), min(grid.y.size, int(np.floor(r.max())) + 1)
-                cols = np.arange(c0, c1)
-                for row in range(r0, r1):
-                    hit = _inside(cols + 0.5, np.full(len(cols), row + 0.5), c, r)
-                    if all_touched:
-                        hit |= _touched(cols, row, c, r)
-                    n = int(hit.sum())
-                    if not n:
-                        continue
-                    names += [name] * n
-                    rows.append(np.full(n, row, "int32"))
-                    cells.append(cols[hit].astype("int32"))
-                    held += n
-                    if held >= RASTER_ROWS:
-                        yield pd.DataFrame({label: names, "row": np.concatenate(rows), "col": np.concatenate(cells)})
-                        names, rows, cells, held = [], [], [], 0
-            if held:
-                yield pd.DataFrame({label: names, "row": np.concatenate(rows), "col": np.concatenate(cells)})
-
-    kind = dict(polygons.dtypes)[label]
-    return polygons.select(label, ring).mapInPandas(run, f"{label} {kind}, row int, col int")
-
-
-def _inside(px: np.ndarray, py: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Whether points lie within a ring, by the crossings of a ray."""
-    out = np.zeros(len(px), bool)
-    for x0, y0, x1, y1 in zip(x, y, np.roll(x, -1), np.roll(y, -1), strict=True):
-        if y0 != y1:
-            out ^= ((y0 > py) != (y1 > py)) & (px < (x1 - x0) * (py - y0) / (y1 - y0) + x0)
-    return out
 
+def ring_edges(rings: DataFrame, grid: Grid, label: str = "label", ring: str = "ring") -> DataFrame:
+    """Edges (label, x0, y0, x1, y1) of rings of at least three points, in cells: places on the grid from its outer corner."""
+    place = lambda p: F.struct(((p["x"] - grid.x.edge) / grid.x.step).cast("double").alias("x"), ((p["y"] - grid.y.edge) / grid.y.step).cast("double").alias("y"))
+    placed = rings.where(F.size(ring) >= 3).select(label, F.transform(ring, place).alias("p"))
+    turned = F.concat(F.slice("p", 2, F.size("p") - 1), F.slice("p", 1, 1))
+    edges = placed.select(label, F.explode(F.arrays_zip(F.col("p").alias("a"), turned.alias("b"))).alias("e"))
+    return edges.select(label, F.col("e.a.x").alias("x0"), F.col("e.a.y").alias("y0"), F.col("e.b.x").alias("x1"), F.col("e.b.y").alias("y1"))
 
-def _touched(cols: np.ndarray, row: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Whether an edge of the ring runs through a cell of the row."""
-    out = np.zeros(len(cols), bool)
-    for x0, y0, x1, y1 in zip(x, y, np.roll(x, -1), np.roll(y, -1), strict=True):
-        lo, hi = max(min(y0, y1), row), min(max(y0, y1), row + 1)
-        if lo > hi:
-            continue
-        if y0 == y1:
-            a, b = min(x0, x1), max(x0, x1)
-        else:
-            at = sorted(x0 + (x1 - x0) * (v - y0) / (y1 - y0) for v in (lo, hi))
-            a, b = at
-        out |= (cols + 1 > a) & (cols < b) | (np.floor(a) == cols) & (a == b)
-    return out
+
+def ring_spans(edges: DataFrame, grid: Grid, label: str = "label") -> DataFrame:
+    """Spans (label, row, first, last) of cells whose centres lie within, by scanlines.
+
+    Each edge is met by the rows whose centre lines cross it; a row's crossings are ordered, and cells between the first and
+    the second, the third and the fourth, ... are within. Work and rows are dealt by label and row, so a polygon of any
+    number of points is no single task's.
+    """
+    low, high = F.least("y0", "y1"), F.greatest("y0", "y1")
+    first = F.greatest(F.ceil(low - 0.5), F.lit(0)).cast("int")
+    last = F.least(F.ceil(high - 0.5) - 1, F.lit(grid.y.size - 1)).cast("int")
+    rows = edges.withColumns({"first": first, "last": last}).where("first <= last").withColumn("row", F.explode(F.sequence("first", "last")))
+    at = F.col("x0") + (F.col("x1") - F.col("x0")) * ((F.col("row") + 0.5 - F.col("y0")) / (F.col("y1") - F.col("y0")))
+    crossings = rows.select(label, "row", at.alias("at"))
+    along = Window.partitionBy(label, "row").orderBy("at")
+    pairs = crossings.select(label, "row", "at", F.lead("at").over(along).alias("to"), F.row_number().over(along).alias("k")).where("k % 2 = 1")
+    first = F.greatest(F.ceil(F.col("at") - 0.5), F.lit(0)).cast("int")
+    last = F.least(F.ceil(F.col("to") - 0.5) - 1, F.lit(grid.x.size - 1)).cast("int")
+    return pairs.select(label, "row", first.alias("first"), last.alias("last")).where("first <= last")
+
+
+def touched_spans(edges: DataFrame, grid: Grid, label: str = "label") -> DataFrame:
+    """Spans (label, row, first, last) of cells that edges run through: of each edge, the part within each row."""
+    low, high = F.least("y0", "y1"), F.greatest("y0", "y1")
+    first = F.greatest(F.floor(low), F.lit(0)).cast("int")
+    last = F.least(F.floor(high), F.lit(grid.y.size - 1)).cast("int")
+    rows = edges.withColumns({"lo": low, "hi": high, "first": first, "last": last}).where("first <= last").withColumn("row", F.explode(F.sequence("first", "last")))
+    at = lambda y: F.col("x0") + (F.col("x1") - F.col("x0")) * ((y - F.col("y0")) / (F.col("y1") - F.col("y0")))
+    top, bottom = at(F.greatest("lo", F.col("row").cast("double"))), at(F.least("hi", F.col("row") + 1.0))
+    flat = F.col("lo") == F.col("hi")
+    a = F.when(flat, F.least("x0", "x1")).otherwise(F.least(top, bottom))
+    b = F.when(flat, F.greatest("x0", "x1")).otherwise(F.greatest(top, bottom))
+    spans = rows.select(label, "row", F.floor(a).alias("first"), F.greatest(F.floor(a), F.ceil(b) - 1).alias("last"))
+    spans = spans.select(label, "row", F.greatest("first", F.lit(0)).cast("int").alias("first"), F.least("last", F.lit(grid.x.size - 1)).cast("int").alias("last"))
+    return spans.where("first <= last")
+
+
+def rasterize_rings(rings: DataFrame, grid: Grid, label: str = "label", ring: str = "ring", all_touched: bool = True) -> DataFrame:
+    """Cells (label, row, col) of polygons given as rings, one row a ring: outer rings, parts apart and holes, in any order and
+    direction. Those whose centre lies within, and with ``all_touched`` those that an edge runs through."""
+    edges = ring_edges(rings, grid, label, ring)
+    spans = ring_spans(edges, grid, label)
+    spread = lambda s: s.select(label, "row", F.explode(F.sequence("first", "last")).alias("col"))
+    if not all_touched:
+        return spread(spans)
+    return spread(spans.unionByName(touched_spans(edges, grid, label))).distinct()
+
+
+def mask_cells(rings: DataFrame, grid: Grid, label: str = "label", ring: str = "ring", all_touched: bool = True, x: str = "x", y: str = "y") -> DataFrame:
+    """Masks as rows: each polygon's cells (label, y, x, mask = 1), by the coordinates of their centres. As a file, one a label
+    (``netcdf.write_files``), cells between them that it lacks are missing."""
+    cells = rasterize_rings(rings, grid, label, ring, all_touched)
+    return cells.select(label, grid.y.centre(F.col("row")).alias(y), grid.x.centre(F.col("col")).alias(x), F.lit(1).cast("tinyint").alias("mask"))

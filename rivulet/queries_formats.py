@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from rivulet.model import from_table
-from rivulet.operators import nearest, states
+from rivulet.operators import grid, nearest, states
 from rivulet.plans.profile import one_identity
 from rivulet.queries import _cells, _t, query
 from rivulet.sources import netcdf, scan, sinks
@@ -186,3 +186,47 @@ def nearest_place(spark, d):
     places = _t(spark, d, "part").select("p_partkey", ((F.col("p_size") - 25) / 50.0).alias("x"), ((F.col("p_retailprice") - 1400) / 1000).alias("y"))
     sources = _t(spark, d, "embeddings").select("vec_id", F.col("embedding")[0].alias("sx"), F.col("embedding")[1].alias("sy"))
     return nearest.nearest_places(places, sources, ("x", "y"), ("sx", "sy"), "vec_id").select("p_partkey", "nearest")
+
+
+# Between coordinate systems, and polygons
+
+_SPHERE = 'GEOGCS["g",DATUM["d",SPHEROID["s",6370000.0,0.0]],PRIMEM["Greenwich",0.0],UNIT["Degree",0.0174532925199433]]'
+_CONIC = f'PROJCS["c",{_SPHERE},PROJECTION["Lambert_Conformal_Conic"],PARAMETER["central_meridian",-97.0],PARAMETER["standard_parallel_1",30.0],PARAMETER["standard_parallel_2",60.0],PARAMETER["latitude_of_origin",40.0],UNIT["Meter",1.0]]'
+
+
+@query(
+    """
+WITH k AS (SELECT ln(cos(radians(30)) / cos(radians(60))) / ln(tan(pi() / 4 + radians(60) / 2) / tan(pi() / 4 + radians(30) / 2)) AS n),
+f AS (SELECT n, 6370000 * cos(radians(30)) * pow(tan(pi() / 4 + radians(30) / 2), n) / n AS f FROM k),
+o AS (SELECT n, f, f / pow(tan(pi() / 4 + radians(40) / 2), n) AS rho0 FROM f),
+t AS (SELECT -1500000.0::DOUBLE + 31000.0 * (i % 80) AS x, -1400000.0::DOUBLE + 27000.0 * (i // 80) AS y FROM range(0, 8000) r(i)),
+p AS (SELECT x, y, degrees(2 * atan(pow(f / sqrt(x * x + (rho0 - y) * (rho0 - y)), 1 / n)) - pi() / 2) AS lat, degrees(atan2(x, rho0 - y) / n) - 97 AS lon FROM t, o),
+g AS (SELECT vec_id AS r, unnest(range(0, len(embedding))) AS c, unnest(embedding) AS value FROM embeddings)
+SELECT y, x, value FROM p LEFT JOIN g ON r = CAST(floor((lat - 24.99) / 0.02) AS BIGINT) AND c = CAST(floor((lon + 115.25) / 0.5) AS BIGINT)"""
+)
+def grid_between_systems(spark, d):
+    """A grid of degrees on a conic one, as both systems' texts say: projections are columns, no Python runs."""
+    cells = _cells(spark, d).select((F.col("y") * 0.02 + 25).alias("y"), (F.col("x") * 0.5 - 115).alias("x"), "value")
+    rows = _t(spark, d, "embeddings").count()
+    source = grid.Grid(grid.Axis(-115.0, 0.5, 64), grid.Axis(25.0, 0.02, rows), _SPHERE)
+    target = grid.Grid(grid.Axis(-1500000.0, 31000.0, 80), grid.Axis(-1400000.0, 27000.0, 100), _CONIC)
+    return grid.reproject(from_table(cells, ("y", "x")), source, target, ["value"]).df
+
+
+@query(
+    """
+WITH s AS (SELECT s_suppkey, s_suppkey % 37 + 3.3 AS cx, s_nationkey * 1.5 + 4.2 AS cy, 2.37 + s_suppkey % 3 AS r FROM supplier)
+SELECT s_suppkey AS label, CAST(j AS INTEGER) AS row, CAST(i AS INTEGER) AS col FROM s, range(0, 50) a(i), range(0, 50) b(j)
+WHERE abs(i + 0.5 - cx) + abs(j + 0.5 - cy) < r AND NOT (abs(i + 0.5 - cx) < 0.77 AND abs(j + 0.5 - cy) < 0.77) OR (i + 0.5 > cx + 5 AND i + 0.5 < cx + 7 AND j + 0.5 > cy - 1 AND j + 0.5 < cy + 1)"""
+)
+def rasterize_rings(spark, d):
+    """A diamond with a square hole and a rectangle apart for each supplier: polygons of several rings, by scanlines."""
+    s = _t(spark, d, "supplier").select("s_suppkey", (F.col("s_suppkey") % 37 + 3.3).alias("cx"), (F.col("s_nationkey") * 1.5 + 4.2).alias("cy"), (2.37 + F.col("s_suppkey") % 3).alias("r"))
+    ring = lambda *at: F.array(*[F.struct((F.col("cx") + x).alias("x"), (F.col("cy") + y).alias("y")) for x, y in at])
+    r = F.col("r")
+    outer = ring((r, 0.0), (0.0, r), (-r, 0.0), (0.0, -r))
+    hole = ring((-0.77, -0.77), (0.77, -0.77), (0.77, 0.77), (-0.77, 0.77))
+    apart = ring((5.0, -1.0), (7.0, -1.0), (7.0, 1.0), (5.0, 1.0))
+    rings = s.select(F.col("s_suppkey").alias("label"), F.explode(F.array(outer, hole, apart)).alias("ring"))
+    own = grid.Grid(grid.Axis(0.5, 1.0, 50), grid.Axis(0.5, 1.0, 50))
+    return grid.rasterize_rings(rings, own, all_touched=False)
