@@ -144,6 +144,17 @@ def netcdf_type(alias: str) -> str:
     return name
 
 
+def netcdf_type_of(alias: Column) -> Column:
+    """The type's name for each row's alias or code; null for what is none."""
+    known = {n: n for n in NETCDF_TYPES} | _ALIASES | {v[0]: k for k, v in NETCDF_TYPES.items()}
+    return F.try_element_at(F.create_map(*[F.lit(x) for kv in known.items() for x in kv]), F.lower(F.trim(alias)))
+
+
+def spark_type_of(netcdf: Column) -> Column:
+    """The Spark type that holds each row's NetCDF type."""
+    return F.try_element_at(F.create_map(*[F.lit(x) for kv in SPARK_TYPES.items() for x in kv]), netcdf)
+
+
 def widest_type(*names: str) -> str:
     """The widest of types of one group; types of different groups can't be compared."""
     types = [netcdf_type(n) for n in names]

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rivulet.model import Dataset
 from rivulet.plans.operations import Context, Operation, PlanError, load_operation, run_all
@@ -81,6 +82,37 @@ def find_invalid(spark: SparkSession, folder: str) -> dict[str, str]:
     return bad
 
 
+def profile_table(spark: SparkSession, folder: str) -> DataFrame:
+    """One row a profile of a folder: name, region, configuration, output_type, member, and what is wrong with it (or null)."""
+    rows, bad = [], find_invalid(spark, folder)
+    for path, text in _texts(spark, folder):
+        p = None if path in bad else Profile.from_json(text)
+        rows.append((path.rpartition("/")[2], *([p.region, p.configuration, p.output_type, p.member] if p else [None] * 4), bad.get(path)))
+    return spark.createDataFrame(rows, "name string, region string, configuration string, output_type string, member string, fault string")
+
+
+def with_profile(files: DataFrame, profiles: DataFrame) -> DataFrame:
+    """Adds ``profile``, the name of the sound profile for each file's identity; null where there is none. A profile without
+    a member is for all of them. The profiles' table is as long as a folder's list."""
+    sound = profiles.where("fault is null").select(F.col("name").alias("profile"), *[F.col(k).alias(f"__{k}") for k in IDENTITY])
+    same = F.lit(True)
+    for k in IDENTITY[:3]:
+        same = same & (F.col(k) == F.col(f"__{k}"))
+    same = same & (F.col("__member").isNull() | (F.col("member") == F.col("__member")))
+    return files.join(sound, same, "left").drop(*[f"__{k}" for k in IDENTITY])
+
+
+def trace(profile: Profile, data: Dataset, context: Context | None = None) -> DataFrame:
+    """(id, operation, rows): how many rows there are after each of a profile's operations; one count each."""
+    context = context or Context()
+    out = None
+    for o in profile.operations:
+        data = o.apply(data, context)
+        one = data.df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(o.operation_id).alias("id"), F.lit(o.name).alias("operation"), "rows")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def _texts(spark: SparkSession, folder: str) -> list[tuple[str, str]]:
     rows = spark.read.option("pathGlobFilter", "*.json").text(folder, wholetext=True).selectExpr("_metadata.file_path AS path", "value")
     return [(r["path"], r["value"]) for r in rows.orderBy("path").collect()]

@@ -6,6 +6,7 @@ Where an operator works on files of its own kind, the query first writes the tab
 from __future__ import annotations
 
 import json
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from rivulet.model import from_table
 from rivulet.operators import aggregates, grid, masks, projections
 from rivulet.plans import operations
 from rivulet.plans.operations import Context, PlanError
-from rivulet.plans.profile import Profile, find_invalid, load_profiles
+from rivulet.plans.profile import Profile, profile_table, trace, with_profile
 from rivulet.queries import START, _cells, _series, _t, query
 from rivulet.sources import scan, sinks
 from rivulet.streaming import folds
@@ -105,9 +106,11 @@ def grid_mask_scan(spark, d):
     return scan.read_mask(_t(spark, d, "embeddings").withColumnRenamed("vec_id", "y"), ["y"], "label")
 
 
-@query("SELECT * FROM (VALUES ('n_nationkey', 'int'), ('n_name', 'string'), ('n_regionkey', 'int')) t(name, type)")
+@query("SELECT * FROM (SELECT 'o_orderkey' AS name, 'bigint' AS type, count(o_orderkey) AS n FROM orders UNION ALL SELECT 'o_orderpriority', 'string', count(o_orderpriority) FROM orders UNION ALL SELECT 'o_orderdate', 'timestamp_ntz', count(o_orderdate) FROM orders UNION ALL SELECT 'big', 'double', count(*) FILTER (o_totalprice > 1000) FROM orders)")
 def header_scan(spark, d):
-    return scan.header_schema(_t(spark, d, "nation"))
+    """A table's columns, their types, and how many values each has."""
+    big = F.when(F.col("o_totalprice") > 1000, F.col("o_totalprice")).alias("big")
+    return scan.header_counts(_t(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate", big))
 
 
 @query("SELECT p_partkey, p_size, p_retailprice FROM part WHERE p_size > 25 AND p_retailprice < 1500")
@@ -138,10 +141,15 @@ def timing_log_filter(spark, d):
     return scan.recent_calls(_log(spark, d), since, ["f1", "f3"], 2).select("line", "function", "pid")
 
 
-@query("SELECT 'a.t01z.land.nc' AS name UNION ALL SELECT 'b.t02z.land.nc'")
+_ALIKE = "CAST(len([k FOR k IN range(1, 4) IF list_reverse(string_split(name, '.'))[k] = (['nc', '#3', 'land'])[k]]) AS INTEGER)"
+
+
+@query(f"WITH t AS (SELECT DISTINCT 'p' || p_size || '.' || CASE p_partkey % 3 WHEN 0 THEN 'land' ELSE 'forcing' END || '.' || p_brand || '.nc' AS name FROM part), u AS (SELECT replace(name, 'Brand', '') AS name FROM t) SELECT name, {_ALIKE} AS alike FROM u ORDER BY alike DESC, name LIMIT 12")
 def candidate_suggestion(spark, d):
-    near = scan.similar_names("x.t00z.land.nc", ["a.t01z.land.nc", "a.csv", "b.t02z.land.nc", "land.txt"], 2)
-    return _rows(spark, [(n,) for n in near], "name string")
+    """Of all names that the parts make, those that end most like one that is missing."""
+    kind = F.when(F.col("p_partkey") % 3 == 0, "land").otherwise("forcing")
+    there = _t(spark, d, "part").select(F.concat(F.lit("p"), "p_size", F.lit("."), kind, F.lit("."), F.regexp_replace("p_brand", "Brand", ""), F.lit(".nc")).alias("file"))
+    return scan.similar_in(there, "file", "missing.land.#3.nc", 12)
 
 
 @query("SELECT doc_id, hex(encode(head))[1:8] IN ('43444601', '43444602', '89484446') AS is_netcdf FROM (SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'CDF' || chr(1) WHEN 1 THEN 'CDX' || chr(1) ELSE left(text, 4) END AS head FROM documents WHERE text IS NOT NULL)")
@@ -163,10 +171,16 @@ def read_modify_write(spark, d):
     return spark.read.parquet(path)
 
 
-@query("SELECT * FROM (VALUES ('dimensions: n_nationkey'), ('n_nationkey(n_nationkey): int'), ('n_name(n_nationkey): string [-]'), ('n_regionkey(n_nationkey): int'), ('run = 7'), (':title = t')) t(line)")
+@query(
+    """WITH e AS (SELECT event_id, CASE WHEN event_id % 5 > 0 THEN user_id END AS user, event_type FROM events)
+SELECT 'event_id' AS name, 'event_id' AS dims, 'bigint' AS type, NULL AS units, count(event_id) AS n, count(*) - count(event_id) AS missing, CAST(min(event_id) AS VARCHAR) AS least, CAST(max(event_id) AS VARCHAR) AS most FROM e
+UNION ALL SELECT 'user', 'event_id', 'bigint', 'id', count(user), count(*) - count(user), CAST(min(user) AS VARCHAR), CAST(max(user) AS VARCHAR) FROM e
+UNION ALL SELECT 'event_type', 'event_id', 'string', NULL, count(event_type), count(*) - count(event_type), min(event_type), max(event_type) FROM e"""
+)
 def describe_dataset(spark, d):
-    data = from_table(_t(spark, d, "nation"), ("n_nationkey",), attrs={"title": "t"}, var_attrs={"n_name": {"units": "-"}}, scalars={"run": 7})
-    return _rows(spark, [(x,) for x in sinks.peek(data, 0).split("\n")], "line string")
+    """What a dataset's variables are, and what their values are like."""
+    rows = _t(spark, d, "events").select("event_id", F.when(F.col("event_id") % 5 > 0, F.col("user_id")).alias("user"), "event_type")
+    return sinks.describe_values(from_table(rows, ("event_id",), var_attrs={"user": {"units": "id"}}))
 
 
 @query("SELECT vec_id AS y, CAST(position AS INTEGER) AS x, CAST(label % 2 AS TINYINT) AS mask FROM (SELECT vec_id, label, unnest(range(0, 4)) AS position FROM embeddings)")
@@ -253,10 +267,12 @@ def last_with_predicate(spark, d):
 # Aggregates
 
 
-@query("SELECT 'v_mean' AS name, 'feature_id: mean' AS value UNION ALL SELECT 'v_max', 'feature_id: max'")
+@query("SELECT user_id AS feature_id, 'v_mean' AS variable, round(avg(value) + 1e-9, 6) AS value, 'feature_id: mean' AS cell_methods FROM events GROUP BY user_id UNION ALL SELECT user_id, 'v_max', round(max(value) + 1e-9, 6), 'feature_id: max' FROM events GROUP BY user_id")
 def fold_attributes(spark, d):
+    """Folded values beside the attribute that says how they were folded."""
     out = aggregates.stream_fold(_series(spark, d), [{"variable": "streamflow", "operation": o, "output_variable": f"v_{o}"} for o in ("mean", "max")])
-    return _rows(spark, [(v, out.var_attrs[v]["cell_methods"]) for v in ("v_mean", "v_max")])
+    rows = sinks.with_attributes(out, ["v_mean", "v_max"])
+    return rows.select("feature_id", "variable", F.round(F.col("value") + 1e-9, 6).alias("value"), F.col("attrs")["cell_methods"].alias("cell_methods"))
 
 
 @query("SELECT user_id AS feature_id, max(value) - min(value) AS spread FROM events GROUP BY user_id")
@@ -280,11 +296,14 @@ def lead_intervals(spark, d):
     return _series(spark, d).df.select("event_id", aggregates.lead_interval(F.col("lead_seconds"), 86400).alias("i")).select("event_id", "i.floor", "i.maximum")
 
 
-@query("SELECT 'long_name' AS name, 'River Flow Anomaly' AS value UNION ALL SELECT 'units', '-'")
+@query("WITH c AS (SELECT user_id, avg(value) AS p FROM events GROUP BY user_id) SELECT event_id, CASE WHEN value IS NULL THEN NULL WHEN value <= p THEN -1::DOUBLE ELSE 1::DOUBLE END AS value, 'River Flow Anomaly' AS long_name, '-' AS units FROM events JOIN c USING (user_id)")
 def anomaly_attributes(spark, d):
-    climate = _series(spark, d).df.groupBy("feature_id").agg(F.avg("streamflow").alias("p50"))
-    out = masks.anomaly(_series(spark, d), "streamflow", climate, {"p50": -1}, 1, ["feature_id"], "anomaly")
-    return _rows(spark, sorted(out.var_attrs["anomaly"].items()))
+    """Scores beside the attributes that the operator derives."""
+    series = _series(spark, d)
+    climate = series.df.groupBy("feature_id").agg(F.avg("streamflow").alias("p50"))
+    out = masks.anomaly(series, "streamflow", climate, {"p50": -1}, 1, ["feature_id"], "anomaly")
+    rows = sinks.with_attributes(replace(out, dims=("event_id",), file_key=()), ["anomaly"])
+    return rows.select("event_id", "value", F.col("attrs")["long_name"].alias("long_name"), F.col("attrs")["units"].alias("units"))
 
 
 # Grids
@@ -318,12 +337,14 @@ def grid_variable_group(spark, d):
     return grid.reproject_group(from_table(cells, ("y", "x")), grid.grid_of(cells), target, fill={"value": -9999.0}).df
 
 
-@query("SELECT 'crs_name' AS name, 'mercator' AS value UNION ALL SELECT 'value.grid_mapping', 'crs' UNION ALL SELECT 'crs.spatial_ref', 'EPSG:3857' UNION ALL SELECT 'x_name', 'x'")
+@query("SELECT vec_id AS y, CAST(i - 1 AS INTEGER) AS x, CAST(embedding[i] AS DOUBLE) AS value, 'crs' AS grid_mapping, 'mercator' AS found FROM embeddings, range(1, 65) t(i)")
 def grid_references(spark, d):
+    """Cells beside the coordinate system that their attributes name, found among the dataset's variables."""
     data = from_table(_cells(spark, d), ("y", "x"), scalars={"mercator": ""})
-    found = [("crs_name", grid.find_name(data, grid.CRS_NAMES)), ("x_name", grid.find_name(data, grid.X_NAMES))]
+    found = grid.find_name(data, grid.CRS_NAMES)
     out = grid.update_references(data, ["value"], "crs", {"spatial_ref": "EPSG:3857"})
-    return _rows(spark, found + [("value.grid_mapping", out.var_attrs["value"]["grid_mapping"]), ("crs.spatial_ref", out.var_attrs["crs"]["spatial_ref"])])
+    rows = sinks.with_attributes(out, ["value"])
+    return rows.select("y", "x", "value", F.col("attrs")["grid_mapping"].alias("grid_mapping"), F.lit(found).alias("found"))
 
 
 @query("SELECT c_custkey AS label, CAST(r AS INTEGER) AS row, CAST(c AS INTEGER) AS col FROM customer, range(0, 50) a(r), range(0, 50) b(c) WHERE c + 0.5 > c_custkey % 40 + 0.3 AND c + 0.5 < c_custkey % 40 + 5.3 AND r + 0.5 > c_nationkey + 0.2 AND r + 0.5 < c_nationkey + 3.2")
@@ -376,10 +397,12 @@ def describe_identifiers(spark, d):
     return _t(spark, d, "nation").select("n_nationkey", text.described(F.when(k == 0, "conus_channel_rt").when(k == 1, "medium_range_extend").otherwise("marfc_flow")).alias("title"))
 
 
-@query("SELECT * FROM (VALUES ('f', 'float', 'float'), ('int64', 'int64', 'bigint'), ('float64', 'double', 'double'), ('us', 'ushort', 'int'), ('str', 'string', 'string')) t(alias, name, kind)")
+@query("SELECT l_orderkey, l_linenumber, a.name, a.kind FROM lineitem JOIN (VALUES (0, 'float', 'float'), (1, 'int64', 'bigint'), (2, 'double', 'double'), (3, 'ushort', 'int'), (4, 'string', 'string'), (5, NULL, NULL)) a(k, name, kind) ON l_orderkey % 6 = a.k")
 def type_aliases(spark, d):
-    names = [(a, text.netcdf_type(a)) for a in ("f", "int64", "float64", "us", "str")]
-    return _rows(spark, [(a, n, text.SPARK_TYPES[n]) for a, n in names], "alias string, name string, kind string")
+    """Each row's alias as the type that it means, and the type that holds it here."""
+    aliases = F.array(*map(F.lit, ("f", " Int64", "float64", "us", "STR", "no such type")))
+    name = text.netcdf_type_of(F.get(aliases, (F.col("l_orderkey") % 6).cast("int")))
+    return _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", name.alias("name"), text.spark_type_of(name).alias("kind"))
 
 
 @query("SELECT event_id, value * 1440 AS minutes, value * 86400 AS seconds FROM events")
@@ -400,40 +423,55 @@ def without_nan(spark, d):
 _PROFILE = {"region": "conus", "configuration": "short_range", "output_type": "channel_rt", "operations": [{"operation": "echo", "message": "{region} at {run}"}, {"operation": "branch", "branches": {"a": [{"operation": "load"}], "b": [{"operation": "drop", "fields": ["x"]}]}}]}
 
 
-@query("SELECT 'good.json' AS name, 'conus' AS region, '' AS fault UNION ALL SELECT 'keys.json', NULL, 'drop lacks fields' UNION ALL SELECT 'name.json', NULL, 'nothing implements write'")
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN 'good.json' WHEN o_orderkey % 4 = 1 AND o_custkey % 3 = 2 THEN 'member.json' END AS profile FROM orders")
 def profile_directory(spark, d):
-    """Profiles of a folder, read and checked."""
+    """The profiles of a folder, read and checked, and for each file of a table the one that is for it."""
     folder = sinks.scratch_folder(spark)
-    texts = {"good": _PROFILE, "keys": {"operations": [{"operation": "drop"}]}, "name": {"operations": [{"operation": "write"}]}}
-    for name, spec in texts.items():
-        _rows(spark, [(json.dumps(spec),)], "value string").coalesce(1).write.text(f"{folder}/raw/{name}")
+    base = {k: v for k, v in _PROFILE.items() if k != "region"}
+    texts = {"good": _PROFILE, "member": base | {"region": "hawaii", "member": "2"}, "keys": {"region": "alaska", "operations": [{"operation": "drop"}]}, "name": base | {"region": "alaska", "operations": [{"operation": "write"}]}}
     fs = spark._jvm.org.apache.hadoop.fs
     system = fs.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
     system.mkdirs(fs.Path(f"{folder}/profiles"))
-    for name in texts:
+    for name, spec in texts.items():
+        _rows(spark, [(json.dumps(spec),)], "value string").coalesce(1).write.text(f"{folder}/raw/{name}")
         part = system.globStatus(fs.Path(f"{folder}/raw/{name}/part-*"))[0].getPath()
         system.rename(part, fs.Path(f"{folder}/profiles/{name}.json"))
-    good, bad = load_profiles(spark, f"{folder}/profiles"), find_invalid(spark, f"{folder}/profiles")
-    rows = [(p.rpartition("/")[2], g.region, "") for p, g in good.items()] + [(p.rpartition("/")[2], None, str(e).strip("'\"")) for p, e in bad.items()]
-    return _rows(spark, rows, "name string, region string, fault string")
+    region = F.get(F.array(*map(F.lit, ("conus", "hawaii", "alaska", "alaska.aprfc"))), (F.col("o_orderkey") % 4).cast("int"))
+    name = F.format_string("nwm.t00z.short_range.channel_rt_%d.f001.%s.nc", F.col("o_custkey") % 3, region)
+    files = scan.with_identity(_t(spark, d, "orders"), name)
+    return with_profile(files, profile_table(spark, f"{folder}/profiles")).select("o_orderkey", "profile")
 
 
-@query("SELECT * FROM (VALUES ('1', 'echo'), ('2', 'branch'), ('2.1', 'load'), ('2.2', 'drop')) t(id, operation)")
+@query("SELECT '1' AS id, 'file_filter' AS operation, count(*) FILTER (event_type <> 'view') AS rows FROM events UNION ALL SELECT 'x', 'stream', count(DISTINCT user_id) FILTER (event_type <> 'view') FROM events UNION ALL SELECT '3', 'branch', 2 * count(DISTINCT user_id) FILTER (event_type <> 'view') FROM events")
 def operation_ids(spark, d):
-    p = Profile.from_json(json.dumps(_PROFILE))
-    return _rows(spark, [(o.operation_id, o.name) for top in p.operations for o in top.walk()], "id string, operation string")
+    """How many rows each of a profile's operations leaves, by the operations' ids."""
+    stream = {"operation": "stream", "operation_id": "x", "operations": [{"variable": "streamflow", "operation": "mean"}]}
+    keep = {"operation": "file_filter", "on": {"field": "event_type", "operator": "!=", "value": "view"}}
+    profile = Profile.from_dict({"operations": [keep, stream, {"operation": "branch", "branches": {"a": [{"operation": "load"}], "b": [{"operation": "load"}]}}]})
+    rows = _t(spark, d, "events").select("event_id", F.col("user_id").alias("feature_id"), "event_type", F.col("value").alias("streamflow"))
+    return trace(profile, from_table(rows, ("feature_id",), file_key=("file",)))
 
 
-@query("SELECT 'conus at 7' AS message UNION ALL SELECT 'raised conus' UNION ALL SELECT 'disabled: 1 echo'")
+@query("SELECT r_name || ': ' || count(*) AS message FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name UNION ALL SELECT 'no parts of ' || p_brand FROM part GROUP BY p_brand HAVING min(p_size) > 1 UNION ALL SELECT 'disabled: 1 echo'")
 def echo_raise_disable(spark, d):
-    data, context, out = from_table(_t(spark, d, "nation"), ("n_nationkey",)), Context(values={"run": 7}), []
-    Profile.from_dict(_PROFILE | {"operations": _PROFILE["operations"][:1]}).run(data, context)
-    out += context.messages
-    for op in ({"operation": "raise", "message": "raised {region}"}, {"operation": "echo", "message": "x", "disable": True}):
+    """Messages about data: what is there is said, what is not is raised, a disabled operation is refused."""
+    nations = _t(spark, d, "nation").join(_t(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    context, out = Context(), []
+    for r in nations.groupBy("r_name").agg(F.count(F.lit(1)).alias("n")).collect():  # a row a region
+        one = from_table(nations.where(F.col("r_name") == r.r_name), ("n_nationkey",))
+        inner = Context(values={"n": r.n})
+        Profile.from_dict({"region": r.r_name, "operations": [{"operation": "echo", "message": "{region}: {n}"}]}).run(one, inner)
+        out += inner.messages
+    least = _t(spark, d, "part").groupBy("p_brand").agg(F.min("p_size").alias("least"))
+    for r in least.where("least > 1").collect():  # a row a brand
         try:
-            Profile.from_dict(_PROFILE | {"operations": [op]}).run(data, context)
-        except (RuntimeError, PlanError) as e:
+            Profile.from_dict({"operations": [{"operation": "raise", "message": "no parts of {brand}"}]}).run(from_table(least, ("p_brand",)), Context(values={"brand": r.p_brand}))
+        except RuntimeError as e:
             out.append(str(e))
+    try:
+        Profile.from_dict({"operations": [{"operation": "echo", "message": "x", "disable": True}]}).run(from_table(least, ("p_brand",)), context)
+    except PlanError as e:
+        out.append(str(e))
     return _rows(spark, [(m,) for m in out], "message string")
 
 

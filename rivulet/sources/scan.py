@@ -104,6 +104,14 @@ def similar_names(name: str, there: list[str], most: int = 5) -> list[str]:
     return ranked[:most]
 
 
+def similar_in(there: DataFrame, column: str, name: str, most: int = 5) -> DataFrame:
+    """(name, alike): of a table's names those that end most like the missing one, by equal parts counted from the end."""
+    parts = F.array(*[F.lit(p) for p in reversed(name.split("."))])
+    own = F.slice(F.reverse(F.split(column, r"\.")), 1, len(name.split(".")))
+    alike = F.size(F.filter(F.zip_with(own, parts, lambda a, b: F.coalesce(a == b, F.lit(False))), lambda x: x))
+    return there.select(F.col(column).alias("name"), alike.alias("alike")).distinct().orderBy(F.desc("alike"), "name").limit(most)
+
+
 def read_links(spark: SparkSession, path: str, form: str = "parquet", link: str = "link", to: str = "to") -> DataFrame:
     """Edges of a river network: (link, to), each link once."""
     df = read_table(spark, path, form, **({"header": "true"} if form == "csv" else {}))
@@ -168,6 +176,13 @@ def header_schema(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame([(n, t) for n, t in df.dtypes], "name string, type string")
 
 
+def header_counts(df: DataFrame) -> DataFrame:
+    """(name, type, n): each column, its type and how many values it has; one scan."""
+    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"c{k}") for k, c in enumerate(df.columns)])
+    rows = F.array(*[F.struct(F.lit(c).alias("name"), F.lit(t).alias("type"), F.col(f"c{k}").alias("n")) for k, (c, t) in enumerate(df.dtypes)])
+    return counts.select(F.inline(rows))
+
+
 def metadata_table(spark: SparkSession, metadata: dict[str, object]) -> DataFrame:
     """(name, value) of template variables, as a table."""
     return spark.createDataFrame([(k, str(v)) for k, v in metadata.items()], "name string, value string")

@@ -102,3 +102,26 @@ def peek(data: Dataset, show: int = 5) -> str:
     """What a dataset is, for the log: its description and plan; ``show`` rows of it if any."""
     text = data.describe()
     return text + ("\n" + data.df._show_string(show, 40, False) if show else "")
+
+
+def describe_values(data: Dataset) -> DataFrame:
+    """One row a variable: name, dims, type, units, and of its values n, missing, least and most (as text); one scan."""
+    names = [c for c in data.df.columns if c not in data.file_key]
+    parts = [x for k, c in enumerate(names) for x in (F.count(c).alias(f"n{k}"), F.min(c).cast("string").alias(f"a{k}"), F.max(c).cast("string").alias(f"b{k}"))]
+    kinds = dict(data.df.dtypes)
+
+    def row(k: int, c: str) -> Column:
+        units = data.var_attrs.get(c, {}).get("units")
+        about = {"name": F.lit(c), "dims": F.lit(", ".join(data.dims_of(c))), "type": F.lit(kinds[c]), "units": F.lit(units).cast("string")}
+        held = {"n": F.col(f"n{k}"), "missing": F.col("all") - F.col(f"n{k}"), "least": F.col(f"a{k}"), "most": F.col(f"b{k}")}
+        return F.struct(*[v.alias(n) for n, v in (about | held).items()])
+
+    return data.df.agg(F.count(F.lit(1)).alias("all"), *parts).select(F.inline(F.array(*[row(k, c) for k, c in enumerate(names)])))
+
+
+def with_attributes(data: Dataset, names: list[str]) -> DataFrame:
+    """Long rows (dimensions, variable, value, attrs): each cell's values beside what their variables' attributes say."""
+    keys = [d for d in (*data.dims, *data.file_key) if d in data.df.columns]
+    attrs = lambda v: F.create_map(*[F.lit(str(x)) for kv in data.var_attrs.get(v, {}).items() for x in kv]).cast("map<string,string>")
+    rows = F.array(*[F.struct(F.lit(v).alias("variable"), F.col(v).cast("double").alias("value"), attrs(v).alias("attrs")) for v in names])
+    return data.df.select(*keys, F.inline(rows))
