@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from rivulet.functions.calendar import parse_duration
 from rivulet.functions.text import fill_template
 from rivulet.model import Dataset
-from rivulet.operators import aggregates, grid, masks, projections
+from rivulet.operators import alignment, aggregates, grid, masks, projections
 from rivulet.sources import netcdf, scan, sinks
 
 log = logging.getLogger(__name__)
@@ -279,13 +279,21 @@ class Expression(Operation):
 @dataclass(kw_only=True)
 class Merge(Operation):
     """All files as one: the rows are together already, so only the key that parts them goes; ``collapse`` names
-    variables that become scalars if they have one value, and ``narrow`` puts double variables in single precision."""
+    variables that become scalars if they have one value, and ``narrow`` puts double variables in single precision.
+
+    ``by_coordinates`` aligns files cell by cell instead, each cell once; files must follow each other ``along`` a dimension,
+    if one is named, and ``conflicts`` says what becomes of values that disagree."""
 
     collapse: list[str] = field(default_factory=list)
     narrow: bool = False
+    by_coordinates: bool = False
+    along: str | None = None
+    conflicts: str = "raise"
 
     def apply(self, data, context):
         data = projections.narrow(data) if self.narrow else data
+        if self.by_coordinates:
+            data = alignment.align(data, self.along, self.conflicts)
         whole = replace(data, df=data.df.drop(*[c for c in data.file_key if c not in data.dims]), file_key=())
         return projections.uniform_collapse(whole, self.collapse) if self.collapse else whole
 

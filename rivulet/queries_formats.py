@@ -7,8 +7,8 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from rivulet.model import from_table
-from rivulet.operators import grid, nearest, states
-from rivulet.plans.profile import one_identity
+from rivulet.operators import alignment, grid, nearest, states
+from rivulet.plans.profile import Profile, one_identity
 from rivulet.queries import _cells, _t, query
 from rivulet.sources import netcdf, scan, sinks
 from rivulet.streaming import arrivals, folds
@@ -230,3 +230,42 @@ def rasterize_rings(spark, d):
     rings = s.select(F.col("s_suppkey").alias("label"), F.explode(F.array(outer, hole, apart)).alias("ring"))
     own = grid.Grid(grid.Axis(0.5, 1.0, 50), grid.Axis(0.5, 1.0, 50))
     return grid.rasterize_rings(rings, own, all_touched=False)
+
+
+# Alignment by coordinates
+
+
+def _two_files(spark, d, odd):
+    """Events in two files that share some cells: each with a variable of its own, and one that both have."""
+    e = _t(spark, d, "events").select("event_id", "user_id", "value", odd.alias("both"))
+    a = e.where("event_id % 2 = 0 or event_id % 3 = 0").select("event_id", "value", "both", F.lit("a").alias("file"))
+    b = e.where("event_id % 2 = 1 or event_id % 3 = 0").select("event_id", "user_id", (F.col("both") + F.when(F.col("event_id") % 30 == 0, 1.0).otherwise(0.0)).alias("both"), F.lit("b").alias("file"))
+    return from_table(a.unionByName(b, allowMissingColumns=True), ("event_id",), file_key=("file",))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 2 = 0 OR event_id % 3 = 0 THEN value END AS value, CASE WHEN event_id % 6 = 0 AND event_id % 30 = 0 THEN value + 1 ELSE value END AS both, CASE WHEN event_id % 2 = 1 OR event_id % 3 = 0 THEN user_id END AS user_id FROM events")
+def merge_by_coordinates(spark, d):
+    """Two overlapping files as one, each cell once; of values that disagree the greater."""
+    merge = {"operation": "merge", "by_coordinates": True, "conflicts": "most"}
+    return Profile.from_dict({"operations": [merge]}).run(_two_files(spark, d, F.col("value"))).df
+
+
+@query("SELECT event_id, 'both' AS variable, CAST(event_id AS VARCHAR) AS least, CAST(event_id + 1 AS VARCHAR) AS most, 2 AS n_files FROM events WHERE event_id % 30 = 0")
+def merge_conflicts(spark, d):
+    """Cells of which two files say different things."""
+    found = alignment.conflicting_cells(_two_files(spark, d, F.col("event_id").cast("double")))
+    whole = lambda c: F.col(c).cast("double").cast("long").cast("string").alias(c)
+    return found.select("event_id", "variable", whole("least"), whole("most"), "n_files")
+
+
+@query(
+    """WITH f AS (SELECT user_id % 2 AS grp, CAST(o AS VARCHAR) AS file, min(event_id) AS first, max(event_id) AS last FROM (SELECT user_id, event_id, event_id // 97 + CASE WHEN event_id % 89 = 0 THEN 1 ELSE 0 END AS o FROM events) GROUP BY ALL),
+g AS (SELECT *, max(struct_pack(l := last, o := file)) OVER (PARTITION BY grp ORDER BY first, last, file ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b FROM f)
+SELECT grp, file, b.o AS other, first, b.l AS last_before FROM g WHERE first <= b.l"""
+)
+def overlapping_files(spark, d):
+    """Files of consecutive ids, some of which reach into the one before, in two groups."""
+    name = (F.floor(F.col("event_id") / 97) + F.when(F.col("event_id") % 89 == 0, 1).otherwise(0)).cast("long").cast("string")
+    rows = _t(spark, d, "events").select("event_id", "value", (F.col("user_id") % 2).alias("grp"), name.alias("file"))
+    ranges = alignment.coordinate_ranges(from_table(rows, ("event_id",), file_key=("grp", "file")), "event_id")
+    return alignment.overlapping_ranges(ranges, ["grp", "file"], ["grp"])
