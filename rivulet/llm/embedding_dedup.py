@@ -14,7 +14,7 @@ first direction that both share only. A task returns counts and a spanning fores
 output is as long as its input.
 
 Recall against brute force on the tables at hand is above 0.99; on random pairs at cosine 0.9 exactly it is 0.98 or more
-for 6 to 48 vectors a group (see the tests).
+for 6 to 48 vectors a group, and 0.97 or more from 1 to 15 dimensions, where there are fewer groups (see the tests).
 
 Edge cases: vectors that are null, empty, zero or hold null or non-finite components link with nothing and are
 their own component; vectors of different lengths never link; rows that repeat a vec_id link with the others like
@@ -40,6 +40,9 @@ PARTS = 4
 LOAD = 100  # vectors a direction, about
 FEWEST, MOST = 6, 48  # vectors a group: beyond MOST**PARTS directions the load grows
 CAP = 3.4  # threshold in standard deviations of a random unit vector's inner products
+GROUP_DIMS = 4  # dimensions in a group, at least, or there are fewer groups
+WIDE = 4096  # vectors in a group of the fewer ones, at most
+LOW_TIMES = 4  # so many times as many directions a vector, at least, where there are fewer groups
 EXTRA = 4  # a vector is filed under at least so many directions more than a group has vectors
 CHUNK = 1024
 BUNDLE = 16384  # rows in a task's bundle of chunk pairs, about
@@ -51,6 +54,20 @@ def code_for(vectors: int) -> int:
     return int(min(max(round((20 * vectors / LOAD) ** (1 / PARTS)), FEWEST), MOST))
 
 
+def layout(dims: int, code: int) -> tuple[int, int, int]:
+    """(groups, vectors a group, least directions of a vector) for vectors of so many dimensions.
+
+    A group needs some dimensions to have different vectors in: fewer than four a group leave copies of few directions. With
+    fewer groups each has more vectors, so that there are as many directions (up to WIDE in one group). In a plane or on a
+    line caps are wide for their directions' number, so a tenth of all is taken.
+    """
+    parts = min(PARTS, max(1, dims // GROUP_DIMS))
+    if parts == PARTS:
+        return PARTS, code, code + EXTRA
+    own = min(WIDE, round(code ** (PARTS / parts)))
+    return parts, own, max(LOW_TIMES * code + EXTRA, own // 10 if dims <= 2 else 0)
+
+
 def directions(dims: int, parts: int, code: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each group its dimensions, shuffled, and its vectors, scaled so that a product has unit length."""
     rng = np.random.default_rng([SEED, dims, parts, code])
@@ -117,7 +134,8 @@ def _filed(code: int):
                 single = x.astype(np.float32)
                 exact = (single == x).all(axis=1)
                 raw = [(b"f" + s.tobytes()) if e else (b"d" + v.tobytes()) for e, s, v in zip(exact, single, x, strict=True)]
-                lists = decode(_units(x), PARTS, code, least=code + EXTRA)
+                parts, own, least = layout(dims, code)
+                lists = decode(_units(x), parts, own, least=least)
                 same = [hashlib.blake2b(r, digest_size=16).digest() for r in raw]
                 yield pd.DataFrame({"vec_id": ids[[i for i, _ in rows]], "dims": np.int32(dims), "same": same, "vector": raw, "filed": [f.astype(np.int32) for f in lists]})
 

@@ -11,7 +11,7 @@ written under another name, with a file that names its writer, and renamed. A re
 moves the new one inside it, so a writer has won if its own name is in the numbered folder; of several writers one wins,
 and the others start again from the winner's manifest. This needs what HDFS and local disks have, folder renames in one
 step; on object stores the path must be on a layer that has it. A job that dies leaves unreferenced files only. Merged
-inputs are deleted after the commit, never before.
+inputs stay as long as a retained version lists them; ``expire`` says which versions are retained.
 
 Manifests are tables, and places are planned by window functions over them; the driver handles one string a shard that
 is merged (as any reader lists its files) and one row a tier.
@@ -136,25 +136,51 @@ class ShardStore:
         rows = self._open(merged, shard).join(placed.select(F.col("shard").alias(shard), F.col("number").alias(number)), shard)
         new = self._write(rows.repartitionById(files, F.col(number)).select(*[F.col(f"`{c}`") for c in df.columns]))
         left = live.join(placed.select("shard"), "shard", "left_anti").unionByName(new)
-        if self.commit(left, version):
-            for s in merged:
-                self.fs.delete(self._at(s), False)
+        self.commit(left, version)
         return True  # if another writer was first, the next round starts from its manifest
 
-    def compact_all(self) -> int:
-        """Rounds until no tier has ``fan`` shards. Each merges ``fan`` shards of a tier into fewer, so there is an end."""
+    def compact_all(self, keep: int | None = None) -> int:
+        """Rounds until no tier has ``fan`` shards. Each merges ``fan`` shards of a tier into fewer, so there is an end.
+
+        ``keep``: versions that are retained after each round; by default all.
+        """
         rounds = 0
         while self.compact():
             rounds += 1
+            if keep:
+                self.expire(keep)
         return rounds
 
+    def versions(self) -> list[int]:
+        """Retained versions, oldest first."""
+        folder = self._at("manifests")
+        names = [s.getPath().getName() for s in self.fs.listStatus(folder)] if self.fs.exists(folder) else []
+        return sorted(int(n[1:]) for n in names if n.startswith("v"))
+
+    def expire(self, keep: int = 1) -> None:
+        """Retains the newest ``keep`` versions, and deletes the shards that only older ones list, then these versions.
+
+        A reader of a retained version finds all its shards, whatever is compacted meanwhile.
+        """
+        if keep < 1:
+            raise ValueError("the newest version stays")
+        there = self.versions()
+        old, kept = there[:-keep], there[-keep:]
+        if not old:
+            return
+        listed = lambda vs: self.spark.read.schema(MANIFEST).parquet(*[f"{self.path}/manifests/v{v:08d}" for v in vs]).select("shard").distinct()
+        for r in listed(old).join(listed(kept), "shard", "left_anti").toLocalIterator():
+            self.fs.delete(self._at(r.shard), False)
+        for v in old:
+            self.fs.delete(self._at("manifests", f"v{v:08d}"), True)
+
 
 def shard_documents(docs: DataFrame, path: str, arrivals: int = 4, target: int = TARGET, fan: int = FAN) -> ShardStore:
     """Appends the documents in ``arrivals`` parts (by a hash of the id, as if they came one after the other), then compacts."""
     store = ShardStore(docs.sparkSession, path, target, fan)
     for k in range(arrivals):
         store.append(docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(arrivals)) == k))
-    store.compact_all()
+    store.compact_all(keep=1)  # nobody reads the versions on the way
     return store
 
 

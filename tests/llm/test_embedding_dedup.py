@@ -111,3 +111,31 @@ def test_decode_is_complete():
     for i, have in enumerate(lists):
         over = set(np.flatnonzero(s[i] >= 0.25))
         assert over <= set(have.tolist()) and len(have) >= 3 and (len(over) >= 3) <= (set(have.tolist()) == over)
+
+
+@pytest.mark.parametrize("code", [6, 12, 30])
+@pytest.mark.parametrize("dims", range(1, 16))
+def test_recall_in_few_dimensions(dims, code):
+    """Random pairs at cosine 0.9 exactly (on a line: at 1), by the directions that both are filed under."""
+    rng = np.random.default_rng(dims)
+    a = rng.standard_normal((400, dims))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b = rng.standard_normal(a.shape)
+    b -= (b * a).sum(axis=1, keepdims=True) * a
+    b = a.copy() if dims == 1 else 0.9 * a + np.sqrt(0.19) * b / np.linalg.norm(b, axis=1, keepdims=True)
+    parts, own, least = embedding_dedup.layout(dims, code)
+    filed = [embedding_dedup.decode(x, parts, own, least=least) for x in (a, b)]
+    assert np.mean([len(np.intersect1d(x, y)) > 0 for x, y in zip(*filed)]) >= 0.97
+
+
+def test_few_dimensions_against_brute_force(spark):
+    rng = np.random.default_rng(5)
+    for dims in (2, 4, 6):
+        x = rng.standard_normal((250, dims))
+        u = x / np.linalg.norm(x, axis=1, keepdims=True)
+        near = u @ u.T >= 0.9
+        np.fill_diagonal(near, False)
+        df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+        got = {r.vec_id: r.n_links for r in near_vectors(df).collect()}
+        found = sum(got.values()) / near.sum()
+        assert 0.97 <= found <= 1 and all(got[k] <= near[k].sum() for k in got)

@@ -83,3 +83,20 @@ def test_edges(spark, tmp_path):
     assert got == {(1, 8), (2, 8), (3, 300_008), (4, 10)} and assignments(store).count() == 5
     empty = shard_documents(df.where("false"), str(tmp_path / "e"))
     assert empty.manifest().collect() == [] and assignments(empty).collect() == [] and empty.version() > 0
+
+
+def test_readers_of_retained_versions_find_their_rows(spark, tmp_path):
+    store = ShardStore(spark, str(tmp_path / "s"), target=100_000)
+    parts = [spark.createDataFrame([(10 * k + i, "t" * 9000, "x", k) for i in range(2)], SCHEMA).coalesce(1) for k in range(5)]
+    for p in parts:
+        store.append(p)
+    before, reader = store.version(), store.read()
+    assert store.compact_all() > 0 and store.version() > before
+    assert reader.count() == 10 and same_rows(store.read(before), store.read()) and store.read(2).count() == 4
+    assert store.versions() == list(range(1, store.version() + 1))
+    store.expire(2)
+    assert store.versions() == [store.version() - 1, store.version()] and same_rows(store.read(store.version() - 1), store.read())
+    store.expire()
+    listed = {r.shard for r in store.manifest().collect()}
+    assert {f"shards/{p.parent.name}/{p.name}" for p in (tmp_path / "s" / "shards").rglob("*.parquet")} == listed
+    assert store.read().count() == 10
