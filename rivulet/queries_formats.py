@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from rivulet.model import from_table
-from rivulet.operators import alignment, grid, nearest, states
+from rivulet.operators import alignment, grid, nearest, states, tiles
 from rivulet.plans.profile import Profile, one_identity
 from rivulet.queries import _cells, _t, query
 from rivulet.sources import netcdf, scan, sinks
@@ -269,3 +269,24 @@ def overlapping_files(spark, d):
     rows = _t(spark, d, "events").select("event_id", "value", (F.col("user_id") % 2).alias("grp"), name.alias("file"))
     ranges = alignment.coordinate_ranges(from_table(rows, ("event_id",), file_key=("grp", "file")), "event_id")
     return alignment.overlapping_ranges(ranges, ["grp", "file"], ["grp"])
+
+
+# Tiled arrays
+
+
+@query("SELECT CAST(i - 1 AS INTEGER) AS x, CAST(0 AS INTEGER) AS t, CAST(vec_id AS INTEGER) AS y, CAST(embedding[i] AS FLOAT) AS value FROM embeddings, range(1, 65) s(i) WHERE vec_id >= 64 OR i > 32")
+def tiled_transpose(spark, d):
+    """A grid in tiles, with a new dimension, transposed, and as rows again: cells without a row stay missing."""
+    cells = _cells(spark, d)
+    n = cells.agg(F.max("y")).first()[0] + 1
+    held = cells.where("y >= 64 or x >= 32")
+    tiled = tiles.to_tiles(held, ["y", "x"], [n, 64], "value", [64, 48])
+    return tiled.expand("t").transpose("x", "t", "y").rows().where("value is not null")
+
+
+@query("SELECT CAST(vec_id AS INTEGER) AS y, CAST(i - 1 AS INTEGER) AS x, CAST(embedding[i] AS FLOAT) AS value FROM embeddings, range(1, 65) s(i) WHERE vec_id // 32 IN (2, 3) AND (i - 1) // 16 = 1")
+def tiled_block(spark, d):
+    """The tiles that a block of places touches, whole."""
+    cells = _cells(spark, d)
+    n = cells.agg(F.max("y")).first()[0] + 1
+    return tiles.to_tiles(cells, ["y", "x"], [n, 64], "value", [32, 16]).block(y=(70, 100), x=(17, 20)).rows()
