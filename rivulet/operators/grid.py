@@ -148,14 +148,27 @@ def reproject(data: Dataset, source: Grid, target: Grid, variables: list[str], x
     return replace(data, df=out, attrs=attrs)
 
 
-def reproject_group(data: Dataset, source: Grid, target: Grid, x: str = "x", y: str = "y", by: list[str] | None = None, fill: dict[str, object] | None = None) -> Dataset:
+def reproject_group(data: Dataset, source: Grid, target: Grid, x: str = "x", y: str = "y", by: list[str] | None = None, fill: dict[str, object] | str | None = None) -> Dataset:
     """All variables over both axes on the target grid; the others stay as scalars or attributes say. ``fill`` gives
-    values, by variable, for cells without one; else they are null."""
+    values, by variable, for cells without one, or is "by_type" (``type_fill``); else they are null."""
     spatial = [v for v in data.variables if {x, y} <= set(data.dims_of(v))]
     out = reproject(data, source, target, spatial, x, y, by)
+    if fill == "by_type":
+        kinds = dict(out.df.dtypes)
+        values = {v: type_fill(kinds[v], bool(data.var_attrs.get(v, {}).get("unsigned"))) for v in spatial}
+        return out.with_df(out.df.withColumns({v: F.coalesce(F.col(v), x.cast(kinds[v])) for v, x in values.items() if x is not None}))
     return out.pipe(lambda df: df.fillna({k: v for k, v in fill.items() if k in spatial})) if fill else out
 
 
+def type_fill(kind: str, unsigned: bool = False) -> Column | None:
+    """What stands for no value in a variable of a type: 0 if unsigned, else the least whole number but one; false; the empty
+    text. None for real numbers, whose missing values are null here (and NaN in files)."""
+    bits = {"tinyint": 8, "smallint": 16, "int": 32, "bigint": 64}
+    if kind in bits:
+        return F.lit(0 if unsigned else -(2 ** (bits[kind] - 1)) + 1)
+    return {"boolean": F.lit(False), "string": F.lit("")}.get(kind)
+
+
 def update_references(data: Dataset, variables: list[str], crs_name: str, attributes: dict) -> Dataset:
     """Names a coordinate system in the variables' attributes; nothing else changes."""
     var_attrs = {**data.var_attrs, crs_name: dict(attributes)}

@@ -483,6 +483,7 @@ class Branch(Operation):
             inner = replace(context, values={**context.values, "branch": name}, saved=context.saved)
             o = run_all(ops, shared, inner)
             outs.append(replace(o, df=o.df.withColumn("branch", F.lit(name))))
+        context.saved[:] = dict.fromkeys(context.saved)  # branches may have written the same outputs; the first place counts
         whole = outs[0]
         for o in outs[1:]:
             whole = replace(whole, df=whole.df.unionByName(o.df, allowMissingColumns=True))

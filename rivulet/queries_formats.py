@@ -6,6 +6,7 @@ from datetime import timedelta
 
 from pyspark.sql import functions as F
 
+from rivulet.functions import crs
 from rivulet.model import from_table
 from rivulet.operators import alignment, grid, nearest, states, tiles
 from rivulet.plans.profile import Profile, one_identity
@@ -290,3 +291,57 @@ def tiled_block(spark, d):
     cells = _cells(spark, d)
     n = cells.agg(F.max("y")).first()[0] + 1
     return tiles.to_tiles(cells, ["y", "x"], [n, 64], "value", [32, 16]).block(y=(70, 100), x=(17, 20)).rows()
+
+
+# Files of networks, projections and masks
+
+
+@query('SELECT c_custkey AS link, CASE WHEN c_custkey % 4 = 0 THEN -1 ELSE c_custkey // 4 END AS "to" FROM customer')
+def netcdf_river_links(spark, d):
+    """A river network in a NetCDF file: each link and where it flows."""
+    folder = sinks.scratch_folder(spark)
+    to = F.when(F.col("c_custkey") % 4 == 0, -1).otherwise(F.floor(F.col("c_custkey") / 4)).cast("long")
+    rows = _t(spark, d, "customer").select(F.col("c_custkey").alias("link"), to.alias("to"))
+    netcdf.write_files(from_table(rows, ("link",)), folder, "routelink.nc")
+    return scan.read_links(spark, f"{folder}/routelink.nc", "netcdf")
+
+
+@query("SELECT vec_id AS y, i - 1 AS x, CAST(embedding[i] AS FLOAT) AS value, round((25 + 0.02 * vec_id)::DOUBLE, 6) AS lat, (-115 + 0.5 * (i - 1))::DOUBLE AS lon FROM embeddings, range(1, 65) t(i)")
+def projection_file(spark, d):
+    """A grid and its coordinate system from a file's coordinates and attributes; each cell's place by it, in degrees."""
+    folder = sinks.scratch_folder(spark)
+    cells = _cells(spark, d).select((F.col("y") * 0.02 + 25).alias("lat"), (F.col("x") * 0.5 - 115).alias("lon"), "value")
+    data = from_table(cells, ("lat", "lon"), scalars={"crs": 0}, var_attrs={"crs": {"spatial_ref": _SPHERE}, "value": {"grid_mapping": "crs"}})
+    netcdf.write_files(data, folder, "projection.nc")
+    own = netcdf.file_grid(f"{folder}/projection.nc")
+    lon, lat = crs.system_of(own.crs).inverse(own.x.centre(F.col("x")), own.y.centre(F.col("y")))
+    return _cells(spark, d).select("y", "x", "value", F.round(lat, 6).alias("lat"), F.round(lon, 6).alias("lon"))
+
+
+@query(
+    """WITH s AS (SELECT s_nationkey AS label, s_suppkey, s_suppkey % 37 + 3.3 AS cx, s_nationkey * 1.5 + 4.2 AS cy FROM supplier WHERE s_suppkey IN (SELECT min(s_suppkey) FROM supplier GROUP BY s_nationkey))
+SELECT 'mask_' || label || '.nc' AS file, j + 0.5 AS y, i + 0.5 AS x FROM s, range(0, 50) a(i), range(0, 50) b(j) WHERE abs(i + 0.5 - cx) < 2.1 AND abs(j + 0.5 - cy) < 1.1"""
+)
+def mask_files(spark, d):
+    """A polygon a nation (about its first supplier) as mask files, and their cells read again."""
+    folder = sinks.scratch_folder(spark)
+    s = _t(spark, d, "supplier").groupBy("s_nationkey").agg(F.min("s_suppkey").alias("k"))
+    cx, cy = F.col("k") % 37 + 3.3, F.col("s_nationkey") * 1.5 + 4.2
+    ring = F.array(*[F.struct((cx + a).alias("x"), (cy + b).alias("y")) for a, b in ((-2.1, -1.1), (2.1, -1.1), (2.1, 1.1), (-2.1, 1.1))])
+    own = grid.Grid(grid.Axis(0.5, 1.0, 50), grid.Axis(0.5, 1.0, 50), _SPHERE)
+    netcdf.write_masks(s.select(F.col("s_nationkey").alias("label"), ring.alias("ring")), own, folder, all_touched=False)
+    return netcdf.read_netcdf(spark, folder, ["mask"]).where("mask = 1").select("file", "y", "x")
+
+
+@query(
+    """WITH g AS (SELECT vec_id AS y, unnest(range(0, len(embedding))) AS x, unnest(embedding) AS v, label FROM embeddings),
+t AS (SELECT CAST(i // 20 AS INTEGER) - 4 AS y, 4 * CAST(i % 20 AS INTEGER) - 8 AS x FROM range(0, (SELECT 20 * (count(*) + 8) FROM embeddings)) r(i))
+SELECT CAST(t.y AS DOUBLE) AS y, CAST(t.x AS DOUBLE) AS x, v AS value, coalesce(label, -2147483647) AS label, coalesce(label % 2 = 0, FALSE) AS even FROM t LEFT JOIN g ON g.y = t.y AND g.x = t.x"""
+)
+def grid_fill_by_type(spark, d):
+    """A wider grid, all rows of it: cells without a value get what stands for none in their variable's type."""
+    e = _t(spark, d, "embeddings")
+    cells = e.select(F.col("vec_id").alias("y"), F.posexplode("embedding").alias("x", "value"), "label", (F.col("label") % 2 == 0).alias("even"))
+    source = grid.grid_of(cells)
+    target = grid.Grid(grid.Axis(-8.0, 4.0, 20), grid.Axis(-4.0, 1.0, source.y.size + 8))
+    return grid.reproject_group(from_table(cells, ("y", "x")), source, target, fill="by_type").df

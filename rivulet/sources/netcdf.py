@@ -37,6 +37,7 @@ from pyspark.sql.types import StructType
 
 from rivulet.functions.text import fill_template, template_variables
 from rivulet.model import Dataset, from_table
+from rivulet.operators.grid import CRS_NAMES, EVEN, WKT_NAMES, X_NAMES, Y_NAMES, Axis, Grid, mask_cells
 from rivulet.operators.masks import include_conditions
 from rivulet.sources.sinks import default_encoding, duplicate_targets, packed, save_targets, target_name
 
@@ -506,8 +507,11 @@ def _encoded(name: str, column: pa.ChunkedArray, enc: dict[str, object]) -> tupl
     return held, {"_FillValue": np.array([fill]).astype(kind)} if fill is not None else {}
 
 
-def target_file(table: pa.Table, dims: list[str], attrs: dict[str, object], var_attrs: dict[str, dict[str, object]], encoding: dict[str, dict[str, object]]) -> Iterator[bytes]:
-    """A table's rows as one file: a cell a combination of the dimensions' values, cells without a row missing."""
+def target_file(table: pa.Table, dims: list[str], attrs: dict[str, object], var_attrs: dict[str, dict[str, object]], encoding: dict[str, dict[str, object]], scalars: dict[str, object] | None = None) -> Iterator[bytes]:
+    """A table's rows as one file: a cell a combination of the dimensions' values, cells without a row missing.
+
+    Scalars (a coordinate system, say) are variables without dimensions, for the sake of their attributes.
+    """
     sizes: dict[str, int] = {}
     variables: list[tuple[str, tuple[str, ...], np.ndarray, dict[str, object]]] = []
     place = np.zeros(table.num_rows, np.int64)
@@ -545,6 +549,9 @@ def target_file(table: pa.Table, dims: list[str], attrs: dict[str, object], var_
             values, how = _encoded(name, table.column(name).take(rows), encoding.get(name, {}))
             scaling = {k: np.float64(encoding[name][k]) for k in ("scale_factor", "add_offset") if name in encoding and k in encoding[name] and encoding[name].get("dtype") == "int32"}
             add(name, tuple(dims), values, {**how, **scaling}, shape)
+    for name, value in (scalars or {}).items():
+        held = np.asarray(value if isinstance(value, (int, float)) else 0)
+        variables.append((name, (), held.astype(np.float64 if held.dtype.kind == "f" else np.int32), var_attrs.get(name, {})))
     return file_bytes(sizes, variables, attrs)
 
 
@@ -597,7 +604,7 @@ class NetcdfWriter(DataSourceArrowWriter):
         fs.create_dir(posixpath.dirname(path), recursive=True)
         done.append(target)
         with fs.open_output_stream(f"{path}.incomplete") as out:
-            for piece in target_file(table.drop_columns(["target"]), self.dims, self.about.get("attrs", {}), self.about.get("var_attrs", {}), self.about.get("encoding", {})):
+            for piece in target_file(table.drop_columns(["target"]), self.dims, self.about.get("attrs", {}), self.about.get("var_attrs", {}), self.about.get("encoding", {}), self.about.get("scalars", {})):
                 out.write(piece)
 
     def commit(self, messages: list[Written | None]) -> None:
@@ -679,6 +686,40 @@ def netcdf_dataset(spark: SparkSession, path: str, variables: list[str] | None =
     return from_table(df, own[0].cell_dims, file_key=("file",), attrs=header.attrs, var_attrs=attrs, encoding={k: e for k, e in encoding.items() if e})
 
 
+def file_grid(path: str, x: str | None = None, y: str | None = None, crs: str | None = None) -> Grid:
+    """The grid of a projection file: its axes, and the coordinate system's text that an attribute holds.
+
+    Reads the header and two coordinates of one file. KeyError names what is not there, ValueError an uneven axis.
+    """
+    with open_file(path) as file:
+        header = read_header(file)
+
+        def axis(name: str | None, names: tuple[str, ...]) -> Axis:
+            found = name or next((n for n in names if _coordinate(header, n)), None)
+            v = _coordinate(header, found) if found else None
+            if v is None:
+                raise KeyError(f"no coordinate {name or ' or '.join(names)}")
+            values = np.asarray(_stored_values(v, file, header, 0, v.shape[0]).to_numpy(zero_copy_only=False), float)
+            if not len(values):
+                raise ValueError(f"{found} has no values")
+            step = (values[-1] - values[0]) / (len(values) - 1) if len(values) > 1 else 1.0
+            if len(values) > 1 and (not step or np.abs((values - values[0]) / step - np.arange(len(values))).max() > EVEN):
+                raise ValueError(f"the steps of {found} are uneven")
+            return Axis(float(values[0]), float(step), len(values))
+
+        named = crs or next((n for n in CRS_NAMES if n in header.variables), None)
+        held = header.variables[named].attrs if named in header.variables else {}
+        return Grid(axis(x, X_NAMES), axis(y, Y_NAMES), str(next((held[n] for n in WKT_NAMES if n in held), "")))
+
+
+def write_masks(rings: DataFrame, grid: Grid, directory: str, label: str = "label", ring: str = "ring", all_touched: bool = True, template: str | None = None, crs: str = "crs") -> DataFrame:
+    """Polygons, rasterised, as mask files: one a label, with ones at its cells, and the grid's system as an attribute."""
+    masks = mask_cells(rings, grid, label, ring, all_touched)
+    attrs = {"mask": {"grid_mapping": crs}, crs: {"spatial_ref": grid.crs}} if grid.crs else {}
+    data = from_table(masks, ("y", "x"), var_attrs=attrs, scalars={crs: 0} if grid.crs else {})
+    return write_files(data, directory, template or f"mask_{{{label}}}.nc")
+
+
 def write_files(data: Dataset, directory: str, template: str, conditions: dict[str, object] | None = None, pack_values: bool = False, values: dict[str, object] | None = None) -> DataFrame:
     """One classic file a target; all appear, or none does. Returns (target) of what was written.
 
@@ -704,7 +745,7 @@ def write_files(data: Dataset, directory: str, template: str, conditions: dict[s
     rows = out.drop(*gone)
     encoding = default_encoding(data) if pack_values else data.encoding
     plain = {n: {k: v for k, v in e.items() if isinstance(v, (int, float, str))} for n, e in encoding.items()}
-    about = {"attrs": {k: v for k, v in data.attrs.items() if isinstance(v, (int, float, str))}, "var_attrs": data.var_attrs, "encoding": plain}
+    about = {"attrs": {k: v for k, v in data.attrs.items() if isinstance(v, (int, float, str))}, "var_attrs": data.var_attrs, "encoding": plain, "scalars": {k: v for k, v in data.scalars.items() if isinstance(v, (int, float, str))}}
     rows = rows.repartition("target").sortWithinPartitions("target")
     rows.write.format("netcdf").mode("append").options(path=directory, dims=json.dumps(list(data.dims)), about=json.dumps(about, default=str)).save()
     return targets.select("target").distinct()

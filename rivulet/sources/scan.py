@@ -20,6 +20,10 @@ TIMING_FIELDS = ("date", "path", "line", "code_path", "function", "call", "statu
 def read_table(spark: SparkSession, paths: str | list[str], form: str = "parquet", **options) -> DataFrame:
     """One or many paths, aligned by column name; columns that some files lack are null for these."""
     paths = [paths] if isinstance(paths, str) else list(paths)
+    if form == "netcdf":
+        from rivulet.sources.netcdf import read_netcdf
+
+        return read_netcdf(spark, ",".join(paths), **options)
     reader = spark.read.format(form).options(**options)
     if form == "parquet" and len(paths) > 1:
         reader = reader.option("mergeSchema", "true")

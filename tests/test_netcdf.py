@@ -168,3 +168,40 @@ def test_unsigned_and_wide_types():
     data = b"".join(nc.target_file(a, ["k"], {}, {}, {}))
     h = nc.read_header(pa.BufferReader(data))
     assert h.version == 5 and {v.name: v.code for v in h.variables.values()} == {"k": 10, "u": 7, "b": 1, "s": 2}
+
+
+def test_grid_of_a_projection_file(spark, tmp_path):
+    from rivulet.operators.grid import Axis, Grid
+
+    rows = spark.createDataFrame([(float(y), x * 0.5, 1.0) for y in (3, 2, 1) for x in range(4)], "lat double, lon double, v double")
+    data = from_table(rows, ("lat", "lon"), scalars={"crs": 0}, var_attrs={"crs": {"esri_pe_string": "GEOGCS[...]"}, "lat": {"units": "degrees"}})
+    nc.write_files(data, str(tmp_path), "p.nc")
+    assert nc.file_grid(f"{tmp_path}/p.nc") == Grid(Axis(0.0, 0.5, 4), Axis(1.0, 1.0, 3), "GEOGCS[...]")
+    with pytest.raises(KeyError, match="no coordinate x"):
+        nc.file_grid(f"{tmp_path}/p.nc", x="x")
+    by_hand(f"{tmp_path}/a.nc")
+    with pytest.raises(ValueError, match="x are uneven"):
+        nc.file_grid(f"{tmp_path}/a.nc", y="time")
+
+
+def test_masks_with_their_system(spark, tmp_path):
+    from rivulet.operators.grid import Axis, Grid
+
+    ring = spark.createDataFrame([(7, [(0.2, 0.2), (2.8, 0.2), (2.8, 1.8), (0.2, 1.8)])], "label int, ring array<struct<x:double,y:double>>")
+    nc.write_masks(ring, Grid(Axis(0.5, 1.0, 5), Axis(0.5, 1.0, 5), "SYSTEM"), str(tmp_path / "m"))
+    assert nc.read_netcdf(spark, f"{tmp_path}/m/mask_7.nc", ["mask"]).where("mask = 1").count() == 6
+    found = {r.variable: r.attrs for r in nc.read_headers(spark, f"{tmp_path}/m").collect()}
+    assert found["mask"]["grid_mapping"] == "crs" and found["crs"]["spatial_ref"] == "SYSTEM"
+
+
+def test_fill_by_type_and_outputs_once(spark, tmp_path):
+    from rivulet.operators.grid import Axis, Grid, reproject_group
+
+    rows = spark.createDataFrame([(0, 0, 1.5, 3, 4, True)], "y int, x int, v double, n int, u smallint, b boolean")
+    data = from_table(rows, ("y", "x"), var_attrs={"u": {"unsigned": True}})
+    out = reproject_group(data, Grid(Axis(0.0, 1.0, 1), Axis(0.0, 1.0, 1)), Grid(Axis(0.0, 1.0, 2), Axis(0.0, 1.0, 1)), fill="by_type")
+    assert sorted(tuple(r)[1:] for r in out.df.collect()) == [(0.0, 1.5, 3, 4, True), (1.0, None, -(2**31) + 1, 0, False)]
+    save = {"operation": "save", "directory": str(tmp_path / "o"), "filename_pattern": "same", "mode": "overwrite"}
+    context = Context()
+    Profile.from_dict({"operations": [{"operation": "branch", "branches": {"a": [save], "b": [save]}}]}).run(from_table(rows, ("y", "x")), context)
+    assert context.saved == [f"{tmp_path}/o/same"]
