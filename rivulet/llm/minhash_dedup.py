@@ -266,8 +266,9 @@ def _linked_across(width: int, link: int):
     return run
 
 
-def _chunk_pairs(members: DataFrame, comps: DataFrame, reps: DataFrame) -> DataFrame:
-    """Members of bands that hold several components, once for each pair of chunks (key, g) to compare."""
+def _chunk_pairs(members: DataFrame, comps: DataFrame, reps: DataFrame) -> tuple[DataFrame, int]:
+    """Members of bands that hold several components, once for each pair of chunks (key, g) to compare, and how many rows
+    that makes: a member of a large band is in as many as it has chunks to meet."""
     m = members.join(comps.select(F.col("node").alias("id"), "component"), "id", "left").select("key", "band", "id", F.coalesce("component", "id").alias("comp"))
     parts = m.groupBy("key", "band", "comp").agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("h"))
     bands = parts.groupBy("key", "band").agg(
@@ -276,6 +277,9 @@ def _chunk_pairs(members: DataFrame, comps: DataFrame, reps: DataFrame) -> DataF
     # Of bands with the same members the first one is enough.
     bands = bands.groupBy("n", "h").agg(F.min(F.struct("band", "key", "top")).alias("b")).select("b.key", F.col("b.top.comp").alias("top"), F.col("b.top.n").alias("in_top"), (F.col("n") - F.col("b.top.n")).alias("others"))
     bands = bands.withColumn("tops", F.ceil(F.col("in_top") / CHUNK).cast("int")).withColumn("rests", F.ceil(F.col("others") / CHUNK).cast("int"))
+    bands = settle(bands)
+    dealt = F.col("in_top") * F.col("rests") + F.col("others") * (F.col("tops") + F.col("rests"))
+    rows = bands.agg(F.coalesce(F.sum(dealt), F.lit(0))).first()[0]
     m = m.join(bands, "key").withColumn("largest", F.col("comp") == F.col("top"))
     m = m.withColumn("c", F.pmod(F.xxhash64("id"), F.when(F.col("largest"), F.col("tops")).otherwise(F.col("rests"))).cast("int"))
     rests, tops = F.sequence(F.lit(0), F.col("rests") - 1), F.sequence(F.lit(0), F.col("tops") - 1)
@@ -283,7 +287,7 @@ def _chunk_pairs(members: DataFrame, comps: DataFrame, reps: DataFrame) -> DataF
     with_tops = F.transform(tops, lambda t: F.struct(F.lit(0).alias("kind"), t.alias("x"), F.col("c").alias("y")))
     inside = F.transform(rests, lambda r: F.struct(F.lit(1).alias("kind"), F.least(r, F.col("c")).alias("x"), F.greatest(r, F.col("c")).alias("y")))
     m = m.select("key", "band", "id", "comp", "largest", "c", F.explode(F.when(F.col("largest"), with_rests).otherwise(F.concat(with_tops, inside))).alias("g"))
-    return m.join(reps.select("id", "n_shingles", "sketch"), "id")
+    return m.join(reps.select("id", "n_shingles", "sketch"), "id"), rows
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, link: int = LINK) -> DataFrame:
@@ -317,10 +321,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, link: int = LINK) -> DataFr
 
     first = links(pairs)
     sketches = reps.select("id", "n_shingles", "sketch")
-    chunks = _chunk_pairs(members.select("key", "band", "id"), connected_components(first), sketches)
+    chunks, rows = _chunk_pairs(members.select("key", "band", "id"), connected_components(first), sketches)
     schema = "bundle int, key long, kind int, x int, y int, band int, id long, comp long, largest boolean, c int, n_shingles long, sketch binary"
-    # Most bands are small, so a task works through a bundle of them.
-    tasks = max(8, members.count() // TASK_ROWS)
+    # Most bands are small, so a task works through a bundle of them; bundles are sized on the rows that are dealt, with
+    # room for what a hash puts together.
+    tasks = max(8, members.count() // TASK_ROWS, 3 * int(rows) // (2 * TASK_ROWS))
     bundle = F.pmod(F.xxhash64("key", "g"), F.lit(tasks)).cast("int")
     chunks = chunks.select(bundle.alias("bundle"), "key", "g.*", "band", "id", "comp", "largest", "c", "n_shingles", "sketch")
     open_ = settle(chunks.repartition(tasks, "bundle").groupBy("bundle").applyInPandas(_with_partners(link), schema))

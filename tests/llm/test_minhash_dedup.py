@@ -99,3 +99,30 @@ def test_large_groups_of_copies(spark):
     df = spark.createDataFrame([(*r, "k") for r in rows], SCHEMA).repartition(6)
     out = {r.doc_id: r.component_id for r in near_duplicates(df, 2).collect()}
     assert all(out[k] == 100 for k in range(100, 1500)) and all(out[k] == k for k in range(60))
+
+
+def test_bundles_of_one_template(spark, monkeypatch):
+    """Pages of one template, alike but no links: the rows that meet in a bundle stay near the intended number."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(minhash_dedup, "CHUNK", 16)
+    monkeypatch.setattr(minhash_dedup, "TASK_ROWS", 256)
+    rng = random.Random(8)
+    template = [f"t{k}" for k in range(60)]
+    pages = [(k, " ".join(template + [f"p{k}x{j}" for j in range(22)] + ["end"])) for k in range(400)] + [(1000 + k, " ".join(rng.choice(["a", "b", "c"]) for _ in range(30))) for k in range(20)]
+    seen = {}
+    real = minhash_dedup._chunk_pairs
+
+    def counted(*a):
+        chunks, rows = real(*a)
+        tasks = max(8, 3 * int(rows) // (2 * minhash_dedup.TASK_ROWS))
+        bundle = F.pmod(F.xxhash64("key", "g"), F.lit(tasks))
+        seen["rows"], seen["dealt"] = rows, chunks.count()
+        seen["most"] = chunks.groupBy(bundle.alias("b")).count().agg(F.max("count")).first()[0]
+        return chunks, rows
+
+    monkeypatch.setattr(minhash_dedup, "_chunk_pairs", counted)
+    df = spark.createDataFrame(pages, "doc_id long, text string")
+    assert got(df, 2) == brute(pages, 2)
+    assert seen["rows"] == seen["dealt"] > 5 * len(pages) and seen["most"] <= 2 * minhash_dedup.TASK_ROWS, seen
+
