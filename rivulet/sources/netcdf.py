@@ -187,20 +187,23 @@ def list_files(path: str) -> list[str]:
     """Paths of a file, of a folder's files, of a comma-separated list, or of names with stars in the last part; sorted."""
     out: list[str] = []
     for one in path.split(","):
-        scheme = one.split("://")[0] + "://" if "://" in one else ""
-        fs, inner = pafs.FileSystem.from_uri(one.split("*")[0].rpartition("/")[0] if "*" in one else one) if scheme else (pafs.LocalFileSystem(), one)
-        name = "*"
+        folder, name = one.rstrip("/"), "*"
         if "*" in one:
-            folder, _, name = (inner if not scheme else one).rpartition("/")
-            inner = folder if not scheme else inner
-        elif (info := fs.get_file_info(inner)).type == pafs.FileType.File:
-            out.append(one)
-            continue
-        elif info.type == pafs.FileType.NotFound:
-            raise FileNotFoundError(one)
+            folder, _, name = one.rpartition("/")
+        remote = "://" in one or one.startswith("file:")
+        fs, inner = pafs.FileSystem.from_uri(folder) if remote else (pafs.LocalFileSystem(), folder)
+        # What stands before a path in its file system: scheme, and host if there is one.
+        base = folder[: len(folder) - len(inner)] if remote and folder.endswith(inner) else ""
+        if "*" not in one:
+            info = fs.get_file_info(inner)
+            if info.type == pafs.FileType.File:
+                out.append(one)
+                continue
+            if info.type == pafs.FileType.NotFound:
+                raise FileNotFoundError(one)
         test = re.compile(re.escape(name).replace(r"\*", ".*") + r"\Z")
         found = [f.path for f in fs.get_file_info(pafs.FileSelector(inner)) if f.type == pafs.FileType.File and test.match(f.base_name) and not f.base_name.startswith((".", "_")) and not f.base_name.endswith(".incomplete")]
-        out += [scheme + f for f in found]
+        out += [base + f for f in found]
     return sorted(out)
 
 

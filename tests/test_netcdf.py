@@ -205,3 +205,16 @@ def test_fill_by_type_and_outputs_once(spark, tmp_path):
     context = Context()
     Profile.from_dict({"operations": [{"operation": "branch", "branches": {"a": [save], "b": [save]}}]}).run(from_table(rows, ("y", "x")), context)
     assert context.saved == [f"{tmp_path}/o/same"]
+
+
+def test_paths_of_file_systems(spark, tmp_path):
+    by_hand(f"{tmp_path}/a.nc")
+    by_hand(f"{tmp_path}/b.nc")
+    (tmp_path / "c.nc.incomplete").write_bytes(b"")
+    for base in ("file://", "file:", ""):
+        want = [f"{base}{tmp_path}/{n}.nc" for n in "ab"]
+        assert nc.list_files(f"{base}{tmp_path}") == nc.list_files(f"{base}{tmp_path}/") == nc.list_files(f"{base}{tmp_path}/*.nc") == want
+        assert nc.list_files(",".join(want)) == want
+        assert nc.read_netcdf(spark, f"{base}{tmp_path}/*.nc", ["flag"]).count() == 30
+    with pytest.raises(FileNotFoundError):
+        nc.list_files(f"{tmp_path}/gone.nc")
