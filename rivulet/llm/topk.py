@@ -17,8 +17,8 @@ Index blocks and query blocks are numbered, and each pair of blocks is a task of
 Random vectors of 64 dimensions leave little to prove: on blocks of the embeddings at hand about half of the segments
 are processed on average (see the tests), and up to a quarter of the members rescored.
 
-Edge cases: vectors that are null, or hold null or non-finite components, take no part, as query or candidate; empty
-vectors and vectors of other lengths than the query's are no candidates of it; ties go to the smaller id; fewer than k
+Edge cases: vectors that are null, or hold null or non-finite components, and rows without an id take no part, as query or
+candidate; empty vectors and vectors of other lengths than the query's are no candidates of it; ties go to the smaller id; fewer than k
 candidates give fewer rows; rows that repeat an id are candidates each (the query's own id is none), and of queries that
 repeat an id the smallest vector is asked; numbers and scores beyond 64 bits are cut to the largest or smallest long;
 an empty table gives an empty result; extra columns are ignored.
@@ -42,13 +42,14 @@ QUERIES = 512
 LEVELS = 16
 WORTH = 0.5
 ROUNDS = 12  # checks of the proof over all segments
+ROUNDED = 1e-12  # of a length, what a sum of squares in doubles may be off by
 LONG = np.iinfo(np.int64)
 
 
 def _whole(vectors: DataFrame, scale: int) -> DataFrame:
     read = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("e"))
     fine = F.col("e").isNotNull() & F.forall("e", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    return read.where(fine & (F.size("e") > 0)).select("vec_id", F.transform("e", lambda x: F.floor(x * scale).cast("long")).alias("v"))
+    return read.where(F.col("vec_id").isNotNull() & fine & (F.size("e") > 0)).select("vec_id", F.transform("e", lambda x: F.floor(x * scale).cast("long")).alias("v"))
 
 
 def _packed(size: int):
@@ -82,7 +83,7 @@ def _blocks(rows: DataFrame, size: int, name: str) -> tuple[DataFrame, int]:
     counts = packed.groupBy("part").agg(F.count(F.lit(1)).alias("n"))  # one row a partition
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    return packed.join(base, "part").select((F.col("base") + F.col("at")).alias(name), "dims", "ids", "v"), packed.count()
+    return packed.join(base, "part").select((F.col("base") + F.col("at")).cast("long").alias(name), "dims", "ids", "v"), packed.count()
 
 
 class ImpactIndex:
@@ -125,7 +126,10 @@ class ImpactIndex:
             used_v += np.bincount(rows, weights=(x * x).ravel(), minlength=n + 1)
             used_q += np.bincount(rows, weights=np.broadcast_to(by * by, x.shape).ravel(), minlength=n + 1)
             now = acc[possible]
-            left = np.maximum(whole - used_q[possible], 0) * np.maximum(self.lengths[possible] - used_v[possible], 0)
+            # What differences of rounded sums may lack is added: a huge component must not hide what others still give.
+            rest_q = np.maximum(whole - used_q[possible], 0) + whole * ROUNDED
+            rest_v = np.maximum(self.lengths[possible] - used_v[possible], 0) + self.lengths[possible] * ROUNDED
+            left = rest_q * rest_v
             bound = now + np.sqrt(left) * (1 + 1e-9) + 1e-6
             top = possible[np.argpartition(-now, k - 1)[:k]]
             least = max(least, (self.v[top] @ q).min())  # k members reach this
@@ -165,8 +169,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = SCALE
     """For each row of ``queries`` (vec_id, embedding) its k best vectors: query_id, rank from 1, vec_id, score."""
     index, n_index = _blocks(_whole(vectors, scale), BLOCK, "x")
     asked, n_asked = _blocks(_whole(queries, scale).groupBy("vec_id").agg(F.min("v").alias("v")), QUERIES, "y")
-    placed = index.withColumn("y", F.explode(F.sequence(F.lit(0), F.lit(max(n_asked, 1) - 1))))
-    sent = asked.withColumn("x", F.explode(F.sequence(F.lit(0), F.lit(max(n_index, 1) - 1))))
+    # Both sides' numbers are longs: a cogroup deals each side by its own keys' hashes, which differ between int and long.
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(n, 1) - 1).cast("long")))
+    placed, sent = index.withColumn("y", upto(n_asked)), asked.withColumn("x", upto(n_index))
     best = placed.groupBy("x", "y").cogroup(sent.groupBy("x", "y")).applyInPandas(_search(k), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

@@ -85,3 +85,30 @@ def test_without_proof_all_segments_are_processed():
     v = np.ones((300, 8), np.int64)
     rows, scores, share = ImpactIndex(np.arange(300), v).search(v[0], 0, 5)
     assert share == 1 and rows.tolist() == [1, 2, 3, 4, 5] and scores.tolist() == [8] * 5
+
+
+def test_every_pair_of_blocks_meets(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 20)
+    monkeypatch.setattr(topk, "QUERIES", 3)
+    rows = [(i, v.tolist()) for i, v in enumerate(np.random.default_rng(8).standard_normal((200, 6)))]
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # as on tables too large for one partition
+    try:
+        df = spark.createDataFrame([(*r, 0) for r in rows], SCHEMA)
+        assert got(df, df.where("vec_id % 10 = 0")) == brute(rows, set(range(0, 200, 10)))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+
+
+def test_huge_component_hides_no_others():
+    v = np.c_[np.full(199, 256 * 10**9), np.floor(256 * np.random.default_rng(5).standard_normal((199, 7)))].astype(np.int64)
+    v = np.r_[np.full((1, 8), 256), v]
+    rows, scores, _ = ImpactIndex(np.arange(200), v).search(v[0], 0, 5)
+    want = sorted((-int(s), j) for j, s in enumerate(v @ v[0]) if j)[:5]
+    assert [(-int(s), int(r)) for r, s in zip(rows, scores)] == want
+
+
+def test_rows_without_an_id_take_no_part(spark):
+    rows = [(i, [float(i), 1.0]) for i in range(5)]
+    df = spark.createDataFrame([(*r, 0) for r in [*rows, (None, [9.0, 9.0])]], SCHEMA)
+    assert got(df, df) == brute(rows, set(range(5)))
