@@ -132,26 +132,29 @@ def reindex(df: DataFrame, reference: DataFrame, on: str, fill: dict[str, object
     return joined.select(on, *[F.coalesce(F.col(f"__r.{c}"), F.lit(fill[c])).alias(c) if c in fill else F.col(f"__r.{c}").alias(c) for c in other])
 
 
-def score(value: Column, thresholds: list[tuple[Column, float]], default: float) -> Column:
-    """The lowest level whose threshold is above the value, or the default; missing values and thresholds are passed over."""
+def score(value: Column, thresholds: list[tuple[Column, float]], default: float, closed: bool = False) -> Column:
+    """The lowest level whose threshold is above the value, or the default; missing values and thresholds are passed over.
+
+    With ``closed``, a threshold that equals the value counts as above it.
+    """
     levels = [level for _, level in thresholds]
     if len(set(levels)) != len(levels):
         raise ValueError("levels repeat")
     out = None
     for t, level in sorted(thresholds, key=lambda x: x[1]):
-        test = value < t
+        test = value <= t if closed else value < t
         out = F.when(test, F.lit(float(level))) if out is None else out.when(test, F.lit(float(level)))
     return (F.lit(float(default)) if out is None else out.otherwise(F.lit(float(default)))).cast("float")
 
 
-def anomaly(data: Dataset, variable: str, climate: DataFrame, levels: dict[str, float], default: float, on: list[str], output: str = "streamflow_anomaly") -> Dataset:
+def anomaly(data: Dataset, variable: str, climate: DataFrame, levels: dict[str, float], default: float, on: list[str], output: str = "streamflow_anomaly", closed: bool = False) -> Dataset:
     """Scores each value by its thresholds (one column for each level) for the same keys, such as feature and day of year.
 
     A left join: the thresholds are as large as the features, so both sides are dealt by key unless one proves small.
     """
     data.need(variable)
     joined = data.df.join(climate.select(*on, *levels), on, "left")
-    scored = joined.withColumn(output, score(F.col(variable), [(F.col(c), v) for c, v in levels.items()], default))
+    scored = joined.withColumn(output, score(F.col(variable), [(F.col(c), v) for c, v in levels.items()], default, closed))
     out = data.with_df(scored.drop(*[c for c in levels if c not in data.df.columns]))
     name = str(data.var_attrs.get(variable, {}).get("long_name") or variable)
     return replace(out, var_attrs={**out.var_attrs, output: {"long_name": derived_name(name.replace(" ", "_"), "anomaly"), "units": "-"}})
