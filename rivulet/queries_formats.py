@@ -114,7 +114,7 @@ def cycle_completion(spark, d):
     files = rows.select(F.col("ts").cast("date").alias("day"), (F.col("user_id") % 3).alias("cycle"), F.format_string("f00%d", F.col("event_id") % 5 + 1).alias("frame"), F.col("ts").cast("timestamp").alias("arrived"))
     lots = [F.col("day") < "2024-01-10", F.col("day").between("2024-01-10", "2024-01-19"), F.col("day") > "2024-01-19"]
     for lot in lots:
-        files.where(lot).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        files.where(lot).write.mode("append").parquet(f"{folder}/in")
         stream = folds.read_stream(spark, f"{folder}/in", files.schema)
         done = arrivals.complete_cycles(stream, ["day", "cycle"], list(_FRAMES), timedelta(hours=8), timedelta(days=400))
         folds.write_stream(done, f"{folder}/out", f"{folder}/state").awaitTermination()

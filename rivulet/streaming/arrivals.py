@@ -7,7 +7,7 @@ cycle is closed. It lives in the query's checkpoint, so a query that is started
 from __future__ import annotations
 
 from collections.abc import Iterator
-from datetime import datetime, timedelta, timezone
+from datetime import timedelta
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -18,10 +18,6 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _micro(t: datetime) -> int:
-    return int((t.replace(tzinfo=t.tzinfo or timezone.utc) - datetime(1970, 1, 1, tzinfo=timezone.utc)) / timedelta(microseconds=1))
-
-
 class _Cycle(StatefulProcessor):
     def __init__(self, keys: list[str], expected: list[str], wait: timedelta, keep: timedelta):
         self.keys, self.expected = keys, expected
@@ -46,17 +42,20 @@ class _Cycle(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         known = self.cycle.get() if self.cycle.exists() else None
-        for pdf in rows:
-            if known and known[1]:
-                continue  # closed: whatever comes again is late
-            for frame, at in zip(pdf["frame"], pdf["arrived"], strict=True):
-                if frame in self.expected:
-                    t = _micro(at.to_pydatetime())
-                    if not self.first.containsKey((frame,)) or self.first.getValue((frame,))[0] > t:
-                        self.first.updateValue((frame,), (t,))
         if known and known[1]:
+            for _ in rows:
+                pass  # closed: whatever comes again is late
             return
+        # The state is asked once a call, not once a row: rows are many, frames are few.
         got = {k[0]: v[0] for k, v in self.first.iterator()}
+        came: dict[str, int] = {}
+        for pdf in rows:
+            for frame, t in pdf.loc[pdf["frame"].isin(self.expected)].groupby("frame")["arrived_micros"].min().items():
+                came[frame] = min(int(t), came.get(frame, int(t)))
+        for frame, t in came.items():
+            if frame not in got or got[frame] > t:
+                got[frame] = t
+                self.first.updateValue((frame,), (t,))
         if not got:
             return
         begin = min(got.values())
@@ -97,6 +96,7 @@ def complete_cycles(files: DataFrame, keys: list[str], expected: list[str], wait
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
     schema = files.select(*keys).schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ")
     rows = files.select(*keys, "frame", F.col("arrived").cast("timestamp").alias("arrived")).where("arrived is not null").withWatermark("arrived", late)
+    rows = rows.withColumn("arrived_micros", F.unix_micros("arrived"))
     processor = _Cycle(keys, sorted(set(expected)), wait, keep if keep is not None else 10 * wait)
     return rows.groupBy(*keys).transformWithStateInPandas(processor, f"{schema}, status string, n_files int, missing string, decided timestamp", "append", "eventTime")
 

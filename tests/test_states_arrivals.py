@@ -139,3 +139,40 @@ def test_names_and_identity(spark):
         one_identity(with_identity(mixed, F.col("file")))
     with pytest.raises(ValueError, match="no files"):
         one_identity(with_identity(files.limit(0), F.col("file")))
+
+
+def test_state_is_asked_once_a_call_not_once_a_row():
+    import pandas as pd
+
+    calls = []
+
+    class Held:
+        def __init__(self):
+            self.value = {}
+
+        def __getattr__(self, name):
+            def call(*a):
+                calls.append(name)
+                if name == "iterator":
+                    return iter(list(self.value.items()))
+                if name in ("containsKey", "exists"):
+                    return a[0] in self.value if a else bool(self.value)
+                if name == "updateValue":
+                    self.value[a[0]] = a[1]
+                if name == "getValue":
+                    return self.value[a[0]]
+                return iter(()) if name == "listTimers" else None
+
+            return call
+
+    held = Held()
+    held.getMapState = held.getValueState = lambda *a: held
+    cycle = arrivals._Cycle(["day"], ["f001", "f002"], timedelta(hours=1), timedelta(hours=1))
+    cycle.init(held)
+    held.value.clear()
+    start = datetime(2024, 1, 1)
+    at = [start + timedelta(seconds=(7 * k) % 5000) for k in range(5000)]
+    lot = pd.DataFrame({"frame": ["f001", "f003"] * 2500, "arrived": pd.to_datetime(at), "arrived_micros": [int((t - datetime(1970, 1, 1)) / timedelta(microseconds=1)) for t in at]})
+    assert list(cycle.handleInputRows(("d",), iter([lot[:2000], lot[2000:]]), None)) == []
+    first = min(int((t - datetime(1970, 1, 1)) / timedelta(microseconds=1)) for t in at[::2])
+    assert held.value == {("f001",): (first,)} and len(calls) < 20
