@@ -10,7 +10,8 @@ Planning reads one header a file on the driver, some kilobytes; with ``same_layo
 
 Writing: one file a target, named by the column ``target``. Tasks write ``<target>.incomplete``; when all have ended the
 driver renames them, or removes them all. A target that exists, or that two tasks have, stops the write before any
-rename. A target's rows must meet in one task, which holds the one target it is at (``write_files`` deals them so).
+rename. A target's rows must meet in one task, in the order of their dimensions (``write_files`` deals them so): it spools them
+on its own disk and holds a batch, and the values of all dimensions but the first. Rows in another order are held whole.
 
 Values: missing ones are null, packed ones are scaled, times are timestamps, texts are character arrays with one more
 dimension, as the conventions of these files say (``decode=false`` gives stored values). Paths may be of any file system that
@@ -22,6 +23,7 @@ from __future__ import annotations
 import posixpath
 import re
 import struct
+import tempfile
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
@@ -461,35 +463,47 @@ def _attribute_bytes(attrs: dict[str, object], wide: bool) -> bytes:
     return out
 
 
-def file_bytes(dims: dict[str, int], variables: list[tuple[str, tuple[str, ...], np.ndarray, dict[str, object]]], attrs: dict[str, object]) -> Iterator[bytes]:
-    """A classic file in pieces: the header, then each variable's values (arrays of one of the format's types)."""
-    wide = any(a.dtype.kind in "iu" and (a.dtype.itemsize == 8 or a.dtype.kind == "u") for _, _, a, _ in variables)
+def file_head(dims: dict[str, int], variables: list[tuple[str, tuple[str, ...], np.dtype, int, dict[str, object]]], attrs: dict[str, object]) -> bytes:
+    """A classic file's header, of variables with their types, numbers of values and attributes."""
+    wide = any(t.kind in "iu" and (t.itemsize == 8 or t.kind == "u") for _, _, t, _, _ in variables)
     number = lambda x: struct.pack(">q" if wide else ">i", x)
     listing = lambda tag, n: struct.pack(">i", tag if n else 0) + number(n)
     order = list(dims)
     head = b"CDF" + bytes([5 if wide else 2]) + number(0) + listing(DIMENSIONS, len(dims)) + b"".join(_name_bytes(d, wide) + number(n) for d, n in dims.items())
     head += _attribute_bytes(attrs, wide) + listing(VARIABLES, len(variables))
     parts = []
-    for name, of, a, held in variables:
-        kind = a.dtype if a.dtype.itemsize == 1 else a.dtype.newbyteorder(">")
+    for name, of, t, size, held in variables:
         start = _name_bytes(name, wide) + number(len(of)) + b"".join(number(order.index(d)) for d in of) + _attribute_bytes(held, wide)
-        parts.append((start + struct.pack(">i", CODES[kind]) + number(min(_padded(a.size * a.itemsize), 2**31 - 4) if not wide else _padded(a.size * a.itemsize)), a, kind))
-    begin = len(head) + sum(len(p) + 8 for p, _, _ in parts)
-    for p, a, _ in parts:
+        data = _padded(size * t.itemsize)
+        parts.append((start + struct.pack(">i", CODES[_stored(t)]) + number(min(data, 2**31 - 4) if not wide else data), data))
+    begin = len(head) + sum(len(p) + 8 for p, _ in parts)
+    for p, data in parts:
         head += p + struct.pack(">q", begin)
-        begin += _padded(a.size * a.itemsize)
-    yield head
-    for _, a, kind in parts:
-        data = np.ascontiguousarray(a).astype(kind).tobytes()
+        begin += data
+    return head
+
+
+def _stored(t: np.dtype) -> np.dtype:
+    return t if t.itemsize == 1 else t.newbyteorder(">")
+
+
+def file_bytes(dims: dict[str, int], variables: list[tuple[str, tuple[str, ...], np.ndarray, dict[str, object]]], attrs: dict[str, object]) -> Iterator[bytes]:
+    """A classic file in pieces: the header, then each variable's values (arrays of one of the format's types)."""
+    yield file_head(dims, [(name, of, a.dtype, a.size, held) for name, of, a, held in variables], attrs)
+    for _, _, a, _ in variables:
+        data = np.ascontiguousarray(a).astype(_stored(a.dtype)).tobytes()
         yield data.ljust(_padded(len(data)), b"\0")
 
 
-def _encoded(name: str, column: pa.ChunkedArray, enc: dict[str, object]) -> tuple[np.ndarray, dict[str, object]]:
-    """A column as one of the format's types, with the attributes that say how; missing values as fill."""
+def _encoded(name: str, column: pa.ChunkedArray, enc: dict[str, object], missing: bool = False, width: int = 1) -> tuple[np.ndarray, dict[str, object]]:
+    """A column as one of the format's types, with the attributes that say how; missing values as fill.
+
+    Of a piece of a column, ``missing`` says that the column lacks values somewhere, and ``width`` its longest text's bytes.
+    """
     t = column.type
     if pa.types.is_string(t) or pa.types.is_large_string(t):
         texts = [x.encode() if x else b"" for x in column.to_pylist()]
-        width = max([1, *map(len, texts)])
+        width = max([width, *map(len, texts)])
         return np.frombuffer(b"".join(x.ljust(width, b"\0") for x in texts), "S1").reshape(-1, width), {}
     if pa.types.is_timestamp(t) or pa.types.is_date(t):
         # Doubles hold whole microseconds exactly up to the year 2255.
@@ -502,7 +516,7 @@ def _encoded(name: str, column: pa.ChunkedArray, enc: dict[str, object]) -> tupl
         column, t = column.cast(pa.int8()), pa.int8()
     kind = np.dtype(t.to_pandas_dtype())
     fill = enc.get("_FillValue")
-    if column.null_count:
+    if column.null_count or missing:
         if fill is None:
             fill = 9.969209968386869e36 if kind.kind == "f" else np.iinfo(kind).min + 1
         column = column.fill_null(pa.scalar(np.array(fill).astype(kind).item(), t))
@@ -558,6 +572,174 @@ def target_file(table: pa.Table, dims: list[str], attrs: dict[str, object], var_
     return file_bytes(sizes, variables, attrs)
 
 
+class Spool:
+    """One target's rows on the task's own disk, in the order of their dimensions, so that a file is made a piece at a time.
+
+    Held are one batch, and the values of all dimensions but the first. ``sorted`` becomes false when rows come in another
+    order (or lack a dimension's value); such a target is made from a whole table.
+    """
+
+    def __init__(self, schema: pa.Schema, dims: list[str]) -> None:
+        self.dims, self.rows, self.sorted = dims, 0, True
+        self.schema = schema
+        self.folder = tempfile.TemporaryDirectory(prefix="netcdf-")
+        self.path = f"{self.folder.name}/rows.arrow"
+        self.out = pa.ipc.new_file(self.path, schema)
+        self.first, self.before = 0, None  # values of the first dimension so far, and the last of them
+        self.levels: dict[str, pa.Array] = {d: pa.array([], schema.field(d).type) for d in dims[1:]}
+        self.missing = dict.fromkeys(schema.names, False)
+        self.width = dict.fromkeys(schema.names, 1)
+
+    def _turns(self, column: pa.Array, before: pa.Scalar | None) -> tuple[np.ndarray, bool]:
+        """Where a new value of the first dimension begins, and whether values only rise."""
+        if before is not None:
+            column = pa.concat_arrays([pa.array([before.as_py()], column.type), column])
+        a, b = column[:-1], column[1:]
+        turns = pa.compute.not_equal(a, b).to_numpy(zero_copy_only=False).astype(bool)
+        rising = not len(a) or pa.compute.all(pa.compute.less_equal(a, b)).as_py()
+        return (turns if before is not None else np.r_[True, turns]), bool(rising)
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        if not batch.num_rows:
+            return
+        self.out.write_batch(batch)
+        self.rows += batch.num_rows
+        for n, column in zip(batch.schema.names, batch.columns, strict=True):
+            self.missing[n] |= column.null_count > 0
+            if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
+                self.width[n] = max(self.width[n], pa.compute.max(pa.compute.binary_length(column)).as_py() or 1)
+        held = [batch.column(d) for d in self.dims]
+        if not self.dims or any(c.null_count or (pa.types.is_floating(c.type) and pa.compute.any(pa.compute.is_nan(c)).as_py()) for c in held):
+            self.sorted = False
+        if self.sorted:
+            turns, self.sorted = self._turns(held[0], self.before)
+            self.first += int(turns.sum())
+            self.before = held[0][-1]
+            for d, c in zip(self.dims[1:], held[1:], strict=True):
+                self.levels[d] = pa.compute.unique(pa.concat_arrays([self.levels[d], c]))
+
+    def close(self) -> None:
+        self.out.close()
+        for d, v in self.levels.items():
+            self.levels[d] = v.take(pa.compute.sort_indices(v))
+
+    def batches(self, names: list[str]) -> Iterator[pa.RecordBatch]:
+        fields = [self.schema.get_field_index(n) for n in names]
+        with pa.OSFile(self.path) as file, pa.ipc.open_file(file, options=pa.ipc.IpcReadOptions(included_fields=fields)) as reader:
+            for k in range(reader.num_record_batches):
+                yield reader.get_batch(k)
+
+    def table(self) -> pa.Table:
+        return pa.Table.from_batches(list(self.batches(self.schema.names)), self.schema)
+
+    def placed(self, name: str | None = None) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+        """Batches of the dimensions and one variable, with their rows' cells."""
+        at, before = -1, None
+        for batch in self.batches([*self.dims, *([name] if name else [])]):
+            first = batch.column(self.dims[0])
+            place = at + np.cumsum(self._turns(first, before)[0])
+            at, before = int(place[-1]), first[-1]
+            for d in self.dims[1:]:
+                place = place * len(self.levels[d]) + pa.compute.index_in(batch.column(d), value_set=self.levels[d]).to_numpy(zero_copy_only=False)
+            yield batch, place
+
+    def in_order(self) -> bool:
+        """Whether each row's cell is after the one before; rows of one cell are an error."""
+        last = -1
+        for _, place in self.placed() if self.sorted and len(self.dims) > 1 else ():
+            steps = np.diff(place, prepend=last)
+            if (steps < 0).any() or (steps == 0).any():
+                return False
+            last = int(place[-1])
+        # Of one dimension, as many values as rows.
+        return self.sorted and (len(self.dims) > 1 or self.first == self.rows)
+
+
+PIECE_CELLS = 1 << 18
+
+
+def spooled_file(spool: Spool, attrs: dict[str, object], var_attrs: dict[str, dict[str, object]], encoding: dict[str, dict[str, object]], scalars: dict[str, object] | None = None) -> Iterator[bytes]:
+    """What ``target_file`` makes of the same rows, a piece at a time."""
+    dims = spool.dims
+    if not spool.in_order():
+        yield from target_file(spool.table(), dims, attrs, var_attrs, encoding, scalars)
+        return
+    sizes: dict[str, int] = {}
+    variables: list[tuple[str, tuple[str, ...], np.dtype, int, dict[str, object]]] = []
+    lengths = {d: len(spool.levels[d]) if d in spool.levels else spool.first for d in dims}
+    cells = int(np.prod(list(lengths.values()), dtype=np.int64))
+    gaps = cells > spool.rows
+
+    def empty(name: str, how: dict[str, object], missing: bool) -> tuple[np.ndarray, dict[str, object]]:
+        return _encoded(name, pa.chunked_array([pa.nulls(1 if missing else 0, spool.schema.field(name).type)]), how, missing, spool.width[name])
+
+    def add(name: str, of: tuple[str, ...], size: int, sample: np.ndarray, how: dict[str, object]) -> None:
+        if sample.dtype == np.dtype("S1"):
+            sizes[f"{name}_length"] = spool.width[name]
+            of, size = (*of, f"{name}_length"), size * spool.width[name]
+        variables.append((name, of, sample.dtype, size, {**var_attrs.get(name, {}), **how}))
+
+    for d in dims:
+        sizes[d] = lengths[d]
+        add(d, (d,), lengths[d], *empty(d, {}, False))
+    others = [n for n in spool.schema.names if n not in dims]
+    lacking = {n: spool.missing[n] or gaps for n in others}
+    for name in others:
+        enc = encoding.get(name, {})
+        scaling = {k: np.float64(enc[k]) for k in ("scale_factor", "add_offset") if k in enc and enc.get("dtype") == "int32"}
+        sample, how = empty(name, enc, lacking[name])
+        add(name, tuple(dims), cells, sample, {**how, **scaling})
+    constants = []
+    for name, value in (scalars or {}).items():
+        held = np.asarray(value if isinstance(value, (int, float)) else 0)
+        constants.append(held.astype(np.float64 if held.dtype.kind == "f" else np.int32))
+        variables.append((name, (), constants[-1].dtype, 1, var_attrs.get(name, {})))
+    yield file_head(sizes, variables, attrs)
+
+    def stored(a: np.ndarray) -> bytes:
+        return np.ascontiguousarray(a).astype(_stored(a.dtype)).tobytes()
+
+    def coordinate(d: str) -> Iterator[bytes]:
+        if d in spool.levels:
+            yield stored(_encoded(d, pa.chunked_array([spool.levels[d]]), {}, width=spool.width[d])[0])
+            return
+        before = None
+        for batch in spool.batches([d]):
+            column = batch.column(d)
+            yield stored(_encoded(d, pa.chunked_array([column.filter(pa.array(spool._turns(column, before)[0]))]), {}, width=spool.width[d])[0])
+            before = column[-1]
+
+    def values(name: str) -> Iterator[bytes]:
+        def encoded(column: pa.Array) -> np.ndarray:
+            return _encoded(name, pa.chunked_array([column]), encoding.get(name, {}), lacking[name], spool.width[name])[0]
+
+        if not gaps:
+            for batch in spool.batches([name]):
+                yield stored(encoded(batch.column(name)))
+            return
+        fill, done = empty(name, encoding.get(name, {}), True)[0], 0
+        for batch, place in spool.placed(name):
+            held = encoded(batch.column(name))
+            while done <= place[-1]:
+                end = min(done + PIECE_CELLS, int(place[-1]) + 1)
+                a, b = np.searchsorted(place, [done, end])
+                piece = np.repeat(fill, end - done, axis=0)
+                piece[place[a:b] - done] = held[a:b]
+                yield stored(piece)
+                done = end
+        while done < cells:
+            end = min(done + PIECE_CELLS, cells)
+            yield stored(np.repeat(fill, end - done, axis=0))
+            done = end
+
+    for pieces in [*map(coordinate, dims), *map(values, others), *[iter([stored(c)]) for c in constants]]:
+        n = 0
+        for piece in pieces:
+            n += len(piece)
+            yield piece
+        yield b"\0" * (_padded(n) - n)
+
+
 @dataclass
 class Written(WriterCommitMessage):
     targets: list[str]
@@ -577,37 +759,39 @@ class NetcdfWriter(DataSourceArrowWriter):
     def write(self, batches: Iterator[pa.RecordBatch]) -> Written:
         fs, folder = self._fs()
         done: list[str] = []
-        held: list[pa.Table] = []
+        spool: Spool | None = None
+        last = None
         try:
             for batch in batches:
-                table = pa.Table.from_batches([batch])
-                targets = table.column("target").to_pylist()
-                cuts = [0, *[k for k in range(1, len(targets)) if targets[k] != targets[k - 1]], len(targets)]
+                targets = batch.column(batch.schema.get_field_index("target")).fill_null("None")
+                rows = batch.drop_columns(["target"])
+                changes = np.flatnonzero(pa.compute.not_equal(targets[:-1], targets[1:]).to_numpy(zero_copy_only=False)) + 1
+                cuts = [0, *changes.tolist(), batch.num_rows]
                 for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                     if b > a:
-                        if held and held[0].column("target")[0].as_py() != targets[a]:
-                            self._flush(fs, folder, held, done)
-                        held.append(table.slice(a, b - a))
-            self._flush(fs, folder, held, done)
+                        target = targets[a].as_py()
+                        if spool is None or target != last:
+                            self._flush(fs, folder, spool, last, done)
+                            spool, last = Spool(rows.schema, self.dims), target
+                        spool.add(rows.slice(a, b - a))
+            self._flush(fs, folder, spool, last, done)
         except Exception:
             for t in done:
                 fs.delete_file(f"{folder}/{t}.incomplete")
             raise
         return Written(done)
 
-    def _flush(self, fs, folder: str, held: list[pa.Table], done: list[str]) -> None:
-        if not held:
+    def _flush(self, fs, folder: str, spool: Spool | None, target: str, done: list[str]) -> None:
+        if spool is None:
             return
-        table = pa.concat_tables(held)
-        held.clear()
-        target = table.column("target")[0].as_py()
+        spool.close()
         if target in done:
             raise ValueError(f"rows of {target} are not together")
         path = f"{folder}/{target}"
         fs.create_dir(posixpath.dirname(path), recursive=True)
         done.append(target)
-        with fs.open_output_stream(f"{path}.incomplete") as out:
-            for piece in target_file(table.drop_columns(["target"]), self.dims, self.about.get("attrs", {}), self.about.get("var_attrs", {}), self.about.get("encoding", {}), self.about.get("scalars", {})):
+        with spool.folder, fs.open_output_stream(f"{path}.incomplete") as out:
+            for piece in spooled_file(spool, self.about.get("attrs", {}), self.about.get("var_attrs", {}), self.about.get("encoding", {}), self.about.get("scalars", {})):
                 out.write(piece)
 
     def commit(self, messages: list[Written | None]) -> None:
@@ -749,7 +933,7 @@ def write_files(data: Dataset, directory: str, template: str, conditions: dict[s
     encoding = default_encoding(data) if pack_values else data.encoding
     plain = {n: {k: v for k, v in e.items() if isinstance(v, (int, float, str))} for n, e in encoding.items()}
     about = {"attrs": {k: v for k, v in data.attrs.items() if isinstance(v, (int, float, str))}, "var_attrs": data.var_attrs, "encoding": plain, "scalars": {k: v for k, v in data.scalars.items() if isinstance(v, (int, float, str))}}
-    rows = rows.repartition("target").sortWithinPartitions("target")
+    rows = rows.repartition("target").sortWithinPartitions("target", *data.dims)
     rows.write.format("netcdf").mode("append").options(path=directory, dims=json.dumps(list(data.dims)), about=json.dumps(about, default=str)).save()
     return targets.select("target").distinct()
 

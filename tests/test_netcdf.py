@@ -218,3 +218,27 @@ def test_paths_of_file_systems(spark, tmp_path):
         assert nc.read_netcdf(spark, f"{base}{tmp_path}/*.nc", ["flag"]).count() == 30
     with pytest.raises(FileNotFoundError):
         nc.list_files(f"{tmp_path}/gone.nc")
+
+
+@pytest.mark.parametrize("dims", [["a"], ["a", "b"]])
+def test_spooled_file_is_that_of_the_whole_table_and_holds_a_batch(monkeypatch, dims):
+    monkeypatch.setattr(nc, "PIECE_CELLS", 5)
+    rows = [(a, b, None if (a + len(b)) % 3 == 0 else a / 7, None if a % 4 == 0 else b * a) for a in range(20) for b in ("x", "yy", "é") if (a * 7 + len(b)) % 5 and (len(dims) > 1 or b == "x")]
+    table = pa.table({"a": [r[0] for r in rows], "v": [r[2] for r in rows], "b": [r[1] for r in rows], "s": [r[3] for r in rows]})
+    about = ({"title": "t"}, {"v": {"units": "K"}}, {}, {"crs": 0})
+    spool = nc.Spool(table.schema, dims)
+    for batch in table.to_batches(max_chunksize=4):
+        spool.add(batch)
+    spool.close()
+    assert spool.sorted and all(b.num_rows <= 4 for b in spool.batches(["v"]))
+    whole = b"".join(nc.target_file(table, dims, *about))
+    monkeypatch.setattr(nc, "target_file", None)
+    assert b"".join(nc.spooled_file(spool, *about)) == whole
+
+
+def test_rows_in_another_order_are_made_from_the_whole_table():
+    table = pa.table({"a": [3, 1, 2], "v": [1.0, 2.0, 3.0]})
+    spool = nc.Spool(table.schema, ["a"])
+    spool.add(table.to_batches()[0])
+    spool.close()
+    assert b"".join(nc.spooled_file(spool, {}, {}, {})) == b"".join(nc.target_file(table, ["a"], {}, {}, {}))
