@@ -12,6 +12,7 @@ from rivulet.sources.sinks import scratch_folder
 
 GROWTH = 4  # of the cells from level to level
 BUCKETS = 256  # ranges along an axis, at most
+CLOSING_CELLS = 1024  # of one size that a place looks through once it has a bound, at most
 CELL_SOURCES = 64  # distinct places in a cell of the first level, at most (unless cells get too small to tell places apart)
 
 
@@ -60,11 +61,11 @@ def nearest_on_axis(df: DataFrame, axis: DataFrame, column: str, coordinate: str
 def nearest_places(df: DataFrame, sources: DataFrame, at: tuple[str, str], of: tuple[str, str], id_: str, into: str = "nearest", distance: str | None = None) -> DataFrame:
     """Adds to each row the id of the source nearest in the plane, ties to the smaller id; null where a coordinate is missing.
 
-    A place looks in its cell and the eight around it, first in cells so small that none holds more than CELL_SOURCES sources.
-    What lies outside these nine is further away than their border, so a source nearer than that is the nearest: proof
-    enough. Places without proof go on with cells GROWTH times as large, fewer each time; each level is written to the shared
-    folder, and stays there for the result to read. Places outside the sources' box look from
-    the box's nearest point; a source at distance r from there is at least as far from the place as the box and r say.
+    A place looks in its cell and the eight around it, first in cells so small that none holds more than CELL_SOURCES sources;
+    places outside the sources' box look from the box's nearest point. The nearest source met there is a bound, and whatever is
+    as near lies in the part of the box that the bound's circle covers. If that is CLOSING_CELLS cells at most, they say which
+    source is nearest. Places without a bound, or with too many cells, go on with cells GROWTH times as large, fewer each
+    time; each level is written to the shared folder, and stays there for the result to read.
     """
     x, y = (F.col(c).cast("double") for c in of)
     points = sources.select(x.alias("sx"), y.alias("sy"), F.col(id_).alias("id")).where("sx is not null and sy is not null and not isnan(sx) and not isnan(sy)")
@@ -86,36 +87,44 @@ def nearest_places(df: DataFrame, sources: DataFrame, at: tuple[str, str], of: t
         if most <= CELL_SOURCES:
             break
         size /= 2
-    # The nearest point of the box, and how far it is.
+    # The nearest point of the box.
     cx = F.greatest(F.lit(box["x0"]), F.least(F.lit(box["x1"]), F.col("qx")))
     cy = F.greatest(F.lit(box["y0"]), F.least(F.lit(box["y1"]), F.col("qy")))
     open_ = asked.select("qx", "qy", cx.alias("cx"), cy.alias("cy"))
-    open_ = open_.withColumn("out2", (F.col("qx") - F.col("cx")) ** 2 + (F.col("qy") - F.col("cy")) ** 2)
     done: DataFrame | None = None
     folder, level = scratch_folder(df.sparkSession), 0
     while True:
         last = size >= extent  # nine such cells hold all sources
         here = open_.withColumns({"bx": cell(F.col("cx"), box["x0"], size), "by": cell(F.col("cy"), box["y0"], size)})
-        left, low = F.col("cx") - (F.lit(box["x0"]) + (F.col("bx") - 1) * size), F.col("cy") - (F.lit(box["y0"]) + (F.col("by") - 1) * size)
-        reach = F.least(left, F.lit(3 * size) - left, low, F.lit(3 * size) - low)
-        here = here.withColumn("proof", F.col("out2") + reach * reach)
         steps = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (-1, 0, 1) for b in (-1, 0, 1)])
-        near = here.withColumn("s", F.explode(steps)).select("qx", "qy", "cx", "cy", "out2", "proof", (F.col("bx") + F.col("s.a")).alias("kx"), (F.col("by") + F.col("s.b")).alias("ky"))
+        near = here.withColumn("s", F.explode(steps)).select("qx", "qy", "cx", "cy", (F.col("bx") + F.col("s.a")).alias("kx"), (F.col("by") + F.col("s.b")).alias("ky"))
         placed = points.select("sx", "sy", "id", cell(F.col("sx"), box["x0"], size).alias("kx"), cell(F.col("sy"), box["y0"], size).alias("ky"))
         d2 = (F.col("qx") - F.col("sx")) * (F.col("qx") - F.col("sx")) + (F.col("qy") - F.col("sy")) * (F.col("qy") - F.col("sy"))
         met = near.join(placed, ["kx", "ky"], "left").withColumn("d2", d2)
-        best = met.groupBy("qx", "qy", "cx", "cy", "out2", "proof").agg(F.min(F.when(F.col("id").isNotNull(), F.struct("d2", "id"))).alias("r"))
-        # Written, not only kept in memory: the next level begins from rows, not from all levels' plans.
+        # A number's minimum is kept in a hash table; pairs are neither sorted nor held.
+        bound = met.groupBy("qx", "qy", "cx", "cy").agg(F.min("d2").alias("bound"))
         level += 1
-        best.select("qx", "qy", "cx", "cy", "out2", "proof", "r.d2", "r.id").write.parquet(f"{folder}/{level}")
-        best = df.sparkSession.read.parquet(f"{folder}/{level}")
-        # Rounding may not make up a proof: a source on the border itself goes on.
-        proven = F.lit(True) if last else F.col("d2") < F.col("proof") * (1 - 1e-9)
-        found = best.where(proven).select(F.col("qx").alias(key[0]), F.col("qy").alias(key[1]), "d2", "id")
+        # Written, not only kept in memory: the next level begins from rows, not from all levels' plans.
+        bound.write.parquet(f"{folder}/{level}")
+        bound = df.sparkSession.read.parquet(f"{folder}/{level}")
+        # Sources within the bound lie in the box and in the circle: a strip, where the place is outside. One more cell each way for rounding.
+        far = F.col("bound") * (1 + 1e-9)
+        wide = F.sqrt(F.greatest(F.lit(0.0), far - (F.col("qy") - F.col("cy")) ** 2))
+        high = F.sqrt(F.greatest(F.lit(0.0), far - (F.col("qx") - F.col("cx")) ** 2))
+        ranges = {"a0": cell(F.greatest(F.lit(box["x0"]), F.col("qx") - wide), box["x0"], size) - 1, "a1": cell(F.least(F.lit(box["x1"]), F.col("qx") + wide), box["x0"], size) + 1}
+        ranges |= {"b0": cell(F.greatest(F.lit(box["y0"]), F.col("qy") - high), box["y0"], size) - 1, "b1": cell(F.least(F.lit(box["y1"]), F.col("qy") + high), box["y0"], size) + 1}
+        bound = bound.withColumns(ranges)
+        few = (F.col("a1") - F.col("a0") + 1).cast("double") * (F.col("b1") - F.col("b0") + 1).cast("double") <= CLOSING_CELLS
+        closing = F.lit(True) if last else F.coalesce(F.col("bound").isNotNull() & (F.col("bound") < float("inf")) & few, F.lit(False))
+        strip = bound.where(closing).select("qx", "qy", "bound", F.explode(F.sequence("a0", "a1")).alias("kx"), "b0", "b1").withColumn("ky", F.explode(F.sequence("b0", "b1"))).drop("b0", "b1")
+        ties = strip.join(placed, ["kx", "ky"]).withColumn("d2", d2).where("d2 <= bound")
+        found = ties.groupBy(F.col("qx").alias(key[0]), F.col("qy").alias(key[1])).agg(F.min(F.struct("d2", "id")).alias("r")).select(*key, "r.d2", "r.id")
+        found.write.parquet(f"{folder}/{level}-found")
+        found = df.sparkSession.read.parquet(f"{folder}/{level}-found")
         done = found if done is None else done.unionByName(found)
         if last:
             break
-        open_ = best.where(~F.coalesce(proven, F.lit(False))).select("qx", "qy", "cx", "cy", "out2")
+        open_ = bound.where(~closing).select("qx", "qy", "cx", "cy")
         if open_.isEmpty():
             break
         size *= GROWTH

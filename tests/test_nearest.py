@@ -76,3 +76,15 @@ def test_uneven_axes_are_refused(spark):
         axis_of(spark.createDataFrame([(0.0,), (1.0,), (2.0,), (5.0,)], "y double"), "y")
     single = even.withColumn("v", F.col("y").cast("float"))
     assert axis_of(single, "v").size == 20
+
+
+def test_places_outside_the_box_need_no_large_cells(spark, monkeypatch, tmp_path):
+    """Places along a dense box meet the sources of a strip, not those of cells that grow until their border proves the nearest."""
+    monkeypatch.setattr(nearest, "scratch_folder", lambda _: str(tmp_path))
+    rng = random.Random(4)
+    sources = [(k, rng.random(), rng.random()) for k in range(3000)]
+    places = [(k / 40, y) for k in range(40) for y in (-0.3, 1.2, 0.5)]
+    df = spark.createDataFrame(places, "x double, y double")
+    out = nearest.nearest_places(df, spark.createDataFrame(sources, "id int, a double, b double"), ("x", "y"), ("a", "b"), "id").collect()
+    assert {(r.x, r.y): r.nearest for r in out} == {(x, y): min(((x - a) * (x - a) + (y - b) * (y - b), i) for i, a, b in sources)[1] for x, y in places}
+    assert not (tmp_path / "2").exists()
