@@ -33,7 +33,7 @@ from rivulet.llm.common import settle, small_batches
 CAPACITY = 2048
 GRAIN = 64
 END_ID = 1
-CACHED_WORDS = 900_000
+CACHED_WORDS = 450_000
 SIGNS = ".,;:!?"
 
 
@@ -51,6 +51,9 @@ class WordIds:
     met before are looked up; new words go through the library many at a time, and are told apart by their last ids,
     which mark the ends of words. A text that holds an added token of the vocabulary, such as <|endoftext|>, goes
     through the library as a whole, which gives the token's own id.
+
+    Kept are two lots of ``CACHED_WORDS`` strings: when one is full it becomes the older, the older one goes, and what is
+    met again moves over. So common words stay, rare ones leave, and memory has a bound.
     """
 
     def __init__(self, path: str):
@@ -63,52 +66,48 @@ class WordIds:
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {"": b""}
-        self.parts: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
 
     def _learn(self, parts: list[str]) -> None:
         """Ids of strings without white space."""
+        known = self.known
         words = [p for p in parts if p.isalpha()]
         for k in range(0, len(words), 2000):
             some = words[k : k + 2000]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
             ends = np.flatnonzero(self.last[ids]) + 1
             if len(ends) == len(some):
                 data, begin = ids.tobytes(), 0
                 for p, end in zip(some, (4 * ends).tolist(), strict=True):
-                    self.parts[p] = data[begin:end]
+                    known[p] = data[begin:end]
                     begin = end
-        rest = [p for p in parts if p not in self.parts]
+        rest = [p for p in parts if p not in known]
         for p, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            self.parts[p] = np.array(e.ids, "<u4").tobytes()
+            known[p] = np.array(e.ids, "<u4").tobytes()
+
+    def _new(self, words: set[str]) -> set[str]:
+        """Those of the strings that are not known; those of the older lot move over."""
+        new = words.difference(self.known)
+        out = new.difference(self.older)
+        for w in new - out:
+            self.known[w] = self.older[w]
+        return out
 
     def _some(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
+        if len(self.known) > CACHED_WORDS:
+            self.older, self.known = self.known, {"": b""}
         known = self.known
-        if len(known) > CACHED_WORDS:
-            known.clear()
-        found = [list(map(known.get, words)) for words in split]
-        open_: list[tuple[list[bytes | None], int, str]] = []
-        for words, ids in zip(split, found, strict=True):
-            at = -1
-            for _ in range(ids.count(None)):
-                at = ids.index(None, at + 1)
-                open_.append((ids, at, words[at]))
-        new = {w for _, _, w in open_}
-        if new:
-            apart = {}
-            for w in new:
-                low = w.lower()
-                core = low.rstrip(SIGNS)
-                apart[w] = (core, low[len(core) :]) if core.isalpha() and "Σ" not in w and len(low) == len(w) else (w, "")
-            if len(self.parts) > CACHED_WORDS:
-                self.parts = {"": b""}
-            self._learn(list({p for both in apart.values() for p in both if p not in self.parts}))
-            parts = self.parts
+        apart: dict[str, tuple[str, str]] = {}
+        for w in self._new(set().union(*split)):
+            low = w.lower()
+            core = low.rstrip(SIGNS)
+            apart[w] = (core, low[len(core) :]) if core.isalpha() and "Σ" not in w and len(low) == len(w) else (w, "")
+        if apart:
+            self._learn(list(self._new({p for both in apart.values() for p in both})))
             for w, (core, signs) in apart.items():
-                known[w] = parts[core] + parts[signs]
-        for ids, at, w in open_:
-            ids[at] = known[w]
-        return [b"".join(ids) for ids in found]
+                known[w] = known[core] + known[signs]
+        return [b"".join(map(known.__getitem__, words)) for words in split]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         out = [ids for k in range(0, len(texts), 128) for ids in self._some(texts[k : k + 128])]

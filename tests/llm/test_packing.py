@@ -69,3 +69,18 @@ def test_fuzzed_texts_with_added_tokens():
     parts = ["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|", "|>", "endoftext", "word", "İ", " ", "\n", ", ", "it's", "12", "é"]
     texts = ["".join(rng.choices(parts, k=rng.randint(0, 12))) for _ in range(2000)]
     assert [np.frombuffer(x, "<u4").tolist() for x in WordIds(default_tokenizer())(texts)] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+
+
+def test_common_words_stay_known_and_memory_has_a_bound(monkeypatch):
+    monkeypatch.setattr("rivulet.llm.packing.CACHED_WORDS", 300)
+    asked = []
+    learn = WordIds._learn
+    monkeypatch.setattr(WordIds, "_learn", lambda self, parts: (asked.extend(parts), learn(self, parts))[1])
+    letters = [chr(97 + k) for k in range(26)]
+    ids, t, kept = WordIds(default_tokenizer()), Tokenizer.from_file(default_tokenizer()), 0
+    for k in range(30):
+        text = "the common, Words stay " + " ".join(f"q{letters[k % 26]}{letters[k // 26]}{a}{b}," for a in letters[:10] for b in letters[:10])
+        assert np.frombuffer(ids([text])[0], "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
+        kept = max(kept, sum(len(d) for d in vars(ids).values() if isinstance(d, dict)))
+    assert asked.count("the") == asked.count("common") == asked.count("words") == 1
+    assert kept <= 2 * (300 + 2 * 104)
